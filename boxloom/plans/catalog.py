@@ -1,0 +1,6 @@
+"""Registered queries: name -> (spark, folder of tables) -> DataFrame, and their SQL."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+SQL: dict = {}
