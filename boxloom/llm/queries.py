@@ -3,18 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.minhash import near_duplicates
+from boxloom.llm.suffix_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each document and benchmark item that it contains."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = contained_items(docs, _table(spark, folder, "benchmark"), percent=80)
+    return found.select("doc_id", F.explode("contained").alias("x")).select(
+        "doc_id", "x.*", (F.col("x.n_shared") / F.col("x.n_item")).alias("containment")
+    )
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return near_duplicates(docs, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
-QUERIES = {"op9_minhash": op9_minhash}
-SQL: dict[str, str] = {}
+def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return remove_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {
+    "op5_decontamination": op5_decontamination,
+    "op9_minhash": op9_minhash,
+    "op10_suffix_array": op10_suffix_array,
+}
+SQL: dict[str, str] = {
+    "op5_decontamination": """
+        WITH raw AS (
+            SELECT 0 AS side, doc_id AS id, text FROM documents
+            UNION ALL SELECT 1, item_id, text FROM benchmark),
+        cut AS (
+            SELECT side, id, row_number() OVER () AS row_no, list_filter(list_transform(
+                string_split_regex(text, '[\\x20\\x09-\\x0D]+'),
+                lambda w: regexp_replace(lower(w), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')),
+                lambda w: w <> '') AS ws FROM raw WHERE text IS NOT NULL),
+        item AS (
+            SELECT id AS item_id, row_no AS item_no, least(len(ws), 5) AS width, unnest(list_distinct(list_transform(
+                range(1, len(ws) - least(len(ws), 5) + 2),
+                lambda i: array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ')))) AS sh
+            FROM cut WHERE side = 1 AND len(ws) > 0),
+        widths AS (SELECT DISTINCT width FROM item),
+        doc AS (
+            SELECT id AS doc_id, row_no, width, unnest(list_distinct(list_transform(
+                range(1, len(ws) - width + 2), lambda i: array_to_string(ws[i:i + width - 1], ' ')))) AS sh
+            FROM cut, widths WHERE side = 0 AND len(ws) >= width),
+        size AS (SELECT item_no, count(*) AS n_item FROM item GROUP BY item_no),
+        hit AS (
+            SELECT doc_id, row_no, item_id, item_no, count(*) AS n_shared
+            FROM doc JOIN item USING (width, sh) GROUP BY ALL)
+        SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
+        FROM hit JOIN size USING (item_no) WHERE 100 * n_shared >= 80 * n_item""",
+}
