@@ -1,7 +1,8 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
-Each language has a raw-content zstandard dictionary, made of sample documents of that language. A text
-is cut into blocks, every block is compressed with every dictionary, and the sizes are summed over the
+Texts are read as lower-case letters with one space for whatever stands between letters. Each language
+has a raw-content zstandard dictionary, made of sample documents of that language. A text is cut into
+blocks, every block is compressed with every dictionary, and the sizes are summed over the
 whole text; blocks keep the dictionaries at work throughout a long text. The smallest sum names the
 language. If the runner-up is within ``narrow`` of it, the answer is marked as rejected.
 
@@ -13,6 +14,7 @@ one pass over the documents without a shuffle.
 from __future__ import annotations
 
 import math
+import re
 
 import pyarrow as pa
 import regex
@@ -21,38 +23,50 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _LETTER = regex.compile(r"\p{L}")
+_BETWEEN = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
 
 
+def letters(text: str) -> bytes:
+    """The words of a text in lower case, without digits, signs and repeated spaces."""
+    return _BETWEEN.sub(" ", text.lower()).encode("utf-8", "surrogatepass")
+
+
 def sample_dictionaries(
-    docs: DataFrame, text: str, lang: str, sample_docs: int = 96, sample_chars: int = 3000, size: int = 1 << 16
+    docs: DataFrame, text: str, lang: str, sample_docs: int = 192, sample_chars: int = 3000, size: int = 1 << 17
 ) -> dict[str, bytes]:
-    """A dictionary of at most ``size`` bytes for each non-null language of the learning rows."""
+    """A dictionary of at most ``size`` bytes for each non-null language of the learning rows.
+
+    The languages come in order of their numbers of rows, the most frequent first.
+    """
     rows = docs.select(F.col(lang).alias("lang"), F.substring(F.col(text), 1, sample_chars).alias("body"))
     rows = rows.where("lang IS NOT NULL AND length(body) >= 40")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("body"), "body")
     picked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).collect()
     parts: dict[str, list[bytes]] = {}
     for row in sorted(picked, key=lambda r: (r["lang"], r["rank"])):
-        parts.setdefault(row["lang"], []).append(row["body"].encode("utf-8", "surrogatepass"))
-    return {k: b"\n".join(v)[:size] for k, v in parts.items()}
+        parts.setdefault(row["lang"], []).append(letters(row["body"]))
+    often = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    return {k: b"\n".join(parts[k])[:size] for k in sorted(parts, key=lambda k: (-often[k], k))}
 
 
 class Compressors:
     """One compressor for each language, with its dictionary loaded once."""
 
-    def __init__(self, dictionaries: dict[str, bytes], level: int = 3, block: int = 1 << 12):
+    def __init__(self, dictionaries: dict[str, bytes], level: int = 6, block: int = 1 << 12):
         self.block = block
         self.by_lang = {}
-        for lang, content in sorted(dictionaries.items()):
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(level=level)
-            self.by_lang[lang] = zstandard.ZstdCompressor(
-                dict_data=data, write_checksum=False, write_content_size=False, write_dict_id=False
+        for lang, content in dictionaries.items():
+            how = zstandard.ZstdCompressionParameters.from_level(
+                level, min_match=3, dict_size=len(content), source_size=block,
+                write_checksum=False, write_content_size=False, write_dict_id=False,
             )
+            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data.precompute_compress(compression_params=how)
+            self.by_lang[lang] = zstandard.ZstdCompressor(dict_data=data, compression_params=how)
 
     def sizes(self, data: bytes) -> dict[str, int]:
-        blocks = [data[i : i + self.block] for i in range(0, len(data), self.block)]
+        blocks = [data[i : i + self.block] for i in range(0, max(1, len(data)), self.block)]
         return {k: sum(len(c.compress(b)) for b in blocks) for k, c in self.by_lang.items()}
 
 
@@ -64,7 +78,7 @@ def identify_language(
     Only the columns ``text`` and ``lang`` of ``learn`` are learned from, only ``text`` of ``docs`` is
     looked at. ``lang_pred`` is the best learned language, ``und`` if the text is null or has no letter
     or nothing was learned (score 0, rejected). ``score`` is a softmax of the saved bytes. Ties go to
-    the language first in order. ``rejected`` marks a margin under ``narrow`` of the smallest size. Other columns pass
+    the language with more rows to learn from. ``rejected`` marks a margin under ``narrow`` of the smallest size. Other columns pass
     through; old columns of the result names are replaced.
     """
     names = ["lang_pred", "score", "rejected"]
@@ -82,8 +96,8 @@ def identify_language(
             if not dictionaries or body is None or not _LETTER.search(body):
                 out.append({"lang_pred": UNKNOWN, "score": 0.0, "rejected": True})
                 continue
-            sizes = held[0].sizes(body.encode("utf-8", "surrogatepass"))
-            ranked = sorted(sizes, key=lambda k: (sizes[k], k))
+            sizes = held[0].sizes(letters(body))
+            ranked = sorted(sizes, key=sizes.get)
             least = sizes[ranked[0]]
             score = 1 / sum(math.exp(-0.25 * min(2000, sizes[k] - least)) for k in ranked)
             close = len(ranked) > 1 and sizes[ranked[1]] - least < narrow * least

@@ -126,44 +126,47 @@ def _measured(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85
 ) -> DataFrame:
-    """The rows of ``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
+    """The rows of ``docs`` with ``n_shingles``, ``component_id``, ``kept`` and ``chosen``.
 
     Texts are linked if ``100 * intersection >= percent * union`` of their sets of five-word
     shingles (a shorter text is one shingle). ``component_id`` is the smallest ``doc_id`` that links
-    reach, and ``kept`` is ``doc_id = component_id``. Null or wordless texts link with nothing;
+    reach, and ``kept`` is ``doc_id = component_id``. ``chosen`` marks exactly one row of each component,
+    also where ids repeat, and every wordless row. Null or wordless texts link with nothing;
     their component is their own id. Null ids are ignored by the minimum; a component of null ids
     only has a null ``component_id`` and its rows are kept. Repeated rows share a component and are
-    kept alike. Other columns pass through, but for old columns of the three result names, which
+    kept alike. Other columns pass through, but for old columns of the result names, which
     are replaced. An empty table gives an empty table.
     """
     rows, bands = band_shape(percent / 100)
-    out_names = ["n_shingles", "component_id", "kept"]
+    out_names = ["n_shingles", "component_id", "kept", "chosen"]
     passed = [c for c in docs.columns if c not in out_names]
     base = written(
         docs.select(
             F.struct(*passed).alias("row"),
             F.col(doc_id).cast("bigint").alias("id"),
             _sketch_udf(rows, bands)(F.col(text)).alias("s"),
-        ).select("row", "id", "s.*")
+        ).select("row", "id", F.monotonically_increasing_id().alias("no"), "s.*")
     )
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "no")
     classes = written(
         base.where("n > 0").groupBy("set_key")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
+        .agg(F.min(first).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     links = _links(base.select(F.col(f"row.`{text}`").alias("text"), "set_key"), classes, percent)
     rooted = classes.join(components(links), "node", "left").select(
         "set_key", "rep", F.coalesce("root", "node").alias("root")
     )
-    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    found = rooted.join(least, "root").select("set_key", "component_id")
+    least = rooted.groupBy("root").agg(F.min("rep").alias("least"))
+    found = rooted.join(least, "root").select("set_key", "least")
     joined = base.join(found, "set_key", "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    component = F.when(F.col("n") > 0, F.col("least.id")).otherwise(F.col("id"))
     return joined.select(
         *[F.col(f"row.`{c}`").alias(c) for c in passed],
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.coalesce(F.col("id").eqNullSafe(component), F.lit(False)).alias("kept"),
+        F.col("id").eqNullSafe(component).alias("kept"),
+        ((F.col("n") == 0) | (F.col("no") == F.col("least.no"))).alias("chosen"),
     )
 
 

@@ -2,51 +2,149 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.llm.chat import END, START, render_perspectives
 from boxloom.llm.decontaminate import contained_items
+from boxloom.llm.langid import identify_language
+from boxloom.llm.line_quality import score_quality
 from boxloom.llm.minhash import near_duplicates
+from boxloom.llm.page_text import extract_main_text
+from boxloom.llm.pieces import encode_pieces
+from boxloom.llm.quality_rules import STOP_WORDS, apply_rules, rules_sql
+from boxloom.llm.sharding import uniform_shards
 from boxloom.llm.suffix_dedup import remove_repeats
 
+#: Labelled documents a class that may be learned from, at most.
+LABELLED = 1500
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    return _table(spark, folder, "documents").select("doc_id", "text")
+
+
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 24 shards under the law of equal row counts."""
+    body = F.coalesce("text", F.lit("")).cast("binary")
+    slim = _texts(spark, folder).select(
+        "doc_id", (F.octet_length(body) + 8).cast("bigint").alias("size"), F.crc32(body).alias("text_crc32")
+    )
+    return uniform_shards(slim, 24, seed=20).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return apply_rules(_texts(spark, folder)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op3_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_main_text(_table(spark, folder, "pages").select("page_id", "url", "html")).drop("html")
+
+
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    learn = docs.where(_fold(5) != 0).select("text", "lang")
+    found = identify_language(docs.select("doc_id", "text"), learn)
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each document and benchmark item that it contains."""
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = _texts(spark, folder)
     found = contained_items(docs, _table(spark, folder, "benchmark"), percent=80)
     return found.select("doc_id", F.explode("contained").alias("x")).select(
         "doc_id", "x.*", (F.col("x.n_shared") / F.col("x.n_item")).alias("containment")
     )
 
 
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return render_perspectives(_table(spark, folder, "conversations"))
+
+
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_pieces(_texts(spark, folder)).select("doc_id", "n_ids", "ids", "decoded_same")
+
+
+def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    labels = _table(spark, folder, "labels").select("doc_id", "quality").where(_fold(3) != 1)
+    some = [labels.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED) for y in (0, 1)]
+    docs = _texts(spark, folder)
+    learn = docs.join(F.broadcast(some[0].union(some[1])), "doc_id").select("text", "quality")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
+    return score_quality(docs, learn).select("doc_id", held_out, "score", "predicted")
+
+
 def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = _texts(spark, folder)
     return near_duplicates(docs, percent=85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = _texts(spark, folder)
     return remove_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_page_text": op3_page_text,
+    "op4_language": op4_language,
     "op5_decontamination": op5_decontamination,
+    "op6_chat": op6_chat,
+    "op7_pieces": op7_pieces,
+    "op8_line_quality": op8_line_quality,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
 }
+
+_SPACE = r"[\x20\x09-\x0D]"
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
 SQL: dict[str, str] = {
-    "op5_decontamination": """
+    "op2_quality_rules": rf"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        w AS (
+            SELECT *, list_filter(string_split_regex(text, '{_SPACE}+'), lambda x: x <> '') AS ws,
+                list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+        win AS (SELECT r, i, array_to_string(ws[i:i + 7], ' ') AS s FROM (
+            SELECT r, ws, unnest(range(1, len(ws) - 6)) AS i FROM w)),
+        twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS n FROM win) WHERE n > 1),
+        cover AS (
+            SELECT r, sum(least(8, d)) AS n_repeat_words FROM (
+                SELECT r, coalesce(i - lag(i) OVER (PARTITION BY r ORDER BY i), 8) AS d FROM twice) GROUP BY r),
+        c AS (
+            SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+                CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines,
+                len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words,
+                length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations
+            FROM w LEFT JOIN cover USING (r)),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM c)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND {rules_sql()} AS kept FROM b""",
+    "op5_decontamination": r"""
         WITH raw AS (
             SELECT 0 AS side, doc_id AS id, text FROM documents
             UNION ALL SELECT 1, item_id, text FROM benchmark),
         cut AS (
             SELECT side, id, row_number() OVER () AS row_no, list_filter(list_transform(
-                string_split_regex(text, '[\\x20\\x09-\\x0D]+'),
-                lambda w: regexp_replace(lower(w), '^[^\\p{L}\\p{N}]+|[^\\p{L}\\p{N}]+$', '', 'g')),
+                string_split_regex(text, '[\x20\x09-\x0D]+'),
+                lambda w: regexp_replace(lower(w), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')),
                 lambda w: w <> '') AS ws FROM raw WHERE text IS NOT NULL),
         item AS (
             SELECT id AS item_id, row_no AS item_no, least(len(ws), 5) AS width, unnest(list_distinct(list_transform(
@@ -64,4 +162,21 @@ SQL: dict[str, str] = {
             FROM doc JOIN item USING (width, sh) GROUP BY ALL)
         SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
         FROM hit JOIN size USING (item_no) WHERE 100 * n_shared >= 80 * n_item""",
+    "op6_chat": f"""
+        WITH t AS (SELECT conv_id, turn, role AS speaker, coalesce(text, '') AS body FROM conversations),
+        p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM t WHERE speaker <> 'system'),
+        b AS (
+            SELECT conv_id, perspective, turn, speaker, body,
+                CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role
+            FROM t JOIN p ON conv_id IS NOT DISTINCT FROM c),
+        h AS (
+            SELECT *, '{START}' || role || CASE WHEN role = 'user' AND speaker IS NOT NULL THEN ' name=' || speaker ELSE '' END
+                || chr(10) AS head FROM b),
+        s AS (SELECT *, head || body || '{END}' || chr(10) AS segment FROM h),
+        o AS (
+            SELECT *, CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective
+                ORDER BY turn NULLS FIRST, speaker NULLS FIRST, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM s)
+        SELECT conv_id, perspective, turn, speaker, role, segment, start,
+            CASE WHEN role = 'assistant' THEN start + length(head) END AS mask_start,
+            CASE WHEN role = 'assistant' THEN start + length(segment) - 1 END AS mask_end FROM o""",
 }

@@ -340,3 +340,32 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, group
         F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
         "spans",
     )
+
+
+def cut_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
+    """The rows of ``docs`` with the repeated strings cut out of ``text`` and ``n_removed`` beside it.
+
+    Characters that a cut splits go with it, so that the text stays valid UTF-8. Texts without a
+    repeat, and null ones, are left as they are.
+    """
+    names = ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    columns = [c for c in docs.columns if c not in names]
+
+    @F.arrow_udf("string")
+    def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for t, own in zip(texts, spans, strict=True):
+            if not t.is_valid:
+                out.append(None)
+                continue
+            data, at, kept = t.as_py().encode("utf-8", "surrogatepass"), 0, []
+            for x in own.as_py():
+                kept.append(data[at : x["start"]])
+                at = x["end"]
+            out.append("".join(part.decode("utf-8", "ignore") for part in [*kept, data[at:]]))
+        return pa.array(out, pa.string())
+
+    found = remove_repeats(docs, text, length)
+    touched = F.when(F.col("n_removed") > 0, F.col(text))
+    found = found.withColumn("_cut", cut(touched, "spans"))
+    return found.select(*[F.coalesce("_cut", text).alias(c) if c == text else F.col(c) for c in columns], "n_removed")

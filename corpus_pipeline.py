@@ -1,8 +1,65 @@
-"""The document pipeline: each stage is written as Parquet and read again by the next."""
+"""The document pipeline: rules, near duplicates, repeated passages, benchmark items, piece ids.
 
-STAGES = []
+Each stage takes ``(spark, docs, folder of tables)`` and returns a DataFrame, which is written as Parquet
+and read again as the next stage's ``docs``. All stages but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from boxloom.llm.decontaminate import contained_items
+from boxloom.llm.minhash import near_duplicates
+from boxloom.llm.pieces import encode_pieces
+from boxloom.llm.quality_rules import apply_rules
+from boxloom.llm.scratch import written
+from boxloom.llm.suffix_dedup import cut_repeats
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a quality rule rejects go."""
+    return apply_rules(docs).where("kept").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (Jaccard 0.8 on five-word shingles) stays."""
+    return near_duplicates(docs, percent=80).where("chosen").select(*docs.columns)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur elsewhere are cut out; documents left without a word go."""
+    cut = cut_repeats(docs, length=400).where(r"n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", length).select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item (0.8 of its five-word shingles or more) go."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contained_items(docs, items, percent=80).where(F.size("contained") == 0).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of what is left, checked by decoding."""
+    return encode_pieces(docs).select("doc_id", "lang", "source", "n_chars", "n_ids", "ids", "decoded_same")
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", near_dedup),
+    ("repeated passages", repeats),
+    ("benchmark items", decontaminate),
+    ("piece ids", encode),
+]
+
+#: SQL cannot express the stages' methods; tests hold them against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
