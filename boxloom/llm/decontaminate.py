@@ -34,6 +34,8 @@ from boxloom.llm.words import WIDTH, WordHashes, batches, shingle_set, shingles
 _EDGES = regex.compile(r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$")
 _UNIT = 8
 _CHUNK = 1 << 16
+#: Size of a coordinate's table of low bits, which spares most look-ups.
+_SEEN = 1 << 15
 
 
 class PlainWords(WordHashes):
@@ -85,8 +87,8 @@ class Items:
             for k in range(signature):
                 least = np.minimum.reduceat(_pi(places + np.uint32(k)), starts)
                 order = np.argsort(least, kind="stable")
-                seen = np.zeros(1 << 20, bool)
-                seen[least & np.uint32((1 << 20) - 1)] = True
+                seen = np.zeros(_SEEN, bool)
+                seen[least & np.uint32(_SEEN - 1)] = True
                 tables.append((least[order], np.array(own)[order], seen))
             self.parts.setdefault(width, {})[units] = tables
 
@@ -131,7 +133,7 @@ class Items:
                 same = np.append(text_of[first[1:]] == text_of[first[:-1]], False)
                 least = np.where(same, np.minimum(half, nxt), half)
                 values, items, seen = parts[size][k]
-                for w in np.flatnonzero(seen[least & np.uint32((1 << 20) - 1)]):
+                for w in np.flatnonzero(seen[least & np.uint32(_SEEN - 1)]):
                     low, high = np.searchsorted(values, least[w], "left"), np.searchsorted(values, least[w], "right")
                     if low < high:
                         out.setdefault(int(text_of[first[w]]), set()).update(items[low:high].tolist())
@@ -193,4 +195,5 @@ def _search_udf(items: list, percent: int, signature: int, kind: str):
             out += [[{"item_id": i, "n_item": n, "n_shared": s} for i, n, s in own] for own in held[0].search(some)]
         return pa.array(out, pa.list_(pa.struct([(k, pa.int64()) for k in ("item_id", "n_item", "n_shared")])))
 
-    return search
+    # not to be evaluated once more in a filter on its result
+    return search.asNondeterministic()

@@ -223,7 +223,7 @@ def _rare_shingle_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     def listed(texts: pa.Array) -> pa.Array:
         return pa.array((shingle_set(words.of(t.as_py())).view(np.int64) for t in texts), pa.list_(pa.int64()))
 
-    tokens = written(nodes.select("node", "root", "n", F.explode(listed("text")).alias("sh")))
+    tokens = written(nodes.select("node", "root", "n", F.explode(listed.asNondeterministic()("text")).alias("sh")))
     often = tokens.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
     ranked = (
         tokens.join(often, "sh")

@@ -216,7 +216,7 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000
 
     sample = pages.select(F.col(html).alias("h")).where("h IS NOT NULL").orderBy(F.xxhash64("h"), "h").limit(sample_pages)
     sums = (
-        sample.select(F.explode(counted("h")).alias("x")).groupBy("x.feature")
+        sample.select(F.explode(counted.asNondeterministic()("h")).alias("x")).groupBy("x.feature")
         .agg(F.sum("x.good").alias("good"), F.sum("x.bad").alias("bad")).collect()
     )
     return weights({r["feature"]: (r["good"], r["bad"]) for r in sums})

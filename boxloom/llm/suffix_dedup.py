@@ -122,7 +122,8 @@ def _anchor_udf(length: int):
         )
         return pa.ListArray.from_arrays(pa.array(np.cumsum(counts).astype(np.int32)), rows)
 
-    return anchors
+    # not to be evaluated once more in a filter on its result
+    return anchors.asNondeterministic()
 
 
 def _runs(hits: list[bool] | np.ndarray) -> list[tuple[int, int]]:
@@ -272,9 +273,11 @@ def repeated_spans(texts: DataFrame, length: int = 400, group_limit: int = 4000)
     """
     found = written(
         texts.where(F.octet_length("text") >= length)
-        .select(_key("text").alias("key"), F.explode(_anchor_udf(length)("text")).alias("x")).select("key", "x.*")
+        .select(_key("text").alias("key"), _anchor_udf(length)("text").alias("xs"))
+        .select("key", F.explode("xs").alias("x")).select("key", "x.*")
     )
-    again = found.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("g")
+    # a table of its own, so that the join below can split the rows of a very frequent k-gram
+    again = written(found.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("g"))
     found = written(found.join(again, "g"))
     contexts = written(
         found.groupBy("g", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at", "lo", "hi")).alias("x"))
@@ -292,7 +295,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, group_limit: int = 4000)
     )
     shipped = (
         held.where("xs IS NOT NULL")
-        .select("key", F.explode(F.arrays_zip("xs", F.arrow_udf(_slices, "array<binary>")("text", F.col("xs").cast("array<struct<g:bigint,c:bigint,n:bigint,m:bigint,at:int,lo:int,hi:int,end:int>>")).alias("bytes"))).alias("z"))
+        .select("key", F.explode(F.arrays_zip("xs", F.arrow_udf(_slices, "array<binary>").asNondeterministic()("text", F.col("xs").cast("array<struct<g:bigint,c:bigint,n:bigint,m:bigint,at:int,lo:int,hi:int,end:int>>")).alias("bytes"))).alias("z"))
         .select("key", "z.xs.*", "z.bytes")
     )
     shipped = written(shipped.select("key", "g", "c", "n", "m", "at", "lo", "hi", "bytes"))
@@ -302,7 +305,7 @@ def repeated_spans(texts: DataFrame, length: int = 400, group_limit: int = 4000)
     )
     hashed = shipped.where(F.col("m") > group_limit).select(
         "key", "g", "n", "lo", (F.col("at") - F.col("lo")).alias("r"),
-        F.posexplode(F.arrow_udf(_window_hashes, "array<bigint>")("bytes", F.lit(length))).alias("i", "h"),
+        F.posexplode(F.arrow_udf(_window_hashes, "array<bigint>").asNondeterministic()("bytes", F.lit(length))).alias("i", "h"),
     ).select("key", "n", (F.col("lo") + F.col("i")).alias("lo"), F.xxhash64("g", F.col("r") - F.col("i")).alias("g"), "h")
     twice = hashed.groupBy("g", "h").agg(F.sum("n").alias("m")).where("m > 1").select("g", "h")
     counted = hashed.where("n = 1").join(twice, ["g", "h"], "left_semi").select("key", "lo", F.col("lo").alias("hi"))
@@ -367,5 +370,5 @@ def cut_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataF
 
     found = remove_repeats(docs, text, length)
     touched = F.when(F.col("n_removed") > 0, F.col(text))
-    found = found.withColumn("_cut", cut(touched, "spans"))
+    found = found.withColumn("_cut", cut.asNondeterministic()(touched, "spans"))
     return found.select(*[F.coalesce("_cut", text).alias(c) if c == text else F.col(c) for c in columns], "n_removed")
