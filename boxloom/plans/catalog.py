@@ -1,6 +1,707 @@
-"""Registered queries: name -> (spark, folder of tables) -> DataFrame, and their SQL."""
+"""Registered queries: name -> (spark, folder of tables) -> DataFrame, and their SQL for DuckDB."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from boxloom.functions import text as T
+from boxloom.operators import boxes as B
+from boxloom.operators import classes as C
+from boxloom.operators import duplicates as D
+from boxloom.operators import evaluate as E
+from boxloom.operators import profile as P
+from boxloom.operators import release as R
+from boxloom.operators import sampling as S
+from boxloom.operators import splits as X
+from boxloom.operators import tracks as K
+from boxloom.sources import adapters as A
+from boxloom.sources.adapters import with_tables
+
 QUERIES: dict = {}
 SQL: dict = {}
+
+#: Stop-alert parameters for the adapter's tracks: one frame is one second.
+STOP_RULES = K.StopRules(stop_speed=3, resume_speed=5, stop_seconds=24, resume_seconds=10, window=48, max_gap=24, fps=1)
+POLYGON = [(100.0, 50.0), (800.0, 80.0), (900.0, 500.0), (300.0, 400.0)]
+HOMOGRAPHY = [0.02, 0.001, 1.5, 0.0005, 0.03, -2.0, 0.0001, 0.0002]
+
+
+def query(sql: str | None = None, *tables: str):
+    """Register a function under its name, with SQL over the domain tables that it names."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = with_tables(sql, *tables) if tables else sql.strip()
+        return f
+
+    return add
+
+
+_VALID = """v AS (SELECT *, list_filter([
+        CASE WHEN xmin < 0 OR ymin < 0 THEN 'NEGATIVE_COORDINATE' END, CASE WHEN xmax <= xmin OR ymax <= ymin THEN 'NON_POSITIVE_SIZE' END,
+        CASE WHEN xmax > width THEN 'X_OUT_OF_BOUNDS' END, CASE WHEN ymax > height THEN 'Y_OUT_OF_BOUNDS' END], lambda x: x IS NOT NULL) AS issues FROM boxes_raw)"""
+A.SQL["v"] = _VALID
+A.SQL["clip"] = """clip AS (SELECT *, greatest(xmin, 0.0) AS cx0, greatest(ymin, 0.0) AS cy0, least(xmax, width::DOUBLE) AS cx1, least(ymax, height::DOUBLE) AS cy1,
+    concat_ws('|', CASE WHEN xmin < 0 THEN 'LEFT_BOUNDARY_CLIPPED' END, CASE WHEN ymin < 0 THEN 'TOP_BOUNDARY_CLIPPED' END,
+        CASE WHEN xmax > width THEN 'RIGHT_BOUNDARY_CLIPPED' END, CASE WHEN ymax > height THEN 'BOTTOM_BOUNDARY_CLIPPED' END) AS clip_adjustments FROM v)"""
+A.SQL["lb"] = """lb AS (SELECT *, (xmax - xmin) * s AS lb_w, (ymax - ymin) * s AS lb_h, (xmax - xmin) * (ymax - ymin) / (width * height) AS area_ratio
+    FROM (SELECT *, least(320.0 / width, 320.0 / height)::DOUBLE AS s FROM clip))"""
+A.SQL["cat"] = """cat AS (SELECT *, CASE WHEN least(lb_w, lb_h) < 4 THEN 'EXTREMELY_TINY' WHEN least(lb_w, lb_h) < 8 THEN 'VERY_SMALL'
+    WHEN least(lb_w, lb_h) < 16 THEN 'SMALL' ELSE 'USABLE' END AS lb_category,
+    CASE WHEN area_ratio < 0.001 THEN 'SMALL' WHEN area_ratio < 0.02 THEN 'MEDIUM' ELSE 'LARGE' END AS size_category FROM lb)"""
+_BOX = ("images", "boxes_raw", "v", "clip", "lb", "cat")
+
+
+# ---- boxes, row by row
+
+
+@query("SELECT image_id, annotation_id, array_to_string(issues, '|') AS issues, len(issues) = 0 AS is_valid FROM v", *_BOX[:3])
+def box_validate(spark, d):
+    return B.box_validate(A.boxes_raw(spark, d)).select("image_id", "annotation_id", F.array_join("issues", "|").alias("issues"), "is_valid")
+
+
+@query("SELECT image_id, annotation_id, unnest(issues) AS issue FROM v", *_BOX[:3])
+def box_issues_long(spark, d):
+    return B.box_issues_long(A.boxes_raw(spark, d)).select("image_id", "annotation_id", "issue")
+
+
+@query("SELECT image_id, annotation_id, cx0, cy0, cx1, cy1, clip_adjustments, clip_adjustments <> '' AS clip_applied, cx1 > cx0 AND cy1 > cy0 AS visible FROM clip", *_BOX[:4])
+def box_clip(spark, d):
+    return B.box_clip(A.boxes_raw(spark, d)).select("image_id", "annotation_id", "cx0", "cy0", "cx1", "cy1", "clip_adjustments", "clip_applied", "visible")
+
+
+@query("""SELECT image_id, annotation_id, area_ratio, size_category,
+    CASE WHEN area_ratio < 0.001 THEN 'FAR' WHEN area_ratio < 0.02 THEN 'MEDIUM' ELSE 'NEAR' END AS distance_proxy FROM cat""", *_BOX)
+def box_geometry(spark, d):
+    return B.box_geometry(A.boxes_raw(spark, d)).select("image_id", "annotation_id", "area_ratio", "size_category", "distance_proxy")
+
+
+@query("SELECT image_id, annotation_id, lb_w, lb_h, lb_w * lb_h AS lb_area, lb_category FROM cat", *_BOX)
+def letterbox_metrics(spark, d):
+    return B.letterbox_metrics(A.boxes_raw(spark, d)).select("image_id", "annotation_id", "lb_w", "lb_h", "lb_area", "lb_category")
+
+
+@query("""SELECT image_id, annotation_id, CASE WHEN s < 25 THEN '<25' WHEN s < 50 THEN '25–49' ELSE '≥50' END AS size_group
+    FROM (SELECT *, least(xmax - xmin, ymax - ymin) * least(640.0::DOUBLE / width, 480.0::DOUBLE / height) AS s FROM boxes_raw)""", *_BOX[:2])
+def device_size_group(spark, d):
+    return B.device_size_group(A.boxes_raw(spark, d)).select("image_id", "annotation_id", "size_group")
+
+
+@query("""SELECT image_id, annotation_id, printf('0 %.8f %.8f %.8f %.8f', (cx0 + cx1) / 2 / width, (cy0 + cy1) / 2 / height, (cx1 - cx0) / width, (cy1 - cy0) / height) AS label_line
+    FROM clip WHERE cx1 > cx0 AND cy1 > cy0""", *_BOX[:4])
+def yolo_normalize(spark, d):
+    return B.yolo_normalize(B.box_clip(A.boxes_raw(spark, d)).where("visible")).select("image_id", "annotation_id", "label_line")
+
+
+@query("""SELECT image_id, annotation_id, round((x - w / 2) * width, 3) AS px0, round((y - h / 2) * height, 3) AS py0, round((x + w / 2) * width, 3) AS px1, round((y + h / 2) * height, 3) AS py1
+    FROM (SELECT *, round((cx0 + cx1) / 2 / width, 8) AS x, round((cy0 + cy1) / 2 / height, 8) AS y, round((cx1 - cx0) / width, 8) AS w, round((cy1 - cy0) / height, 8) AS h FROM clip WHERE cx1 > cx0 AND cy1 > cy0)""", *_BOX[:4])
+def yolo_denormalize(spark, d):
+    lines = B.yolo_normalize(B.box_clip(A.boxes_raw(spark, d)).where("visible"))
+    return B.yolo_denormalize(lines).select("image_id", "annotation_id", *[F.round(c, 3).alias(c) for c in ("px0", "py0", "px1", "py1")])
+
+
+@query("""SELECT image_id, annotation_id, mapped_class, CASE WHEN include THEN 'KEEP' WHEN handling = 'IGNORE_REGION' THEN 'IGNORE_REGION' ELSE 'REJECT' END AS action,
+    CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' ELSE 'CONSISTENT' END AS mapping_status FROM boxes_raw LEFT JOIN class_rules USING (dataset, original_class)""", "images", "boxes_raw", "class_rules")
+def apply_class_rules(spark, d):
+    return C.apply_class_rules(A.boxes_raw(spark, d), A.class_rules(spark)).select("image_id", "annotation_id", "mapped_class", "action", "mapping_status")
+
+
+@query("""SELECT image_id, annotation_id, EXISTS (SELECT 1 FROM regions r WHERE r.sequence_id = b.sequence_id AND (xmin + xmax) / 2 BETWEEN "left" AND "right"
+    AND (ymin + ymax) / 2 BETWEEN top AND bottom) AS ignored FROM boxes_raw b""", "images", "boxes_raw", "regions")
+def regions_contain(spark, d):
+    return B.split_by_regions(A.boxes_raw(spark, d), A.regions(spark, d)).select("image_id", "annotation_id", "ignored")
+
+
+@query("""WITH RECURSIVE p(k, x1, y1, x2, y2) AS (VALUES (0, 100.0, 50.0, 800.0, 80.0), (1, 800.0, 80.0, 900.0, 500.0), (2, 900.0, 500.0, 300.0, 400.0), (3, 300.0, 400.0, 100.0, 50.0)),
+    f AS (SELECT o_orderkey AS image_id, l_linenumber, l_partkey, l_suppkey, CAST(l_partkey % 1000 AS DOUBLE) AS x, CAST(l_suppkey * 6 - 12 AS DOUBLE) AS y FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    SELECT image_id, l_linenumber, l_partkey, l_suppkey, bool_or(abs((x - x1) * (y2 - y1) - (y - y1) * (x2 - x1)) <= 1e-9 AND x BETWEEN least(x1, x2) - 1e-9 AND greatest(x1, x2) + 1e-9
+        AND y BETWEEN least(y1, y2) - 1e-9 AND greatest(y1, y2) + 1e-9)
+        OR count(*) FILTER (WHERE (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1) % 2 = 1 AS inside
+    FROM f, p GROUP BY ALL""")
+def point_in_polygon(spark, d):
+    f = A.table(spark, d, "lineitem").selectExpr("l_orderkey AS image_id", "l_linenumber", "l_partkey", "l_suppkey", "CAST(l_partkey % 1000 AS DOUBLE) AS x", "CAST(l_suppkey * 6 - 12 AS DOUBLE) AS y")
+    return f.select("image_id", "l_linenumber", "l_partkey", "l_suppkey", B.point_in_polygon(F.col("x"), F.col("y"), POLYGON).alias("inside")).distinct()
+
+
+@query("""SELECT image_id, annotation_id, round((0.02 * x + 0.001 * y + 1.5) / w, 6) AS ground_x, round((0.0005 * x + 0.03 * y - 2.0) / w, 6) AS ground_y,
+    round(sqrt(power((0.02 * x + 0.001 * y + 1.5) / w - 1, 2) + power((0.0005 * x + 0.03 * y - 2.0) / w - 2, 2)), 6) AS ground_range
+    FROM (SELECT image_id, annotation_id, x, y, 0.0001 * x + 0.0002 * y + 1 AS w FROM (SELECT image_id, annotation_id, (xmin + xmax) / 2 AS x, ymax AS y FROM boxes_raw))""", *_BOX[:2])
+def ground_project(spark, d):
+    x, y = B.foot_point()
+    gx, gy = B.ground_project(x, y, HOMOGRAPHY)
+    out = A.boxes_raw(spark, d).select("image_id", "annotation_id", gx.alias("gx"), gy.alias("gy"))
+    return out.select("image_id", "annotation_id", F.round("gx", 6).alias("ground_x"), F.round("gy", 6).alias("ground_y"), F.round(B.ground_range(F.col("gx"), F.col("gy"), (1.0, 2.0)), 6).alias("ground_range"))
+
+
+# ---- joins
+
+
+@query("SELECT image_id, annotation_id FROM boxes_raw WHERE NOT (sequence_id = 'SEQ7' AND track_id = 79)", *_BOX[:2])
+def exclude_tracks(spark, d):
+    ex = spark.createDataFrame([("SEQ7", 79)], "sequence_id string, track_id long")
+    return C.exclude_tracks(A.boxes_raw(spark, d), ex)[0].select("image_id", "annotation_id")
+
+
+@query("SELECT image_id FROM images WHERE image_id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')", "images")
+def images_without_boxes(spark, d):
+    return C.without_partner(A.images(spark, d), A.boxes_raw(spark, d).where("original_class LIKE 'A%'"), ["image_id"]).select("image_id")
+
+
+@query("""SELECT annotation_id, image_id FROM boxes_raw WHERE image_id NOT IN (SELECT image_id FROM images WHERE file_group < 5)""", *_BOX[:2])
+def annotations_without_image(spark, d):
+    return C.without_partner(A.boxes_raw(spark, d), A.images(spark, d).where("file_group < 5"), ["image_id"]).select("annotation_id", "image_id")
+
+
+@query("""SELECT image_id, CASE WHEN b IS NULL THEN 'MISSING_LABEL' ELSE 'MISSING_IMAGE' END AS issue FROM
+    (SELECT DISTINCT image_id, 1 AS a FROM images WHERE file_group <> 2) FULL JOIN (SELECT DISTINCT image_id, 1 AS b FROM boxes_raw WHERE original_class = 'NO') USING (image_id) WHERE a IS NULL OR b IS NULL""", *_BOX[:2])
+def pair_check(spark, d):
+    return C.pair_check(A.images(spark, d).where("file_group <> 2"), A.boxes_raw(spark, d).where("original_class = 'NO'"), ["image_id"])
+
+
+@query("""SELECT relative_path, CASE WHEN a IS NULL THEN 'MISSING' WHEN e IS NULL THEN 'UNEXPECTED' WHEN e = a THEN 'MATCH' ELSE 'MODIFIED' END AS state FROM
+    (SELECT 'd/' || doc_id AS relative_path, sha256(text) AS e FROM documents WHERE doc_id % 10 <> 1) FULL JOIN
+    (SELECT 'd/' || doc_id AS relative_path, CASE WHEN doc_id % 10 = 2 THEN 'x' ELSE sha256(text) END AS a FROM documents WHERE doc_id % 10 <> 3) USING (relative_path)""")
+def manifest_diff(spark, d):
+    rows = A.table(spark, d, "documents").select("doc_id", F.concat(F.lit("d/"), "doc_id").alias("relative_path"), F.sha2("text", 256).alias("checksum"))
+    other = rows.where("doc_id % 10 <> 3").withColumn("checksum", F.when(F.col("doc_id") % 10 == 2, "x").otherwise(F.col("checksum")))
+    return C.manifest_diff(rows.where("doc_id % 10 <> 1"), other).select("relative_path", "state")
+
+
+@query("""SELECT image_id, file_group FROM images WHERE file_group < 4 UNION ALL SELECT image_id, 9 FROM images WHERE file_group >= 4""", "images")
+def append_new(spark, d):
+    i = A.images(spark, d).select("image_id", "file_group")
+    return C.append_new(i.where("file_group < 4"), i.where("file_group >= 2").withColumn("file_group", F.lit(9)), "image_id")
+
+
+# ---- profiles
+
+
+_STAT = """SELECT dataset, count(*) AS n_boxes, count(*) FILTER (WHERE len(issues) = 0) AS n_valid, count(*) FILTER (WHERE clip_adjustments <> '') AS n_clipped,
+    count(*) FILTER (WHERE NOT (cx1 > cx0 AND cy1 > cy0)) AS n_invisible, count(*) FILTER (WHERE lb_category = 'EXTREMELY_TINY') AS n_extremely_tiny,
+    count(*) FILTER (WHERE lb_category = 'VERY_SMALL') AS n_very_small, count(*) FILTER (WHERE lb_category = 'SMALL') AS n_small, count(*) FILTER (WHERE lb_category = 'USABLE') AS n_usable,
+    count(*) FILTER (WHERE least(lb_w, lb_h) < 8) / count(*) AS under_8_ratio, avg(lb_w) AS mean_lb_w, avg(lb_h) AS mean_lb_h FROM cat GROUP BY dataset"""
+
+
+@query(_STAT, *_BOX)
+def bbox_statistics(spark, d):
+    return P.bbox_statistics(A.boxes_raw(spark, d))
+
+
+@query("""SELECT i.dataset, count(*) AS n_images, count(DISTINCT i.sequence_id) AS n_sequences, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_boxes, count(*) FILTER (WHERE n IS NULL) AS n_images_without_boxes,
+    CAST(coalesce(sum(bad), 0) AS BIGINT) AS n_invalid, CAST(coalesce(sum(iss), 0) AS BIGINT) AS n_issues, max(k.n_tracks) AS n_tracks, max(k.n_classes) AS n_classes
+    FROM images i LEFT JOIN (SELECT image_id, count(*) AS n, count(*) FILTER (WHERE len(issues) > 0) AS bad, sum(len(issues)) AS iss FROM v GROUP BY 1) USING (image_id)
+    LEFT JOIN (SELECT dataset, count(DISTINCT (sequence_id, track_id)) AS n_tracks, count(DISTINCT original_class) AS n_classes FROM v GROUP BY 1) k ON k.dataset = i.dataset GROUP BY i.dataset""", *_BOX[:3])
+def dataset_inventory(spark, d):
+    return P.dataset_inventory(A.images(spark, d), A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, count(*) AS n_boxes, bool_or(track_id IS NOT NULL) AS has_tracks, bool_or(occluded) AS has_occlusion, bool_or(original_class = 'AF') AS has_af, bool_or(original_class = 'NF') AS has_nf,
+    bool_or(original_class = 'NO') AS has_no, bool_or(original_class = 'RF') AS has_rf, count(*) FILTER (WHERE lb_category = 'EXTREMELY_TINY') / count(*) AS tiny_ratio,
+    count(*) FILTER (WHERE lb_category <> 'USABLE') / count(*) AS small_ratio FROM cat GROUP BY dataset""", *_BOX)
+def dataset_comparison(spark, d):
+    return P.dataset_comparison(A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, original_class, n_boxes, mapped_class, include, handling, CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' ELSE 'CONSISTENT' END AS mapping_status
+    FROM (SELECT dataset, original_class, count(*) AS n_boxes FROM boxes_raw GROUP BY ALL) LEFT JOIN class_rules USING (dataset, original_class)""", "images", "boxes_raw", "class_rules")
+def class_distribution(spark, d):
+    return P.class_distribution(A.boxes_raw(spark, d), A.class_rules(spark))
+
+
+@query("""SELECT dataset, count(*) FILTER (WHERE len(issues) = 0) AS n_valid, count(DISTINCT CASE WHEN len(issues) > 0 THEN (image_id, annotation_id) END) AS n_invalid, CAST(sum(len(issues)) AS BIGINT) AS n_issues,
+    count(*) FILTER (WHERE len(issues) > 0) / count(*) AS invalid_rate FROM v GROUP BY dataset""", *_BOX[:3])
+def annotation_quality(spark, d):
+    return P.annotation_quality(A.boxes_raw(spark, d))
+
+
+@query("SELECT dataset, count(xmax) AS n, min(xmax) AS min_value, avg(xmax) AS mean_value, median(xmax) AS median_value, max(xmax) AS max_value FROM boxes_raw GROUP BY dataset", *_BOX[:2])
+def numeric_summary(spark, d):
+    return P.numeric_summary(A.boxes_raw(spark, d), "xmax", "dataset")
+
+
+@query("""SELECT dataset, n_boxes, count(*) AS n_images FROM (SELECT i.dataset, i.image_id, count(b.image_id) AS n_boxes FROM images i LEFT JOIN boxes_raw b USING (image_id) GROUP BY ALL) GROUP BY ALL""", *_BOX[:2])
+def boxes_per_image(spark, d):
+    return P.boxes_per_image(A.images(spark, d), A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, state, count(*) AS n_boxes FROM (SELECT dataset, unnest([CASE WHEN occluded THEN 'OCCLUDED' ELSE 'NOT_OCCLUDED' END, CASE WHEN truncation_ratio > 0 THEN 'TRUNCATED' ELSE 'NOT_TRUNCATED' END]) AS state
+    FROM boxes_raw) GROUP BY ALL""", *_BOX[:2])
+def occlusion_truncation(spark, d):
+    return P.occlusion_truncation(A.boxes_raw(spark, d))
+
+
+@query("""SELECT CAST(b AS INT) AS bin, e AS bin_start, count(side) AS n_boxes, count(side) FILTER (WHERE side < 25) AS n_under
+    FROM (VALUES (0, 0.0::DOUBLE, 10.0), (1, 10.0, 25.0), (2, 25.0, 50.0), (3, 50.0, 100.0), (4, 100.0, 200.0), (5, 200.0, 320.0), (6, 320.0, 1e18)) t(b, e, u)
+    LEFT JOIN (SELECT greatest(lb_w, lb_h) AS side FROM cat WHERE xmax > xmin AND ymax > ymin) ON side >= e AND side < u GROUP BY ALL""", *_BOX)
+def bbox_size_report(spark, d):
+    return P.bbox_size_report(A.boxes_raw(spark, d), spark)
+
+
+@query("""SELECT dataset, side, count(*) AS n_boxes, count(*) FILTER (WHERE o < 2) AS n_under_2, quantile_cont(o, 0.05) AS p05, quantile_cont(o, 0.5) AS p50, quantile_cont(o, 0.95) AS p95 FROM (
+    SELECT dataset, unnest(['LEFT', 'TOP', 'RIGHT', 'BOTTOM']) AS side, unnest([-xmin, -ymin, xmax - width, ymax - height]) AS o FROM boxes_raw WHERE xmax > xmin AND ymax > ymin) WHERE o > 0 GROUP BY ALL""", *_BOX[:2])
+def clip_audit(spark, d):
+    return P.clip_audit(A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, CASE WHEN k <= 0 THEN 'FULLY_OUTSIDE' WHEN k >= 0.9 THEN 'MINOR' WHEN k >= 0.5 THEN 'MODERATE' ELSE 'SEVERE' END AS severity, count(*) AS n_boxes, avg(k) AS mean_kept FROM (
+    SELECT dataset, greatest(cx1 - cx0, 0) * greatest(cy1 - cy0, 0) / ((xmax - xmin) * (ymax - ymin)) AS k FROM clip WHERE xmax > xmin AND ymax > ymin AND clip_adjustments <> '') GROUP BY ALL""", *_BOX[:4])
+def clip_severity(spark, d):
+    return P.clip_severity(A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, CAST(sum(n - 1) AS BIGINT) AS n_surplus, count(*) FILTER (WHERE n > 1) AS n_groups FROM (SELECT dataset, count(*) AS n FROM boxes_raw GROUP BY dataset, image_id, original_class, xmin, ymin, xmax, ymax) GROUP BY dataset""", *_BOX[:2])
+def duplicate_box_rows(spark, d):
+    return P.duplicate_box_rows(A.boxes_raw(spark, d))
+
+
+A.SQL["ext"] = """ext AS (SELECT dataset, sequence_id, track_id, min(frame_id) AS first_frame, max(frame_id) AS last_frame, count(*) AS n_boxes, min((xmin + xmax) / 2) AS min_x, max((xmin + xmax) / 2) AS max_x,
+    min((ymin + ymax) / 2) AS min_y, max((ymin + ymax) / 2) AS max_y, max(width) AS width, max(height) AS height FROM boxes_raw WHERE xmax > xmin AND ymax > ymin GROUP BY ALL)"""
+
+
+@query("SELECT * FROM ext", "images", "boxes_raw", "ext")
+def track_extents(spark, d):
+    return P.track_extents(A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, sequence_id, track_id, round(s, 9) AS extent_share, CASE WHEN s < 0.4 THEN 'HIGH' ELSE 'MEDIUM' END AS confidence FROM (
+    SELECT *, sqrt(power(max_x - min_x, 2) + power(max_y - min_y, 2)) / sqrt(960.0 * 960 + 540.0 * 540) AS s FROM ext WHERE n_boxes >= 2) WHERE s < 0.8""", "images", "boxes_raw", "ext")
+def stationary_candidates(spark, d):
+    found = P.stationary_candidates(P.track_extents(A.boxes_raw(spark, d)), least_boxes=2, high=0.4, medium=0.8)
+    return found.select("dataset", "sequence_id", "track_id", F.round("extent_share", 9).alias("extent_share"), "confidence")
+
+
+@query("""SELECT dataset, sequence_id, track_id, CAST(count(*) FILTER (WHERE n > 1) AS BIGINT) AS n_repeated_frames, min(lo) <> max(hi) AS class_changes FROM (
+    SELECT dataset, sequence_id, track_id, frame_id, count(*) AS n, min(original_class) AS lo, max(original_class) AS hi FROM boxes_raw GROUP BY ALL) GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE n > 1) > 0 OR min(lo) <> max(hi)""".replace("GROUP BY ALL) GROUP BY", "GROUP BY 1, 2, 3, 4) GROUP BY"), *_BOX[:2])
+def track_consistency(spark, d):
+    return P.track_consistency(A.boxes_raw(spark, d))
+
+
+@query("""SELECT count(*) AS n_raw, count(*) FILTER (WHERE k AND g) AS n_included, count(*) FILTER (WHERE NOT k) AS n_excluded, count(*) FILTER (WHERE k AND NOT g) AS n_invalid, true AS conserved
+    FROM (SELECT coalesce(include, false) AS k, len(issues) = 0 AS g FROM v LEFT JOIN class_rules USING (dataset, original_class))""", "images", "boxes_raw", "v", "class_rules")
+def conservation_check(spark, d):
+    return P.conservation_check(B.box_validate(C.apply_class_rules(A.boxes_raw(spark, d), A.class_rules(spark))))
+
+
+@query("""SELECT dimension, value, count(*) AS n_sequences FROM (UNPIVOT sequences ON road_type, lighting, weather, camera_view INTO NAME dimension VALUE value) GROUP BY ALL""", "images", "sequences")
+def condition_distribution(spark, d):
+    return P.condition_distribution(A.sequences(spark, d))
+
+
+@query("""SELECT dataset, sequence_id, n_images, coalesce(n_boxes, 0) AS n_boxes, coalesce(n_boxes, 0) / n_images AS mean_boxes,
+    CASE WHEN coalesce(n_boxes, 0) / n_images <= 4 THEN 'LOW' WHEN coalesce(n_boxes, 0) / n_images <= 10 THEN 'MEDIUM' ELSE 'HIGH' END AS density
+    FROM (SELECT dataset, sequence_id, count(*) AS n_images FROM images GROUP BY ALL) LEFT JOIN (SELECT dataset, sequence_id, count(*) AS n_boxes FROM boxes_raw GROUP BY ALL) USING (dataset, sequence_id)""", *_BOX[:2])
+def traffic_density(spark, d):
+    return P.traffic_density(A.images(spark, d), A.boxes_raw(spark, d))
+
+
+@query("""SELECT dataset, r AS invalid_rate, u AS n_unmapped, CASE WHEN r > 0.4 THEN 'BLOCKED' WHEN u > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS gate FROM (
+    SELECT dataset, count(*) FILTER (WHERE len(issues) > 0) / count(*) AS r, count(*) FILTER (WHERE mapped_class IS NULL) AS u FROM v LEFT JOIN class_rules USING (dataset, original_class) GROUP BY dataset)""", "images", "boxes_raw", "v", "class_rules")
+def quality_gate(spark, d):
+    return P.quality_gate(A.boxes_raw(spark, d), A.class_rules(spark))
+
+
+@query("""SELECT dataset, issue, count(*) AS n, CASE WHEN issue = 'NON_POSITIVE_SIZE' THEN 'HIGH' ELSE 'MEDIUM' END AS severity, printf('QREV_%04d', row_number() OVER (ORDER BY dataset, issue)) AS queue_id
+    FROM (SELECT dataset, unnest(issues) AS issue FROM v) GROUP BY dataset, issue""", *_BOX[:3])
+def quality_review_queue(spark, d):
+    return P.quality_review_queue(A.boxes_raw(spark, d))
+
+
+@query("""SELECT original_class, CAST(sum(n) AS BIGINT) AS n_samples, coalesce(string_agg(DISTINCT mapped_class, '|' ORDER BY mapped_class), '') AS mappings,
+    CASE WHEN count(DISTINCT coalesce(mapped_class, '?')) > 1 THEN 'INCONSISTENT' ELSE 'CONSISTENT' END AS status
+    FROM (SELECT dataset, original_class, count(*) AS n FROM boxes_raw GROUP BY ALL) LEFT JOIN class_rules USING (dataset, original_class) GROUP BY original_class""", "images", "boxes_raw", "class_rules")
+def label_consistency(spark, d):
+    return P.label_consistency(A.boxes_raw(spark, d), A.class_rules(spark))
+
+
+# ---- splits and scenes
+
+
+A.SQL["sp"] = """sp AS (SELECT *, CASE WHEN dataset = 'DS0' THEN 'train' WHEN sequence_id IN ('SEQ3', 'SEQ11') THEN 'cross_test' WHEN h < 0.8 THEN 'train' WHEN h < 0.9 THEN 'validation' ELSE 'cross_test' END AS split,
+    CASE WHEN dataset = 'DS0' THEN 'DATASET_OVERRIDE' WHEN sequence_id IN ('SEQ3', 'SEQ11') THEN 'FIXED_CROSS_TEST' ELSE 'HASH' END AS split_reason, dataset <> 'DS0' AS evaluation_eligible
+    FROM (SELECT *, CAST('0x' || substr(sha256(dataset || ':' || sequence_id), 1, 8) AS BIGINT) / 4294967295 AS h FROM sequences))"""
+_SP = ("images", "sequences", "sp")
+
+
+def _assigned(spark, d):
+    over = spark.createDataFrame([("DS0", "train")], "dataset string, override string")
+    seq = A.sequences(spark, d)
+    fixed = seq.where("sequence_id IN ('SEQ3', 'SEQ11')").select("dataset", "sequence_id")
+    return X.assign_split(seq, over, fixed)
+
+
+@query("SELECT o_orderkey, CASE WHEN h / 4294967295 < 0.8 THEN 'train' WHEN h / 4294967295 < 0.9 THEN 'validation' ELSE 'cross_test' END AS split, CASE WHEN h % 100 < 70 THEN 'train' WHEN h % 100 < 85 THEN 'validation' ELSE 'test' END AS split_mod FROM (SELECT o_orderkey, CAST('0x' || substr(sha256('k' || o_orderkey), 1, 8) AS BIGINT) AS h FROM orders)")
+def hash_split(spark, d):
+    key = F.concat(F.lit("k"), F.col("o_orderkey").cast("string"))
+    return A.table(spark, d, "orders").select("o_orderkey", X.hash_split(key).alias("split"), X.hash_split_mod(key).alias("split_mod"))
+
+
+@query("SELECT dataset, sequence_id, split, split_reason, evaluation_eligible FROM sp", *_SP)
+def assign_split(spark, d):
+    return _assigned(spark, d).select("dataset", "sequence_id", "split", "split_reason", "evaluation_eligible")
+
+
+@query("""SELECT dataset, split, n_sequences, n_images, n_sequences / sum(n_sequences) OVER (PARTITION BY dataset) AS sequence_share FROM (
+    SELECT dataset, split, count(DISTINCT sequence_id) AS n_sequences, count(DISTINCT image_id) AS n_images FROM images JOIN sp USING (dataset, sequence_id) GROUP BY ALL)""", *_SP)
+def split_distribution(spark, d):
+    return X.split_distribution(C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split")))
+
+
+@query("""SELECT sequence_id, string_agg(DISTINCT split, '|' ORDER BY split) AS splits FROM sp GROUP BY sequence_id HAVING count(DISTINCT split) > 1""", *_SP)
+def sequence_leakage(spark, d):
+    return X.sequence_leakage(_assigned(spark, d), "sequence_id")
+
+
+@query("""SELECT file_group, string_agg(DISTINCT split, '|' ORDER BY split) AS splits FROM images JOIN sp USING (dataset, sequence_id) GROUP BY file_group HAVING count(DISTINCT split) > 1""", *_SP)
+def source_file_leakage(spark, d):
+    rows = C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split"))
+    return X.sequence_leakage(rows, "file_group")
+
+
+@query("SELECT sequence_id FROM sp WHERE split = 'train' INTERSECT SELECT sequence_id FROM sp WHERE split = 'cross_test'", *_SP)
+def split_key_intersect(spark, d):
+    a = _assigned(spark, d)
+    return X.split_key_intersect(a.where("split = 'train'"), a.where("split = 'cross_test'"), "sequence_id")
+
+
+@query("SELECT DISTINCT road_type, lighting, dataset FROM sequences EXCEPT SELECT road_type, lighting, dataset FROM sp WHERE split = 'validation'", *_SP)
+def missing_coverage(spark, d):
+    on = ["road_type", "lighting", "dataset"]
+    return X.missing_coverage(A.sequences(spark, d).select(*on).distinct(), _assigned(spark, d).where("split = 'validation'").select(*on))
+
+
+@query("""SELECT 'sequence_in_one_split' AS check_name, 0::BIGINT AS n_offenders, 'PASS' AS status UNION ALL SELECT 'split_is_known', 0, 'PASS' UNION ALL SELECT 'sequence_listed_once', 0, 'PASS' UNION ALL SELECT 'scene_is_present', 0, 'PASS'
+    UNION ALL SELECT 'road_types_in_test', n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) AS n FROM (SELECT DISTINCT road_type FROM sequences EXCEPT SELECT road_type FROM sp WHERE split = 'cross_test'))
+    UNION ALL SELECT 'lightings_in_test', n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) AS n FROM (SELECT DISTINCT lighting FROM sequences EXCEPT SELECT lighting FROM sp WHERE split = 'cross_test'))""", *_SP)
+def split_audit(spark, d):
+    return X.split_audit(_assigned(spark, d).select("dataset", "sequence_id", "split"), A.sequences(spark, d))
+
+
+@query("""SELECT road_type, lighting, n_test, coalesce(n_train, 0) AS n_train FROM (SELECT road_type, lighting, count(*) AS n_test FROM sp WHERE split <> 'train' GROUP BY ALL)
+    LEFT JOIN (SELECT road_type, lighting, count(*) AS n_train FROM sp WHERE split = 'train' GROUP BY ALL) USING (road_type, lighting) WHERE coalesce(n_train, 0) < 10""", *_SP)
+def coverage_violations(spark, d):
+    return X.coverage_violations(_assigned(spark, d), 10)
+
+
+@query("SELECT split, dataset, road_type, count(*) AS n_sequences FROM sp GROUP BY ALL", *_SP)
+def road_type_distribution(spark, d):
+    return X.scene_distribution(_assigned(spark, d), ("road_type",)).withColumnRenamed("value", "road_type").drop("dimension")
+
+
+@query("SELECT split, dataset, dimension, value, count(*) AS n_sequences FROM (UNPIVOT sp ON road_type, lighting, weather, camera_view INTO NAME dimension VALUE value) GROUP BY ALL", *_SP)
+def scene_distribution(spark, d):
+    return X.scene_distribution(_assigned(spark, d))
+
+
+@query("""SELECT dimension, value, original_class, size_category, n_boxes, n_boxes / sum(n_boxes) OVER (PARTITION BY dimension, value) AS share FROM (
+    SELECT dimension, value, original_class, size_category, count(*) AS n_boxes FROM cat JOIN (UNPIVOT sequences ON road_type, lighting, weather, camera_view INTO NAME dimension VALUE value) USING (dataset, sequence_id) GROUP BY ALL)""", *_BOX, "sequences")
+def scene_slices(spark, d):
+    return X.scene_slices(A.boxes_raw(spark, d), A.sequences(spark, d))
+
+
+@query("""SELECT dataset, sequence_id, n_images, n_boxes, n_usable, n_hard, n_hard / n_boxes AS hard_ratio FROM (SELECT dataset, sequence_id, count(*) AS n_images FROM images GROUP BY ALL) LEFT JOIN (
+    SELECT dataset, sequence_id, count(*) AS n_boxes, count(*) FILTER (WHERE lb_category = 'USABLE') AS n_usable, count(*) FILTER (WHERE occluded OR lb_category IN ('EXTREMELY_TINY', 'VERY_SMALL')) AS n_hard FROM cat GROUP BY ALL) USING (dataset, sequence_id)""", *_BOX)
+def sequence_statistics(spark, d):
+    return X.sequence_statistics(A.images(spark, d), A.boxes_raw(spark, d))
+
+
+@query("""SELECT s.split, r.road_type, l.lighting, count(x.split) AS n FROM (SELECT DISTINCT CASE split WHEN 'cross_test' THEN 'test' ELSE split END AS split FROM sp UNION SELECT 'overall') s,
+    (SELECT DISTINCT road_type FROM sp) r, (SELECT DISTINCT lighting FROM sp) l LEFT JOIN (SELECT *, CASE split WHEN 'cross_test' THEN 'test' ELSE split END AS g FROM sp) x
+    ON (s.split = 'overall' OR x.g = s.split) AND x.road_type = r.road_type AND x.lighting = l.lighting GROUP BY ALL""", *_SP)
+def heatmap(spark, d):
+    return X.heatmap(_assigned(spark, d))
+
+
+@query("""SELECT dataset, sequence_id, CASE WHEN sequence_id IN ('SEQ1', 'SEQ2') THEN 'validation' ELSE split END AS split FROM sp""", *_SP)
+def apply_split_moves(spark, d):
+    a = _assigned(spark, d).select("dataset", "sequence_id", "split")
+    moves = a.where("sequence_id IN ('SEQ1', 'SEQ2')").select("dataset", "sequence_id", F.lit("validation").alias("new_split"))
+    return C.apply_split_moves(a, moves)
+
+
+@query("""SELECT image_id, coalesce(road_type, 'UNKNOWN') AS road_type, CASE WHEN road_type IS NULL THEN 'MISSING_METADATA' ELSE 'PRESENT' END AS scene_status
+    FROM images LEFT JOIN (SELECT * FROM sequences WHERE lighting <> 'NIGHT') USING (dataset, sequence_id)""", "images", "sequences")
+def join_scene(spark, d):
+    return C.join_scene(A.images(spark, d), A.sequences(spark, d).where("lighting <> 'NIGHT'")).select("image_id", "road_type", "scene_status")
+
+
+@query("""SELECT coalesce(split, 'ALL') AS split, coalesce(dataset, 'ALL') AS dataset, coalesce(original_class, 'ALL') AS original_class, count(*) AS n_boxes FROM boxes_raw JOIN sp USING (dataset, sequence_id) GROUP BY ROLLUP (split, dataset, original_class)""", "images", "boxes_raw", "sequences", "sp")
+def box_by_split_source_class(spark, d):
+    rows = C.join_split(A.boxes_raw(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split"))
+    return P.box_by_split_source_class(rows).drop("level").na.fill("ALL")
+
+
+# ---- duplicates
+
+
+@query("SELECT file_id, sha256, group_size, file_id = f AS keep FROM (SELECT *, count(*) OVER (PARTITION BY sha256) AS group_size, min(file_id) OVER (PARTITION BY sha256) AS f FROM fingerprints) WHERE group_size > 1", "fingerprints")
+def duplicate_groups(spark, d):
+    return D.duplicate_groups(A.fingerprints(spark, d)).select("file_id", "sha256", "group_size", "keep")
+
+
+@query("SELECT doc_id, content_sha, group_size, doc_id = f AS keep FROM (SELECT doc_id, sha256(text) AS content_sha, count(*) OVER (PARTITION BY sha256(text)) AS group_size, min(doc_id) OVER (PARTITION BY sha256(text)) AS f FROM documents WHERE text IS NOT NULL) WHERE group_size > 1")
+def duplicate_content(spark, d):
+    docs = A.table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_sha"))
+    return D.duplicate_groups(docs, "content_sha", "doc_id")
+
+
+@query("SELECT sha256, count(*) AS n_files, string_agg(DISTINCT split, '|' ORDER BY split) AS splits FROM fingerprints WHERE split IS NOT NULL GROUP BY sha256 HAVING count(DISTINCT split) > 1", "fingerprints")
+def content_cross_split(spark, d):
+    return D.content_cross_split(A.fingerprints(spark, d))
+
+
+@query("""SELECT dataset, sequence_id, previous_file, source_file, round(1 - bit_count(xor(phash, p)) / 64, 6) AS similarity FROM (
+    SELECT *, lag(source_file) OVER w AS previous_file, lag(phash) OVER w AS p, lag(sha256) OVER w AS s FROM fingerprints WINDOW w AS (PARTITION BY dataset, sequence_id ORDER BY source_file))
+    WHERE round(1 - bit_count(xor(phash, p)) / 64, 6) >= 0.6 AND sha256 <> s""", "fingerprints")
+def near_duplicate_consecutive(spark, d):
+    return D.near_duplicate_consecutive(A.fingerprints(spark, d), least=0.6)
+
+
+@query("""SELECT a.file_id AS file_a, b.file_id AS file_b, CAST(bit_count(xor(a.phash, b.phash)) AS INT) AS distance, round(1 - bit_count(xor(a.phash, b.phash)) / 64, 6) AS similarity FROM fingerprints a JOIN fingerprints b
+    ON a.file_id < b.file_id AND bit_count(xor(a.phash, b.phash)) <= 3 AND a.split <> b.split AND a.sha256 <> b.sha256""", "fingerprints")
+def near_duplicate_cross_split(spark, d):
+    return D.near_duplicate_cross_split(A.fingerprints(spark, d))
+
+
+@query("""WITH f AS (SELECT phash, count(*) AS n FROM (%s) GROUP BY phash) SELECT x.phash AS a, y.phash AS b, CAST(bit_count(xor(x.phash, y.phash)) AS INT) AS distance, x.n AS n_a, y.n AS n_b FROM f x JOIN f y
+    ON x.phash < y.phash AND bit_count(xor(x.phash, y.phash)) <= 8""" % A.SQL["fingerprints"].removeprefix("fingerprints AS (").removesuffix(")"))
+def near_duplicate_pairs(spark, d):
+    return D.near_duplicate_pairs(A.fingerprints(spark, d))
+
+
+# ---- samples
+
+
+@query("SELECT image_id FROM images ORDER BY sha256('s1|' || image_id) LIMIT 500", "images")
+def sample_fixed(spark, d):
+    return S.sample_fixed(A.images(spark, d), 500, "s1", "image_id").select("image_id")
+
+
+@query("""SELECT image_id, picked FROM (SELECT image_id, 'FIRST_FRAME' AS picked FROM images QUALIFY row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) = 1) UNION ALL
+    (SELECT image_id, 'FILL' FROM (SELECT *, row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) AS rn FROM images) WHERE rn > 1 ORDER BY sha256('s2|' || image_id)
+        LIMIT (SELECT greatest(0, 400 - count(DISTINCT (dataset, sequence_id))) FROM images))""", "images")
+def sample_cover(spark, d):
+    return S.sample_cover(A.images(spark, d), 400, "s2").select("image_id", "picked")
+
+
+@query("""SELECT image_id, split, dataset FROM images JOIN sp USING (dataset, sequence_id) QUALIFY row_number() OVER (PARTITION BY split, dataset ORDER BY sha256('s3|' || image_id)) <= 5""", *_SP)
+def sample_quota(spark, d):
+    rows = C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split"))
+    targets = rows.select("split", "dataset").distinct().withColumn("target", F.lit(5))
+    return S.sample_quota(rows, targets, "s3").select("image_id", "split", "dataset")
+
+
+@query("SELECT image_id, row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) AS turn FROM images", "images")
+def round_robin(spark, d):
+    return S.round_robin(A.images(spark, d), "dataset", "sequence_id").select("image_id", "turn")
+
+
+@query("""SELECT image_id, turn, row_number() OVER (PARTITION BY road_type, weather, lighting ORDER BY sequence_id, image_id) AS stratum_turn FROM (
+    SELECT image_id, dataset, sequence_id, 1 AS turn FROM images) JOIN sequences USING (dataset, sequence_id)""", "images", "sequences")
+def stratified_round_robin(spark, d):
+    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"]).withColumn("one", F.lit(1))
+    out = S.round_robin(rows, "road_type", "weather", "lighting", order=("sequence_id", "image_id")).withColumnRenamed("turn", "stratum_turn")
+    return out.select("image_id", F.col("one").alias("turn"), "stratum_turn")
+
+
+@query("""SELECT dataset, image_id, position FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY turn, sequence_id, image_id) AS position FROM (
+    SELECT *, row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) AS turn FROM images)) WHERE position <= 60""", "images")
+def subset_plan(spark, d):
+    alloc = spark.createDataFrame([(f"DS{k}", 60) for k in range(3)], "dataset string, target int")
+    return S.subset_plan(A.images(spark, d), alloc)[0].select("dataset", "image_id", "position")
+
+
+@query("""SELECT sequence_id, image_id FROM images QUALIFY row_number() OVER (PARTITION BY sequence_id ORDER BY file_group < 3, image_id) = 1""", "images")
+def first_candidate_per_source(spark, d):
+    rows = A.images(spark, d).withColumn("mapped", F.when(F.col("file_group") >= 3, "yes"))
+    return S.first_candidate_per_source(rows, "sequence_id", "mapped", "image_id").select("sequence_id", "image_id")
+
+
+@query("""SELECT weather, camera_view, image_id, queue_position FROM (SELECT *, row_number() OVER (PARTITION BY weather, camera_view ORDER BY CASE WHEN r <= 1 THEN 0 WHEN r <= 2 THEN 1 WHEN r <= 3 THEN 2 ELSE 3 END, h) AS queue_position FROM (
+    SELECT *, sha256('s4|' || image_id) AS h, row_number() OVER (PARTITION BY weather, camera_view, sequence_id ORDER BY sha256('s4|' || image_id)) AS r FROM images JOIN sequences USING (dataset, sequence_id)) WHERE r <= 5) WHERE queue_position <= 20""", "images", "sequences")
+def review_queue_stratified(spark, d):
+    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"])
+    return S.review_queue(rows, 20, "s4", "weather", "camera_view").select("weather", "camera_view", "image_id", "queue_position")
+
+
+@query("""SELECT dataset, image_id, annotation_id, rn FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY image_id, annotation_id) AS rn FROM clip WHERE clip_adjustments <> '') WHERE rn <= 100""", *_BOX[:4])
+def cap_examples(spark, d):
+    rows = B.box_clip(A.boxes_raw(spark, d)).where("clip_applied")
+    return S.cap_examples(rows, 100, "image_id", "annotation_id").select("dataset", "image_id", "annotation_id", "rn")
+
+
+# ---- release
+
+
+A.SQL["ex"] = """ex AS (SELECT *, CASE WHEN reason IS NULL THEN 'EXPORTED' WHEN reason = 'IGNORE_REGION' THEN 'IGNORED' ELSE 'REJECTED' END AS outcome FROM (
+    SELECT * EXCLUDE (reason), CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY reason IS NULL, image_id, line ORDER BY annotation_id) > 1 THEN 'DUPLICATE_BOX' ELSE reason END AS reason FROM (
+        SELECT *, printf('0 %.8f %.8f %.8f %.8f', (cx0 + cx1) / 2 / width, (cy0 + cy1) / 2 / height, (cx1 - cx0) / width, (cy1 - cy0) / height) AS line,
+            CASE WHEN NOT coalesce(include, false) AND handling = 'IGNORE_REGION' THEN 'IGNORE_REGION' WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' WHEN NOT include THEN 'CLASS_EXCLUDED'
+                WHEN sequence_id = 'SEQ7' AND track_id = 79 THEN 'TRACK_EXCLUDED' WHEN list_contains(issues, 'NON_POSITIVE_SIZE') THEN 'NON_POSITIVE_SIZE' WHEN NOT (cx1 > cx0 AND cy1 > cy0) THEN 'NOT_VISIBLE_AFTER_CLIP' END AS reason
+        FROM clip LEFT JOIN class_rules USING (dataset, original_class))))"""
+_EX = ("images", "boxes_raw", "v", "clip", "class_rules", "ex")
+
+
+def _exported(spark, d):
+    excluded = spark.createDataFrame([("SEQ7", 79)], "sequence_id string, track_id long")
+    return R.export_boxes(A.boxes_raw(spark, d), A.class_rules(spark), excluded)
+
+
+@query("SELECT image_id, annotation_id, outcome, reason, CASE WHEN outcome = 'EXPORTED' THEN line END AS label_line FROM ex", *_EX)
+def export_boxes(spark, d):
+    return _exported(spark, d).select("image_id", "annotation_id", "outcome", "reason", F.when(F.col("outcome") == "EXPORTED", F.col("label_line")).alias("label_line"))
+
+
+@query("SELECT dataset, outcome, reason, count(*) AS n_boxes FROM ex GROUP BY ALL", *_EX)
+def export_summary(spark, d):
+    return R.export_summary(_exported(spark, d))
+
+
+@query("SELECT dataset, count(*) AS n_input, count(*) FILTER (WHERE outcome = 'EXPORTED') AS n_exported, count(*) FILTER (WHERE outcome = 'REJECTED') AS n_rejected, count(*) FILTER (WHERE outcome = 'IGNORED') AS n_ignored, true AS reconciled FROM ex GROUP BY dataset", *_EX)
+def reconcile(spark, d):
+    return R.reconcile(_exported(spark, d))
+
+
+@query("""SELECT i.dataset, i.image_id, count(line) AS n_lines, coalesce(string_agg(line, chr(10) ORDER BY line), '') AS label_text FROM images i LEFT JOIN (SELECT image_id, line FROM ex WHERE outcome = 'EXPORTED') USING (image_id) GROUP BY ALL""", *_EX)
+def label_files(spark, d):
+    return R.label_files(A.images(spark, d), _exported(spark, d))
+
+
+@query("""SELECT image_id, coalesce(a, 0) AS n_actual, coalesce(m, 0) AS n_manifest FROM (SELECT image_id, count(*) AS a FROM ex WHERE outcome = 'EXPORTED' AND annotation_id NOT LIKE '1:%' GROUP BY 1) FULL JOIN
+    (SELECT image_id, count(*) AS m FROM ex WHERE outcome = 'EXPORTED' GROUP BY 1) USING (image_id) WHERE coalesce(a, 0) <> coalesce(m, 0)""", *_EX)
+def box_count_mismatch(spark, d):
+    e = _exported(spark, d).where("outcome = 'EXPORTED'")
+    return R.box_count_mismatch(e.where("annotation_id NOT LIKE '1:%'"), R.label_files(A.images(spark, d), e))
+
+
+@query("""SELECT check_name, 0::BIGINT AS n_errors, 'PASS' AS status FROM (VALUES ('box_count_mismatch'), ('label_line_error'), ('image_not_in_manifest'), ('manifest_without_image'), ('negative_with_box')) t(check_name)""")
+def release_qc(spark, d):
+    i, e = A.images(spark, d), _exported(spark, d)
+    return R.release_qc(i, e, R.label_files(i, e))
+
+
+@query("""SELECT dataset, coalesce(n_actual, 0) AS n_actual, coalesce(n_expected, 0) AS n_expected, CASE WHEN coalesce(n_actual, 0) = coalesce(n_expected, 0) THEN 'PASS' ELSE 'FAIL' END AS status FROM
+    (SELECT dataset, count(*) AS n_actual FROM images GROUP BY dataset) FULL JOIN (SELECT * FROM (VALUES ('DS0', 5000::BIGINT), ('DS1', 10), ('DS9', 0)) t(dataset, n_expected)) USING (dataset)""", "images")
+def release_contract(spark, d):
+    expected = spark.createDataFrame([("DS0", 5000), ("DS1", 10), ("DS9", 0)], "dataset string, n long")
+    return R.release_contract(A.images(spark, d).groupBy("dataset").agg(F.count(F.lit(1)).alias("n")), expected, ["dataset"])
+
+
+# ---- scoring
+
+
+@query("""SELECT p.image_id, pred_no, annotation_id, i / (a + b - i) AS iou FROM (SELECT p.image_id, pred_no, annotation_id, (least(p.xmax, l.xmax) - greatest(p.xmin, l.xmin)) * (least(p.ymax, l.ymax) - greatest(p.ymin, l.ymin)) AS i,
+    (p.xmax - p.xmin) * (p.ymax - p.ymin) AS a, (l.xmax - l.xmin) * (l.ymax - l.ymin) AS b FROM predictions p JOIN labels_ l ON p.image_id = l.image_id AND p.xmin < l.xmax AND l.xmin < p.xmax AND p.ymin < l.ymax AND l.ymin < p.ymax) p""", "images", "boxes_raw", "predictions", "labels_")
+def iou_candidates(spark, d):
+    return E.iou_candidates(A.predictions(spark, d), A.labels(spark, d)).select("image_id", "pred_no", "annotation_id", "iou")
+
+
+def _scored(spark, d, thresholds=E.THRESHOLDS):
+    p, t = A.predictions(spark, d), A.labels(spark, d)
+    return p, t, E.match_predictions(E.iou_candidates(p, t), thresholds)
+
+
+@query()
+def match_predictions(spark, d):
+    return _scored(spark, d, (0.5,))[2]
+
+
+@query()
+def average_precision(spark, d):
+    return E.average_precision(*_scored(spark, d), "dataset")
+
+
+@query()
+def map50_95(spark, d):
+    return E.map50_95(E.average_precision(*_scored(spark, d), "dataset"), "dataset")
+
+
+@query()
+def recall_by_size(spark, d):
+    _, t, m = _scored(spark, d, (0.5,))
+    sized = B.device_size_group(t.withColumn("width", F.lit(960)).withColumn("height", F.lit(540)))
+    return E.recall_by(sized, m, "dataset", "size_group")
+
+
+@query()
+def image_diagnostics(spark, d):
+    return E.image_diagnostics(*_scored(spark, d, (0.5,)))
+
+
+@query()
+def top_k_images(spark, d):
+    return E.top_k_images(E.image_diagnostics(*_scored(spark, d, (0.5,))))
+
+
+@query()
+def condition_metrics(spark, d):
+    s = A.sequences(spark, d)
+    on = ["dataset", "sequence_id"]
+    p, t, m = _scored(spark, d, (0.5,))
+    p, t = E.condition_rows(p.join(s, on)), E.condition_rows(t.join(s, on))
+    return E.condition_metrics(E.average_precision(p, t, m, "condition"), E.condition_rows(A.images(spark, d).join(s, on)))
+
+
+@query("""SELECT *, n_both / n_night AS share_of_night, n_both / n_rain AS share_of_rain FROM (SELECT count(*) FILTER (WHERE lighting = 'NIGHT') AS n_night, count(*) FILTER (WHERE weather LIKE '%RAIN%') AS n_rain,
+    count(*) FILTER (WHERE lighting = 'NIGHT' AND weather LIKE '%RAIN%') AS n_both FROM images JOIN sequences USING (dataset, sequence_id))""", "images", "sequences")
+def condition_overlap(spark, d):
+    return E.condition_overlap(A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"]))
+
+
+@query("""SELECT dataset, count(*) AS n_raw, count(*) FILTER (WHERE g) AS n_ignored, count(*) FILTER (WHERE NOT g) AS n_eligible FROM (SELECT p.dataset, (xmin + xmax) / 2 BETWEEN "left" AND "right" AND (ymin + ymax) / 2 BETWEEN top AND bottom AS g
+    FROM predictions p JOIN regions USING (sequence_id)) GROUP BY dataset""", "images", "boxes_raw", "predictions", "regions")
+def prediction_counts(spark, d):
+    return E.prediction_counts(A.predictions(spark, d), A.regions(spark, d))
+
+
+# ---- tracks
+
+
+A.SQL["seg"] = """seg AS (SELECT * EXCLUDE (c), CAST(sum(c) OVER (PARTITION BY sequence_id, track_id ORDER BY frame_id) AS BIGINT) AS segment FROM (
+    SELECT *, CASE WHEN frame_id - lag(frame_id) OVER (PARTITION BY sequence_id, track_id ORDER BY frame_id) - 1 > 24 THEN 1 ELSE 0 END AS c FROM tracks))"""
+
+
+@query("SELECT sequence_id, track_id, frame_id, segment FROM seg", "tracks", "seg")
+def track_segments(spark, d):
+    return K.track_segments(A.tracks(spark, d), 24).select("sequence_id", "track_id", "frame_id", "segment")
+
+
+@query("""SELECT a.sequence_id, a.track_id, a.frame_id, round(median(3.6 * abs(a.x - b.x) / (a.frame_id - b.frame_id)), 6) AS speed FROM seg a LEFT JOIN seg b ON a.sequence_id = b.sequence_id AND a.track_id = b.track_id AND a.segment = b.segment
+    AND a.frame_id - b.frame_id BETWEEN 24 AND 48 GROUP BY ALL""", "tracks", "seg")
+def track_speed(spark, d):
+    out = K.track_speed(K.track_segments(A.tracks(spark, d), 24), 48)
+    return out.select("sequence_id", "track_id", "frame_id", F.round("speed", 6).alias("speed"))
+
+
+def _alerts(spark, d):
+    return K.number_events(K.stop_alert_batch(A.tracks(spark, d), STOP_RULES))
+
+
+@query()
+def stop_alert_batch(spark, d):
+    return _alerts(spark, d)
+
+
+@query()
+def replay_summary(spark, d):
+    return K.replay_summary(_alerts(spark, d))
+
+
+@query()
+def alert_metrics(spark, d):
+    a = _alerts(spark, d)
+    expected = A.tracks(spark, d).groupBy("sequence_id", "track_id").agg(F.min("frame_id").alias("f")).selectExpr(
+        "sequence_id", "track_id", "concat(sequence_id, ':', track_id) AS event_id", "CAST(f AS DOUBLE) AS expected_start_s", "CAST(f + 200 AS DOUBLE) AS expected_end_s",
+        "if(track_id % 3 = 0, 'APPROVED', 'DRAFT') AS approval_status",
+    )
+    return K.alert_metrics(K.match_expected_events(expected, a), a, hours=0.2)
+
+
+# ---- scalar functions
+
+
+@query(r"""SELECT url, regexp_replace(lower(regexp_replace(url, '^[a-zA-Z]+://', '')), '^www\.', '') AS normal_url, regexp_replace(trim(regexp_replace(lower(url), '[^a-z0-9]+', '_', 'g'), '_'), '^_+', '') AS slug,
+    url LIKE '/%' OR url LIKE '%..%' OR url LIKE '%:%' AS unsafe FROM pages""")
+def path_functions(spark, d):
+    u = F.col("url")
+    return A.table(spark, d, "pages").select("url", T.normal_url(u).alias("normal_url"), T.slug(u).alias("slug"), T.unsafe_path(u).alias("unsafe"))
