@@ -53,12 +53,14 @@ def load_pieces(path: str = VOCABULARY) -> tuple[dict[str, int], dict[str, int],
 class Pieces:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, vocabulary: tuple, table_limit: int = 250_000):
+    def __init__(self, vocabulary: tuple, table_limit: int = 400_000):
         self.pieces, self.ranks, self.decoded, self.single = vocabulary
         self.longest = max(map(len, self.pieces))
         self.table: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}  # the table before it was last full
-        self.stable: dict[str, dict[str, bool]] = {p: {} for p in self.pieces}
+        #: for each piece, what may come before it as far as known; None for other ends of pieces
+        self.stable: dict[str, dict | None] = {p[k:]: None for p in self.pieces for k in range(len(p))}
+        self.stable |= {p: {None: False} for p in self.pieces}
         self.n_stable = 0
         self.limit = table_limit
         self.known = {c for p in self.pieces for c in p}
@@ -93,16 +95,16 @@ class Pieces:
         back: list[str | None] = [before]  # piece that ends at start + i on the one path there
         for end in range(1, n + 1):
             own = None
-            for size in range(min(longest, end - start), 0, -1):
+            for size in range(1, end - start + 1):
                 piece = text[end - size : end]
-                seen = stable.get(piece)
-                if seen is None:
-                    continue
+                seen = stable.get(piece, 0)
+                if not seen:
+                    if seen is None:
+                        continue
+                    break  # no piece ends like this
                 left = back[end - size - start]
-                if left is None:
-                    continue
                 follows = seen.get(left)
-                if follows or follows is None and self._follows(left, piece, seen):
+                if follows or follows is None and left is not None and self._follows(left, piece, seen):
                     own = piece
                     break
             back.append(own)
