@@ -210,7 +210,7 @@ def class_distribution(spark, d):
 
 
 @query("""SELECT dataset, count(*) FILTER (WHERE len(issues) = 0) AS n_valid, count(DISTINCT CASE WHEN len(issues) > 0 THEN (image_id, annotation_id) END) AS n_invalid, CAST(sum(len(issues)) AS BIGINT) AS n_issues,
-    count(*) FILTER (WHERE len(issues) > 0) / count(*) AS invalid_rate FROM v GROUP BY dataset""", *_BOX[:3])
+    n_invalid / (n_valid + n_invalid) AS invalid_rate FROM v GROUP BY dataset""", *_BOX[:3])
 def annotation_quality(spark, d):
     return P.annotation_quality(A.boxes_raw(spark, d))
 
