@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,25 +22,35 @@ def iou_candidates(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _greedy(group: pd.DataFrame) -> pd.DataFrame:
-    """Predictions by confidence, each to the best free label at the threshold; of equals the later label."""
-    group = group.sort_values(["confidence", "pred_no", "iou", "annotation_id"], ascending=[False, True, False, False])
-    used, rows, done = set(), [], set()
-    for row in group.itertuples():
-        if row.pred_no in done or row.annotation_id in used:
-            continue
-        used.add(row.annotation_id)
-        done.add(row.pred_no)
-        rows.append((row.image_id, row.threshold, row.pred_no, row.annotation_id, row.iou))
-    return pd.DataFrame(rows, columns=["image_id", "threshold", "pred_no", "annotation_id", "iou"])
+MATCH = "image_id long, threshold double, pred_no string, annotation_id string, iou double"
+
+
+def _greedy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of candidates in order, keep those whose prediction and label are both free in their image."""
+    image, used = None, set()
+    for part in parts:
+        kept = []
+        for row in part.itertuples(index=False):
+            if (row.image_id, row.threshold) != image:
+                image, used = (row.image_id, row.threshold), set()
+            prediction, label = (0, row.pred_no), (1, row.annotation_id)
+            free = prediction not in used and label not in used
+            kept.append(free)
+            if free:
+                used |= {prediction, label}
+        yield part.loc[kept, ["image_id", "threshold", "pred_no", "annotation_id", "iou"]]
 
 
 def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
-    """One-to-one matches for each IoU threshold. A match touches its own image only, so images are the groups."""
+    """One-to-one matches for each IoU threshold: predictions by confidence, each to the best free label.
+
+    Of labels with equal IoU the later one wins. A match touches its own image only, so rows are dealt by
+    image and sorted; a partition is read as a stream that remembers one image.
+    """
     t = F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
     rows = candidates.select("image_id", "pred_no", "confidence", "annotation_id", "iou", t).where("iou >= threshold")
-    schema = "image_id long, threshold double, pred_no string, annotation_id string, iou double"
-    return rows.groupBy("image_id", "threshold").applyInPandas(_greedy, schema)
+    order = ["image_id", "threshold", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
+    return rows.repartition("image_id").sortWithinPartitions(*order).mapInPandas(_greedy, MATCH)
 
 
 def precision_envelope(scored: DataFrame, *slice_: str) -> DataFrame:

@@ -18,7 +18,7 @@ def sample_fixed(rows: DataFrame, n: int, seed: str, *key: str) -> DataFrame:
 def sample_cover(rows: DataFrame, n: int, seed: str) -> DataFrame:
     """The first frame of each sequence, then a sample of the rest, ``n`` rows in all (more if sequences are more)."""
     w = Window.partitionBy("dataset", "sequence_id").orderBy("frame_id")
-    first = rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn").withColumn("picked", F.lit("FIRST_FRAME"))
+    first = rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn = 1").drop("rn").withColumn("picked", F.lit("FIRST_FRAME"))
     rest = rows.join(first.select("image_id"), "image_id", "left_anti")
     left = max(0, n - first.count())
     return first.unionByName(sample_fixed(rest, left, seed, "image_id").drop("rank_hash").withColumn("picked", F.lit("FILL")))
@@ -27,7 +27,7 @@ def sample_cover(rows: DataFrame, n: int, seed: str) -> DataFrame:
 def sample_quota(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
     """The first ``target`` rows of each (split, dataset) in hash order; a short group raises."""
     w = Window.partitionBy("split", "dataset").orderBy(hash_rank(seed, "image_id"))
-    out = rows.join(targets, ["split", "dataset"]).withColumn("rn", F.row_number().over(w)).where("rn <= target")
+    out = rows.join(targets, ["split", "dataset"]).withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn <= target")
     n = out.groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("n"))
     short = targets.join(n, ["split", "dataset"], "left").where("coalesce(n, 0) < target")
     guard = short.agg(F.count(F.lit(1)).alias("n_short"))
@@ -36,7 +36,7 @@ def sample_quota(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
 
 def round_robin(rows: DataFrame, *group: str, order: tuple[str, ...] = ("frame_id",)) -> DataFrame:
     """``turn``: 1 for the first row of each group, 2 for the second, ...; order by it to interleave."""
-    return rows.withColumn("turn", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    return rows.withColumn("turn", F.row_number().over(Window.partitionBy(*group).orderBy(*order)).cast("bigint"))
 
 
 def subset_plan(rows: DataFrame, allocation: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,7 +46,7 @@ def subset_plan(rows: DataFrame, allocation: DataFrame) -> tuple[DataFrame, Data
     """
     turns = round_robin(rows, "dataset", "sequence_id").join(allocation, "dataset").where("turn <= target")
     w = Window.partitionBy("dataset").orderBy("turn", "sequence_id", "image_id")
-    picked = turns.withColumn("position", F.row_number().over(w)).where("position <= target")
+    picked = turns.withColumn("position", F.row_number().over(w).cast("bigint")).where("position <= target")
     n = picked.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_selected"))
     report = allocation.join(n, "dataset", "left").withColumn("n_selected", F.coalesce("n_selected", F.lit(0)))
     return picked, report.withColumn("shortfall", F.greatest(F.col("target") - F.col("n_selected"), F.lit(0)))
@@ -55,7 +55,7 @@ def subset_plan(rows: DataFrame, allocation: DataFrame) -> tuple[DataFrame, Data
 def first_candidate_per_source(rows: DataFrame, source: str, mapped: str, ordinal: str) -> DataFrame:
     """One row a source: the first that is mapped, else the first."""
     w = Window.partitionBy(source).orderBy(F.col(mapped).isNull(), ordinal)
-    return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+    return rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn = 1").drop("rn")
 
 
 def review_queue(rows: DataFrame, per_stratum: int, seed: str, *stratum: str, caps=(1, 2, 3, 5)) -> DataFrame:
@@ -65,15 +65,15 @@ def review_queue(rows: DataFrame, per_stratum: int, seed: str, *stratum: str, ca
     this is the order in which caps that are raised step by step let rows in.
     """
     inner = Window.partitionBy(*stratum, "sequence_id").orderBy(hash_rank(seed, "image_id"))
-    out = rows.withColumn("rank_in_sequence", F.row_number().over(inner)).where(F.col("rank_in_sequence") <= caps[-1])
+    out = rows.withColumn("rank_in_sequence", F.row_number().over(inner).cast("bigint")).where(F.col("rank_in_sequence") <= caps[-1])
     level = F.lit(len(caps) - 1)
     for k in range(len(caps) - 2, -1, -1):
         level = F.when(F.col("rank_in_sequence") <= caps[k], k).otherwise(level)
     out = out.withColumn("cap_level", level)
     outer = Window.partitionBy(*stratum).orderBy("cap_level", hash_rank(seed, "image_id"))
-    return out.withColumn("queue_position", F.row_number().over(outer)).where(F.col("queue_position") <= per_stratum)
+    return out.withColumn("queue_position", F.row_number().over(outer).cast("bigint")).where(F.col("queue_position") <= per_stratum)
 
 
 def cap_examples(rows: DataFrame, n: int, *order: str) -> DataFrame:
     w = Window.partitionBy("dataset").orderBy(*order)
-    return rows.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    return rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") <= n)

@@ -145,7 +145,7 @@ def stop_alert_batch(tracks: DataFrame, rules: StopRules) -> DataFrame:
 def number_events(events: DataFrame) -> DataFrame:
     """Event ids by alert time within each sequence."""
     n = F.row_number().over(Window.partitionBy("sequence_id").orderBy("alerted_at_s", "track_id"))
-    return events.withColumn("event_no", n).withColumn("event_id", F.format_string("%s_EV%05d", "sequence_id", n))
+    return events.withColumn("event_no", n.cast("bigint")).withColumn("event_id", F.format_string("%s_EV%05d", "sequence_id", n))
 
 
 def match_expected_events(expected: DataFrame, alerts: DataFrame) -> DataFrame:
