@@ -9,6 +9,7 @@ from boxloom.operators import boxes as B
 from boxloom.operators import classes as C
 from boxloom.operators import duplicates as D
 from boxloom.operators import evaluate as E
+from boxloom.operators import metadata as M
 from boxloom.operators import profile as P
 from boxloom.operators import release as R
 from boxloom.operators import sampling as S
@@ -698,6 +699,146 @@ def alert_metrics(spark, d):
     return K.alert_metrics(K.match_expected_events(expected, a), a, hours=0.2)
 
 
+# ---- metadata
+
+
+_SUP = "SELECT s_suppkey AS k, CAST(s_suppkey % 4 AS INT) AS a, CAST(s_suppkey % 3 AS INT) AS b FROM supplier"
+
+
+@query(f"""SELECT k, result FROM (SELECT k, CASE WHEN a <> 0 AND b <> 0 AND a <> 2 THEN 'PASS' ELSE 'BLOCKED' END AS result FROM ({_SUP}))""")
+def source_license_issues(spark, d):
+    rows = A.table(spark, d, "supplier").selectExpr(
+        "s_suppkey AS k", "s_suppkey % 4 <> 0 AS license_verified", "'CC-BY' AS license_name", "if(s_suppkey % 3 <> 0, 'APPROVED', 'PENDING') AS permission_status",
+        "if(s_suppkey % 4 = 2, 'UNVERIFIED', 'YES') AS redistribution_allowed", "'APPROVED_FOR_DOWNLOAD' AS review_status")
+    return M.source_license_issues(rows).select("k", "result")
+
+
+def _videos(spark, d):
+    return A.table(spark, d, "supplier").selectExpr(
+        "s_suppkey AS video_id", "element_at(array('DAY', 'NIGHT', 'BACKLIT', 'DUSK'), CAST(s_suppkey % 4 AS INT) + 1) AS lighting", "if(s_suppkey % 3 = 0, 'RAIN', 'CLEAR') AS weather",
+        "'APPROVED' AS backlit_review_status", "25.0D AS source_fps", "CAST(s_suppkey % 50 AS BIGINT) AS n_frames")
+
+
+A.SQL["vid"] = """vid AS (SELECT s_suppkey AS video_id, list_filter([(['DAY', 'NIGHT', 'BACKLIT', NULL])[s_suppkey % 4 + 1], CASE WHEN s_suppkey % 3 = 0 THEN 'RAIN' END], lambda x: x IS NOT NULL) AS conditions,
+    CAST(s_suppkey % 50 AS BIGINT) AS n_frames FROM supplier)"""
+
+
+@query("SELECT video_id, array_to_string(list_sort(conditions), '|') AS conditions FROM vid", "vid")
+def video_conditions(spark, d):
+    return M.video_conditions(_videos(spark, d)).select("video_id", F.array_join(F.array_sort("conditions"), "|").alias("conditions"))
+
+
+@query("SELECT video_id, c AS condition, i AS frame_index, CAST(i * 40 AS BIGINT) AS timestamp_ms FROM (SELECT video_id, unnest(conditions) AS c, n_frames FROM vid), LATERAL (SELECT unnest(range(0, n_frames, 5)) AS i)", "vid")
+def frame_sample_plan(spark, d):
+    return M.frame_sample_plan(M.video_conditions(_videos(spark, d)), 5.0)
+
+
+@query("""SELECT s_suppkey AS sample_id, CASE WHEN s_suppkey % 7 = 0 THEN 'PENDING_REVIEW' WHEN s_suppkey % 4 = 0 THEN 'FALSE_REVIEW_REJECT' WHEN s_suppkey % 4 = 1 THEN 'FALSE_PENDING_SECOND_REVIEW'
+    WHEN s_suppkey % 2 = 0 THEN 'TRUE_DATA_LEAD_APPROVED' ELSE 'TRUE_WITH_CAUTION' END AS training_decision FROM supplier""")
+def review_decision(spark, d):
+    q = A.table(spark, d, "supplier").selectExpr("s_suppkey AS sample_id")
+    decisions = q.where("sample_id % 7 <> 0").selectExpr("sample_id", "element_at(array('NON_VEHICLE', 'UNDETERMINED', 'CONFIRMED_MOTORIZED_VEHICLE', 'LIKELY_MOTORIZED_VEHICLE'), CAST(sample_id % 4 AS INT) + 1) AS visual_assessment",
+        "if(sample_id % 2 = 0, 'DATA_LEAD_SIGNOFF_COMPLETED', 'OPEN') AS review_status")
+    return M.review_decision(q, decisions).select("sample_id", "training_decision")
+
+
+@query("SELECT dataset, sequence_id, 'weather' AS dimension, weather AS value FROM sequences WHERE weather = 'FOG' UNION ALL SELECT dataset, sequence_id, 'lighting', lighting FROM sequences WHERE lighting = 'TWILIGHT'", "images", "sequences")
+def allowed_values_check(spark, d):
+    known = [("weather", w) for w in ("CLEAR", "RAIN", "LIGHT_RAIN")] + [("lighting", x) for x in ("DAY", "NIGHT")]
+    return M.allowed_values_check(A.sequences(spark, d), spark.createDataFrame(known, "dimension string, value string"), ["dataset", "sequence_id"], ["weather", "lighting"])
+
+
+@query("SELECT 'd/' || doc_id AS relative_path, sum(c) AS n_issues FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS c FROM documents) GROUP BY ALL HAVING sum(c) > 0")
+def checksum_manifest_validate(spark, d):
+    rows = A.table(spark, d, "documents").select(F.concat(F.lit("d/"), "doc_id").alias("relative_path"), F.when(F.col("doc_id") % 5 == 0, "x").otherwise(F.octet_length("text").cast("string")).alias("size_bytes"),
+        F.when(F.col("doc_id") % 7 == 0, "abc").otherwise(F.sha2("text", 256)).alias("sha256"))
+    out = M.checksum_manifest_validate(rows).where(F.size("issues") > 0)
+    return out.select("relative_path", F.size("issues").cast("bigint").alias("n_issues"))
+
+
+@query("SELECT o_custkey AS id, count(*) AS n_rows FROM orders GROUP BY o_custkey HAVING count(*) > 1")
+def metadata_check(spark, d):
+    rows = A.table(spark, d, "orders").select(F.col("o_custkey").alias("id"))
+    return M.metadata_check(rows, "id").groupBy("id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("""SELECT dataset, sequence_id, s AS overall_score, CASE WHEN s >= 4.3 THEN 'HIGHLY_RELEVANT' ELSE 'RELEVANT' END AS relevance_level FROM (SELECT *, round(least(5.0, CASE camera_view WHEN 'HIGH' THEN 4.4 ELSE 3.9 END
+    + CASE WHEN lighting IN ('NIGHT', 'TWILIGHT') THEN 0.2 ELSE 0 END + CASE WHEN weather LIKE '%RAIN%' THEN 0.2 ELSE 0 END)::DOUBLE, 2) AS s FROM sequences)""", "images", "sequences")
+def viewpoint_score(spark, d):
+    return M.viewpoint_score(A.sequences(spark, d)).select("dataset", "sequence_id", "overall_score", "relevance_level")
+
+
+@query("SELECT sequence_id, 2::BIGINT AS n_versions FROM regions WHERE \"left\" > 30", "images", "regions")
+def regions_conflict(spark, d):
+    r = A.regions(spark, d)
+    again = r.withColumn("right", F.when(F.col("left") > 30, F.col("right") + 1).otherwise(F.col("right")))
+    return M.regions_conflict(r.withColumn("reading", F.lit(1)).unionByName(again.withColumn("reading", F.lit(2))))
+
+
+@query("SELECT dataset, sequence_id FROM sp WHERE sequence_id IN ('SEQ3', 'SEQ11', 'SEQ5') AND split <> 'cross_test'", *_SP)
+def missing_fixed_members(spark, d):
+    return M.missing_fixed_members(A.sequences(spark, d).where("sequence_id IN ('SEQ3', 'SEQ11', 'SEQ5')"), _assigned(spark, d))
+
+
+@query("SELECT dataset, sequence_id, max_by(split, ordinal) AS split FROM (SELECT dataset, sequence_id, CASE image_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'cross_test' END AS split, image_id AS ordinal FROM images) GROUP BY ALL", "images")
+def distinct_splits(spark, d):
+    return M.distinct_splits(A.images(spark, d).selectExpr("dataset", "sequence_id", "CASE image_id % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'validation' ELSE 'cross_test' END AS split", "image_id AS ordinal"))
+
+
+@query("SELECT image_id, CASE WHEN file_group = 1 THEN 'EXTRA_IMAGE' ELSE 'FILTERED_BUT_STILL_COUNTED' END AS issue FROM images WHERE file_group IN (1, 2)", "images")
+def manifest_reconcile(spark, d):
+    i = A.images(spark, d)
+    return M.manifest_reconcile(i.where("file_group <> 2"), i.where("file_group <> 1"))
+
+
+@query("""SELECT image_id, CASE WHEN n = 0 THEN 'EMPTY_LABEL_NOT_LISTED' ELSE 'LISTED_BUT_HAS_BOXES' END AS issue FROM (SELECT i.image_id, i.file_group, count(x.image_id) AS n FROM images i LEFT JOIN (SELECT image_id FROM ex WHERE outcome = 'EXPORTED') x USING (image_id) GROUP BY ALL)
+    WHERE (n = 0) <> (file_group = 0)""", *_EX)
+def negative_reconcile(spark, d):
+    i = A.images(spark, d)
+    return M.negative_reconcile(R.label_files(i, _exported(spark, d)), i.where("file_group = 0"))
+
+
+@query()
+def metric_by_dataset(spark, d):
+    expected = spark.createDataFrame([(f"DS{k}",) for k in range(4)], "dataset string")
+    return M.metric_by_dataset(E.average_precision(*_scored(spark, d), "dataset"), expected)
+
+
+@query("""SELECT dimension, value, count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes FROM (UNPIVOT (SELECT i.image_id, count(b.image_id) AS n, road_type, lighting FROM images i JOIN sequences USING (dataset, sequence_id) LEFT JOIN boxes_raw b ON b.image_id = i.image_id GROUP BY ALL)
+    ON road_type, lighting INTO NAME dimension VALUE value) GROUP BY ALL""", "images", "boxes_raw", "sequences")
+def dataset_summary(spark, d):
+    n = A.boxes_raw(spark, d).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_boxes"))
+    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"]).join(n, "image_id", "left").na.fill(0, ["n_boxes"])
+    return M.dataset_summary(rows.select("image_id", "n_boxes", "road_type", "lighting"), ["road_type", "lighting"])
+
+
+def _sessions(spark, d):
+    s = A.table(spark, d, "supplier").selectExpr("concat('S', s_suppkey % 60) AS session_id", "element_at(array('DAY', 'NIGHT', 'RAIN', 'FOG'), CAST(s_suppkey % 4 AS INT) + 1) AS slice", "'OWN' AS source", "'TEST' AS split",
+        "s_suppkey % 5 <> 0 AS locked", "'APPROVED' AS ground_truth_status", "s_suppkey % 2 = 0 AS predictions_ready", "s_suppkey AS ordinal")
+    pairs = s.where("ordinal % 60 <> 9").groupBy("session_id").agg(F.count(F.lit(1)).alias("n_pairs"))
+    return M.session_qualify(s, pairs, "OWN", "TEST")
+
+
+A.SQL["ses"] = """ses AS (SELECT *, a < 3 AND rn = 1 AND k % 5 <> 0 AND k % 60 <> 9 AS qualified FROM (SELECT s_suppkey AS k, s_suppkey % 4 AS a, row_number() OVER (PARTITION BY s_suppkey % 60, s_suppkey % 4 ORDER BY s_suppkey) AS rn FROM supplier))"""
+
+
+@query("SELECT k AS ordinal, qualified FROM ses", "ses")
+def session_qualify(spark, d):
+    return _sessions(spark, d).select("ordinal", "qualified")
+
+
+@query("""SELECT slice, coalesce(n, 0) AS n_sessions, coalesce(p, 0) AS n_predicted, CASE WHEN n IS NULL AND slice = 'BACKLIT' THEN 'BLOCKED_MISSING_DATA' WHEN n IS NULL THEN 'PENDING_COLLECTION' WHEN p < n THEN 'READY_FOR_INFERENCE' ELSE 'READY_FOR_MAP_CALCULATION' END AS status
+    FROM (VALUES ('DAY', 0), ('NIGHT', 1), ('RAIN', 2), ('BACKLIT', 9)) t(slice, a) LEFT JOIN (SELECT a, count(*) AS n, count(*) FILTER (WHERE k % 2 = 0) AS p FROM ses WHERE qualified GROUP BY a) USING (a)""", "ses")
+def slice_readiness(spark, d):
+    return M.slice_readiness(_sessions(spark, d))
+
+
+@query("SELECT image_id FROM images JOIN sp USING (dataset, sequence_id) WHERE dataset = 'DS1' AND split = 'train'", *_SP)
+def slice_images(spark, d):
+    rows = C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split"))
+    return M.slice_images(rows, A.images(spark, d), "DS1", "train").select("image_id")
+
+
 # ---- windows over events, the same functions that streams use
 
 
