@@ -43,6 +43,8 @@ RULES = (
     Rule("repeated_lines", "n_dup_lines / greatest(n_lines, 1)", most=0.5),
 )
 WINDOW = 8
+#: A row number beside the counts. A filter on the verdict cannot move below it, where it would copy all counts.
+ROW = "_row"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_exclamations"]
 
 
@@ -101,7 +103,7 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_exclamations": only("!"),
     }
     passed = [c for c in docs.columns if c not in counts]
-    return rows.select(*passed, *[v.cast("bigint").alias(k) for k, v in counts.items()])
+    return rows.select(*passed, *[v.cast("bigint").alias(k) for k, v in counts.items()], F.monotonically_increasing_id().alias(ROW))
 
 
 def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -112,11 +114,11 @@ def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
     texts fail. Repeated rows are judged alike. Other columns pass through; old columns of the result names are replaced.
     """
     out = measure_text(docs, text)
-    out = out.drop("base_failed", "failed_rules", "kept")
+    out = out.drop(*[c for c in ("base_failed", "failed_rules", "kept") if c in docs.columns])
     failed = [F.expr(f"if({r.holds()}, NULL, '{r.name}')") for r in rules]
     out = out.withColumn("base_failed", F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words"))
     out = out.withColumn("failed_rules", F.array_compact(F.array(*failed)))
-    return out.withColumn("kept", F.expr("NOT base_failed AND size(failed_rules) = 0"))
+    return out.withColumn("kept", F.expr(f"NOT base_failed AND size(failed_rules) = 0 AND {ROW} >= 0")).drop(ROW)
 
 
 def rules_sql(rules: tuple[Rule, ...] = RULES) -> str:
