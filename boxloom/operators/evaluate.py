@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.operators.boxes import CORNERS, iou
@@ -30,10 +30,10 @@ def _greedy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     image, used = None, set()
     for part in parts:
         kept = []
-        for row in part.itertuples(index=False):
-            if (row.image_id, row.threshold) != image:
-                image, used = (row.image_id, row.threshold), set()
-            prediction, label = (0, row.pred_no), (1, row.annotation_id)
+        for own, pred_no, annotation_id in zip(zip(part.image_id, part.threshold), part.pred_no, part.annotation_id, strict=True):
+            if own != image:
+                image, used = own, set()
+            prediction, label = (0, pred_no), (1, annotation_id)
             free = prediction not in used and label not in used
             kept.append(free)
             if free:
@@ -47,8 +47,7 @@ def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.
     Of labels with equal IoU the later one wins. A match touches its own image only, so rows are dealt by
     image and sorted; a partition is read as a stream that remembers one image.
     """
-    t = F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
-    rows = candidates.select("image_id", "pred_no", "confidence", "annotation_id", "iou", t).where("iou >= threshold")
+    rows = candidates.select("image_id", "pred_no", "confidence", "annotation_id", "iou", _each(thresholds)).where("iou >= threshold")
     order = ["image_id", "threshold", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
     return rows.repartition("image_id").sortWithinPartitions(*order).mapInPandas(_greedy, MATCH)
 
@@ -66,18 +65,23 @@ def precision_envelope(scored: DataFrame, *slice_: str) -> DataFrame:
     return out.withColumn("envelope", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
 
 
-def average_precision(predictions: DataFrame, labels: DataFrame, matches: DataFrame, *by: str) -> DataFrame:
+def _each(thresholds: tuple[float, ...]) -> Column:
+    return F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
+
+
+def average_precision(
+    predictions: DataFrame, labels: DataFrame, matches: DataFrame, *by: str, thresholds: tuple[float, ...] = THRESHOLDS
+) -> DataFrame:
     """All-point AP for each group and threshold: null without labels, 0 without predictions.
 
     AP is the sum over true positives of the best precision from there on, over the number of labels.
     """
-    thresholds = matches.select("threshold").distinct()
     hits = matches.select("image_id", "threshold", "pred_no", F.lit(1).alias("hit"))
-    scored = predictions.join(F.broadcast(thresholds), F.lit(True)).join(hits, ["image_id", "threshold", "pred_no"], "left")
+    scored = predictions.select("*", _each(thresholds)).join(hits, ["image_id", "threshold", "pred_no"], "left")
     scored = scored.withColumn("tp", F.coalesce("hit", F.lit(0)))
     total = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n_labels"))
     sums = precision_envelope(scored, "threshold", *by).groupBy("threshold", *by).agg(F.sum(F.col("envelope") * F.col("tp")).alias("area"), F.sum("tp").alias("n_tp"))
-    grid = total.join(F.broadcast(thresholds), F.lit(True))
+    grid = total.select("*", _each(thresholds))
     return grid.join(sums, ["threshold", *by], "left").select(
         "threshold", *by, "n_labels", F.coalesce("n_tp", F.lit(0)).alias("n_tp"), (F.coalesce("area", F.lit(0.0)) / F.col("n_labels")).alias("ap")
     )
@@ -87,10 +91,10 @@ def map50_95(ap: DataFrame, *by: str) -> DataFrame:
     return ap.groupBy(*by).agg(F.avg("ap").alias("map"), F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"))
 
 
-def recall_by(labels: DataFrame, matches: DataFrame, *by: str) -> DataFrame:
+def recall_by(labels: DataFrame, matches: DataFrame, *by: str, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
     """Share of labels that are matched, by threshold and columns of the labels."""
     hits = matches.select("threshold", "image_id", "annotation_id", F.lit(1).alias("hit"))
-    grid = labels.join(F.broadcast(matches.select("threshold").distinct()), F.lit(True))
+    grid = labels.select("*", _each(thresholds))
     out = grid.join(hits, ["threshold", "image_id", "annotation_id"], "left")
     return out.groupBy("threshold", *by).agg(F.count(F.lit(1)).alias("n_labels"), F.count("hit").alias("n_found"), (F.count("hit") / F.count(F.lit(1))).alias("recall"))
 

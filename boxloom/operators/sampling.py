@@ -29,9 +29,10 @@ def sample_quota(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
     w = Window.partitionBy("split", "dataset").orderBy(hash_rank(seed, "image_id"))
     out = rows.join(targets, ["split", "dataset"]).withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn <= target")
     n = out.groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("n"))
-    short = targets.join(n, ["split", "dataset"], "left").where("coalesce(n, 0) < target")
-    guard = short.agg(F.count(F.lit(1)).alias("n_short"))
-    return out.join(guard, F.lit(True)).where(F.when(F.col("n_short") > 0, F.raise_error(F.lit("a quota cannot be met")).cast("boolean")).otherwise(True)).drop("n_short")
+    refuse = F.raise_error(F.lit("a quota cannot be met")).cast("boolean")
+    short = F.when(F.coalesce("n", F.lit(0)) < F.col("target"), refuse).otherwise(F.lit(False))
+    refused = targets.join(n, ["split", "dataset"], "left").where(short).select("split", "dataset")
+    return out.unionByName(refused, allowMissingColumns=True).select(*out.columns)
 
 
 def round_robin(rows: DataFrame, *group: str, order: tuple[str, ...] = ("frame_id",)) -> DataFrame:

@@ -128,9 +128,7 @@ def heatmap(assigned: DataFrame) -> DataFrame:
     rows = assigned.withColumn("split", F.when(F.col("split") == "cross_test", "test").otherwise(F.col("split")))
     counts = rows.cube("split", "road_type", "lighting").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"))
     counts = counts.where("g IN (0, 4)").withColumn("split", F.coalesce("split", F.lit("overall"))).drop("g")
-    def values(c):  # of a closed vocabulary
-        return rows.select(c).distinct()
-
-    splits = values("split").union(rows.sparkSession.createDataFrame([("overall",)], "split string"))
-    grid = splits.join(values("road_type").join(values("lighting"), F.lit(True)), F.lit(True))
+    sets = [F.collect_set(c).alias(c) for c in ("split", "road_type", "lighting")]  # of closed vocabularies
+    grid = rows.agg(*sets).select(F.explode(F.array_append("split", F.lit("overall"))).alias("split"), "road_type", "lighting")
+    grid = grid.withColumn("road_type", F.explode("road_type")).withColumn("lighting", F.explode("lighting"))
     return grid.join(counts, ["split", "road_type", "lighting"], "left").withColumn("n", F.coalesce("n", F.lit(0)))

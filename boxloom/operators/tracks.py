@@ -173,7 +173,7 @@ def alert_metrics(matched: DataFrame, alerts: DataFrame, hours: float) -> DataFr
     """Missed events, false alerts an hour and mean latency; without approved events nothing is measured."""
     m = matched.agg(F.count(F.lit(1)).alias("n_expected"), F.count("event_id").alias("n_matched"), F.avg(F.col("alerted_at_s") - F.col("expected_start_s")).alias("mean_latency_s"))
     a = alerts.agg(F.count(F.lit(1)).alias("n_alerts"))
-    out = m.join(a, F.lit(True))
+    out = m.withColumn("one", F.lit(1)).join(a.withColumn("one", F.lit(1)), "one")
     known = F.col("n_expected") > 0
     return out.select(
         "n_expected", "n_alerts", F.when(known, F.col("n_expected") - F.col("n_matched")).alias("n_missed"),

@@ -641,7 +641,7 @@ def condition_metrics(spark, d):
     on = ["dataset", "sequence_id"]
     p, t, m = _scored(spark, d, (0.5,))
     p, t = E.condition_rows(p.join(s, on)), E.condition_rows(t.join(s, on))
-    return E.condition_metrics(E.average_precision(p, t, m, "condition"), E.condition_rows(A.images(spark, d).join(s, on)))
+    return E.condition_metrics(E.average_precision(p, t, m, "condition", thresholds=(0.5,)), E.condition_rows(A.images(spark, d).join(s, on)))
 
 
 @query("""SELECT *, n_both / n_night AS share_of_night, n_both / n_rain AS share_of_rain FROM (SELECT count(*) FILTER (WHERE lighting = 'NIGHT') AS n_night, count(*) FILTER (WHERE weather LIKE '%RAIN%') AS n_rain,
@@ -748,7 +748,7 @@ def allowed_values_check(spark, d):
     return M.allowed_values_check(A.sequences(spark, d), spark.createDataFrame(known, "dimension string, value string"), ["dataset", "sequence_id"], ["weather", "lighting"])
 
 
-@query("SELECT 'd/' || doc_id AS relative_path, sum(c) AS n_issues FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS c FROM documents) GROUP BY ALL HAVING sum(c) > 0")
+@query("SELECT 'd/' || doc_id AS relative_path, CAST(sum(c) AS BIGINT) AS n_issues FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END AS c FROM documents) GROUP BY ALL HAVING sum(c) > 0")
 def checksum_manifest_validate(spark, d):
     rows = A.table(spark, d, "documents").select(F.concat(F.lit("d/"), "doc_id").alias("relative_path"), F.when(F.col("doc_id") % 5 == 0, "x").otherwise(F.octet_length("text").cast("string")).alias("size_bytes"),
         F.when(F.col("doc_id") % 7 == 0, "abc").otherwise(F.sha2("text", 256)).alias("sha256"))
