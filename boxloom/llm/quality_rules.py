@@ -44,7 +44,7 @@ RULES = (
 )
 WINDOW = 8
 #: A row number beside the counts. A filter on the verdict cannot move below it, where it would copy all counts.
-ROW = "_row"
+ROW = "_boxloom_row"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_exclamations"]
 
 
@@ -60,7 +60,8 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
     compared by 64-bit hashes, and only texts where two agree are looked at further.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select("*", body.alias("_t"), _words(body).alias("_ws"))
+    passed = [c for c in docs.columns if c not in COUNTS]
+    rows = docs.select(F.struct(*passed).alias("_in"), body.alias("_t"), _words(body).alias("_ws"))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("_ls", lines).withColumn(
         "_hs",
@@ -102,8 +103,8 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.size(stop),
         "n_exclamations": only("!"),
     }
-    passed = [c for c in docs.columns if c not in counts]
-    return rows.select(*passed, *[v.cast("bigint").alias(k) for k, v in counts.items()], F.monotonically_increasing_id().alias(ROW))
+    own = [F.col(f"_in.`{c}`").alias(c) for c in passed]
+    return rows.select(*own, *[v.cast("bigint").alias(k) for k, v in counts.items()], F.monotonically_increasing_id().alias(ROW))
 
 
 def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
