@@ -89,7 +89,7 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "concat('DS', vec_id % 3) AS dataset", "concat('SEQ', vec_id % 7) AS sequence_id", "vec_id AS file_id",
         "concat('img', lpad(CAST(vec_id AS STRING), 6, '0'), '.jpg') AS source_file",
         f"sha2(CAST(({base} ^ ({bits})) % 50 AS STRING), 256) AS sha256", f"{base} ^ ({bits}) AS phash",
-        "element_at(array('train', 'validation', 'cross_test', NULL), CAST(vec_id % 4 AS INT) + 1) AS split",
+        "element_at(array('train', 'validation', 'cross_test', NULL), CAST(vec_id div 100 % 4 AS INT) + 1) AS split",
     )
 
 
@@ -140,7 +140,7 @@ SQL = {
             'img' || lpad(CAST(vec_id AS VARCHAR), 6, '0') || '.jpg' AS source_file,
             xor(CAST(concat('0x', substr(sha256(CAST(vec_id % 100 AS VARCHAR)), 1, 15)) AS BIGINT), """
     + " + ".join(f"CASE WHEN embedding[{k + 1}] > 0 THEN {2 ** (17 * k)}::BIGINT ELSE 0 END" for k in range(4))
-    + """) AS phash, (['train', 'validation', 'cross_test', NULL])[vec_id % 4 + 1] AS split FROM embeddings))""",
+    + """) AS phash, (['train', 'validation', 'cross_test', NULL])[vec_id // 100 % 4 + 1] AS split FROM embeddings))""",
     "tracks": """tracks AS (
     SELECT 'CAM' || (user_id % 5) AS sequence_id, user_id AS track_id, frame_id, min_by(x, event_id) AS x FROM (
         SELECT *, CAST(floor(epoch_us(ts) / 3600000000.0) AS BIGINT) - 473352 AS frame_id, CAST(value AS DOUBLE) AS x FROM events)
