@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from boxloom.llm.scratch import written
 from boxloom.llm.suffix_sort import common_prefix, deep_shallow_order
-from boxloom.llm.words import batches, mix64
+from boxloom.llm.words import WordHashes, batches, mix64
 
 GRAM = 100
 _CHUNK = 1 << 18
@@ -102,6 +102,11 @@ class Anchors:
         return text, grams[at].view(np.int64), context.view(np.int64), at - base, low - base, high - base
 
 
+def _bytes(x: pa.Scalar) -> bytes:
+    value = x.as_py()
+    return value if isinstance(value, bytes) else value.encode("utf-8", "surrogatepass")
+
+
 def _anchor_udf(length: int):
     maker = Anchors(length)
 
@@ -109,7 +114,7 @@ def _anchor_udf(length: int):
     def anchors(texts: pa.Array) -> pa.Array:
         counts = np.zeros(len(texts) + 1, np.int64)
         parts: list[list[np.ndarray]] = [[] for _ in range(5)]
-        data = ((i, t.as_py().encode("utf-8", "surrogatepass")) for i, t in enumerate(texts) if t.is_valid)
+        data = ((i, _bytes(t)) for i, t in enumerate(texts) if t.is_valid)
         for some in batches((x for x in data if len(x[1]) >= length), lambda x: len(x[1]), _CHUNK):
             text, *columns = maker.of([t for _, t in some])
             np.add.at(counts, np.array([i for i, _ in some])[text] + 1, 1)
@@ -222,7 +227,7 @@ def _slices(texts: pa.Array, spans: pa.Array) -> pa.Array:
     """The bytes ``lo`` to ``end`` of a text, for each span of its list."""
     out = []
     for text, own in zip(texts, spans, strict=True):
-        data = text.as_py().encode("utf-8", "surrogatepass")
+        data = _bytes(text)
         out.append([data[x["lo"] : x["end"]] for x in own.as_py()])
     return pa.array(out, pa.list_(pa.binary()))
 
@@ -241,7 +246,7 @@ _CUT = "struct<n_removed:bigint,spans:array<struct<start:int,end:int>>,kept_sha2
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for text, own in zip(texts, spans, strict=True):
-        data = text.as_py().encode("utf-8", "surrogatepass")
+        data = _bytes(text)
         merged: list[list[int]] = []
         for start, end in sorted((x["start"], x["end"]) for x in own.as_py()):
             if merged and start <= merged[-1][1]:
@@ -268,7 +273,7 @@ def _key(text) -> F.Column:
 def repeated_spans(texts: DataFrame, length: int = 400, group_limit: int = 4000) -> DataFrame:
     """``(key, text, spans)`` of the distinct texts that hold repeated strings.
 
-    ``texts`` has one column ``text``. ``key`` is the first half of the SHA-256 of a text. ``spans``
+    ``texts`` has one column ``text``, a string or bytes. ``key`` is the first half of the SHA-256 of a text. ``spans``
     are the byte ranges of all repeated windows, not merged.
     """
     found = written(
@@ -316,7 +321,45 @@ def repeated_spans(texts: DataFrame, length: int = 400, group_limit: int = 4000)
     return held.select("key", "text").join(spans, "key")
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, group_limit: int = 4000) -> DataFrame:
+_CODE = 8  # bytes that stand for a word
+_SPACES = np.zeros(256, np.int8)
+_SPACES[[9, 10, 11, 12, 13, 32]] = 1
+
+
+def repeated_word_spans(texts: DataFrame, words: int, group_limit: int = 4000) -> DataFrame:
+    """``(key, text, spans)`` as ``repeated_spans``, for runs of ``words`` words, whatever space parts them.
+
+    A text is read as the 64-bit hashes of its words, so that runs of words are strings of a fixed
+    length. Strings that start inside a hash are found too. One that agrees elsewhere agrees on half of
+    the first or of the last hash at least, so it holds a whole run (but for 2**-32 of the chance
+    meetings, which the count of whole words below lets go).
+    """
+    hashes = WordHashes()
+
+    @F.arrow_udf("binary")
+    def codes(column: pa.Array) -> pa.Array:
+        some = (_bytes(t).split() for t in column)
+        return pa.array([np.fromiter(map(hashes.__getitem__, w), np.uint64, len(w)).tobytes() for w in some], pa.binary())
+
+    @F.arrow_udf("array<struct<start:int,end:int>>")
+    def places(column: pa.Array, spans: pa.Array) -> pa.Array:
+        out = []
+        for t, own in zip(column, spans, strict=True):
+            edges = np.flatnonzero(np.diff(np.concatenate([[1], _SPACES[np.frombuffer(_bytes(t), np.uint8)], [1]])))
+            runs = {(-(-x["start"] // _CODE), x["end"] // _CODE) for x in own.as_py()}
+            out.append([{"start": int(edges[2 * a]), "end": int(edges[2 * b - 1])} for a, b in sorted(runs) if b - a >= words])
+        return pa.array(out, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+
+    # a text of so many words has a byte for each and one between them at least
+    coded = texts.where(F.octet_length("text") >= 2 * words - 1).select("text", codes.asNondeterministic()("text").alias("code"))
+    found = written(repeated_spans(coded.select(F.col("code").alias("text")), _CODE * words, group_limit).select("key", "spans"))
+    held = coded.select("text", _key("code").alias("key")).join(found, "key")
+    held = held.groupBy(_key("text").alias("key")).agg(F.first("text").alias("text"), F.first("spans").alias("spans"))
+    placed = held.select("key", "text", places.asNondeterministic()("text", "spans").alias("spans"))
+    return placed.where(F.size("spans") > 0)
+
+
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, group_limit: int = 4000, words: int | None = None) -> DataFrame:
     """The rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and ``spans``.
 
     A byte is removed if a string of ``length`` bytes that covers it starts anywhere else too, in this
@@ -324,12 +367,21 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, group
     merged, in order (empty if none). Null texts count as empty; texts shorter than ``length`` lose
     nothing; repeated rows are copies of each other. Other columns pass through, but for old columns
     of the five result names, which are replaced. An empty table gives an empty table.
+
+    With ``words``, runs of so many words that start anywhere else too are removed as well, from their
+    first word to their last, however short they are in bytes.
     """
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"]
     passed = [c for c in docs.columns if c not in names]
     body = F.coalesce(F.col(text), F.lit(""))
+    texts = docs.select(body.alias("text"))
+    spans = repeated_spans(texts, length, group_limit)
+    if words:
+        spans = spans.union(repeated_word_spans(texts, words, group_limit)).groupBy("key").agg(
+            F.first("text").alias("text"), F.flatten(F.collect_list("spans")).alias("spans")
+        )
     cut = written(
-        repeated_spans(docs.select(body.alias("text")), length, group_limit)
+        spans
         .select("key", F.arrow_udf(_cut, _CUT)("text", "spans").alias("x")).select("key", "x.*")
     )
     rows = docs.select(F.struct(*passed).alias("row"), _key(body).alias("key"), F.octet_length(body).cast("bigint").alias("n_bytes"), F.sha2(body, 256).alias("sha"))
@@ -345,9 +397,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, group
     )
 
 
-def cut_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
+def cut_repeats(docs: DataFrame, text: str = "text", length: int = 400, words: int | None = None) -> DataFrame:
     """The rows of ``docs`` with the repeated strings cut out of ``text`` and ``n_removed`` beside it.
 
+    With ``words``, repeated runs of so many words are cut as well.
+
     Characters that a cut splits go with it, so that the text stays valid UTF-8. Texts without a
     repeat, and null ones, are left as they are.
     """
@@ -368,7 +422,7 @@ def cut_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataF
             out.append("".join(part.decode("utf-8", "ignore") for part in [*kept, data[at:]]))
         return pa.array(out, pa.string())
 
-    found = remove_repeats(docs, text, length)
+    found = remove_repeats(docs, text, length, words=words)
     touched = F.when(F.col("n_removed") > 0, F.col(text))
     found = found.withColumn("_cut", cut.asNondeterministic()(touched, "spans"))
     return found.select(*[F.coalesce("_cut", text).alias(c) if c == text else F.col(c) for c in columns], "n_removed")

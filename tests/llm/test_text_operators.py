@@ -158,6 +158,29 @@ def test_cut_repeats_leaves_valid_text(spark):
         assert (r.text == t) if not r.n_removed else len(r.text.encode()) <= len(t.encode()) - r.n_removed
 
 
+def test_repeats_stage_cuts_passages_of_51_words(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+
+    def passage(n, letters):
+        return ["".join(rng.choices("abcdefgh", k=letters)) for _ in range(n)]
+
+    rows, own, gone = [], {}, {}
+    for p in range(8):
+        shared = passage(51 if p < 6 else 50, 1 + p % 6)  # 101 to 356 bytes
+        for space in (" ", "\n", "  "):
+            before, after = passage(rng.randint(0, 80), 9), passage(rng.randint(1, 80), 9)
+            d = len(rows)
+            own[d] = before + ([] if len(shared) > 50 else shared) + after
+            gone[d] = len(shared) > 50
+            rows.append((d, space.join(before + shared + after)))
+    table = docs(spark, rows).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    got = {r.doc_id: r for r in corpus_pipeline.repeats(spark, table, SMALL).collect()}
+    assert {d: r.text.split() for d, r in got.items()} == own
+    assert all((r.text != dict(rows)[d]) == gone[d] and r.n_chars == len(r.text) for d, r in got.items())
+
+
 # ---- decontamination
 
 
