@@ -32,6 +32,7 @@ from boxloom.llm.words import WordHashes, batches, mix64
 
 GRAM = 100
 _CHUNK = 1 << 18
+SLICE = 1 << 20  # bytes of a text that are read at once
 _POSITION = np.uint64((1 << 24) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -62,7 +63,9 @@ class Anchors:
     def __init__(self, length: int, gram: int = GRAM):
         if not 1 <= gram <= length:
             raise ValueError("the k-gram has to fit into the string")
-        self.length, self.gram = length, gram
+        self.length, self.gram, self.slice = length, gram, SLICE
+        if not length <= self.slice <= int(_POSITION) // 2:
+            raise ValueError("a slice holds a string at least, and two have places of 24 bits")
         self.first = self.second = None
 
     def _rolling(self, size: int):
@@ -71,7 +74,21 @@ class Anchors:
         return self.first, self.second
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """(text number, k-gram hash, context hash, anchor, first window, last window), in order."""
+        """(text number, k-gram hash, context hash, anchor, first window, last window), in order.
+
+        Places have 24 bits, so a long text is read in slices that overlap by ``length - 1`` bytes: each
+        window lies in one of them. An anchor whose windows lie in two has a row for each.
+        """
+        step = self.slice - self.length + 1
+        pieces = ((i, k, t[k : k + self.slice]) for i, t in enumerate(texts) for k in range(0, max(1, len(t) - self.length + 1), step))
+        parts = []
+        for some in batches(pieces, lambda x: len(x[2]), self.slice):
+            piece, gram, context, *places = self._of([t for _, _, t in some])
+            number, offset = np.array([(i, k) for i, k, _ in some], np.int64).T
+            parts.append((number[piece], gram, context, *(x + offset[piece] for x in places)))
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else tuple(np.empty(0, np.int64) for _ in range(6))
+
+    def _of(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
         starts = np.cumsum([0, *map(len, texts)])
         data = np.frombuffer(b"".join(texts), np.uint8)
         n, wide = len(data), self.length - self.gram + 1

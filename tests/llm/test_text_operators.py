@@ -18,7 +18,7 @@ from boxloom.llm.page_text import extract_main_text
 from boxloom.llm.pieces import VOCABULARY, Pieces, decode_pieces, encode_pieces, load_pieces
 from boxloom.llm.quality_rules import apply_rules
 from boxloom.llm.sharding import communication_matrix, hypergeometric, uniform_shards
-from boxloom.llm.suffix_dedup import cut_repeats, remove_repeats
+from boxloom.llm.suffix_dedup import GRAM, Anchors, cut_repeats, remove_repeats
 from boxloom.llm.suffix_sort import deep_shallow_order
 
 SCHEMA = "doc_id long, text string, lang string, row string, kept string, n string"
@@ -158,6 +158,28 @@ def test_cut_repeats_leaves_valid_text(spark):
         assert (r.text == t) if not r.n_removed else len(r.text.encode()) <= len(t.encode()) - r.n_removed
 
 
+def test_anchors_of_texts_beyond_16_mib():
+    import numpy as np
+
+    data = np.random.default_rng(3).integers(0, 256, 17 << 20, np.uint8)
+    copied = data[1000:3000].tobytes()
+    long = data.tobytes() + copied
+    text, gram, _, at, low, high = Anchors(400).of([b"short", long])
+    assert set(text) == {1} and (low <= at).all() and (at + GRAM <= high + 400).all()
+    windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high, strict=True)])
+    assert (windows == np.arange(len(long) - 399)).all()
+    _, own, _, place, *_ = Anchors(400).of([copied])
+    assert set(zip(own.tolist(), (place + len(data)).tolist(), strict=True)) <= set(zip(gram.tolist(), at.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("group_limit", [4000, 3])
+def test_remove_repeats_in_slices(spark, monkeypatch, group_limit):
+    monkeypatch.setattr("boxloom.llm.suffix_dedup.SLICE", 500)
+    rows = repeat_rows(5)
+    got = remove_repeats(docs(spark, rows), length=400, group_limit=group_limit).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == collections.Counter(brute_repeats(rows, 400))
+
+
 def test_repeats_stage_cuts_passages_of_51_words(spark):
     import corpus_pipeline
 
