@@ -5,7 +5,8 @@ depends on the kind of element that it stands in, a tag's on its name, and both
 from labelled pages (pages that mark their article with an ``article`` or ``main`` element or with
 ``itemprop="articleBody"``; the marks themselves are no features). One linear scan finds the
 maximum-scoring subsequence of tokens. Blocks of the region are the text, but for blocks in elements
-that are no content whatever stands around them (forms, adverts, comments and the like).
+that are no content whatever stands around them (forms, adverts, comments and the like). A form or
+class name around the whole page says nothing about its text and is not heeded.
 
 Scale: weights come from a bounded sample of pages (``sample_pages``, in hash order), as a few dozen
 sums. Extraction is one pass over whole pages, without a shuffle.
@@ -32,6 +33,9 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements whose class names speak of the page, not of their text.
+WHOLE = frozenset("html body main article".split())
 # Parts of class, id and role names of what is no article.
 HINTS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments consent cookie "
@@ -80,6 +84,8 @@ def _kind(name: str, attributes: str) -> str:
         return "dropped"
     if name in AROUND:
         return "around"
+    if name in WHOLE:
+        return "block"
     for m in _ATTRIBUTE.finditer(attributes):
         if HINTS.intersection(_PART.split((m[1] or m[2] or m[3] or "").lower())):
             return "hinted"
@@ -97,29 +103,60 @@ class Block:
         self.tags: list[str] = []  # names of the tags before the text
 
 
+def _page_wide(words: dict[tuple[int, ...], int], above: dict[int, tuple[int, ...]]) -> set[int]:
+    """Forms and hinted elements that are the page's frame, from words by the elements that they stand in.
+
+    Such an element holds most of the page's words, and what no element of the kind holds besides is
+    less than a tenth of them. Long comments below an article are no frame.
+    """
+    total = sum(words.values())
+    own = dict.fromkeys(above, 0)
+    for path, n in words.items():
+        for e in path:
+            if e in own:
+                own[e] += n
+    wide: set[int] = set()
+    for e in sorted(e for e in own if 2 * own[e] > total):  # each stands in the one before
+        besides = sum(n for path, n in words.items() if e not in path and wide.issuperset(path))
+        if wide.issuperset(above[e]) and 10 * besides < own[e]:
+            wide.add(e)
+    return wide
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, each with the tags that precede it."""
-    stack: list[tuple[str, str, bool]] = []  # name, kind, marked
+    stack: list[tuple[str, str, bool, int]] = []  # name, kind, marked, number of the element
     out: list[Block] = []
     tags: list[str] = []
     fresh = True
+    number = 0
+    above: dict[int, tuple[int, ...]] = {}  # forms and hinted elements: those that they stand in
+    words: dict[tuple[int, ...], int] = {}  # words outside of links
+    found: list[tuple[Block, list[tuple[str, int]]]] = []
     for kind, name, attributes in tokens(page):
         if kind == "text":
-            kinds = {k for _, k, _ in stack}
-            if "dropped" in kinds:
+            if stack and stack[-1][0] == "head" and name.strip():  # its end tag may be left out
+                del stack[-1:]
+            if any(k == "dropped" for _, k, _, _ in stack):
                 continue
             if not name.strip() and (fresh or not out):
                 continue
-            marked = any(m for _, _, m in stack)
+            odd = [(k, e) for _, k, _, e in stack if k != "block"]
+            if not any(n == "a" for n, _, _, _ in stack):
+                path = tuple(e for _, e in odd)
+                words[path] = words.get(path, 0) + len(name.split())
             if fresh:
-                inside = next((n for n, _, _ in reversed(stack) if n not in INLINE), "body")
-                around = "hinted" if "hinted" in kinds else "around" if "around" in kinds else inside
-                out.append(Block(around if around in ("hinted", "around") else _known(inside), marked, around in ("hinted", "around")))
+                marked = any(m for _, _, m, _ in stack)
+                inside = next((n for n, _, _, _ in reversed(stack) if n not in INLINE), "body")
+                out.append(Block(_known(inside), marked, False))
+                found.append((out[-1], odd))
                 out[-1].tags, tags, fresh = tags, [], False
             out[-1].text.append(name)
             continue
         tags.append(name)
         if kind == "open":
+            if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+                del stack[-1:]
             if name in CLOSES_P:
                 at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), -1)
                 if at >= 0 and stack[at][0] == "p":
@@ -130,10 +167,13 @@ def blocks(page: str) -> list[Block]:
                     del stack[at:]
             if name not in VOID:
                 what = _kind(name, attributes)
-                if name == "header" and any(m for _, _, m in stack):
+                if name == "header" and any(m for _, _, m, _ in stack):
                     what = "block"
                 mark = name in ("article", "main") or "articlebody" in attributes.lower()
-                stack.append((name, what, mark))
+                number += 1
+                if what == "hinted" or name == "form":
+                    above[number] = tuple(e for _, k, _, e in stack if k != "block")
+                stack.append((name, what, mark, number))
             elif name == "br" and not fresh:
                 out[-1].text.append(" ")
         else:
@@ -142,6 +182,11 @@ def blocks(page: str) -> list[Block]:
                 del stack[at:]
         if name not in INLINE:
             fresh = True
+    wide = _page_wide(words, above)
+    for b, odd in found:
+        kinds = {k for k, e in odd if e not in wide}
+        if kinds:
+            b.feature, b.dropped = "hinted" if "hinted" in kinds else "around", True
     for b in out:
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.text))).strip()
     return out

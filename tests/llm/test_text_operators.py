@@ -14,7 +14,7 @@ from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.langid import identify_language
 from boxloom.llm.line_quality import marginals, score_quality
 from boxloom.llm.minhash import near_duplicates
-from boxloom.llm.page_text import extract_main_text
+from boxloom.llm.page_text import extract_main_text, main_text
 from boxloom.llm.pieces import VOCABULARY, Pieces, decode_pieces, encode_pieces, load_pieces
 from boxloom.llm.quality_rules import apply_rules
 from boxloom.llm.sharding import communication_matrix, hypergeometric, uniform_shards
@@ -313,6 +313,27 @@ def test_page_text(spark):
     assert [got[i].text for i in (11, 12, 13)] == ["", "", ""] and got[14].text == "plain < text"
 
 
+def test_page_text_in_frames_of_the_whole_page():
+    paragraphs = [" ".join(f"word{i}{k}" for k in range(30)) for i in range(4)]
+    title = "A title of as many words as the scan needs to keep it"
+    article = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+    menu = "<nav><ul>" + "".join(f"<li><a href='/{i}'>Menu {i}</a>" for i in range(40)) + "</ul></nav>"
+    after = "<div class='comments'>" + "<p>nice one said a reader of it</p>" * 30 + "</div><footer>&copy; me</footer>"
+    head, tail = "<html><head><title>T</title></head>", "</body></html>"
+    pages = [
+        head + "<body class='single right-sidebar'>" + menu + article + after + tail,
+        head + "<body>" + menu + "<main class='has-header'><article class='post widget'>" + article + "</article></main>" + after + tail,
+        head + "<body><div class='has-header'>" + menu + "<div class='single right-sidebar'>" + article + "</div></div><footer>me</footer>" + tail,
+        head + "<body><form action='/page.aspx'>" + menu + article + after + "</form>" + tail,
+        head + "<body><form action='/page.aspx'><div class='right-sidebar'>" + article + "</div>" + "<div class='sidebar'>Side words</div></form>" + tail,
+        "<html><head><title>T</title><meta charset='utf-8'><body>" + menu + article + after + tail,
+        "<title>T</title><head><link href='x'><div>" + article + "</div>" + after,
+        head + "<body>" + menu + article + after * 2 + tail,
+        head + "<body><div class='wrap'>" + menu + article + "<form>Your name <input></form></div>" + after + tail,
+    ]
+    assert [main_text(p, {}) for p in pages] == ["\n\n".join([title, *paragraphs])] * len(pages)
+
+
 # ---- languages
 
 
