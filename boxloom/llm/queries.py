@@ -18,6 +18,8 @@ from boxloom.llm.suffix_dedup import remove_repeats
 
 #: Labelled documents a class that may be learned from, at most.
 LABELLED = 1500
+#: Words of a passage, at least.
+PASSAGE = 51
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -94,8 +96,11 @@ def op9_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    """The digests of what strings of 400 bytes leave, and the text without repeated passages of over 50 words either."""
     docs = _texts(spark, folder)
-    return remove_repeats(docs, length=400).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(docs, length=400, words=PASSAGE).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.col("rest").alias("text")
+    )
 
 
 QUERIES = {
