@@ -29,8 +29,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of over 50 words, and strings of 400 bytes, that occur elsewhere are cut out; documents left without a word go."""
-    cut = cut_repeats(docs, length=400, words=51).where(r"n_removed = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
-    length = F.when(F.col("n_removed") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    cut = cut_repeats(docs, length=400, words=51).where(r"NOT was_cut OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    length = F.when(F.col("was_cut"), F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", length).select(*docs.columns)
 
 
