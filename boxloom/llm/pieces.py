@@ -8,12 +8,14 @@ soon as the backpointer paths of all boundaries in the window of the longest pie
 boundary; nothing further back is kept, however long a text without a space is.
 
 A piece never goes on with a space after another character, so all paths meet before such a space.
-The stretches between are encoded once and kept in a bounded table.
+The stretches between are searched once and kept in a bounded table; those that a batch of texts adds
+are searched in sorted order, so that the boundaries of a common beginning are visited once.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from itertools import chain, groupby, pairwise
 
 import numpy as np
@@ -21,9 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
+from boxloom.llm.words import batches
+
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _STRETCH = re.compile(r" *[^ \n]+| +|\n+")
+#: A stretch goes on before a space or line end after something else, so a text may be cut there.
+_BREAK = re.compile(r"[^ \n](?=[ \n])")
+_SHORT = 64  # characters of a stretch that is kept in the table
+_CHUNK = 1 << 22  # characters that are cut into stretches at once
 _NONE = -1
 _LAST = 1 << 40
 
@@ -50,6 +59,15 @@ def load_pieces(path: str = VOCABULARY) -> tuple[dict[str, int], dict[str, int],
     return pieces, ranks, decoded, single
 
 
+def _parts(text: str):
+    """A text in parts of about a chunk, none of which ends inside a stretch."""
+    start = 0
+    while len(text) - start > _CHUNK and (m := _BREAK.search(text, start + _CHUNK)):
+        yield text[start : m.end()]
+        start = m.end()
+    yield text[start:]
+
+
 class Pieces:
     """Encoder and decoder of one vocabulary."""
 
@@ -82,18 +100,28 @@ class Pieces:
     def _follows(self, left: str, right: str, seen: dict[str, bool]) -> bool:
         """Whether ``right`` may come after ``left``; ``seen`` has the answers for ``right`` so far."""
         found = self.merge(left + right) == ([left, right] if left else [right])
-        if self.n_stable < 4 * self.limit:
+        if self.n_stable < 2 * self.limit:
             seen[left] = found
             self.n_stable += 1
         return found
 
     def viterbi(self, text: str):
         """Yield the pieces of a text without characters outside the vocabulary, in committed runs."""
-        n, longest, stable = len(text), self.longest, self.stable
-        start = 0  # everything before is committed
-        before = ""  # the last committed piece
-        back: list[str | None] = [before]  # piece that ends at start + i on the one path there
-        for end in range(1, n + 1):
+        n, start = len(text), 0  # everything before start is committed
+        back: list[str | None] = [""]  # piece that ends at start + i on the one path there, or the last committed
+        while start + len(back) <= n:
+            self._extend(back, text, start, min(n, start + len(back) - 1 + self.longest))
+            meet = self._meeting(back)
+            if meet:
+                yield self._path(back, meet)
+                back = back[meet:]
+                start += meet
+        yield self._path(back, n - start)
+
+    def _extend(self, back: list, text: str, start: int, stop: int) -> None:
+        """Find the backpointers of the boundaries up to ``stop``; ``back[i]`` is that of ``start + i``."""
+        stable = self.stable
+        for end in range(start + len(back), stop + 1):
             own = None
             for size in range(1, end - start + 1):
                 piece = text[end - size : end]
@@ -108,14 +136,6 @@ class Pieces:
                     own = piece
                     break
             back.append(own)
-            if end - start >= 4 * longest:
-                meet = self._meeting(back)
-                if meet:
-                    yield self._path(back, meet)
-                    before = back[meet]
-                    back = [before, *back[meet + 1 :]]
-                    start += meet
-        yield self._path(back, n - start)
 
     def _path(self, back: list, at: int) -> list[str]:
         out = []
@@ -133,35 +153,66 @@ class Pieces:
             live.add(last - len(back[last]))
         return live.pop() if live else 0
 
-    def _encode(self, stretch: str) -> tuple[int, ...]:
-        found = self.table.get(stretch) or self.older.get(stretch) or self._search(stretch)
-        if len(stretch) < 64:
-            if len(self.table) >= self.limit:
-                self.older, self.table = self.table, {}
-            self.table[stretch] = found
-        return found
-
     def _search(self, stretch: str) -> tuple[int, ...]:
-        text, ids = stretch.replace(" ", SPACE), []
-        if self.known.issuperset(text):
-            ids += [self.pieces[p] for part in self.viterbi(text) for p in part]
-        else:
-            for known, run in groupby(text, self.known.__contains__):
-                if known:
-                    ids += [self.pieces[p] for part in self.viterbi("".join(run)) for p in part]
-                else:
-                    ids += [self.single[b] for b in "".join(run).encode("utf-8", "surrogatepass")]
+        """The ids of a stretch of any length and any characters."""
+        ids: list[int] = []
+        for known, run in groupby(stretch.replace(" ", SPACE), self.known.__contains__):
+            if known:
+                ids += [self.pieces[p] for part in self.viterbi("".join(run)) for p in part]
+            else:
+                ids += [self.single[b] for b in "".join(run).encode("utf-8", "surrogatepass")]
         return tuple(ids)
 
+    def _search_all(self, stretches: list[str]):
+        """Yield the ids of stretches in order; what one begins with like the one before is not searched again."""
+        before, back, known = "", [""], self.known
+        for stretch in stretches:
+            text = stretch.replace(" ", SPACE)
+            if len(text) > _SHORT or not known.issuperset(text):
+                yield self._search(stretch)
+                continue
+            same = 0
+            for x, y in zip(before, text):
+                if x != y:
+                    break
+                same += 1
+            del back[same + 1 :]
+            self._extend(back, text, 0, len(text))
+            yield tuple(map(self.pieces.__getitem__, self._path(back, len(text))))
+            before = text
+
+    def _learn(self, stretches: set[str]) -> dict[str, tuple[int, ...]]:
+        """Put what the table lacks into it; the ids of stretches too long for it are returned."""
+        if len(self.table) >= self.limit:
+            self.older, self.table = self.table, {}
+        missing = stretches.difference(self.table)
+        if self.older:
+            held = missing.intersection(self.older)
+            self.table.update((s, self.older[s]) for s in held)
+            missing -= held
+        missing = sorted(missing)
+        long = {}
+        for stretch, ids in zip(missing, self._search_all(missing), strict=True):
+            (self.table if len(stretch) <= _SHORT else long)[stretch] = ids
+        return long
+
+    def encode_all(self, texts) -> list[np.ndarray]:
+        """The ids of each text; none for null or empty ones."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        parts = ((i, part) for i, t in enumerate(texts) if t for part in _parts(" " + t.replace(SPACE, " ")))
+        for some in batches(parts, lambda x: len(x[1]), _CHUNK):
+            lists = [_STRETCH.findall(part) for _, part in some]
+            long = self._learn(set().union(*lists))
+            for (i, _), stretches in zip(some, lists, strict=True):
+                ids = map(self.table.get, stretches)
+                if long:
+                    ids = (own or long[s] for own, s in zip(ids, stretches, strict=True))
+                out[i].append(np.fromiter(chain.from_iterable(ids), np.int32))
+        none = np.empty(0, np.int32)
+        return [np.concatenate(own) if len(own) > 1 else own[0] if own else none for own in out]
+
     def encode(self, text: str | None) -> np.ndarray:
-        """The ids of a text; of none for null or empty."""
-        if not text:
-            return np.empty(0, np.int32)
-        stretches = _STRETCH.findall(" " + text.replace(SPACE, " "))
-        ids = list(map(self.table.get, stretches))
-        if None in ids:
-            ids = [self._encode(s) if own is None else own for s, own in zip(stretches, ids, strict=True)]
-        return np.fromiter(chain.from_iterable(ids), np.int32)
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         """The text of a list of ids, without the space that encoding puts before a text."""
@@ -169,48 +220,62 @@ class Pieces:
         return data.decode("utf-8", "replace").removeprefix(" ")
 
 
+#: Coders of this worker process: what one task has learned serves the next.
+_CODERS: dict[int, Pieces] = {}
+
+
+def _coder(vocabulary: tuple, number: int) -> Pieces:
+    if number not in _CODERS:
+        _CODERS.clear()
+        _CODERS[number] = Pieces(vocabulary)
+    return _CODERS[number]
+
+
+def _numbered(path: str) -> tuple[tuple, int]:
+    """The vocabulary of a file and a number for it, equal in all processes."""
+    own = load_pieces(path)
+    return own, zlib.crc32("\n".join(own[0]).encode("utf-8", "surrogatepass"))
+
+
 def encode_pieces(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """The rows of ``docs`` with ``ids`` (array of int), ``n_ids`` and ``decoded_same``.
 
     ``decoded_same`` tells whether decoding the ids gives the text, with U+2581 read as a space (the
     model cannot tell them apart). A null text has null ids, 0 of them, and a null flag; an empty one an
-    empty list. Every text can be encoded: characters outside the vocabulary become bytes. Other
+    empty list; repeated rows have equal ids, and an empty table gives an empty table. Every text can be encoded: characters outside the vocabulary become bytes. Other
     columns pass through; old columns of the three result names are replaced. The vocabulary file is
     read by the driver and sent to the tasks; its size does not depend on the data.
     """
-    names = ["ids", "n_ids", "decoded_same"]
-    passed = [c for c in docs.columns if c not in names]
-    own = load_pieces(vocabulary)
-    held: list[Pieces] = []
+    passed, row = packed(docs, ["ids", "n_ids", "decoded_same"], text)
+    own, number = _numbered(vocabulary)
 
     @F.arrow_udf("struct<ids:array<int>,decoded_same:boolean>")
     def encode(texts: pa.Array) -> pa.Array:
-        coder = held[0] if held else (held.append(Pieces(own)) or held[0])
+        coder = _coder(own, number)
         parts, counts, same = [], [0], []
-        for t in texts:
-            text = t.as_py()
-            ids = coder.encode(text)
-            parts.append(ids)
-            counts.append(len(ids))
-            same.append(None if text is None else coder.decode(ids.tolist()) == text.replace(SPACE, " "))
+        for some in batches((t.as_py() for t in texts), lambda t: len(t or "") + 1, _CHUNK):
+            for t, ids in zip(some, coder.encode_all(some), strict=True):
+                parts.append(ids)
+                counts.append(len(ids))
+                same.append(None if t is None else coder.decode(ids.tolist()) == t.replace(SPACE, " "))
         offsets = np.cumsum(counts).astype(np.int32)
         flat = pa.array(np.concatenate(parts) if parts else np.empty(0, np.int32))
         lists = pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pa.array([x is None for x in same], pa.bool_()))
         return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "decoded_same"])
 
-    return docs.select(*passed, encode(F.col(text)).alias("_x")).select(
-        *passed, "_x.ids", F.coalesce(F.size("_x.ids"), F.lit(0)).cast("bigint").alias("n_ids"), "_x.decoded_same"
+    return docs.select(row.alias("row"), F.col(text).alias("text"), encode(F.col(text)).alias("x")).select(
+        *unpacked(passed, "row", text, F.col("text")),
+        "x.ids", F.coalesce(F.size("x.ids"), F.lit(0)).cast("bigint").alias("n_ids"), "x.decoded_same",
     )
 
 
 def decode_pieces(rows: DataFrame, ids: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """The rows with ``decoded``, the text of their ids (null for null); ids outside 0 to the vocabulary's end raise."""
-    own = load_pieces(vocabulary)
-    held: list[Pieces] = []
+    own, number = _numbered(vocabulary)
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        coder = held[0] if held else (held.append(Pieces(own)) or held[0])
+        coder = _coder(own, number)
         return pa.array([None if x.as_py() is None else coder.decode(x.as_py()) for x in lists], pa.string())
 
     return rows.withColumn("decoded", decode(F.col(ids)))
