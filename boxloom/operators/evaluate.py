@@ -52,17 +52,45 @@ def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.
     return rows.repartition("image_id").sortWithinPartitions(*order).mapInPandas(_greedy, MATCH)
 
 
-def precision_envelope(scored: DataFrame, *slice_: str) -> DataFrame:
-    """Of predictions with ``tp`` (0 or 1): precision and its running maximum from the right, by confidence.
+BINS, RANKS = 4096, 1 << 16
 
-    Predictions of equal confidence are ordered by id.
+
+def ranked(predictions: DataFrame, *by: str) -> DataFrame:
+    """``rank`` (from 1) of each prediction of a group by falling confidence; ties in the order of an MD5 of the id.
+
+    Counts of the cells (bin, confidence, first byte of the MD5) give each cell its first rank, so rows
+    are sorted in their cell only, and a confidence that very many rows share is split as well.
+    """
+    rows = predictions.select(*by, "image_id", "pred_no", "confidence", F.md5(F.concat_ws(":", "image_id", "pred_no")).alias("tie"))
+    rows = rows.withColumn("bin", F.floor(F.col("confidence") * BINS)).withColumn("part", F.substring("tie", 1, 2))
+    cell = [*by, "bin", "confidence", "part"]
+    cells = rows.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"))
+    before = (Window.unboundedPreceding, -1)
+    bins = cells.groupBy(*by, "bin").agg(F.sum("n").alias("n")).select(
+        *by, "bin", F.coalesce(F.sum("n").over(Window.partitionBy(*by).orderBy(F.desc("bin")).rowsBetween(*before)), F.lit(0)).alias("base")
+    )
+    inside = Window.partitionBy(*by, "bin").orderBy(F.desc("confidence"), "part").rowsBetween(*before)
+    first = cells.withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(bins, [*by, "bin"])
+    at = rows.withColumn("at", F.row_number().over(Window.partitionBy(*cell).orderBy("tie", "pred_no")))
+    return at.join(first, cell).select(*by, "image_id", "pred_no", (F.col("base") + F.col("first") + F.col("at")).alias("rank"))
+
+
+def precision_envelope(hits: DataFrame, *group: str) -> DataFrame:
+    """Of true positives with a ``rank``: ``precision`` and ``envelope``, its maximum from there on.
+
+    Precision only rises at a true positive, so other rows are not needed. Ranks are cut into ranges: each
+    is scanned once in either direction, and counts and maxima of the ranges join them.
     """
-    order = [F.desc("confidence"), "pred_no"]
-    w = Window.partitionBy(*slice_).orderBy(*order)
-    seen = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = scored.withColumn("n_tp", F.sum("tp").over(seen)).withColumn("n_seen", F.count(F.lit(1)).over(seen))
-    out = out.withColumn("precision", F.col("n_tp") / F.col("n_seen"))
-    return out.withColumn("envelope", F.max("precision").over(w.rowsBetween(0, Window.unboundedFollowing)))
+    hits = hits.withColumn("range", F.expr(f"rank div {RANKS}"))
+    counts = hits.groupBy(*group, "range").agg(F.count(F.lit(1)).alias("n"))
+    before, after = (Window.partitionBy(*group).orderBy(x).rowsBetween(Window.unboundedPreceding, -1) for x in (F.asc("range"), F.desc("range")))
+    counts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    inside = Window.partitionBy(*group, "range")
+    out = hits.withColumn("at", F.row_number().over(inside.orderBy("rank"))).join(counts, [*group, "range"])
+    out = out.withColumn("precision", (F.col("base") + F.col("at")) / F.col("rank"))
+    best = out.groupBy(*group, "range").agg(F.max("precision").alias("best")).select(*group, "range", F.max("best").over(after).alias("later"))
+    out = out.withColumn("own", F.max("precision").over(inside.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)))
+    return out.join(best, [*group, "range"]).select(*group, "rank", "precision", F.greatest("own", "later").alias("envelope"))
 
 
 def _each(thresholds: tuple[float, ...]) -> Column:
@@ -76,11 +104,9 @@ def average_precision(
 
     AP is the sum over true positives of the best precision from there on, over the number of labels.
     """
-    hits = matches.select("image_id", "threshold", "pred_no", F.lit(1).alias("hit"))
-    scored = predictions.select("*", _each(thresholds)).join(hits, ["image_id", "threshold", "pred_no"], "left")
-    scored = scored.withColumn("tp", F.coalesce("hit", F.lit(0)))
+    hits = matches.select("image_id", "threshold", "pred_no").join(ranked(predictions, *by), ["image_id", "pred_no"])
     total = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n_labels"))
-    sums = precision_envelope(scored, "threshold", *by).groupBy("threshold", *by).agg(F.sum(F.col("envelope") * F.col("tp")).alias("area"), F.sum("tp").alias("n_tp"))
+    sums = precision_envelope(hits, "threshold", *by).groupBy("threshold", *by).agg(F.sum("envelope").alias("area"), F.count(F.lit(1)).alias("n_tp"))
     grid = total.select("*", _each(thresholds))
     return grid.join(sums, ["threshold", *by], "left").select(
         "threshold", *by, "n_labels", F.coalesce("n_tp", F.lit(0)).alias("n_tp"), (F.coalesce("area", F.lit(0.0)) / F.col("n_labels")).alias("ap")

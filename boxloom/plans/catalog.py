@@ -598,50 +598,88 @@ def iou_candidates(spark, d):
     return E.iou_candidates(A.predictions(spark, d), A.labels(spark, d)).select("image_id", "pred_no", "annotation_id", "iou")
 
 
+#: Candidates of an image are taken one after the other; ``used`` are the predictions and labels taken so far.
+A.SQL["matched"] = """pairs AS (SELECT p.dataset, p.image_id, pred_no, confidence, annotation_id, i / (a + b - i) AS iou FROM (SELECT p.dataset, p.image_id, pred_no, confidence, annotation_id,
+        (least(p.xmax, l.xmax) - greatest(p.xmin, l.xmin)) * (least(p.ymax, l.ymax) - greatest(p.ymin, l.ymin)) AS i, (p.xmax - p.xmin) * (p.ymax - p.ymin) AS a, (l.xmax - l.xmin) * (l.ymax - l.ymin) AS b
+        FROM predictions p JOIN labels_ l ON p.image_id = l.image_id AND p.xmin < l.xmax AND l.xmin < p.xmax AND p.ymin < l.ymax AND l.ymin < p.ymax) p),
+    cand AS (SELECT *, row_number() OVER (PARTITION BY image_id, threshold ORDER BY confidence DESC, pred_no, iou DESC, annotation_id DESC) AS k FROM pairs, (VALUES {thresholds}) t(threshold) WHERE iou >= threshold),
+    walk AS (SELECT image_id, threshold, k, pred_no, annotation_id, iou, true AS free, ['p' || pred_no, 'l' || annotation_id] AS used FROM cand WHERE k = 1
+        UNION ALL SELECT image_id, threshold, k, pred_no, annotation_id, iou, free, CASE WHEN free THEN used || ['p' || pred_no, 'l' || annotation_id] ELSE used END FROM (
+            SELECT c.image_id, c.threshold, c.k, c.pred_no, c.annotation_id, c.iou, used, NOT list_contains(used, 'p' || c.pred_no) AND NOT list_contains(used, 'l' || c.annotation_id) AS free
+            FROM walk w JOIN cand c ON c.image_id = w.image_id AND c.threshold = w.threshold AND c.k = w.k + 1)),
+    matched AS (SELECT image_id, threshold, pred_no, annotation_id, iou FROM walk WHERE free)"""
+A.SQL["matched_50"] = A.SQL["matched"].format(thresholds="(0.5::DOUBLE)")
+A.SQL["matched"] = A.SQL["matched"].format(thresholds=", ".join(f"({x}::DOUBLE)" for x in E.THRESHOLDS))
+_AP = """SELECT threshold, {by}, n_labels, CAST(coalesce(n_tp, 0) AS BIGINT) AS n_tp, round(coalesce(area, 0) / n_labels, 9) AS ap
+    FROM (SELECT *, unnest([{thresholds}]) AS threshold FROM (SELECT {by}, count(*) AS n_labels FROM {labels} GROUP BY ALL)) LEFT JOIN (
+        SELECT threshold, {by}, count(*) AS n_tp, sum(envelope) AS area FROM (
+            SELECT threshold, {by}, max(n_tp / rank) OVER (PARTITION BY threshold, {by} ORDER BY rank DESC) AS envelope FROM (
+                SELECT threshold, {by}, rank, row_number() OVER (PARTITION BY threshold, {by} ORDER BY rank) AS n_tp FROM {matched} JOIN (
+                    SELECT {by}, image_id, pred_no, row_number() OVER (PARTITION BY {by} ORDER BY confidence DESC, md5(image_id || ':' || pred_no), pred_no) AS rank FROM {predictions}) USING (image_id, pred_no)))
+        GROUP BY ALL) USING (threshold, {by})"""
+_EVAL = ("images", "boxes_raw", "predictions", "labels_")
+_ALL = _AP.format(by="dataset", labels="labels_", predictions="predictions", matched="matched", thresholds=", ".join(f"{x}::DOUBLE" for x in E.THRESHOLDS))
+A.SQL["diag"] = """diag AS (SELECT image_id, coalesce(m, 0) AS tp, coalesce(n, 0) - coalesce(m, 0) AS fn, coalesce(p, 0) - coalesce(m, 0) AS fp FROM (SELECT image_id, count(*) AS n FROM labels_ GROUP BY 1)
+    FULL JOIN (SELECT image_id, count(*) AS p FROM predictions GROUP BY 1) USING (image_id) LEFT JOIN (SELECT image_id, count(*) AS m FROM matched GROUP BY 1) USING (image_id))"""
+
+
+def _rounded(df):
+    return df.withColumn("ap", F.round("ap", 9))
+
+
 def _scored(spark, d, thresholds=E.THRESHOLDS):
     p, t = A.predictions(spark, d), A.labels(spark, d)
     return p, t, E.match_predictions(E.iou_candidates(p, t), thresholds)
 
 
-@query()
+@query("SELECT * FROM matched", *_EVAL, "matched_50")
 def match_predictions(spark, d):
     return _scored(spark, d, (0.5,))[2]
 
 
-@query()
+@query(_ALL, *_EVAL, "matched")
 def average_precision(spark, d):
-    return E.average_precision(*_scored(spark, d), "dataset")
+    return _rounded(E.average_precision(*_scored(spark, d), "dataset"))
 
 
-@query()
+@query(f"SELECT dataset, round(avg(ap), 7) AS map, max(ap) FILTER (WHERE threshold = 0.5) AS ap50 FROM ({_ALL}) GROUP BY dataset", *_EVAL, "matched")
 def map50_95(spark, d):
-    return E.map50_95(E.average_precision(*_scored(spark, d), "dataset"), "dataset")
+    return E.map50_95(_rounded(E.average_precision(*_scored(spark, d), "dataset")), "dataset").withColumn("map", F.round("map", 7))
 
 
-@query()
+@query("""SELECT 0.5::DOUBLE AS threshold, dataset, size_group, count(*) AS n_labels, count(hit) AS n_found, count(hit) / count(*) AS recall FROM (
+    SELECT dataset, image_id, annotation_id, CASE WHEN s < 25 THEN '<25' WHEN s < 50 THEN '25–49' ELSE '≥50' END AS size_group
+    FROM (SELECT *, least(xmax - xmin, ymax - ymin) * least(640.0::DOUBLE / 960, 480.0::DOUBLE / 540) AS s FROM labels_))
+    LEFT JOIN (SELECT image_id, annotation_id, 1 AS hit FROM matched) USING (image_id, annotation_id) GROUP BY ALL""", *_EVAL, "matched_50")
 def recall_by_size(spark, d):
     _, t, m = _scored(spark, d, (0.5,))
     sized = B.device_size_group(t.withColumn("width", F.lit(960)).withColumn("height", F.lit(540)))
     return E.recall_by(sized, m, "dataset", "size_group")
 
 
-@query()
+@query("SELECT * FROM diag", *_EVAL, "matched_50", "diag")
 def image_diagnostics(spark, d):
     return E.image_diagnostics(*_scored(spark, d, (0.5,)))
 
 
-@query()
+@query("""SELECT *, 'WORST' AS kind FROM (SELECT * FROM diag ORDER BY fn DESC, fp DESC, tp, image_id LIMIT 3) UNION ALL
+    SELECT *, 'BEST' FROM (SELECT * FROM diag ORDER BY fn, fp, tp DESC, image_id LIMIT 3)""", *_EVAL, "matched_50", "diag")
 def top_k_images(spark, d):
     return E.top_k_images(E.image_diagnostics(*_scored(spark, d, (0.5,))))
 
 
-@query()
+_COND = "(SELECT *, unnest(list_filter([CASE WHEN lighting = 'DAY' THEN 'DAY' END, CASE WHEN lighting = 'NIGHT' THEN 'NIGHT' END, CASE WHEN weather LIKE '%RAIN%' THEN 'RAIN' END], lambda x: x IS NOT NULL)) AS condition FROM {} JOIN sequences USING (dataset, sequence_id))"
+
+
+@query(f"""SELECT condition, n_images, n_labels, CASE WHEN n_images >= 30 AND n_labels >= 100 THEN ap END AS ap, CASE WHEN n_images >= 30 AND n_labels >= 100 THEN 'MEASURED' ELSE 'NOT_MEASURED_TOO_SMALL' END AS status
+    FROM ({_AP.format(by="condition", labels=_COND.format("labels_"), predictions=_COND.format("predictions"), matched="matched", thresholds="0.5::DOUBLE")})
+    JOIN (SELECT condition, count(*) AS n_images FROM {_COND.format("images")} GROUP BY ALL) USING (condition)""", *_EVAL, "sequences", "matched_50")
 def condition_metrics(spark, d):
     s = A.sequences(spark, d)
     on = ["dataset", "sequence_id"]
     p, t, m = _scored(spark, d, (0.5,))
     p, t = E.condition_rows(p.join(s, on)), E.condition_rows(t.join(s, on))
-    return E.condition_metrics(E.average_precision(p, t, m, "condition", thresholds=(0.5,)), E.condition_rows(A.images(spark, d).join(s, on)))
+    return E.condition_metrics(_rounded(E.average_precision(p, t, m, "condition", thresholds=(0.5,))), E.condition_rows(A.images(spark, d).join(s, on)))
 
 
 @query("""SELECT *, n_both / n_night AS share_of_night, n_both / n_rain AS share_of_rain FROM (SELECT count(*) FILTER (WHERE lighting = 'NIGHT') AS n_night, count(*) FILTER (WHERE weather LIKE '%RAIN%') AS n_rain,
@@ -798,10 +836,11 @@ def negative_reconcile(spark, d):
     return M.negative_reconcile(R.label_files(i, _exported(spark, d)), i.where("file_group = 0"))
 
 
-@query()
+@query(f"""SELECT dataset, map, n_labels, CASE WHEN n_labels IS NULL THEN 'NOT_MEASURED_NO_DATA' ELSE 'MEASURED' END AS status FROM (SELECT 'DS' || d AS dataset FROM range(4) t(d))
+    LEFT JOIN (SELECT dataset, round(avg(ap), 7) AS map, max(n_labels) AS n_labels FROM ({_ALL}) GROUP BY dataset) USING (dataset)""", *_EVAL, "matched")
 def metric_by_dataset(spark, d):
     expected = spark.createDataFrame([(f"DS{k}",) for k in range(4)], "dataset string")
-    return M.metric_by_dataset(E.average_precision(*_scored(spark, d), "dataset"), expected)
+    return M.metric_by_dataset(_rounded(E.average_precision(*_scored(spark, d), "dataset")), expected).withColumn("map", F.round("map", 7))
 
 
 @query("""SELECT dimension, value, count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes FROM (UNPIVOT (SELECT i.image_id, count(b.image_id) AS n, road_type, lighting FROM images i JOIN sequences USING (dataset, sequence_id) LEFT JOIN boxes_raw b ON b.image_id = i.image_id GROUP BY ALL)

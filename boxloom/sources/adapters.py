@@ -149,5 +149,5 @@ SQL = {
 
 
 def with_tables(query: str, *names: str) -> str:
-    """DuckDB text of a query over domain tables."""
-    return "WITH " + ",\n".join(SQL[n] for n in names) + "\n" + query.strip()
+    """DuckDB text of a query over domain tables, some of which may be recursive."""
+    return "WITH RECURSIVE " + ",\n".join(SQL[n] for n in names) + "\n" + query.strip()
