@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from boxloom.llm.chat import render_perspectives
 from boxloom.llm.components import components
-from boxloom.llm.decontaminate import contained_items
+from boxloom.llm.decontaminate import Items, PlainWords, contained_items
 from boxloom.llm.langid import identify_language
 from boxloom.llm.line_quality import marginals, score_quality
 from boxloom.llm.minhash import near_duplicates
@@ -456,3 +456,25 @@ def test_pipeline(spark):
     removed = {d for d, n, gone, *_ in brute_repeats(rows, 400) if n == gone}
     assert {r.doc_id for r in got} <= {d for d, _ in rows} - removed
     assert all(r.decoded_same for r in got) and len(got) > 50
+
+
+def test_short_items_at_all_places():
+    """Items of one to seven words, at thousands of places of long texts, whole and scattered."""
+    import numpy as np
+
+    rng = random.Random(21)
+    items = [(i, " ".join(f"i{i}x{k}" for k in range(1 + i % 12))) for i in range(240)]
+    search = Items(items, 80)
+    texts, want = [], []
+    for _ in range(60):
+        w, own = words(rng, 4000, 10**6), []
+        for i in rng.sample(range(240), 50):
+            at = rng.randrange(len(w) + 1)
+            if all(not str(x).startswith("i") for x in w[max(0, at - 13) : at + 13]):
+                w[at:at] = items[i][1].split()
+                own.append(i)
+        texts.append(PlainWords().of(" ".join(w)))
+        want.append(sorted(own))
+    assert sum(map(len, want)) > 2000
+    assert [sorted(i for i, _, _ in own) for own in search.search(texts)] == want
+    assert search.search([np.empty(0, np.uint64)]) == [[]]
