@@ -3,13 +3,13 @@
 A page is a sequence of words and tags. Words mostly score positive and tags negative; a word's weight
 depends on the kind of element that it stands in, a tag's on its name, and both are log-odds learned
 from labelled pages (pages that mark their article with an ``article`` or ``main`` element or with
-``itemprop="articleBody"``; the marks themselves are no features). One linear scan finds the
+``itemprop="articleBody"``; the marks read as ``div``, so they are no features). One linear scan finds the
 maximum-scoring subsequence of tokens. Blocks of the region are the text, but for blocks in elements
-that are no content whatever stands around them (forms, adverts, comments and the like). A form or
-class name around the whole page says nothing about its text and is not heeded.
+that are no article by definition (forms, adverts, comments and the like), which may stand amid it. A form
+or class name around the whole page says nothing about its text and is not heeded.
 
-Scale: weights come from a bounded sample of pages (``sample_pages``, in hash order), as a few dozen
-sums. Extraction is one pass over whole pages, without a shuffle.
+Scale: weights come from a bounded sample of labelled pages (``sample_pages``, in hash order), as a few
+dozen sums. Extraction is one pass over whole pages, linear in their length, without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
+
 # Element names by what they do to text.
 DROPPED = frozenset("script style noscript template svg iframe object head title select textarea button canvas math".split())
 AROUND = frozenset("nav footer aside form header menu dialog".split())
@@ -34,6 +36,8 @@ CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
 )
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Elements that mark the article of a labelled page, as ``itemprop="articleBody"`` does.
+MARKS = frozenset("article main".split())
 #: Elements whose class names speak of the page, not of their text.
 WHOLE = frozenset("html body main article".split())
 # Parts of class, id and role names of what is no article.
@@ -95,108 +99,156 @@ def _kind(name: str, attributes: str) -> str:
 class Block:
     """A run of words between block boundaries."""
 
-    __slots__ = ("text", "feature", "tags", "marked", "dropped")
+    __slots__ = ("text", "feature", "tags", "marked", "dropped", "odd")
 
-    def __init__(self, feature: str, marked: bool, dropped: bool):
+    def __init__(self, feature: str, marked: bool, odd: _Odd | None):
         self.text: list[str] = []
-        self.feature, self.marked, self.dropped = feature, marked, dropped
+        self.feature, self.marked, self.odd, self.dropped = feature, marked, odd, False
         self.tags: list[str] = []  # names of the tags before the text
 
 
-def _page_wide(words: dict[tuple[int, ...], int], above: dict[int, tuple[int, ...]]) -> set[int]:
-    """Forms and hinted elements that are the page's frame, from words by the elements that they stand in.
+class _Odd:
+    """An open element that is no plain block, in the innermost such one; ``words`` are its own, outside of links."""
+
+    __slots__ = ("up", "kind", "frame", "words", "wide")
+
+    def __init__(self, up: _Odd | None, kind: str, frame: bool):
+        self.up, self.kind, self.frame, self.words, self.wide = up, kind, frame, 0, False
+
+
+class _Open:
+    """An open element with what holds for the text in it."""
+
+    __slots__ = ("name", "marked", "dropped", "linked", "odd", "solid")
+
+    def __init__(self, name: str, kind: str, marked: bool, up: _Open | None, place: int):
+        self.name = name
+        self.marked = marked or (up is not None and up.marked)
+        self.dropped = kind == "dropped" or (up is not None and up.dropped)
+        self.linked = name == "a" or (up is not None and up.linked)
+        odd = up.odd if up else None
+        self.odd = odd if kind == "block" else _Odd(odd, kind, kind == "hinted" or name == "form")
+        #: the place of the innermost element that is not inline, this one included
+        self.solid = place if name not in INLINE else up.solid if up else -1
+
+
+def _page_wide(odds: list[_Odd], plain: int) -> None:
+    """Mark forms and hinted elements that are the page's frame; ``plain`` words stand in none.
 
     Such an element holds most of the page's words, and what no element of the kind holds besides is
-    less than a tenth of them. Long comments below an article are no frame.
+    less than a tenth of them. Long comments below an article are no frame. Elements that hold most of
+    the words stand in each other, so one pass from the outermost inwards finds all.
     """
-    total = sum(words.values())
-    own = dict.fromkeys(above, 0)
-    for path, n in words.items():
-        for e in path:
-            if e in own:
-                own[e] += n
-    wide: set[int] = set()
-    for e in sorted(e for e in own if 2 * own[e] > total):  # each stands in the one before
-        besides = sum(n for path, n in words.items() if e not in path and wide.issuperset(path))
-        if wide.issuperset(above[e]) and 10 * besides < own[e]:
-            wide.add(e)
-    return wide
+    held = {id(o): o.words for o in odds}
+    for o in reversed(odds):  # an element comes after those it stands in
+        if o.up:
+            held[id(o.up)] += held[id(o)]
+    total = plain + sum(o.words for o in odds)
+    besides = plain
+    for o in odds:
+        own = held[id(o)]
+        if o.frame and 2 * own > total and (o.up is None or o.up.wide) and 10 * besides < own:
+            o.wide = True
+            besides += o.words
+
+
+class _Stack:
+    """The open elements; every step costs the same however many are open."""
+
+    def __init__(self):
+        self.open: list[_Open] = []
+        self.count: dict[str, int] = {}
+
+    def cut(self, place: int) -> None:
+        for x in self.open[place:]:
+            self.count[x.name] -= 1
+        del self.open[place:]
+
+    def push(self, name: str, kind: str, marked: bool) -> _Open:
+        self.open.append(_Open(name, kind, marked, self.top(), len(self.open)))
+        self.count[name] = self.count.get(name, 0) + 1
+        return self.open[-1]
+
+    def top(self) -> _Open | None:
+        return self.open[-1] if self.open else None
+
+    def solid(self) -> str:
+        place = self.open[-1].solid if self.open else -1
+        return self.open[place].name if place >= 0 else ""
+
+    def close(self, name: str) -> None:
+        if self.count.get(name):
+            place = len(self.open) - 1
+            while self.open[place].name != name:
+                place -= 1
+            self.cut(place)
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page, each with the tags that precede it."""
-    stack: list[tuple[str, str, bool, int]] = []  # name, kind, marked, number of the element
+    stack = _Stack()
     out: list[Block] = []
     tags: list[str] = []
-    fresh = True
-    number = 0
-    above: dict[int, tuple[int, ...]] = {}  # forms and hinted elements: those that they stand in
-    words: dict[tuple[int, ...], int] = {}  # words outside of links
-    found: list[tuple[Block, list[tuple[str, int]]]] = []
+    odds: list[_Odd] = []
+    fresh, plain = True, 0
     for kind, name, attributes in tokens(page):
+        top = stack.top()
         if kind == "text":
-            if stack and stack[-1][0] == "head" and name.strip():  # its end tag may be left out
-                del stack[-1:]
-            if any(k == "dropped" for _, k, _, _ in stack):
+            if top and top.name == "head" and name.strip():  # its end tag may be left out
+                stack.cut(len(stack.open) - 1)
+                top = stack.top()
+            if top and top.dropped:
                 continue
             if not name.strip() and (fresh or not out):
                 continue
-            odd = [(k, e) for _, k, _, e in stack if k != "block"]
-            if not any(n == "a" for n, _, _, _ in stack):
-                path = tuple(e for _, e in odd)
-                words[path] = words.get(path, 0) + len(name.split())
+            odd = top.odd if top else None
+            if not (top and top.linked):
+                if odd:
+                    odd.words += len(name.split())
+                else:
+                    plain += len(name.split())
             if fresh:
-                marked = any(m for _, _, m, _ in stack)
-                inside = next((n for n, _, _, _ in reversed(stack) if n not in INLINE), "body")
-                out.append(Block(_known(inside), marked, False))
-                found.append((out[-1], odd))
+                out.append(Block(_known(stack.solid() or "body"), top is not None and top.marked, odd))
                 out[-1].tags, tags, fresh = tags, [], False
             out[-1].text.append(name)
             continue
         tags.append(name)
         if kind == "open":
-            if stack and stack[-1][0] == "head" and name not in IN_HEAD:
-                del stack[-1:]
-            if name in CLOSES_P:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), -1)
-                if at >= 0 and stack[at][0] == "p":
-                    del stack[at:]
-            if name in ("li", "tr", "td", "th", "dt", "dd", "option"):
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), -1)
-                if at >= 0 and stack[at][0] == name:
-                    del stack[at:]
+            if top and top.name == "head" and name not in IN_HEAD:
+                stack.cut(len(stack.open) - 1)
+            if name in CLOSES_P and stack.solid() == "p":
+                stack.cut(stack.open[-1].solid)
+            if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack.solid() == name:
+                stack.cut(stack.open[-1].solid)
             if name not in VOID:
+                mark = name in MARKS or "articlebody" in attributes.lower()
                 what = _kind(name, attributes)
-                if name == "header" and any(m for _, _, m, _ in stack):
-                    what = "block"
-                mark = name in ("article", "main") or "articlebody" in attributes.lower()
-                number += 1
-                if what == "hinted" or name == "form":
-                    above[number] = tuple(e for _, k, _, e in stack if k != "block")
-                stack.append((name, what, mark, number))
+                stack.push(name, what, mark)
+                if what != "block":
+                    odds.append(stack.open[-1].odd)
             elif name == "br" and not fresh:
                 out[-1].text.append(" ")
         else:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if at >= 0:
-                del stack[at:]
+            stack.close(name)
         if name not in INLINE:
             fresh = True
-    wide = _page_wide(words, above)
-    for b, odd in found:
-        kinds = {k for k, e in odd if e not in wide}
-        if kinds:
-            b.feature, b.dropped = "hinted" if "hinted" in kinds else "around", True
+    _page_wide(odds, plain)
+    for o in odds:  # what a frame stands in is one too
+        if o.up and not o.up.wide and not o.wide and o.up.kind == "hinted":
+            o.kind = "hinted"
     for b in out:
+        if b.odd and not b.odd.wide:
+            b.feature, b.dropped = "hinted" if b.odd.kind == "hinted" else "around", True
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.text))).strip()
     return out
 
 
-_NAMES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt div section article main body blockquote pre figcaption a".split())
+_NAMES = frozenset("p h1 h2 h3 h4 h5 h6 li td th dd dt div section body blockquote pre figcaption a".split())
 
 
 def _known(name: str) -> str:
-    return name if name in _NAMES else "other"
+    """A feature's name. Marks of labelled pages read as ``div``, so that they are no features."""
+    return name if name in _NAMES else "div" if name in MARKS else "other"
 
 
 #: Weights where no labelled page says otherwise: a word and a tag.
@@ -220,7 +272,7 @@ def count_features(page: str) -> dict[str, list[float]]:
 
 
 def _tag(name: str) -> str:
-    return name if name in _NAMES or name in INLINE or name in AROUND or name in ("ul", "ol", "table", "tr") else "other"
+    return name if name in INLINE or name in AROUND or name in ("ul", "ol", "table", "tr") else _known(name)
 
 
 def weights(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
@@ -251,7 +303,10 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000) -> dict[str, float]:
-    """Token weights from the labelled ones of a bounded sample of pages; empty if none is labelled."""
+    """Token weights from at most ``sample_pages`` labelled pages; empty if none is labelled.
+
+    Pages of an odd hash are never learned from, so that the weights can be held against their marks.
+    """
     kind = "array<struct<feature:string,good:double,bad:double>>"
 
     @F.arrow_udf(kind)
@@ -259,7 +314,9 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000
         rows = [[{"feature": k, "good": g, "bad": b} for k, (g, b) in count_features(t.as_py()).items()] for t in texts]
         return pa.array(rows, pa.list_(pa.struct([("feature", pa.string()), ("good", pa.float64()), ("bad", pa.float64())])))
 
-    sample = pages.select(F.col(html).alias("h")).where("h IS NOT NULL").orderBy(F.xxhash64("h"), "h").limit(sample_pages)
+    marked = F.col("h").rlike(r"(?i)<(article|main)\b|articlebody")
+    part = F.pmod(F.xxhash64("h"), F.lit(2)) == 0
+    sample = pages.select(F.col(html).alias("h")).where(marked & part).orderBy(F.xxhash64("h"), "h").limit(sample_pages)
     sums = (
         sample.select(F.explode(counted.asNondeterministic()("h")).alias("x")).groupBy("x.feature")
         .agg(F.sum("x.good").alias("good"), F.sum("x.bad").alias("bad")).collect()
@@ -272,13 +329,15 @@ def extract_main_text(pages: DataFrame, html: str = "html", labelled: DataFrame
 
     Weights are learned from ``labelled`` pages, which have the same column (``pages`` themselves by
     default). Null and empty pages have an empty text. White space in a block becomes one space;
-    character references are decoded. Other columns pass through; old columns of the result names are replaced.
+    character references are decoded. Repeated pages have equal texts; an empty table gives an empty
+    table. Other columns pass through; old columns of the result names (in any case) are replaced.
     """
     learned = learn_weights(labelled if labelled is not None else pages, html, sample_pages)
-    passed = [c for c in pages.columns if c not in ("text", "n_chars")]
+    passed, row = packed(pages, ["text", "n_chars"], html)
 
     @F.arrow_udf("string")
     def extract(texts: pa.Array) -> pa.Array:
         return pa.array([main_text(t.as_py(), learned) for t in texts], pa.string())
 
-    return pages.select(*passed, extract(F.col(html)).alias("text")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    rows = pages.select(row.alias("row"), F.col(html).alias("html"), extract(F.col(html)).alias("text"))
+    return rows.select(*unpacked(passed, "row", html, F.col("html")), "text", F.char_length("text").cast("bigint").alias("n_chars"))
