@@ -1,14 +1,13 @@
 """Language identification by compression: the language whose dictionary compresses a text best.
 
 Texts are read as lower-case letters with one space for whatever stands between letters. Each language
-has a raw-content zstandard dictionary, made of sample documents of that language. A text is cut into
+has a raw-content zstandard dictionary, made of whole sample documents of that language. A text is cut into
 blocks, every block is compressed with every dictionary, and the sizes are summed over the
 whole text; blocks keep the dictionaries at work throughout a long text. The smallest sum names the
 language. If the runner-up is within ``narrow`` of it, the answer is marked as rejected.
 
-Scale: the dictionaries are fitted on a bounded sample (``sample_docs`` documents a language, of
-``sample_chars`` characters each), taken by a hash order that a per-task limit pre-reduces. Prediction is
-one pass over the documents without a shuffle.
+Scale: the dictionaries are fitted on a bounded sample of ``sample_docs`` documents a language, taken by a
+hash order that a per-task limit pre-reduces. Prediction is one pass over the documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
+
 _LETTER = regex.compile(r"\p{L}")
 _BETWEEN = re.compile(r"[\W\d_]+")
 UNKNOWN = "und"
@@ -32,22 +33,20 @@ def letters(text: str) -> bytes:
     return _BETWEEN.sub(" ", text.lower()).encode("utf-8", "surrogatepass")
 
 
-def sample_dictionaries(
-    docs: DataFrame, text: str, lang: str, sample_docs: int = 192, sample_chars: int = 3000, size: int = 1 << 17
-) -> dict[str, bytes]:
-    """A dictionary of at most ``size`` bytes for each non-null language of the learning rows.
+def sample_dictionaries(docs: DataFrame, text: str, lang: str, sample_docs: int = 192) -> dict[str, bytes]:
+    """A dictionary of the whole texts of at most ``sample_docs`` rows for each non-null language.
 
-    The languages come in order of their numbers of rows, the most frequent first.
+    Rows with a letter are taken, in hash order. The languages come in order of their numbers of rows,
+    the most frequent first, then by name.
     """
-    rows = docs.select(F.col(lang).alias("lang"), F.substring(F.col(text), 1, sample_chars).alias("body"))
-    rows = rows.where("lang IS NOT NULL AND length(body) >= 40")
+    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("body")).where(F.col("lang").isNotNull() & F.col("body").rlike(r"\p{L}"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("body"), "body")
     picked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).collect()
     parts: dict[str, list[bytes]] = {}
     for row in sorted(picked, key=lambda r: (r["lang"], r["rank"])):
         parts.setdefault(row["lang"], []).append(letters(row["body"]))
     often = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    return {k: b"\n".join(parts[k])[:size] for k in sorted(parts, key=lambda k: (-often[k], k))}
+    return {k: b"\n".join(parts[k]) for k in sorted(parts, key=lambda k: (-often[k], k))}
 
 
 class Compressors:
@@ -73,16 +72,17 @@ class Compressors:
 def identify_language(
     docs: DataFrame, learn: DataFrame, text: str = "text", lang: str = "lang", narrow: float = 0.004, **sample
 ) -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred``, ``score`` and ``rejected``.
+    """The rows of ``docs`` with ``lang_pred``, ``score`` and ``rejected``. Whole texts are looked at.
 
     Only the columns ``text`` and ``lang`` of ``learn`` are learned from, only ``text`` of ``docs`` is
     looked at. ``lang_pred`` is the best learned language, ``und`` if the text is null or has no letter
     or nothing was learned (score 0, rejected). ``score`` is a softmax of the saved bytes. Ties go to
-    the language with more rows to learn from. ``rejected`` marks a margin under ``narrow`` of the smallest size. Other columns pass
-    through; old columns of the result names are replaced.
+    the language with more rows to learn from, then to the lesser name. ``rejected`` marks a margin under
+    ``narrow`` of the smallest size. Repeated rows are answered alike; an empty table gives an empty
+    table. Other columns pass through; old columns of the result names (in any case) are replaced.
     """
     names = ["lang_pred", "score", "rejected"]
-    passed = [c for c in docs.columns if c not in names]
+    passed, row = packed(docs, names, text)
     dictionaries = sample_dictionaries(learn, text, lang, **sample)
     held: list[Compressors] = []
 
@@ -104,4 +104,5 @@ def identify_language(
             out.append({"lang_pred": ranked[0], "score": score, "rejected": close})
         return pa.array(out, pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]))
 
-    return docs.select(*passed, predict(F.col(text)).alias("_x")).select(*passed, *[F.col(f"_x.{n}") for n in names])
+    rows = docs.select(row.alias("row"), F.col(text).alias("text"), predict(F.col(text)).alias("x"))
+    return rows.select(*unpacked(passed, "row", text, F.col("text")), *[F.col("x").getField(n).alias(n) for n in names])
