@@ -5,9 +5,8 @@ neighbours; a transition matrix joins adjacent lines. Training maximises the lik
 labelled documents, each line with its document's label. A document's score is the mean of the
 forward-backward marginals of its lines, weighted by their lengths.
 
-Scale: weights are fitted by the driver on a bounded sample of labelled documents
-(``sample_docs``, and ``sample_chars`` characters of each). Scoring is one pass over whole texts, without
-a shuffle.
+Scale: weights are fitted by the driver on the whole texts of at most ``SAMPLE`` labelled documents of either
+label. Scoring is one pass over whole texts, without a shuffle.
 """
 
 from __future__ import annotations
@@ -19,11 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
+
 _SYMBOL = re.compile(r"[#*$%&|<>=@^~{}\[\]\\_+]")
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]{2,}")
 _DIGIT = re.compile(r"[0-9]")
 _STOP = re.compile(r"[.!?]")
 N_OWN = 14
+#: Labelled documents that are learned from, at most, for each label.
+SAMPLE = 400
 
 
 def line_features(line: str) -> list[float]:
@@ -136,28 +139,33 @@ def fit(samples: list[tuple[str, int]], steps: int = 80, rate: float = 0.1, deca
     return LineModel(weights, trans)
 
 
-def score_quality(
-    docs: DataFrame, learn: DataFrame, text: str = "text", label: str = "quality",
-    sample_docs: int = 400, sample_chars: int = 4000,
-) -> DataFrame:
+def sample_labels(labels: DataFrame, label: str = "quality", key: str = "doc_id") -> DataFrame:
+    """``(key, label)`` of at most ``SAMPLE`` rows of label 0 and of label 1, in hash order of the key."""
+    some = labels.select(F.col(key), F.col(label).cast("int").alias(label)).where(F.col(key).isNotNull())
+    picked = [some.where(F.col(label) == y).orderBy(F.xxhash64(key), key).limit(SAMPLE) for y in (0, 1)]
+    return picked[0].union(picked[1])
+
+
+def score_quality(docs: DataFrame, learn: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
     """The rows of ``docs`` with ``score`` (0 to 1, higher is better) and ``predicted`` (1 from 0.5 on).
 
-    ``learn`` has a text and a label of 0 or 1 a row; rows with a null in either are left out, others are
-    sampled for each label in hash order. Null texts are scored as empty ones. Without labels
-    every score is 0.5. Other columns pass through; old columns of the result names are replaced.
+    ``learn`` has a text and a label of 0 or 1 a row; rows with a null in either are left out, and at most
+    ``SAMPLE`` of either label are learned from, in hash order of their texts. Whole texts are read in both.
+    Null texts are scored as empty ones, repeated rows alike; without labels every score is 0.5, and an
+    empty table gives an empty table. Other columns pass through; old columns of the result names (in
+    any case) are replaced.
     """
-    rows = learn.select(F.substring(F.col(text), 1, sample_chars).alias("body"), F.col(label).cast("int").alias("y"))
-    rows = rows.where("body IS NOT NULL AND y IN (0, 1)")
+    rows = learn.select(F.col(text).alias("body"), F.col(label).cast("int").alias("y")).where("body IS NOT NULL")
     picked = []
     for y in (0, 1):
-        picked += [tuple(r) for r in rows.where(F.col("y") == y).orderBy(F.xxhash64("body"), "body").limit(sample_docs).collect()]
+        picked += [tuple(r) for r in rows.where(F.col("y") == y).orderBy(F.xxhash64("body"), "body").limit(SAMPLE).collect()]
     model = fit(picked)
-    passed = [c for c in docs.columns if c not in ("score", "predicted")]
+    passed, row = packed(docs, ["score", "predicted"], text)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         return pa.array([model.score(t.as_py()) for t in texts], pa.float64())
 
-    return docs.select(*passed, score(F.col(text)).alias("score")).withColumn(
-        "predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0)
-    )
+    scored = docs.select(row.alias("row"), F.col(text).alias("text"), score(F.col(text)).alias("score"))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select(*unpacked(passed, "row", text, F.col("text")), "score", predicted)
