@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from boxloom.llm.chat import END, START, render_perspectives
 from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.langid import identify_language
-from boxloom.llm.line_quality import score_quality
+from boxloom.llm.line_quality import sample_labels, score_quality
 from boxloom.llm.minhash import near_duplicates
 from boxloom.llm.page_text import extract_main_text
 from boxloom.llm.pieces import encode_pieces
@@ -16,8 +16,6 @@ from boxloom.llm.quality_rules import STOP_WORDS, apply_rules, rules_sql
 from boxloom.llm.sharding import uniform_shards
 from boxloom.llm.suffix_dedup import remove_repeats
 
-#: Labelled documents a class that may be learned from, at most.
-LABELLED = 1500
 #: Words of a passage, at least.
 PASSAGE = 51
 
@@ -35,14 +33,11 @@ def _fold(folds: int) -> Column:
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in 24 shards under the law of equal row counts."""
+    """All documents in 24 shards under the law of equal row counts; whole rows are dealt."""
     body = F.coalesce("text", F.lit("")).cast("binary")
-    slim = _texts(spark, folder).select(
-        "doc_id", (F.octet_length(body) + 8).cast("bigint").alias("size"), F.crc32(body).alias("text_crc32")
-    )
-    return uniform_shards(slim, 24, seed=20).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"),
+    return uniform_shards(_table(spark, folder, "documents"), 24, seed=20).select(
+        "doc_id", (F.octet_length(body) + 8).cast("bigint").alias("size"), F.crc32(body).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
 
 
@@ -82,10 +77,9 @@ def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_line_quality(spark: SparkSession, folder: str) -> DataFrame:
-    labels = _table(spark, folder, "labels").select("doc_id", "quality").where(_fold(3) != 1)
-    some = [labels.where(F.col("quality") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED) for y in (0, 1)]
+    labels = sample_labels(_table(spark, folder, "labels").where(_fold(3) != 1))  # two times SAMPLE rows at most
     docs = _texts(spark, folder)
-    learn = docs.join(F.broadcast(some[0].union(some[1])), "doc_id").select("text", "quality")
+    learn = docs.join(F.broadcast(labels), "doc_id").select("text", "quality")
     held_out = F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out")
     return score_quality(docs, learn).select("doc_id", held_out, "score", "predicted")
 

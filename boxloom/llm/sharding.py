@@ -4,12 +4,12 @@ A uniform random permutation of all rows sends a random number of rows of each p
 Those numbers are drawn first, as one matrix with the partitions' row counts and the shards' sizes for
 margins; then partitions and shards only permute their own rows:
 
-1. rows are dealt evenly over partitions and put in random order within each;
+1. rows are put in random order within each partition;
 2. the first ``m[p][0]`` rows of partition ``p`` go to shard 0, the next ``m[p][1]`` to shard 1, ...;
 3. rows are put in random order again within each shard.
 
 Scale: the driver sees one count a partition and sends back one row of the matrix a partition, whose
-number is a parameter. No sort is global and none needs a whole shard in one task: a shard's order is a
+number is that of the partitions. No sort is global and none needs a whole shard in one task: a shard's order is a
 random key cut into ranges, whose counts give each range its first slot. Random keys are hashes of the
 row's place, so hot keys and repeated rows are spread like all others.
 """
@@ -22,22 +22,53 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
 from boxloom.llm.scratch import written
 
 _PLACE = (1 << 33) - 1  # monotonically_increasing_id: the partition above, the place in it below
 
 
+def _stirling_error(n: int) -> float:
+    """``ln n!`` less Stirling's formula, to the last digits also where ``ln n!`` itself is large."""
+    if n < 16:
+        return math.lgamma(n + 1) - (n + 0.5) * math.log(n) + n - 0.5 * math.log(2 * math.pi)
+    return (1 / 12 - (1 / 360 - (1 / 1260 - 1 / 1680 / n / n) / n / n) / n / n) / n
+
+
+def _deviance(x: float, mean: float) -> float:
+    """``x ln(x / mean) + mean - x``, without cancellation where the two are close."""
+    d = (x - mean) / (x + mean)
+    if abs(d) > 0.1:
+        return x * math.log(x / mean) + mean - x
+    total, term, k = (x - mean) * d, 2 * x * d, 1
+    while term and abs(term) > 1e-18 * abs(total):
+        term *= d * d
+        k += 2
+        total += term / k
+    return total
+
+
+def _binomial(x: int, n: int, p: float) -> float:
+    """Probability of ``x`` successes in ``n`` trials."""
+    if x in (0, n):
+        return (p if x else 1 - p) ** n
+    error = _stirling_error(n) - _stirling_error(x) - _stirling_error(n - x)
+    return math.sqrt(n / (2 * math.pi * x * (n - x))) * math.exp(error - _deviance(x, n * p) - _deviance(n - x, n * (1 - p)))
+
+
 def hypergeometric(rng: random.Random, good: int, bad: int, drawn: int) -> int:
-    """How many of ``drawn`` items without replacement are good, by inversion from the mode outwards."""
+    """How many of ``drawn`` items without replacement are good, by inversion from the mode outwards.
+
+    The mode's probability is a ratio of three binomial ones whose large parts cancel on paper, not in
+    doubles (Loader, "Fast and accurate computation of binomial probabilities", 2000), so it is good to
+    about 1e-12 at any number of rows. Draws beyond what is left of the sum by then fall to the mode.
+    """
     low, high = max(0, drawn - bad), min(drawn, good)
     if low == high:
         return low
     mode = min(high, max(low, (drawn + 1) * (good + 1) // (good + bad + 2)))
-
-    def choose(n: int, k: int) -> float:
-        return math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1)
-
-    p = math.exp(choose(good, mode) + choose(bad, drawn - mode) - choose(good + bad, drawn))
+    share = drawn / (good + bad)
+    p = _binomial(mode, good, share) * _binomial(drawn - mode, bad, share) / _binomial(drawn, good + bad, share)
     left = rng.random() - p
     up = down = mode
     p_up = p_down = p
@@ -80,15 +111,13 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: in
     """The rows of ``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (0, 1, ... in each shard).
 
     Shards differ by one row at most, the first ones are the larger. Any columns may be null; repeated
-    rows are rows of their own; an empty table gives an empty table. Old columns of the result names are
-    replaced. Rows are written once to the shared folder, so all steps see the same order, also after
-    a loss of executors.
+    rows are rows of their own; an empty table gives an empty table. Old columns of the result names (in
+    any case) are replaced. Rows are written once to the shared folder, so all steps see the same order,
+    also after a loss of executors.
     """
     spark = df.sparkSession
-    columns = [c for c in df.columns if c not in ("shard", "slot")]
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = df.select(F.struct(*columns).alias("row")).repartition(parts)  # round robin
-    rows = rows.withColumn("k", F.xxhash64("row", F.lit(seed))).sortWithinPartitions("k")
+    columns, row = packed(df, ["shard", "slot"])
+    rows = df.select(row.alias("row"), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("k")).sortWithinPartitions("k")
     rows = written(rows.select("row", F.monotonically_increasing_id().alias("id")))
     rows = rows.withColumn("part", F.shiftright("id", 33)).withColumn("place", F.col("id").bitwiseAND(_PLACE))
 
@@ -99,7 +128,7 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: in
     ends = [(p, [sum(own[: s + 1]) for s in range(shards)]) for (p, _), own in zip(counts, matrix, strict=True)]
     bounds = spark.createDataFrame(ends, "part bigint, ends array<bigint>")
 
-    ranges = max(1, -(-total // shards // rows_per_range), parts // shards)
+    ranges = max(1, -(-total // shards // rows_per_range), int(spark.conf.get("spark.sql.shuffle.partitions")) // shards)
     key = F.xxhash64("id", F.lit(seed + 1))
     dealt = rows.join(F.broadcast(bounds), "part").select(
         "row",
@@ -113,5 +142,5 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: in
     within = Window.partitionBy("shard", "range").orderBy("k")
     placed = dealt.withColumn("at", F.row_number().over(within) - 1)
     return placed.join(F.broadcast(firsts.drop("n")), ["shard", "range"]).select(
-        *[F.col(f"row.`{c}`").alias(c) for c in columns], "shard", (F.col("first") + F.col("at")).alias("slot")
+        *unpacked(columns, "row"), "shard", (F.col("first") + F.col("at")).alias("slot")
     )

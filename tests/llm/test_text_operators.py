@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import zlib
 
@@ -260,6 +261,19 @@ def test_hypergeometric_law():
     assert abs(sum(big) / 50 - 10**6 / 24) < 150
 
 
+def test_hypergeometric_probabilities():
+    from fractions import Fraction
+
+    from boxloom.llm.sharding import _binomial
+
+    for good, bad, drawn in ((3, 4, 2), (30, 70, 20), (500, 1500, 777), (10**6, 23 * 10**6, 300)):
+        mode = (drawn + 1) * (good + 1) // (good + bad + 2)
+        want = Fraction(math.comb(good, mode) * math.comb(bad, drawn - mode), math.comb(good + bad, drawn))
+        share = drawn / (good + bad)
+        got = _binomial(mode, good, share) * _binomial(drawn - mode, bad, share) / _binomial(drawn, good + bad, share)
+        assert abs(got / float(want) - 1) < 1e-11
+
+
 def test_communication_matrix_margins():
     m = communication_matrix([5, 0, 17, 30], [13, 13, 13, 13], 3)
     assert [sum(r) for r in m] == [5, 0, 17, 30] and [sum(c) for c in zip(*m, strict=True)] == [13] * 4
