@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
+
 # White space between words, symbols, and frequent function words of four languages.
 SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -45,6 +47,7 @@ RULES = (
 WINDOW = 8
 #: A row number beside the counts. A filter on the verdict cannot move below it, where it would copy all counts.
 ROW = "_boxloom_row"
+VERDICTS = ["base_failed", "failed_rules", "kept"]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_exclamations"]
 
 
@@ -53,15 +56,15 @@ def _words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_CLASS + "+"))
 
 
-def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The rows with the counts that rules use, all over the whole text (null: empty).
+def _measured(docs: DataFrame, text: str) -> tuple[list[str], DataFrame]:
+    """The names of the passed columns, and rows of these packed in ``_in``, the counts and ``ROW``.
 
     ``n_repeat_words`` counts words in windows of eight that occur twice or more in the text; windows are
     compared by 64-bit hashes, and only texts where two agree are looked at further.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    passed = [c for c in docs.columns if c not in COUNTS]
-    rows = docs.select(F.struct(*passed).alias("_in"), body.alias("_t"), _words(body).alias("_ws"))
+    passed, row = packed(docs, COUNTS + VERDICTS)
+    rows = docs.select(row.alias("_in"), body.alias("_t"), _words(body).alias("_ws"))
     lines = F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("_ls", lines).withColumn(
         "_hs",
@@ -103,8 +106,16 @@ def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
         "n_stop_words": F.size(stop),
         "n_exclamations": only("!"),
     }
-    own = [F.col(f"_in.`{c}`").alias(c) for c in passed]
-    return rows.select(*own, *[v.cast("bigint").alias(k) for k, v in counts.items()], F.monotonically_increasing_id().alias(ROW))
+    return passed, rows.select("_in", *[v.cast("bigint").alias(k) for k, v in counts.items()], F.monotonically_increasing_id().alias(ROW))
+
+
+def measure_text(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows with the counts that rules use, all over the whole text (null: empty).
+
+    Old columns of the names of counts and verdicts are replaced or left out.
+    """
+    passed, rows = _measured(docs, text)
+    return rows.select(*unpacked(passed, "_in"), *COUNTS)
 
 
 def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -112,14 +123,15 @@ def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
 
     ``base_failed``: under 20 words, or over 30 % of the words in repeated windows. ``failed_rules``
     names the rules of the table that do not hold. A text is kept if neither applies; null and empty
-    texts fail. Repeated rows are judged alike. Other columns pass through; old columns of the result names are replaced.
+    texts fail. Repeated rows are judged alike, an empty table gives an empty table. Other columns pass
+    through; old columns of the result names (in any case) are replaced.
     """
-    out = measure_text(docs, text)
-    out = out.drop(*[c for c in ("base_failed", "failed_rules", "kept") if c in docs.columns])
+    passed, out = _measured(docs, text)
     failed = [F.expr(f"if({r.holds()}, NULL, '{r.name}')") for r in rules]
     out = out.withColumn("base_failed", F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words"))
     out = out.withColumn("failed_rules", F.array_compact(F.array(*failed)))
-    return out.withColumn("kept", F.expr(f"NOT base_failed AND size(failed_rules) = 0 AND {ROW} >= 0")).drop(ROW)
+    out = out.withColumn("kept", F.expr(f"NOT base_failed AND size(failed_rules) = 0 AND {ROW} >= 0"))
+    return out.select(*unpacked(passed, "_in"), *COUNTS, *VERDICTS)
 
 
 def rules_sql(rules: tuple[Rule, ...] = RULES) -> str:
