@@ -8,12 +8,23 @@ never has to fit into one row or one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The marks around a turn.
 START, END = "<|im_start|>", "<|im_end|>"
-CHUNK = 256
+CHUNK = 256  # turns
+LEAD = 2  # characters
+
+
+def _same(rows: DataFrame, found: DataFrame, on: list[str], value: str) -> DataFrame:
+    """``rows`` with ``value`` of the row of ``found`` that has the same keys, nulls being equal."""
+    a, b = rows.alias("a"), found.alias("b")
+    equal = reduce(and_, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in on])
+    return a.join(b, equal, "left").select("a.*", f"b.{value}")
 
 
 def render_perspectives(
@@ -26,7 +37,7 @@ def render_perspectives(
     roles, which are rendered as ``system`` in every perspective. ``segment`` is the rendered turn,
     ``start`` its offset in characters in the rendered dialogue; ``mask_start`` to ``mask_end`` is the
     part that is trained on, null in others' turns. Turns are ordered by number, role and text, null first;
-    repeated rows stay. A null role is a user without a name and is no perspective; a null text is
+    repeated rows stay. An empty table gives an empty table. A null role is a user without a name and is no perspective; a null text is
     empty; rows with a null conversation form one conversation. A conversation without a
     speaker (context only) has no rendering. Extra columns are ignored.
     """
@@ -34,6 +45,7 @@ def render_perspectives(
         F.col(conversation).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("speaker"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),
     )
+    group = ["conv_id", "perspective"]
     people = rows.where(F.col("speaker").isNotNull() & ~F.col("speaker").isin(*context_roles))
     people = people.select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
     both = rows.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
@@ -46,19 +58,23 @@ def render_perspectives(
     head = F.concat(F.lit(START), "role", F.coalesce(name, F.lit("")), F.lit("\n"))
     both = both.withColumn("head", F.length(head)).withColumn("segment", F.concat(head, "body", F.lit(END + "\n")))
     both = both.withColumn("n", F.length("segment").cast("bigint"))
-    # A running sum in two steps, so that no window has to hold a long dialogue.
-    both = both.withColumn("chunk", F.floor(F.col("turn") / CHUNK))
+    # A running sum in three steps, so that no window has to hold a long dialogue: over chunks of turns, over
+    # the cells of a chunk, and over the rows of a cell, which differ in nothing but the text behind LEAD.
+    both = both.withColumn("chunk", F.floor(F.col("turn") / CHUNK)).withColumn("lead", F.substring("body", 1, LEAD))
+    earlier = (Window.unboundedPreceding, -1)
+
+    def before(column: str, by: list[str], *order: str) -> Column:
+        return F.coalesce(F.sum(column).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(*earlier)), F.lit(0))
+
     group = ["conv_id", "perspective"]
-    sums = both.groupBy(*group, "chunk").agg(F.sum("n").alias("whole"))
-    earlier = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("before", F.coalesce(F.sum("whole").over(earlier), F.lit(0)))
-    inside = Window.partitionBy(*group, "chunk").orderBy("turn", "speaker", "body")
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    a = both.withColumn("within", F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("a")
-    s = sums.alias("s")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*group, "chunk")]
-    out = a.join(s, same[0] & same[1] & same[2], "left").select("a.*", "s.before")
-    out = out.withColumn("start", F.col("before") + F.col("within"))
+    key = [*group, "chunk", "turn", "speaker", "lead"]
+    cells = both.groupBy(*key).agg(F.sum("n").alias("whole"))
+    chunks = cells.groupBy(*group, "chunk").agg(F.sum("whole").alias("sum"))
+    chunks = chunks.select(*group, "chunk", before("sum", group, "chunk").alias("base"))
+    cells = cells.select(*key, before("whole", [*group, "chunk"], "turn", "speaker", "lead").alias("first"))
+    cells = _same(cells, chunks, [*group, "chunk"], "base").select(*key, (F.col("base") + F.col("first")).alias("base"))
+    out = _same(both.withColumn("within", before("n", key, "body")), cells, key, "base")
+    out = out.withColumn("start", F.col("base") + F.col("within"))
     trained = F.col("role") == "assistant"
     return out.select(
         "conv_id", "perspective", "turn", "speaker", "role", "segment", "start",

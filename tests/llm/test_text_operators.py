@@ -422,6 +422,26 @@ def test_perspectives(spark):
     assert sorted(r.start for r in got if r.conv_id == 3) == [0, len("<|im_start|>assistant\ntwice<|im_end|>\n")]
 
 
+def test_perspectives_of_equal_and_missing_turns(spark):
+    rng = random.Random(31)
+    turns = [(rng.choice([None, 1, 2]), rng.choice([None, 3, 3, 700, rng.randrange(2000)]), rng.choice(["ann", "bob", "system", None]), rng.choice([None, "", "x", "xyz", "xyw" * 9])) for _ in range(400)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    low = lambda x: (x is not None, x)
+    want = collections.Counter()
+    for c in (None, 1, 2):
+        own = sorted(((t, r, b or "") for k, t, r, b in turns if k == c), key=lambda x: (low(x[0]), low(x[1]), x[2]))
+        for p in {r for _, r, _ in own} - {None, "system"}:
+            start = 0
+            for t, r, b in own:
+                role = "system" if r == "system" else "assistant" if r == p else "user"
+                segment = f"<|im_start|>{role}{f' name={r}' if role == 'user' and r else ''}\n{b}<|im_end|>\n"
+                want[(c, p, t, r, role, segment, start)] += 1
+                start += len(segment)
+    got = render_perspectives(table).collect()
+    assert collections.Counter(tuple(r)[:7] for r in got) == want
+    assert render_perspectives(table.limit(0)).count() == 0
+
+
 # ---- pieces
 
 
