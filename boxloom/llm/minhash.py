@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from boxloom.llm.columns import packed, unpacked
 from boxloom.llm.components import components
 from boxloom.llm.scratch import written
 from boxloom.llm.words import WordHashes, batches, mix64, shingle_set
@@ -134,18 +135,18 @@ def near_duplicates(
     also where ids repeat, and every wordless row. Null or wordless texts link with nothing;
     their component is their own id. Null ids are ignored by the minimum; a component of null ids
     only has a null ``component_id`` and its rows are kept. Repeated rows share a component and are
-    kept alike. Other columns pass through, but for old columns of the result names, which
+    kept alike. Other columns pass through, but for old columns of the result names (in any case), which
     are replaced. An empty table gives an empty table.
     """
     rows, bands = band_shape(percent / 100)
-    out_names = ["n_shingles", "component_id", "kept", "chosen"]
-    passed = [c for c in docs.columns if c not in out_names]
+    passed, row = packed(docs, ["n_shingles", "component_id", "kept", "chosen"], text)
     base = written(
         docs.select(
-            F.struct(*passed).alias("row"),
+            row.alias("row"),
+            F.col(text).alias("text"),
             F.col(doc_id).cast("bigint").alias("id"),
             _sketch_udf(rows, bands)(F.col(text)).alias("s"),
-        ).select("row", "id", F.monotonically_increasing_id().alias("no"), "s.*")
+        ).select("row", "text", "id", F.monotonically_increasing_id().alias("no"), "s.*")
     )
     first = F.struct(F.col("id").isNull().alias("none"), "id", "no")
     classes = written(
@@ -153,7 +154,7 @@ def near_duplicates(
         .agg(F.min(first).alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    links = _links(base.select(F.col(f"row.`{text}`").alias("text"), "set_key"), classes, percent)
+    links = _links(base.select("text", "set_key"), classes, percent)
     rooted = classes.join(components(links), "node", "left").select(
         "set_key", "rep", F.coalesce("root", "node").alias("root")
     )
@@ -162,7 +163,7 @@ def near_duplicates(
     joined = base.join(found, "set_key", "left")
     component = F.when(F.col("n") > 0, F.col("least.id")).otherwise(F.col("id"))
     return joined.select(
-        *[F.col(f"row.`{c}`").alias(c) for c in passed],
+        *unpacked(passed, "row", text, F.col("text")),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),

@@ -110,6 +110,24 @@ QUERIES = {
     "op10_suffix_array": op10_suffix_array,
 }
 
+_WORD = r"[^\x20\x09-\x0D]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _joined(spans: str) -> str:
+    """Spans that touch or overlap made one."""
+    return f"""(SELECT doc_id, min(s) AS s, max(e) AS e FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s, e) AS g FROM (
+            SELECT *, CASE WHEN s <= max(e) OVER (PARTITION BY doc_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh
+            FROM {spans})) GROUP BY doc_id, g)"""
+
+
+def _left(spans: str) -> str:
+    """The hexadecimal bytes between spans, in order."""
+    return f"""(SELECT doc_id, a, substr(h, 2 * a + 1, 2 * (z - a)) AS part FROM (
+            SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS a, s AS z FROM {spans}
+            UNION ALL SELECT doc_id, coalesce(max(e), 0), any_value(n) FROM b LEFT JOIN {spans} USING (doc_id) GROUP BY doc_id) JOIN b USING (doc_id))"""
+
+
 _SPACE = r"[\x20\x09-\x0D]"
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
@@ -178,4 +196,36 @@ SQL: dict[str, str] = {
         SELECT conv_id, perspective, turn, speaker, role, segment, start,
             CASE WHEN role = 'assistant' THEN start + length(head) END AS mask_start,
             CASE WHEN role = 'assistant' THEN start + length(segment) - 1 END AS mask_end FROM o""",
+    "op9_minhash": rf"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_WORD}') AS ws FROM documents),
+        sh AS (SELECT doc_id, unnest(list_distinct(list_transform(range(1, greatest(len(ws) - 4, 1) + 1), lambda i: hash(array_to_string(ws[i:i + 4], ' '))))) AS x
+            FROM d WHERE len(ws) > 0),
+        size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+        link AS (
+            SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b USING (x) WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+            JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+        least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM documents JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)""",
+    "op10_suffix_array": rf"""
+        WITH b AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+        bytes AS (SELECT doc_id, i AS s, i + 400 AS e FROM (
+            SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS m FROM (
+                SELECT doc_id, i, md5(substr(h, 2 * i + 1, 800)) AS k FROM (SELECT doc_id, h, unnest(range(n - 399)) AS i FROM b))) WHERE m > 1),
+        w AS (SELECT doc_id, regexp_extract_all(t, '{_WORD}') AS ws, regexp_extract_all(t, '{_SPACE}+') AS ss, CAST(regexp_matches(t, '^{_SPACE}') AS INT) AS lead FROM b),
+        one AS (SELECT doc_id, i, strlen(ws[i]) AS l, CASE WHEN i - 1 + lead > 0 THEN strlen(ss[i - 1 + lead]) ELSE 0 END AS gap
+            FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+        place AS (SELECT doc_id, i, e - l AS s, e FROM (SELECT *, CAST(sum(gap + l) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS e FROM one)),
+        passage AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY k) AS m FROM (
+            SELECT doc_id, i, md5(array_to_string(ws[i:i + {PASSAGE - 1}], ' ')) AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {PASSAGE - 2})) AS i FROM w))) WHERE m > 1),
+        exact AS {_joined("bytes")},
+        every AS {_joined(f"(SELECT * FROM bytes UNION ALL SELECT doc_id, p.s, q.e FROM passage x JOIN place p USING (doc_id, i) JOIN place q USING (doc_id) WHERE q.i = x.i + {PASSAGE - 1})")},
+        kept AS (SELECT doc_id, sha256(unhex(string_agg(part, '' ORDER BY a))) AS kept_sha256 FROM {_left("exact")} GROUP BY doc_id),
+        rest AS (SELECT doc_id, string_agg(decode(unhex(regexp_replace(regexp_replace(part, '^([89AB][0-9A-F])+', ''),
+            '([CD][0-9A-F]|E[0-9A-F]([89AB][0-9A-F])?|F[0-9A-F]([89AB][0-9A-F]){{0,2}})$', ''))), '' ORDER BY a) AS text FROM {_left("every")} GROUP BY doc_id)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, kept_sha256, text
+        FROM b JOIN kept USING (doc_id) JOIN rest USING (doc_id)
+        LEFT JOIN (SELECT doc_id, sum(e - s) AS gone, count(*) AS runs FROM exact GROUP BY doc_id) USING (doc_id)""",
 }

@@ -324,7 +324,7 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
         exact = every = _merged(found[0])
         if found[1]:
             edges = np.flatnonzero(np.diff(np.concatenate([[1], _SPACES[np.frombuffer(data, np.uint8)], [1]]))).tolist()
-            every = _merged(exact + [(edges[2 * a], edges[2 * b - 1]) for a, b in _merged(found[1])])
+            every = _merged(exact + [(edges[2 * a], edges[2 * b - 1]) for a, b in found[1]])
         out.append({
             "n_removed": sum(e - s for s, e in exact),
             "spans": [{"start": s, "end": e} for s, e in exact],
