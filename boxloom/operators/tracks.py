@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -11,6 +13,13 @@ from pyspark.sql import functions as F
 TRACK = ("sequence_id", "track_id")
 
 
+def on_ground(points: DataFrame) -> DataFrame:
+    """Points with ``y`` (0 if there is none, for motion along a line) and ``inside`` (true if nothing says otherwise)."""
+    if "y" not in points.columns:
+        points = points.withColumn("y", F.lit(0.0))
+    return points if "inside" in points.columns else points.withColumn("inside", F.lit(True))
+
+
 def track_segments(tracks: DataFrame, max_gap: float, fps: float = 1.0) -> DataFrame:
     """``segment`` of each point: a track is cut where it was missing for longer than ``max_gap`` seconds.
 
@@ -26,23 +35,26 @@ def track_segments(tracks: DataFrame, max_gap: float, fps: float = 1.0) -> DataF
 def track_speed(segmented: DataFrame, window: float, fps: float = 1.0) -> DataFrame:
     """``speed``: median of 3.6 * distance / time to all points at least max(0.25, window / 2) and at most ``window`` s old.
 
-    Null where no point qualifies. The frame of the window is the time, so a long track is never held whole.
+    Distances are on the ground plane (``x``, ``y``, in metres). Null where no point qualifies. The frame of the
+    window is the time, so a long track is never held whole.
     """
+    segmented = on_ground(segmented)
     frames = int(window * fps)
     w = Window.partitionBy(*TRACK, "segment").orderBy("frame_id").rangeBetween(-frames, Window.currentRow)
-    out = segmented.withColumn("_past", F.collect_list(F.struct("frame_id", "x")).over(w))
+    out = segmented.withColumn("_past", F.collect_list(F.struct("frame_id", "x", "y")).over(w))
     least = max(0.25, window / 2)
     out = out.withColumn("_v", F.expr(
-        f"array_sort(transform(filter(_past, p -> (frame_id - p.frame_id) / {fps}D >= {least}D), p -> 3.6D * abs(x - p.x) / ((frame_id - p.frame_id) / {fps}D)))"
+        f"array_sort(transform(filter(_past, p -> (frame_id - p.frame_id) / {fps}D >= {least}D), p -> "
+        f"3.6D * sqrt((x - p.x) * (x - p.x) + (y - p.y) * (y - p.y)) / ((frame_id - p.frame_id) / {fps}D)))"
     ))
     n = "size(_v)"
     median = F.expr(f"CASE WHEN {n} = 0 THEN NULL WHEN {n} % 2 = 1 THEN _v[CAST({n} / 2 AS INT)] ELSE (_v[CAST({n} / 2 AS INT) - 1] + _v[CAST({n} / 2 AS INT)]) / 2 END")
-    return out.withColumn("speed", median).drop("_past", "_v")
+    return out.withColumn("speed", median).drop("_past", "_v", "inside")
 
 
 @dataclass
 class StopRules:
-    """Parameters of a stop alert, in seconds and km/h."""
+    """Parameters of a stop alert, in seconds, km/h and metres on the ground."""
 
     stop_speed: float = 2.0
     resume_speed: float = 3.0
@@ -51,34 +63,41 @@ class StopRules:
     window: float = 2.0
     max_gap: float = 1.0
     fps: float = 1.0
+    camera: tuple[float, float] = (0.0, 0.0)
+
+    def __post_init__(self):
+        if not 0 < self.stop_speed < self.resume_speed:
+            raise ValueError("the resume speed has to be over the stop speed, and that over 0")
+        if min(self.stop_seconds, self.resume_seconds, self.window, self.fps) <= 0 or self.max_gap < 0:
+            raise ValueError("times and the frame rate have to be positive")
 
 
 @dataclass
 class StopState:
     """State of one track: recent positions, how long it stands or moves, and the open event."""
 
-    history: list = field(default_factory=list)
+    history: list = field(default_factory=list)  # (time, x, y)
     stopped_since: float | None = None
     moving_since: float | None = None
     last_seen: float | None = None
-    event: list | None = None  # started, alerted, last confirmed
+    event: list | None = None  # started, alerted, speed and range at the alert, last confirmed
 
-    def speed(self, now: float, x: float, rules: StopRules) -> float | None:
+    def speed(self, now: float, x: float, y: float, rules: StopRules) -> float | None:
         self.history = [p for p in self.history if p[0] >= now - rules.window]
         least = max(0.25, rules.window / 2)
-        found = sorted(3.6 * abs(x - p) / (now - t) for t, p in self.history if now - t >= least)
-        self.history.append((now, x))
+        found = sorted(3.6 * math.sqrt((x - a) * (x - a) + (y - b) * (y - b)) / (now - t) for t, a, b in self.history if now - t >= least)
+        self.history.append((now, x, y))
         if not found:
             return None
         k = len(found) // 2
         return found[k] if len(found) % 2 else (found[k - 1] + found[k]) / 2
 
     def close(self, at: float, reason: str) -> list:
-        out = [(*self.event[:2], at, reason)] if self.event else []
+        out = [(*self.event, at, reason)] if self.event else []
         self.event = self.stopped_since = self.moving_since = None
         return out
 
-    def step(self, now: float, x: float, inside: bool, rules: StopRules) -> list:
+    def step(self, now: float, x: float, y: float, inside: bool, rules: StopRules) -> list:
         """Take one point in time order; returns the events that end with it."""
         out = []
         if self.last_seen is not None and now - 1 / rules.fps - self.last_seen > rules.max_gap:
@@ -86,24 +105,25 @@ class StopState:
         self.last_seen = now
         if not inside:
             return out + self.close(now, "LEFT_ROI")
-        v = self.speed(now, x, rules)
+        v = self.speed(now, x, y, rules)
         if v is None:
             return out
         if self.event is None:
             if v <= rules.stop_speed:
                 self.stopped_since = now if self.stopped_since is None else self.stopped_since
                 if now - self.stopped_since >= rules.stop_seconds:
-                    self.event, self.moving_since = [self.stopped_since, now, now], None
+                    away = math.sqrt((x - rules.camera[0]) * (x - rules.camera[0]) + (y - rules.camera[1]) * (y - rules.camera[1]))
+                    self.event, self.moving_since = [self.stopped_since, now, v, away, now], None
             elif v >= rules.resume_speed:
                 self.stopped_since = None
         else:
-            self.event[2] = now
             if v <= rules.stop_speed:
                 self.moving_since = None
             elif v >= rules.resume_speed:
                 self.moving_since = now if self.moving_since is None else self.moving_since
                 if now - self.moving_since >= rules.resume_seconds:
-                    out += self.close(now, "MOTION_RESUMED")
+                    return out + self.close(now, "MOTION_RESUMED")
+            self.event[4] = now
         return out
 
     def lost(self) -> list:
@@ -118,28 +138,38 @@ class StopState:
         return self.close(last, "END_OF_REPLAY")
 
 
+EVENTS = (
+    "sequence_id string, track_id long, started_at_s double, alerted_at_s double, speed_kmh_at_alert double, "
+    "range_m_at_alert double, last_seen_at_s double, ended_at_s double, end_reason string"
+)
+EVENT_NAMES = [c.split()[0] for c in EVENTS.split(", ")]
+
+
 def stop_alert_batch(tracks: DataFrame, rules: StopRules) -> DataFrame:
-    """Stop events of stored tracks: one group is one track, whose points are a few numbers each.
+    """Stop events of stored tracks (``EVENTS``). An optional boolean ``inside``: the point is in the region of interest.
 
-    Columns: sequence_id, track_id, started_at_s, alerted_at_s, ended_at_s, end_reason. An optional
-    boolean column ``inside`` tells whether a point is in the region of interest.
+    Rows are dealt by track and sorted; a partition is read as a stream that holds the state of one track.
     """
-    if "inside" not in tracks.columns:
-        tracks = tracks.withColumn("inside", F.lit(True))
+    tracks = on_ground(tracks)
     ends = tracks.groupBy("sequence_id").agg(F.max("frame_id").alias("last_frame"))
-    rows = tracks.join(ends, "sequence_id").select(*TRACK, "frame_id", "x", "inside", "last_frame")
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        state, out = StopState(), []
-        group = group.sort_values("frame_id")
-        for frame, x, inside in zip(group.frame_id, group.x, group.inside, strict=True):
-            out += state.step((frame - 1) / rules.fps, x, inside, rules)
-        out += state.end((group.last_frame.iloc[0] - 1) / rules.fps, rules)
-        rows = [(group.sequence_id.iloc[0], group.track_id.iloc[0], *e) for e in out]
-        return pd.DataFrame(rows, columns=["sequence_id", "track_id", "started_at_s", "alerted_at_s", "ended_at_s", "end_reason"])
-
-    schema = "sequence_id string, track_id long, started_at_s double, alerted_at_s double, ended_at_s double, end_reason string"
-    return rows.groupBy(*TRACK).applyInPandas(run, schema)
+    rows = tracks.join(ends, "sequence_id").select(*TRACK, "frame_id", "x", "y", "inside", "last_frame")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, state, last = None, StopState(), 0.0
+        for part in parts:
+            out = []
+            for sequence, track, frame, x, y, inside, last_frame in zip(*(part[c].tolist() for c in part.columns), strict=True):
+                if own != (sequence, track):
+                    if own:
+                        out += [(*own, *e) for e in state.end(last, rules)]
+                    own, state = (sequence, track), StopState()
+                last = (last_frame - 1) / rules.fps
+                out += [(*own, *e) for e in state.step((frame - 1) / rules.fps, x, y, inside, rules)]
+            yield pd.DataFrame(out, columns=EVENT_NAMES)
+        if own:
+            yield pd.DataFrame([(*own, *e) for e in state.end(last, rules)], columns=EVENT_NAMES)
+
+    return rows.repartition(*TRACK).sortWithinPartitions(*TRACK, "frame_id").mapInPandas(run, EVENTS)
 
 
 def number_events(events: DataFrame) -> DataFrame:
@@ -155,18 +185,30 @@ def match_expected_events(expected: DataFrame, alerts: DataFrame) -> DataFrame:
     inside = F.expr("alerted_at_s BETWEEN expected_start_s AND expected_end_s")
     pairs = pairs.withColumn("event_id", F.when(inside, F.col("event_id"))).withColumn("alerted_at_s", F.when(inside, F.col("alerted_at_s")))
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        used, rows = set(), []
-        for key, own in group.groupby(["expected_start_s", "expected_id"], sort=True):
-            free = own[own.event_id.notna() & ~own.event_id.isin(used)].sort_values(["alerted_at_s", "event_id"])
-            hit = None if free.empty else free.iloc[0]
-            if hit is not None:
-                used.add(hit.event_id)
-            rows.append((group.sequence_id.iloc[0], group.track_id.iloc[0], key[1], key[0], None if hit is None else hit.event_id, None if hit is None else float(hit.alerted_at_s)))
-        return pd.DataFrame(rows, columns=["sequence_id", "track_id", "expected_id", "expected_start_s", "event_id", "alerted_at_s"])
+    names = ["sequence_id", "track_id", "expected_id", "expected_start_s", "event_id", "alerted_at_s"]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # the state is one expected interval's answer and the alerts of one track used so far
+        own, used, held = None, set(), None
+        for part in parts:
+            out = []
+            for row in zip(*(part[c].tolist() for c in names), strict=True):
+                if held and row[:3] != held[:3]:
+                    out.append(held)
+                    held = None
+                if row[:2] != own:
+                    own, used = row[:2], set()
+                held = held or (*row[:4], None, None)
+                if held[4] is None and row[4] is not None and row[4] not in used:
+                    used.add(row[4])
+                    held = row
+            yield pd.DataFrame(out, columns=names).astype({"alerted_at_s": float})
+        if held:
+            yield pd.DataFrame([held], columns=names).astype({"alerted_at_s": float})
 
     schema = "sequence_id string, track_id long, expected_id string, expected_start_s double, event_id string, alerted_at_s double"
-    return pairs.groupBy(*TRACK).applyInPandas(run, schema)
+    order = [*TRACK, "expected_start_s", "expected_id", F.asc_nulls_last("alerted_at_s"), "event_id"]
+    return pairs.select(*names).repartition(*TRACK).sortWithinPartitions(*order).mapInPandas(run, schema)
 
 
 def alert_metrics(matched: DataFrame, alerts: DataFrame, hours: float) -> DataFrame:

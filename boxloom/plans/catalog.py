@@ -706,35 +706,77 @@ def track_segments(spark, d):
     return K.track_segments(A.tracks(spark, d), 24).select("sequence_id", "track_id", "frame_id", "segment")
 
 
-@query("""SELECT a.sequence_id, a.track_id, a.frame_id, round(median(3.6 * abs(a.x - b.x) / (a.frame_id - b.frame_id)), 6) AS speed FROM seg a LEFT JOIN seg b ON a.sequence_id = b.sequence_id AND a.track_id = b.track_id AND a.segment = b.segment
+@query("""SELECT a.sequence_id, a.track_id, a.frame_id, round(median(3.6 * sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / (a.frame_id - b.frame_id)), 6) AS speed FROM seg a LEFT JOIN seg b ON a.sequence_id = b.sequence_id AND a.track_id = b.track_id AND a.segment = b.segment
     AND a.frame_id - b.frame_id BETWEEN 24 AND 48 GROUP BY ALL""", "tracks", "seg")
 def track_speed(spark, d):
     out = K.track_speed(K.track_segments(A.tracks(spark, d), 24), 48)
     return out.select("sequence_id", "track_id", "frame_id", F.round("speed", 6).alias("speed"))
 
 
+#: The state machine, one point of every track a step: since when it stands (ss) or moves (ms), the open event (es to el), the one just closed (done).
+A.SQL["alerts"] = """sp AS (SELECT *, row_number() OVER (PARTITION BY sequence_id, track_id ORDER BY frame_id) AS k, max(frame_id) OVER (PARTITION BY sequence_id) - 1.0 AS last FROM (
+        SELECT a.sequence_id, a.track_id, a.frame_id, a.segment, a.frame_id - 1.0 AS now, sqrt(a.x * a.x + a.y * a.y) AS away,
+            median(3.6 * sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / (a.frame_id - b.frame_id)) AS v
+        FROM seg a LEFT JOIN seg b ON a.sequence_id = b.sequence_id AND a.track_id = b.track_id AND a.segment = b.segment AND a.frame_id - b.frame_id BETWEEN 24 AND 48 GROUP BY ALL)),
+    st AS (SELECT sequence_id, track_id, k, segment, now::DOUBLE AS now, NULL::DOUBLE AS ss, NULL::DOUBLE AS ms, NULL::STRUCT(es DOUBLE, ea DOUBLE, ev DOUBLE, er DOUBLE, el DOUBLE) AS e,
+            NULL::STRUCT(es DOUBLE, ea DOUBLE, ev DOUBLE, er DOUBLE, el DOUBLE) AS done, NULL::DOUBLE AS ended, NULL::VARCHAR AS why FROM sp WHERE k = 1
+        UNION ALL SELECT sequence_id, track_id, k, segment, now, CASE WHEN over THEN NULL ELSE ss END, CASE WHEN over OR opens THEN NULL ELSE ms END,
+            CASE WHEN over THEN NULL WHEN opens THEN {{'es': ss, 'ea': now, 'ev': v, 'er': away, 'el': now}} WHEN e IS NOT NULL AND v IS NOT NULL THEN {{'es': e.es, 'ea': e.ea, 'ev': e.ev, 'er': e.er, 'el': now}} ELSE e END,
+            CASE WHEN over THEN e ELSE gone END, CASE WHEN over THEN now ELSE was END, CASE WHEN over THEN 'MOTION_RESUMED' WHEN gone IS NOT NULL THEN 'TRACK_LOST' END FROM (
+                SELECT *, e IS NULL AND v <= {stop} AND now - ss >= {stop_s} AS opens, e IS NOT NULL AND v >= {resume} AND now - ms >= {resume_s} AS over FROM (
+                    SELECT * EXCLUDE (ss, ms), CASE WHEN e IS NULL AND v <= {stop} THEN coalesce(ss, now) WHEN e IS NULL AND v >= {resume} THEN NULL ELSE ss END AS ss,
+                        CASE WHEN e IS NOT NULL AND v <= {stop} THEN NULL WHEN e IS NOT NULL AND v >= {resume} THEN coalesce(ms, now) ELSE ms END AS ms FROM (
+                        SELECT p.sequence_id, p.track_id, p.k, p.segment, p.now::DOUBLE AS now, p.v, p.away, s.now AS was, CASE WHEN cut THEN s.e END AS gone,
+                            CASE WHEN NOT cut THEN s.e END AS e, CASE WHEN NOT cut THEN s.ss END AS ss, CASE WHEN NOT cut THEN s.ms END AS ms
+                        FROM (SELECT *, k + 1 AS nk FROM st) s JOIN sp p ON p.sequence_id = s.sequence_id AND p.track_id = s.track_id AND p.k = s.nk, LATERAL (SELECT p.segment <> s.segment AS cut))))),
+    alerts AS (SELECT *, row_number() OVER (PARTITION BY sequence_id ORDER BY alerted_at_s, track_id) AS event_no FROM (
+        SELECT sequence_id, track_id, done.es AS started_at_s, done.ea AS alerted_at_s, done.ev AS speed_kmh_at_alert, done.er AS range_m_at_alert, done.el AS last_seen_at_s, ended AS ended_at_s, why AS end_reason FROM st WHERE done IS NOT NULL
+        UNION ALL SELECT sequence_id, track_id, e.es, e.ea, e.ev, e.er, e.el, CASE WHEN last - now > 24 THEN now ELSE last END, CASE WHEN last - now > 24 THEN 'TRACK_LOST' ELSE 'END_OF_REPLAY' END FROM (
+            SELECT st.*, sp.last, row_number() OVER (PARTITION BY sequence_id, track_id ORDER BY k DESC) AS back FROM st JOIN sp USING (sequence_id, track_id, k)) WHERE back = 1 AND e IS NOT NULL))""".format(
+    stop=STOP_RULES.stop_speed, resume=STOP_RULES.resume_speed, stop_s=STOP_RULES.stop_seconds, resume_s=STOP_RULES.resume_seconds
+)
+_ALERTS = ("tracks", "seg", "alerts")
+_ROUNDED = ("speed_kmh_at_alert", "range_m_at_alert")
+
+
 def _alerts(spark, d):
     return K.number_events(K.stop_alert_batch(A.tracks(spark, d), STOP_RULES))
 
 
-@query()
+@query(f"""SELECT * EXCLUDE ({", ".join(_ROUNDED)}), round(speed_kmh_at_alert, 6) AS speed_kmh_at_alert, round(range_m_at_alert, 6) AS range_m_at_alert,
+    sequence_id || '_EV' || lpad(CAST(event_no AS VARCHAR), 5, '0') AS event_id FROM alerts""", *_ALERTS)
 def stop_alert_batch(spark, d):
-    return _alerts(spark, d)
+    return _alerts(spark, d).withColumns({c: F.round(c, 6) for c in _ROUNDED})
 
 
-@query()
+@query("SELECT sequence_id, end_reason, count(*) AS n_events, sum(ended_at_s - started_at_s) AS stopped_s, count(DISTINCT track_id) AS n_tracks FROM alerts GROUP BY ALL", *_ALERTS)
 def replay_summary(spark, d):
     return K.replay_summary(_alerts(spark, d))
 
 
-@query()
-def alert_metrics(spark, d):
-    a = _alerts(spark, d)
-    expected = A.tracks(spark, d).groupBy("sequence_id", "track_id").agg(F.min("frame_id").alias("f")).selectExpr(
+#: What each track should have raised: one interval from its first frame on.
+A.SQL["found"] = """found AS (SELECT x.sequence_id, x.track_id, x.sequence_id || ':' || x.track_id AS expected_id, s AS expected_start_s, a.alerted_at_s, a.event_no
+    FROM (SELECT sequence_id, track_id, min(frame_id)::DOUBLE AS s FROM tracks WHERE track_id % 3 = 0 GROUP BY ALL) x LEFT JOIN alerts a ON a.sequence_id = x.sequence_id AND a.track_id = x.track_id AND a.alerted_at_s BETWEEN s AND s + 200
+    QUALIFY row_number() OVER (PARTITION BY x.sequence_id, x.track_id ORDER BY a.alerted_at_s) = 1)"""
+
+
+def _expected(spark, d):
+    return A.tracks(spark, d).groupBy("sequence_id", "track_id").agg(F.min("frame_id").alias("f")).selectExpr(
         "sequence_id", "track_id", "concat(sequence_id, ':', track_id) AS event_id", "CAST(f AS DOUBLE) AS expected_start_s", "CAST(f + 200 AS DOUBLE) AS expected_end_s",
         "if(track_id % 3 = 0, 'APPROVED', 'DRAFT') AS approval_status",
     )
-    return K.alert_metrics(K.match_expected_events(expected, a), a, hours=0.2)
+
+
+@query("""SELECT sequence_id, track_id, expected_id, expected_start_s, alerted_at_s, CASE WHEN event_no IS NOT NULL THEN sequence_id || '_EV' || lpad(CAST(event_no AS VARCHAR), 5, '0') END AS event_id FROM found""", *_ALERTS, "found")
+def match_expected_events(spark, d):
+    return K.match_expected_events(_expected(spark, d), _alerts(spark, d))
+
+
+@query("""SELECT n_expected, n_alerts, n_expected - n_matched AS n_missed, (n_alerts - n_matched) / 0.2 AS false_alerts_per_hour, mean_latency_s, 'MEASURED' AS status FROM (
+    SELECT count(*) AS n_expected, count(event_no) AS n_matched, avg(alerted_at_s - expected_start_s) AS mean_latency_s FROM found), (SELECT count(*) AS n_alerts FROM alerts)""", *_ALERTS, "found")
+def alert_metrics(spark, d):
+    a = _alerts(spark, d)
+    return K.alert_metrics(K.match_expected_events(_expected(spark, d), a), a, hours=0.2)
 
 
 # ---- metadata

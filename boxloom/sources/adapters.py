@@ -94,12 +94,14 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tracks(spark: SparkSession, folder: str) -> DataFrame:
-    """One position a track and hour; the frame is the number of hours."""
+    """One ground position a track and hour; the frame is the number of hours."""
     rows = table(spark, folder, "events").selectExpr(
         "concat('CAM', user_id % 5) AS sequence_id", "user_id AS track_id",
-        "CAST(floor(unix_micros(CAST(ts AS TIMESTAMP)) / 3600000000.0) AS BIGINT) - 473352 AS frame_id", "CAST(value AS DOUBLE) AS x", "event_id",
+        "CAST(floor(unix_micros(CAST(ts AS TIMESTAMP)) / 3600000000.0) AS BIGINT) - 473352 AS frame_id", "CAST(value AS DOUBLE) AS x",
+        "CAST(regexp_extract(props, '[0-9]+', 0) AS DOUBLE) / 10 AS y", "event_id",
     )
-    return rows.groupBy("sequence_id", "track_id", "frame_id").agg(F.min_by("x", "event_id").alias("x"))
+    first = rows.groupBy("sequence_id", "track_id", "frame_id").agg(F.min_by(F.struct("x", "y"), "event_id").alias("p"))
+    return first.select("sequence_id", "track_id", "frame_id", "p.x", "p.y")
 
 
 SQL = {
@@ -142,8 +144,8 @@ SQL = {
     + " + ".join(f"CASE WHEN embedding[{k + 1}] > 0 THEN {2 ** (17 * k)}::BIGINT ELSE 0 END" for k in range(4))
     + """) AS phash, (['train', 'validation', 'cross_test', NULL])[vec_id // 100 % 4 + 1] AS split FROM embeddings))""",
     "tracks": """tracks AS (
-    SELECT 'CAM' || (user_id % 5) AS sequence_id, user_id AS track_id, frame_id, min_by(x, event_id) AS x FROM (
-        SELECT *, CAST(floor(epoch_us(ts) / 3600000000.0) AS BIGINT) - 473352 AS frame_id, CAST(value AS DOUBLE) AS x FROM events)
+    SELECT 'CAM' || (user_id % 5) AS sequence_id, user_id AS track_id, frame_id, min_by(x, event_id) AS x, min_by(y, event_id) AS y FROM (
+        SELECT *, CAST(floor(epoch_us(ts) / 3600000000.0) AS BIGINT) - 473352 AS frame_id, CAST(value AS DOUBLE) AS x, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) / 10 AS y FROM events)
     GROUP BY ALL)""",
 }
 

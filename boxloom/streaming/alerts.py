@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from boxloom.operators.tracks import StopRules, StopState
+from boxloom.operators.tracks import EVENT_NAMES, EVENTS, StopRules, StopState, on_ground
 
-EVENTS = "sequence_id string, track_id long, started_at_s double, alerted_at_s double, ended_at_s double, end_reason string"
-STATE = "ts array<double>, xs array<double>, stopped double, moving double, seen double, event array<double>"
+STATE = "ts array<double>, xs array<double>, ys array<double>, stopped double, moving double, seen double, event array<double>"
 
 
 def frame_stride(points: DataFrame, n: int) -> DataFrame:
@@ -46,12 +45,12 @@ def _windowed(points: DataFrame, delay: str, window) -> DataFrame:
 
 
 def _load(held) -> StopState:
-    ts, xs, stopped, moving, seen, event = held
-    return StopState(list(zip(ts, xs, strict=True)), stopped, moving, seen, list(event) if event else None)
+    ts, xs, ys, stopped, moving, seen, event = held
+    return StopState(list(zip(ts, xs, ys, strict=True)), stopped, moving, seen, list(event) if event else None)
 
 
 def _save(s: StopState):
-    return ([t for t, _ in s.history], [x for _, x in s.history], s.stopped_since, s.moving_since, s.last_seen, s.event or [])
+    return (*([p[k] for p in s.history] for k in range(3)), s.stopped_since, s.moving_since, s.last_seen, s.event or [])
 
 
 def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFrame:
@@ -61,8 +60,7 @@ def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFr
     later than the track's last point, are late and left out. A track that stays away longer than the gap is closed by an event-time
     timer as TRACK_LOST, and its state goes. The end of a stream closes nothing.
     """
-    if "inside" not in points.columns:
-        points = points.withColumn("inside", F.lit(True))
+    points = on_ground(points)
 
     def run(key, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
         state = _load(held.get) if held.exists else StopState()
@@ -72,15 +70,15 @@ def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFr
             held.remove()
         else:
             rows = pd.concat(list(parts)).sort_values("frame_id")
-            for frame, x, inside in zip(rows.frame_id, rows.x, rows.inside, strict=True):
+            for frame, x, y, inside in zip(rows.frame_id, rows.x, rows.y, rows.inside, strict=True):
                 now = (frame - 1) / rules.fps
                 if state.last_seen is None or now > state.last_seen:
-                    found += state.step(now, x, inside, rules)
+                    found += state.step(now, x, y, inside, rules)
             held.update(_save(state))
             last = int(rows.ts.max().timestamp() * 1000)
             wait = last + int((rules.max_gap + 1 / rules.fps) * 1000) + 1
             held.setTimeoutTimestamp(max(wait, held.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(*key, *e) for e in found], columns=[c.split()[0] for c in EVENTS.split(", ")])
+        yield pd.DataFrame([(*key, *e) for e in found], columns=EVENT_NAMES)
 
-    rows = points.withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", "x", "inside", "ts")
+    rows = points.withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", "x", "y", "inside", "ts")
     return rows.groupBy("sequence_id", "track_id").applyInPandasWithState(run, EVENTS, STATE, "append", GroupStateTimeout.EventTimeTimeout)
