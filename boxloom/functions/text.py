@@ -54,4 +54,9 @@ def finite_double(c: Column) -> Column:
 def note_camera_view(note: Column) -> Column:
     """Camera view from words of a review note."""
     n = F.lower(note)
-    return F.when(n.contains("overhead") | n.contains("high"), "HIGH").when(n.contains("street") | n.contains("low"), "LOW").otherwise("UNKNOWN")
+    return F.when(n.contains("aerial") | n.contains("overhead"), "OVERHEAD_TOP_DOWN").when(n.contains("dashcam"), "FRONT_DASHCAM").otherwise("ROADSIDE_LEVEL")
+
+
+def note_weather(note: Column) -> Column:
+    """Weather from words of a review note."""
+    return F.when(F.lower(note).contains("wet-road"), "RAIN_OR_WET_ROAD").otherwise("UNKNOWN")

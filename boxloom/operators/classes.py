@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.functions.text import normal_path
+
 
 def apply_class_rules(boxes: DataFrame, rules: DataFrame) -> DataFrame:
     """Left join with the rules; ``action`` is KEEP, IGNORE_REGION or REJECT, with the mapping status.
@@ -77,22 +79,21 @@ def apply_split_moves(rows: DataFrame, moves: DataFrame) -> DataFrame:
 
 
 def select_by_manifest(rows: DataFrame, manifest: DataFrame, path: str = "source_file") -> DataFrame:
-    """Rows whose path equals a selected manifest path, or is the only one that ends with it.
+    """Rows whose path equals a selected manifest path, or else ends with it at a slash; ``n_matches`` by wanted path.
 
-    Suffixes are compared among equal file names only.
+    A path is spelled out as its suffixes, so the join is on whole wanted paths and not on a bare file
+    name that every sequence has.
     """
-    def plain(c):
-        return F.lower(F.regexp_replace(F.trim(F.translate(c, "\\", "/")), r"^(\./)+", ""))
-
-    m = manifest.where("selected").select(plain(path).alias("wanted")).distinct().withColumn("name", F.element_at(F.split("wanted", "/"), -1))
-    r = rows.withColumn("own", plain(path)).withColumn("name", F.element_at(F.split("own", "/"), -1))
-    hits = r.join(m, "name").where("own = wanted OR own LIKE concat('%/', wanted)")
-    exact = F.max(F.col("own") == F.col("wanted")).over(_by("wanted"))
+    m = manifest.where("selected").select(normal_path(F.col(path)).alias("wanted")).distinct()
+    r = rows.withColumn("own", normal_path(F.col(path))).withColumn("parts", F.split("own", "/"))
+    suffixes = F.expr("transform(sequence(1, size(parts)), k -> array_join(slice(parts, k, size(parts)), '/'))")
+    hits = r.withColumn("wanted", F.explode(suffixes)).join(m, "wanted")
+    exact = F.max(F.col("own") == F.col("wanted")).over(Window.partitionBy("wanted"))
     hits = hits.withColumn("exact", exact).where("NOT exact OR own = wanted")
-    return hits.withColumn("n_matches", F.count(F.lit(1)).over(_by("wanted"))).drop("name", "own", "exact")
-
+    return hits.withColumn("n_matches", F.count(F.lit(1)).over(Window.partitionBy("wanted"))).drop("own", "parts", "exact")
 
-def _by(*keys):
-    from pyspark.sql import Window
 
-    return Window.partitionBy(*keys)
+def join_image_dims(boxes: DataFrame, images: DataFrame) -> DataFrame:
+    """Boxes with ``width`` and ``height`` of their image, and an ``issue`` where it has none."""
+    out = boxes.drop("width", "height").join(images.select("image_id", "width", "height"), "image_id", "left")
+    return out.withColumn("issue", F.when(F.col("width").isNull() | F.col("height").isNull(), "MISSING_IMAGE_METADATA"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,38 +46,61 @@ def near_duplicate_consecutive(files: DataFrame, least: float = 0.95) -> DataFra
     )
 
 
+BANDS = ((0, 22), (22, 21), (43, 21))  # first bit and width
+
+
+def _masks(width: int, errors: int) -> list[int]:
+    """All differences of at most ``errors`` bits in a band."""
+    return [sum(1 << b for b in bits) for n in range(errors + 1) for bits in combinations(range(width), n)]
+
+
 def near_hash_pairs(hashes: DataFrame, distance: int, column: str = "phash") -> DataFrame:
     """Pairs ``(a, b, distance)`` of distinct hashes within a Hamming distance, ``a < b``.
 
-    ``distance + 1`` bands are complete: two hashes within the distance agree in one. The pairs are of
-    distinct hashes, however many files share one; files are joined by the caller.
+    Two hashes within the distance differ in at most a third of it in one of three bands. Those
+    differences are spelled out, half of them on either side, so that keys keep 21 bits and buckets stay
+    small at any number of hashes. The pairs are of distinct hashes, however many files share one;
+    files are joined by the caller.
     """
-    n = distance + 1
-    width, rest = divmod(64, n)
-    bands, at = [], 0
-    for k in range(n):
-        size = width + (k < rest)
-        mask = (1 << size) - 1
-        bands.append(F.struct(F.lit(k).alias("k"), F.shiftrightunsigned(column, at).bitwiseAND(F.lit(mask)).alias("v")))
-        at += size
-    keyed = hashes.select(column).where(F.col(column).isNotNull()).distinct().select(column, F.explode(F.array(*bands)).alias("band"))
-    x = keyed.select("band", F.col(column).alias("a"))
-    y = keyed.select("band", F.col(column).alias("b"))
-    pairs = x.join(y, "band").where((F.col("a") < F.col("b")) & (hamming(F.col("a"), F.col("b")) <= distance))
+    errors = distance // len(BANDS)
+    some = hashes.select(column).where(F.col(column).isNotNull()).distinct()
+
+    def keys(k: int, at: int, width: int, most: int) -> Column:
+        band = F.shiftrightunsigned(column, at).bitwiseAND(F.lit((1 << width) - 1))
+        masks = F.array(*[F.lit(m).cast("bigint") for m in _masks(width, most)])
+        return F.transform(masks, lambda m: F.struct(F.lit(k).alias("k"), band.bitwiseXOR(m).alias("v")))
+
+    def keyed(name: str, most: int) -> DataFrame:
+        bands = F.concat(*[keys(k, *band, most) for k, band in enumerate(BANDS)])
+        return some.select(F.col(column).alias(name), F.explode(bands).alias("band"))
+
+    pairs = keyed("a", errors - errors // 2).join(keyed("b", errors // 2), "band")
+    pairs = pairs.where((F.col("a") < F.col("b")) & (hamming(F.col("a"), F.col("b")) <= distance))
     return pairs.select("a", "b", hamming(F.col("a"), F.col("b")).alias("distance")).distinct()
 
 
 def near_duplicate_cross_split(files: DataFrame, distance: int = 3) -> DataFrame:
-    """Pairs of files in different splits with nearly equal hashes and different content."""
-    f = files.where("split IS NOT NULL")
-    pairs = near_hash_pairs(f, distance).unionByName(f.select(F.col("phash").alias("a"), F.col("phash").alias("b"), F.lit(0).alias("distance")).distinct())
-    one = f.select(F.col("phash").alias("a"), F.col("file_id").alias("file_a"), F.col("split").alias("split_a"), F.col("sha256").alias("sa"))
-    two = f.select(F.col("phash").alias("b"), F.col("file_id").alias("file_b"), F.col("split").alias("split_b"), F.col("sha256").alias("sb"))
-    out = pairs.join(one, "a").join(two, "b").where("split_a <> split_b AND sa <> sb AND (distance > 0 OR file_a < file_b)")
-    out = out.select(
-        F.least("file_a", "file_b").alias("file_a"), F.greatest("file_a", "file_b").alias("file_b"), "distance",
-    )
-    return out.withColumn("similarity", F.round(1 - F.col("distance") / 64, 6))
+    """Hashes in different splits that are nearly equal, with ``n_pairs`` of files of different content.
+
+    One row is a pair of (hash, split); the files of a hash are counted, not paired. ``n_pairs`` is the product of both
+    counts less the pairs of equal content.
+    """
+    f = files.where("split IS NOT NULL AND phash IS NOT NULL")
+    contents = f.groupBy("phash", "split", "sha256").agg(F.count(F.lit(1)).alias("n"))
+    groups = contents.groupBy("phash", "split").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("sha256").isNotNull(), F.col("n"))).alias("known"))
+    own = f.select(F.col("phash").alias("a"), F.col("phash").alias("b"), F.lit(0).alias("distance")).distinct()
+    pairs = near_hash_pairs(f, distance).unionByName(own)
+
+    def side(rows: DataFrame, name: str, *keys: str) -> DataFrame:
+        return rows.select(F.col("phash").alias(name), F.col("split").alias(f"split_{name}"), *keys, *[F.col(c).alias(f"{c}_{name}") for c in ("n", "known") if c in rows.columns])
+
+    apart = "split_a <> split_b AND (a < b OR split_a < split_b)"
+    out = pairs.join(side(groups, "a"), "a").join(side(groups, "b"), "b").where(apart)
+    same = pairs.join(side(contents, "a", "sha256"), "a").join(side(contents, "b", "sha256"), ["b", "sha256"]).where(apart)
+    key = ["a", "split_a", "b", "split_b"]
+    same = same.groupBy(*key).agg(F.sum(F.col("n_a") * F.col("n_b")).alias("same"))
+    out = out.join(same, key, "left").withColumn("n_pairs", F.col("known_a") * F.col("known_b") - F.coalesce("same", F.lit(0))).where("n_pairs > 0")
+    return out.select(*key, "distance", "n_pairs", F.round(1 - F.col("distance") / 64, 6).alias("similarity"))
 
 
 def near_duplicate_pairs(files: DataFrame, distance: int = 8) -> DataFrame:

@@ -189,14 +189,26 @@ def density_bucket(mean: Column) -> Column:
     return F.when(mean <= 4, "LOW").when(mean <= 10, "MEDIUM").otherwise("HIGH")
 
 
-def quality_gate(boxes: DataFrame, rules: DataFrame) -> DataFrame:
-    """By dataset: BLOCKED with invalid boxes over 40 %, REVIEW_REQUIRED with an unmapped class, else PASS."""
+def quality_gate(boxes: DataFrame, rules: DataFrame, measures: DataFrame, duplicates: DataFrame) -> DataFrame:
+    """Failed checks by dataset and the gate: BLOCKED with an unreadable image, REVIEW_REQUIRED with any other finding, else PASS.
+
+    ``measures`` has an image a row with ``read_status`` and the flags ``underexposed``, ``overexposed`` and
+    ``blurred``; ``duplicates`` a group a row with ``kind`` EXACT or NEAR.
+    """
     rows = box_validate(boxes).join(rules.select("dataset", "original_class", "mapped_class"), ["dataset", "original_class"], "left")
-    out = rows.groupBy("dataset").agg(
-        (F.count_if(~F.col("is_valid")) / F.count(F.lit(1))).alias("invalid_rate"), F.count_if(F.col("mapped_class").isNull()).alias("n_unmapped")
+    found = rows.groupBy("dataset").agg(
+        F.countDistinct(F.when(~F.col("is_valid"), F.struct("image_id", "annotation_id"))).alias("n_invalid"), F.count_if(F.col("mapped_class").isNull()).alias("n_unmapped")
+    )
+    ok = F.col("read_status") == "OK"
+    images = measures.groupBy("dataset").agg(
+        F.count_if(~ok).alias("n_unreadable"), *[F.count_if(ok & F.col(c)).alias(f"n_{c}") for c in ("underexposed", "overexposed", "blurred")]
     )
-    gate = F.when(F.col("invalid_rate") > 0.4, "BLOCKED").when(F.col("n_unmapped") > 0, "REVIEW_REQUIRED").otherwise("PASS")
-    return out.withColumn("gate", gate)
+    groups = duplicates.groupBy("dataset").agg(*[F.count_if(F.col("kind") == k.upper()).alias(f"n_{k}_groups") for k in ("exact", "near")])
+    out = found.join(images, "dataset", "full_outer").join(groups, "dataset", "full_outer")
+    counts = [c for c in out.columns if c != "dataset"]
+    out = out.na.fill(0, counts)
+    others = sum((F.col(c) for c in counts if c != "n_unreadable"), F.lit(0))
+    return out.withColumn("gate", F.when(F.col("n_unreadable") > 0, "BLOCKED").when(others > 0, "REVIEW_REQUIRED").otherwise("PASS"))
 
 
 def quality_review_queue(boxes: DataFrame) -> DataFrame:

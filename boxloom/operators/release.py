@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,8 +113,29 @@ def merge_chunk_reports(chunks: list[DataFrame]) -> DataFrame:
     return out.join(n, "image_id").withColumn("repeated", F.col("n_reports") > 1)
 
 
+def write_label_files(labels: DataFrame, path: str) -> None:
+    """One folder an image, ``dataset=.../image_id=...``, with its label text as one file; a negative has an empty line."""
+    labels.select("dataset", "image_id", F.col("label_text").alias("value")).repartition("image_id").write.mode("errorifexists").partitionBy("dataset", "image_id").text(path)
+
+
 def write_release(labels: DataFrame, path: str, qc: DataFrame) -> None:
-    """Write label texts by dataset into a new folder; a QC report with a failure refuses the release."""
+    """Write label texts by dataset beside ``path``, count them there, then publish them under it in one rename.
+
+    A QC report with a failure refuses the release, as do a folder that exists and a count that differs.
+    """
     if qc.where("status <> 'PASS'").limit(1).count():
         raise ValueError("the release did not pass its checks")
-    labels.write.mode("errorifexists").partitionBy("dataset").parquet(path)
+    spark = labels.sparkSession
+    jvm, staging = spark._jvm, f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    target, source = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staging))
+    store = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if store.exists(target):
+        raise ValueError(f"{path} exists")
+    try:
+        labels.write.mode("errorifexists").partitionBy("dataset").parquet(staging)
+        if spark.read.schema(labels.schema).parquet(staging).count() != labels.count():
+            raise ValueError("the staged release differs from its labels")
+        if not store.rename(source, target):
+            raise ValueError(f"{path} cannot be published")
+    finally:
+        store.delete(source, True)

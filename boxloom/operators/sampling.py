@@ -20,8 +20,11 @@ def sample_cover(rows: DataFrame, n: int, seed: str) -> DataFrame:
     w = Window.partitionBy("dataset", "sequence_id").orderBy("frame_id")
     first = rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn = 1").drop("rn").withColumn("picked", F.lit("FIRST_FRAME"))
     rest = rows.join(first.select("image_id"), "image_id", "left_anti")
-    left = max(0, n - first.count())
-    return first.unionByName(sample_fixed(rest, left, seed, "image_id").drop("rank_hash").withColumn("picked", F.lit("FILL")))
+    # at most n rows are numbered; the number of first frames meets them by a constant key
+    some = sample_fixed(rest, n, seed, "image_id").withColumn("place", F.row_number().over(Window.orderBy("rank_hash"))).withColumn("one", F.lit(1))
+    taken = first.agg(F.count(F.lit(1)).alias("taken")).withColumn("one", F.lit(1))
+    fill = some.join(taken, "one").where(F.col("place") <= n - F.col("taken")).drop("rank_hash", "place", "one", "taken")
+    return first.unionByName(fill.withColumn("picked", F.lit("FILL")))
 
 
 def sample_quota(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:

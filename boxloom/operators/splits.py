@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,25 +61,59 @@ def missing_coverage(required: DataFrame, observed: DataFrame) -> DataFrame:
     return required.select(*required.columns).exceptAll(observed.select(*required.columns).distinct())
 
 
-def split_audit(assigned: DataFrame, scenes: DataFrame) -> DataFrame:
-    """Named checks of an assignment with PASS or FAIL and the number of offenders."""
-    def check(name, offenders):
-        n = offenders.agg(F.count(F.lit(1)).alias("n_offenders"))
-        return n.select(F.lit(name).alias("check_name"), "n_offenders", F.when(F.col("n_offenders") == 0, "PASS").otherwise("FAIL").alias("status"))
+@dataclass(frozen=True)
+class SplitPolicy:
+    """What an assignment has to keep to."""
+
+    units: tuple[str, ...] = ("SEQUENCE_ID", "DATASET_TRAIN_ONLY_NO_SEQUENCE")
+    least_test_datasets: int = 2
+    test_road_types: tuple[str, ...] = ()
+    test_lightings: tuple[str, ...] = ()
+    train_only: tuple[str, ...] = ()
+    main_test_collected: bool = False
+    main_test_locked: bool = False
+
 
-    keys = ["dataset", "sequence_id"]
+def split_audit(assigned: DataFrame, scenes: DataFrame, files: DataFrame, fixed: DataFrame, policy: SplitPolicy) -> DataFrame:
+    """Named checks of an assignment with the number of offenders and PASS, FAIL, PARTIAL or PENDING.
+
+    ``assigned`` has ``split``, ``split_unit`` and ``evaluation_eligible`` of each (dataset, sequence), ``files`` the
+    ``source_file`` of sequences, ``fixed`` the required test members. Gaps of coverage that more data can close are
+    PARTIAL, what waits for the main test set is PENDING.
+    """
+    keys, spark = ["dataset", "sequence_id"], assigned.sparkSession
+
+    def check(name, offenders, otherwise="FAIL"):
+        n = offenders.agg(F.count(F.lit(1)).alias("n_offenders"))
+        return n.select(F.lit(name).alias("check_name"), "n_offenders", F.when(F.col("n_offenders") == 0, "PASS").otherwise(otherwise).alias("status"))
+
+    def wanted(values, column):
+        return spark.createDataFrame([(v,) for v in values], f"{column} string")
+
+    test = assigned.where("split = 'cross_test'")
+    seen = test.join(scenes, keys)
+    few = test.agg(F.greatest(F.lit(policy.least_test_datasets) - F.countDistinct("dataset"), F.lit(0)).alias("n")).where("n > 0")
+    elsewhere = assigned.where(F.col("dataset").isin(*policy.train_only) & ((F.col("split") != "train") | F.col("evaluation_eligible")))
+    absent = wanted(policy.train_only, "dataset").join(assigned.select("dataset").distinct(), "dataset", "left_anti")
+    waiting = [(name,) for name, done in (("main_test_collected", policy.main_test_collected), ("main_test_locked", policy.main_test_locked)) if not done]
+    waiting = spark.createDataFrame(waiting, "name string")
+    in_files = files.select(*keys, "source_file").distinct().join(assigned.select(*keys, "split"), keys)
     checks = [
         check("sequence_in_one_split", sequence_leakage(assigned)),
+        check("file_in_one_split", sequence_leakage(in_files, "dataset", "source_file")),
+        check("split_unit_is_sequence", assigned.where(~F.coalesce("split_unit", F.lit("UNKNOWN")).isin(*policy.units))),
+        check("test_datasets", few),
+        check("validation_datasets", assigned.where("evaluation_eligible").select("dataset").distinct().exceptAll(assigned.where("split = 'validation'").select("dataset").distinct()), "PARTIAL"),
+        check("test_road_types", missing_coverage(wanted(policy.test_road_types, "road_type"), seen.select("road_type")), "PARTIAL"),
+        check("test_lightings", missing_coverage(wanted(policy.test_lightings, "lighting"), seen.select("lighting")), "PARTIAL"),
+        check("train_only_datasets", elsewhere.select("dataset").unionByName(absent)),
+        check("fixed_test_members", fixed.select(*keys).exceptAll(test.select(*keys))),
+        *[check(name, waiting.where(F.col("name") == name), "PENDING") for name in ("main_test_collected", "main_test_locked")],
         check("split_is_known", assigned.where("split IS NULL OR split NOT IN ('train', 'validation', 'cross_test')")),
         check("sequence_listed_once", assigned.groupBy(*keys).count().where("count > 1")),
         check("scene_is_present", assigned.join(scenes, keys, "left_anti")),
-        check("road_types_in_test", missing_coverage(scenes.select("road_type").distinct(), assigned.where("split = 'cross_test'").join(scenes, keys).select("road_type"))),
-        check("lightings_in_test", missing_coverage(scenes.select("lighting").distinct(), assigned.where("split = 'cross_test'").join(scenes, keys).select("lighting"))),
     ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return out
+    return reduce(DataFrame.unionByName, checks)
 
 
 def coverage_violations(assigned: DataFrame, least: int = 2) -> DataFrame:

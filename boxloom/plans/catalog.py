@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from boxloom.functions import images as I
 from boxloom.functions import text as T
 from boxloom.operators import boxes as B
 from boxloom.operators import classes as C
@@ -16,6 +17,7 @@ from boxloom.operators import sampling as S
 from boxloom.operators import splits as X
 from boxloom.operators import tracks as K
 from boxloom.sources import adapters as A
+from boxloom.sources import readers as L
 from boxloom.sources.adapters import with_tables
 from boxloom.streaming import alerts as W
 
@@ -297,10 +299,55 @@ def traffic_density(spark, d):
     return P.traffic_density(A.images(spark, d), A.boxes_raw(spark, d))
 
 
-@query("""SELECT dataset, r AS invalid_rate, u AS n_unmapped, CASE WHEN r > 0.4 THEN 'BLOCKED' WHEN u > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS gate FROM (
-    SELECT dataset, count(*) FILTER (WHERE len(issues) > 0) / count(*) AS r, count(*) FILTER (WHERE mapped_class IS NULL) AS u FROM v LEFT JOIN class_rules USING (dataset, original_class) GROUP BY dataset)""", "images", "boxes_raw", "v", "class_rules")
+A.SQL["pix"] = """pix AS (SELECT 'DS' || (vec_id % 3) AS dataset, vec_id AS file_id, vec_id % 150 = 7 AS broken,
+    list_transform(embedding, lambda e: 4 * CAST(floor(least(greatest((CAST(e AS DOUBLE) + 0.5) * 64, 0), 63)) AS INT)) AS p FROM embeddings)"""
+A.SQL["measured"] = """measured AS (SELECT dataset, file_id, CASE WHEN broken THEN 'CORRUPT_OR_UNREADABLE' ELSE 'OK' END AS read_status, CASE WHEN NOT broken THEN list_avg(p) END AS brightness, CASE WHEN NOT broken THEN list_stddev_pop(p) END AS contrast,
+    CASE WHEN NOT broken THEN list_var_pop(list_transform(list_filter(range(64), lambda k: k // 8 BETWEEN 1 AND 6 AND k % 8 BETWEEN 1 AND 6), lambda k: p[k - 7] + p[k + 9] + p[k] + p[k + 2] - 4 * p[k + 1])) END AS sharpness,
+    CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v < 30)) / 64 END AS dark_ratio, CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v > 225)) / 64 END AS bright_ratio FROM pix)"""
+
+
+def _measured(spark, d):
+    i = A.pixel_images(spark, d)
+    m = I.image_measures()("height", "width", "nChannels", "data")
+    return i.withColumn("m", m).select("dataset", "file_id", F.when(F.col("height") < 0, "CORRUPT_OR_UNREADABLE").otherwise("OK").alias("read_status"), "m.*")
+
+
+@query("SELECT dataset, file_id, read_status, round(brightness, 6) AS brightness, round(contrast, 6) AS contrast, round(sharpness, 6) AS sharpness, dark_ratio, bright_ratio FROM measured", "pix", "measured")
+def image_quality(spark, d):
+    rounded = [F.round(c, 6).alias(c) for c in ("brightness", "contrast", "sharpness")]
+    return _measured(spark, d).select("dataset", "file_id", "read_status", *rounded, "dark_ratio", "bright_ratio")
+
+
+@query()
+def image_hashes(spark, d):
+    return _measured(spark, d).select("dataset", "file_id", "phash", "ahash")
+
+
+@query("""SELECT dataset, count(*) FILTER (WHERE read_status = 'OK') AS n_checked, count(*) FILTER (WHERE read_status <> 'OK') AS n_failed, round(avg(brightness), 6) AS brightness_mean, round(median(brightness), 6) AS brightness_median,
+    round(avg(contrast), 6) AS contrast_mean, round(avg(sharpness), 6) AS sharpness_mean, count(*) FILTER (WHERE brightness < 120) AS n_underexposed, count(*) FILTER (WHERE brightness > 132) AS n_overexposed, count(*) FILTER (WHERE sharpness < 9000) AS n_blurred
+    FROM measured GROUP BY dataset""", "pix", "measured")
+def image_quality_summary(spark, d):
+    out = M.image_quality_summary(_measured(spark, d), dark=120, bright=132, blurred=9000)
+    return out.withColumns({c: F.round(c, 6) for c in ("brightness_mean", "brightness_median", "contrast_mean", "sharpness_mean")})
+
+
+@query("""SELECT file_id, array_to_string(list_transform(range(64), lambda k: printf('%02X', CASE WHEN k % 8 >= file_id % 4 AND k % 8 < file_id % 4 + 4 AND k // 8 >= file_id % 3 AND k // 8 < file_id % 3 + 3 THEN 0 ELSE p[k + 1] END)), '') AS pixels
+    FROM pix WHERE NOT broken""", "pix")
+def masked_images(spark, d):
+    i = A.pixel_images(spark, d).where("height > 0")
+    region = F.expr("array(named_struct('left', CAST(file_id % 4 AS DOUBLE), 'top', CAST(file_id % 3 AS DOUBLE), 'right', file_id % 4 + 3.5D, 'bottom', file_id % 3 + 2.5D))")
+    return i.select("file_id", F.hex(I.mask_regions()("height", "width", "nChannels", "data", region)).alias("pixels"))
+
+
+@query("""SELECT dataset, coalesce(i, 0) AS n_invalid, coalesce(u, 0) AS n_unmapped, coalesce(f, 0) AS n_unreadable, coalesce(d, 0) AS n_underexposed, coalesce(o, 0) AS n_overexposed, coalesce(b, 0) AS n_blurred, coalesce(x, 0) AS n_exact_groups, 0::BIGINT AS n_near_groups,
+    CASE WHEN coalesce(f, 0) > 0 THEN 'BLOCKED' WHEN coalesce(i, 0) + coalesce(u, 0) + coalesce(d, 0) + coalesce(o, 0) + coalesce(b, 0) + coalesce(x, 0) > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS gate FROM
+    (SELECT dataset, count(DISTINCT image_id || '|' || annotation_id) FILTER (WHERE len(issues) > 0) AS i, count(*) FILTER (WHERE mapped_class IS NULL) AS u FROM v LEFT JOIN class_rules USING (dataset, original_class) GROUP BY dataset) FULL JOIN
+    (SELECT dataset, count(*) FILTER (WHERE read_status <> 'OK') AS f, count(*) FILTER (WHERE brightness < 120) AS d, count(*) FILTER (WHERE brightness > 132) AS o, count(*) FILTER (WHERE sharpness < 9000) AS b FROM measured GROUP BY dataset) USING (dataset) FULL JOIN
+    (SELECT dataset, count(*) AS x FROM (SELECT dataset, sha256 FROM fingerprints GROUP BY ALL HAVING count(*) > 1) GROUP BY dataset) USING (dataset)""", "images", "boxes_raw", "v", "class_rules", "pix", "measured", "fingerprints")
 def quality_gate(spark, d):
-    return P.quality_gate(A.boxes_raw(spark, d), A.class_rules(spark))
+    m = _measured(spark, d).selectExpr("dataset", "read_status", "brightness < 120 AS underexposed", "brightness > 132 AS overexposed", "sharpness < 9000 AS blurred")
+    exact = A.fingerprints(spark, d).groupBy("dataset", "sha256").count().where("count > 1").select("dataset", F.lit("EXACT").alias("kind"))
+    return P.quality_gate(A.boxes_raw(spark, d), A.class_rules(spark), m, exact)
 
 
 @query("""SELECT dataset, issue, count(*) AS n, CASE WHEN issue = 'NON_POSITIVE_SIZE' THEN 'HIGH' ELSE 'MEDIUM' END AS severity, printf('QREV_%04d', row_number() OVER (ORDER BY dataset, issue)) AS queue_id
@@ -372,11 +419,33 @@ def missing_coverage(spark, d):
     return X.missing_coverage(A.sequences(spark, d).select(*on).distinct(), _assigned(spark, d).where("split = 'validation'").select(*on))
 
 
-@query("""SELECT 'sequence_in_one_split' AS check_name, 0::BIGINT AS n_offenders, 'PASS' AS status UNION ALL SELECT 'split_is_known', 0, 'PASS' UNION ALL SELECT 'sequence_listed_once', 0, 'PASS' UNION ALL SELECT 'scene_is_present', 0, 'PASS'
-    UNION ALL SELECT 'road_types_in_test', n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) AS n FROM (SELECT DISTINCT road_type FROM sequences EXCEPT SELECT road_type FROM sp WHERE split = 'cross_test'))
-    UNION ALL SELECT 'lightings_in_test', n, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END FROM (SELECT count(*) AS n FROM (SELECT DISTINCT lighting FROM sequences EXCEPT SELECT lighting FROM sp WHERE split = 'cross_test'))""", *_SP)
+_GAP = "SELECT count(*) AS n FROM (SELECT * FROM (VALUES {values}) t(x) EXCEPT SELECT {column} FROM sp WHERE split = 'cross_test')"
+_AUDIT = {
+    "sequence_in_one_split": ("SELECT count(*) AS n FROM (SELECT 1 FROM sp GROUP BY dataset, sequence_id HAVING count(DISTINCT split) > 1)", "FAIL"),
+    "file_in_one_split": ("SELECT count(*) AS n FROM (SELECT 1 FROM images JOIN sp USING (dataset, sequence_id) GROUP BY dataset, file_group HAVING count(DISTINCT split) > 1)", "FAIL"),
+    "split_unit_is_sequence": ("SELECT count(*) AS n FROM sp WHERE sequence_id = 'SEQ9'", "FAIL"),
+    "test_datasets": ("SELECT CASE WHEN count(DISTINCT dataset) < 3 THEN 1 ELSE 0 END AS n FROM sp WHERE split = 'cross_test'", "FAIL"),
+    "validation_datasets": ("SELECT count(*) AS n FROM (SELECT dataset FROM sp WHERE evaluation_eligible EXCEPT SELECT dataset FROM sp WHERE split = 'validation')", "PARTIAL"),
+    "test_road_types": (_GAP.format(values="('HIGHWAY'), ('URBAN'), ('RURAL'), ('TUNNEL')", column="road_type"), "PARTIAL"),
+    "test_lightings": (_GAP.format(values="('DAY'), ('NIGHT')", column="lighting"), "PARTIAL"),
+    "train_only_datasets": ("SELECT count(*) FILTER (WHERE dataset = 'DS0' AND (split <> 'train' OR evaluation_eligible)) + CASE WHEN count(*) FILTER (WHERE dataset = 'DS7') = 0 THEN 1 ELSE 0 END AS n FROM sp", "FAIL"),
+    "fixed_test_members": ("SELECT count(*) AS n FROM sp WHERE sequence_id IN ('SEQ3', 'SEQ11', 'SEQ5') AND split <> 'cross_test'", "FAIL"),
+    "main_test_collected": ("SELECT 0 AS n", "PENDING"),
+    "main_test_locked": ("SELECT 1 AS n", "PENDING"),
+    "split_is_known": ("SELECT count(*) AS n FROM sp WHERE split IS NULL", "FAIL"),
+    "sequence_listed_once": ("SELECT count(*) AS n FROM (SELECT 1 FROM sp GROUP BY dataset, sequence_id HAVING count(*) > 1)", "FAIL"),
+    "scene_is_present": ("SELECT count(*) AS n FROM sp WHERE sequence_id = 'SEQ12'", "FAIL"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS check_name, CAST(n AS BIGINT) AS n_offenders, CASE WHEN n = 0 THEN 'PASS' ELSE '{bad}' END AS status FROM ({sql})" for name, (sql, bad) in _AUDIT.items()), *_SP)
 def split_audit(spark, d):
-    return X.split_audit(_assigned(spark, d).select("dataset", "sequence_id", "split"), A.sequences(spark, d))
+    a = _assigned(spark, d).withColumn("split_unit", F.when(F.col("sequence_id") == "SEQ9", "FRAME").otherwise("SEQUENCE_ID"))
+    policy = X.SplitPolicy(least_test_datasets=3, test_road_types=("HIGHWAY", "URBAN", "RURAL", "TUNNEL"), test_lightings=("DAY", "NIGHT"), train_only=("DS0", "DS7"), main_test_collected=True)
+    scenes = A.sequences(spark, d)
+    files = A.images(spark, d).withColumn("source_file", F.col("file_group").cast("string"))
+    a = a.select("dataset", "sequence_id", "split", "split_unit", "evaluation_eligible")
+    return X.split_audit(a, scenes.where("sequence_id <> 'SEQ12'"), files, scenes.where("sequence_id IN ('SEQ3', 'SEQ11', 'SEQ5')"), policy)
 
 
 @query("""SELECT road_type, lighting, n_test, coalesce(n_train, 0) AS n_train FROM (SELECT road_type, lighting, count(*) AS n_test FROM sp WHERE split <> 'train' GROUP BY ALL)
@@ -459,8 +528,8 @@ def near_duplicate_consecutive(spark, d):
     return D.near_duplicate_consecutive(A.fingerprints(spark, d), least=0.6)
 
 
-@query("""SELECT a.file_id AS file_a, b.file_id AS file_b, CAST(bit_count(xor(a.phash, b.phash)) AS INT) AS distance, round(1 - bit_count(xor(a.phash, b.phash)) / 64, 6) AS similarity FROM fingerprints a JOIN fingerprints b
-    ON a.file_id < b.file_id AND bit_count(xor(a.phash, b.phash)) <= 3 AND a.split <> b.split AND a.sha256 <> b.sha256""", "fingerprints")
+@query("""SELECT a.phash AS a, a.split AS split_a, b.phash AS b, b.split AS split_b, CAST(bit_count(xor(a.phash, b.phash)) AS INT) AS distance, count(*) AS n_pairs, round(1 - bit_count(xor(a.phash, b.phash)) / 64, 6) AS similarity
+    FROM fingerprints a JOIN fingerprints b ON (a.phash < b.phash OR (a.phash = b.phash AND a.split < b.split)) AND bit_count(xor(a.phash, b.phash)) <= 3 AND a.split <> b.split AND a.sha256 <> b.sha256 GROUP BY ALL""", "fingerprints")
 def near_duplicate_cross_split(spark, d):
     return D.near_duplicate_cross_split(A.fingerprints(spark, d))
 
@@ -576,10 +645,25 @@ def box_count_mismatch(spark, d):
     return R.box_count_mismatch(e.where("annotation_id NOT LIKE '1:%'"), R.label_files(A.images(spark, d), e))
 
 
-@query("""SELECT check_name, 0::BIGINT AS n_errors, 'PASS' AS status FROM (VALUES ('box_count_mismatch'), ('label_line_error'), ('image_not_in_manifest'), ('manifest_without_image'), ('negative_with_box')) t(check_name)""")
+A.SQL["qc_manifest"] = """c AS (SELECT image_id, count(*) AS n_actual FROM ex WHERE outcome = 'EXPORTED' GROUP BY image_id),
+    m AS (SELECT image_id, CASE WHEN image_id % 7 = 0 THEN 0 WHEN image_id % 5 = 0 THEN coalesce(n_actual, 0) + 1 ELSE coalesce(n_actual, 0) END AS n_manifest FROM images LEFT JOIN c USING (image_id) WHERE image_id % 11 <> 0)"""
+
+
+@query("""SELECT check_name, n AS n_errors, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+    SELECT 'box_count_mismatch' AS check_name, count(*) AS n FROM m FULL JOIN c USING (image_id) WHERE CASE WHEN n_manifest > 0 THEN n_manifest ELSE 0 END <> coalesce(n_actual, 0)
+    UNION ALL SELECT 'label_line_error', count(*) FROM ex WHERE outcome = 'EXPORTED' AND image_id % 13 = 0
+    UNION ALL SELECT 'image_not_in_manifest', count(*) FROM images WHERE image_id % 11 = 0 AND image_id % 17 <> 0 UNION ALL SELECT 'manifest_without_image', count(*) FROM images WHERE image_id % 17 = 0 AND image_id % 11 <> 0
+    UNION ALL SELECT 'negative_with_box', count(*) FROM m JOIN c USING (image_id) WHERE n_manifest = 0)""", *_EX, "qc_manifest")
 def release_qc(spark, d):
+    """The manifest and the lines are broken on purpose, so that every check has errors to count."""
     i, e = A.images(spark, d), _exported(spark, d)
-    return R.release_qc(i, e, R.label_files(i, e))
+    n = F.when(F.col("image_id") % 7 == 0, 0).when(F.col("image_id") % 5 == 0, F.col("n_lines") + 1).otherwise(F.col("n_lines"))
+    manifest = R.label_files(i, e).where("image_id % 11 <> 0").withColumn("n_lines", n)
+    worse = (
+        F.when(F.col("image_id") % 13 != 0, F.col("label_line")).when(F.col("image_id") % 2 == 0, F.concat("label_line", F.lit(" 1"))).when(F.col("image_id") % 3 == 0, F.concat(F.lit("1"), F.substring("label_line", 2, 99)))
+        .otherwise("0 0.5 0.5 nan 1.5")
+    )
+    return R.release_qc(i.where("image_id % 17 <> 0"), e.withColumn("label_line", worse), manifest)
 
 
 @query("""SELECT dataset, coalesce(n_actual, 0) AS n_actual, coalesce(n_expected, 0) AS n_expected, CASE WHEN coalesce(n_actual, 0) = coalesce(n_expected, 0) THEN 'PASS' ELSE 'FAIL' END AS status FROM
@@ -782,25 +866,26 @@ def alert_metrics(spark, d):
 # ---- metadata
 
 
-_SUP = "SELECT s_suppkey AS k, CAST(s_suppkey % 4 AS INT) AS a, CAST(s_suppkey % 3 AS INT) AS b FROM supplier"
-
-
-@query(f"""SELECT k, result FROM (SELECT k, CASE WHEN a <> 0 AND b <> 0 AND a <> 2 THEN 'PASS' ELSE 'BLOCKED' END AS result FROM ({_SUP}))""")
+@query("""SELECT k, array_to_string(list_filter([CASE WHEN k % 5 = 0 THEN 'LICENSE_NOT_VERIFIED' END, CASE WHEN k % 4 IN (1, 2) THEN 'LICENSE_NAME_UNKNOWN' END, CASE WHEN k % 3 = 2 THEN 'PERMISSION_MISSING' END,
+    CASE WHEN k // 4 % 4 IN (2, 3) THEN 'REDISTRIBUTION_UNKNOWN' END, CASE WHEN k % 7 = 0 THEN 'NOT_APPROVED_FOR_DOWNLOAD' END], lambda x: x IS NOT NULL), '|') AS issues,
+    CASE WHEN k % 5 = 0 OR k % 4 IN (1, 2) OR k % 3 = 2 OR k // 4 % 4 IN (2, 3) OR k % 7 = 0 THEN 'BLOCKED' ELSE 'PASS' END AS result FROM (SELECT s_suppkey AS k FROM supplier)""")
 def source_license_issues(spark, d):
     rows = A.table(spark, d, "supplier").selectExpr(
-        "s_suppkey AS k", "s_suppkey % 4 <> 0 AS license_verified", "'CC-BY' AS license_name", "if(s_suppkey % 3 <> 0, 'APPROVED', 'PENDING') AS permission_status",
-        "if(s_suppkey % 4 = 2, 'UNVERIFIED', 'YES') AS redistribution_allowed", "'APPROVED_FOR_DOWNLOAD' AS review_status")
-    return M.source_license_issues(rows).select("k", "result")
+        "s_suppkey AS k", "nullif(s_suppkey % 5, 0) IS NOT NULL AS license_verified", "element_at(array('CC-BY', '', 'UNVERIFIED', 'CC0'), CAST(s_suppkey % 4 AS INT) + 1) AS license_name",
+        "element_at(array('APPROVED', 'NOT_REQUIRED', 'PENDING'), CAST(s_suppkey % 3 AS INT) + 1) AS permission_status",
+        "element_at(array('YES', 'NO', 'UNVERIFIED', NULL), CAST(s_suppkey div 4 % 4 AS INT) + 1) AS redistribution_allowed", "if(s_suppkey % 7 = 0, 'DRAFT', 'APPROVED_FOR_DOWNLOAD') AS review_status")
+    return M.source_license_issues(rows).select("k", F.array_join("issues", "|").alias("issues"), "result")
 
 
 def _videos(spark, d):
     return A.table(spark, d, "supplier").selectExpr(
         "s_suppkey AS video_id", "element_at(array('DAY', 'NIGHT', 'BACKLIT', 'DUSK'), CAST(s_suppkey % 4 AS INT) + 1) AS lighting", "if(s_suppkey % 3 = 0, 'RAIN', 'CLEAR') AS weather",
-        "'APPROVED' AS backlit_review_status", "25.0D AS source_fps", "CAST(s_suppkey % 50 AS BIGINT) AS n_frames")
+        "if(s_suppkey % 8 = 2, 'REVIEWED', 'APPROVED') AS backlit_review_status",
+        "element_at(array(25.0D, 30.0D, 12.5D, 2.0D), CAST(s_suppkey div 4 % 4 AS INT) + 1) AS source_fps", "CAST(s_suppkey % 50 AS BIGINT) AS n_frames")
 
 
 A.SQL["vid"] = """vid AS (SELECT s_suppkey AS video_id, list_filter([(['DAY', 'NIGHT', 'BACKLIT', NULL])[s_suppkey % 4 + 1], CASE WHEN s_suppkey % 3 = 0 THEN 'RAIN' END], lambda x: x IS NOT NULL) AS conditions,
-    CAST(s_suppkey % 50 AS BIGINT) AS n_frames FROM supplier)"""
+    CAST(s_suppkey % 50 AS BIGINT) AS n_frames, ([25.0, 30.0, 12.5, 2.0])[s_suppkey // 4 % 4 + 1]::DOUBLE AS fps, ([5, 6, 3, 1])[s_suppkey // 4 % 4 + 1] AS step FROM supplier)"""
 
 
 @query("SELECT video_id, array_to_string(list_sort(conditions), '|') AS conditions FROM vid", "vid")
@@ -808,17 +893,17 @@ def video_conditions(spark, d):
     return M.video_conditions(_videos(spark, d)).select("video_id", F.array_join(F.array_sort("conditions"), "|").alias("conditions"))
 
 
-@query("SELECT video_id, c AS condition, i AS frame_index, CAST(i * 40 AS BIGINT) AS timestamp_ms FROM (SELECT video_id, unnest(conditions) AS c, n_frames FROM vid), LATERAL (SELECT unnest(range(0, n_frames, 5)) AS i)", "vid")
+@query("SELECT video_id, c AS condition, i AS frame_index, CAST(round(i * 1000 / fps) AS BIGINT) AS timestamp_ms FROM (SELECT video_id, unnest(conditions) AS c, n_frames, fps, step FROM vid), LATERAL (SELECT unnest(range(0, n_frames, step)) AS i)", "vid")
 def frame_sample_plan(spark, d):
     return M.frame_sample_plan(M.video_conditions(_videos(spark, d)), 5.0)
 
 
 @query("""SELECT s_suppkey AS sample_id, CASE WHEN s_suppkey % 7 = 0 THEN 'PENDING_REVIEW' WHEN s_suppkey % 4 = 0 THEN 'FALSE_REVIEW_REJECT' WHEN s_suppkey % 4 = 1 THEN 'FALSE_PENDING_SECOND_REVIEW'
-    WHEN s_suppkey % 2 = 0 THEN 'TRUE_DATA_LEAD_APPROVED' ELSE 'TRUE_WITH_CAUTION' END AS training_decision FROM supplier""")
+    WHEN s_suppkey // 4 % 2 = 0 THEN 'TRUE_DATA_LEAD_APPROVED' ELSE 'TRUE_WITH_CAUTION' END AS training_decision FROM supplier""")
 def review_decision(spark, d):
     q = A.table(spark, d, "supplier").selectExpr("s_suppkey AS sample_id")
     decisions = q.where("sample_id % 7 <> 0").selectExpr("sample_id", "element_at(array('NON_VEHICLE', 'UNDETERMINED', 'CONFIRMED_MOTORIZED_VEHICLE', 'LIKELY_MOTORIZED_VEHICLE'), CAST(sample_id % 4 AS INT) + 1) AS visual_assessment",
-        "if(sample_id % 2 = 0, 'DATA_LEAD_SIGNOFF_COMPLETED', 'OPEN') AS review_status")
+        "if(sample_id div 4 % 2 = 0, 'DATA_LEAD_SIGNOFF_COMPLETED', 'OPEN') AS review_status")
     return M.review_decision(q, decisions).select("sample_id", "training_decision")
 
 
@@ -894,18 +979,21 @@ def dataset_summary(spark, d):
 
 
 def _sessions(spark, d):
-    s = A.table(spark, d, "supplier").selectExpr("concat('S', s_suppkey % 60) AS session_id", "element_at(array('DAY', 'NIGHT', 'RAIN', 'FOG'), CAST(s_suppkey % 4 AS INT) + 1) AS slice", "'OWN' AS source", "'TEST' AS split",
-        "s_suppkey % 5 <> 0 AS locked", "'APPROVED' AS ground_truth_status", "s_suppkey % 2 = 0 AS predictions_ready", "s_suppkey AS ordinal")
+    s = A.table(spark, d, "supplier").selectExpr("if(s_suppkey % 60 = 30, '', concat('S', s_suppkey % 60)) AS session_id", "element_at(array('DAY', 'NIGHT', 'RAIN', 'FOG'), CAST(s_suppkey % 4 AS INT) + 1) AS slice",
+        "if(s_suppkey % 11 = 0, 'OTHER', 'OWN') AS source", "if(s_suppkey % 13 = 0, NULL, 'TEST') AS split", "s_suppkey % 5 <> 0 AS locked",
+        "if(s_suppkey % 17 = 0, 'DRAFT', 'APPROVED') AS ground_truth_status", "s_suppkey % 2 = 0 AS predictions_ready", "s_suppkey AS ordinal")
     pairs = s.where("ordinal % 60 <> 9").groupBy("session_id").agg(F.count(F.lit(1)).alias("n_pairs"))
     return M.session_qualify(s, pairs, "OWN", "TEST")
 
 
-A.SQL["ses"] = """ses AS (SELECT *, a < 3 AND rn = 1 AND k % 5 <> 0 AND k % 60 <> 9 AS qualified FROM (SELECT s_suppkey AS k, s_suppkey % 4 AS a, row_number() OVER (PARTITION BY s_suppkey % 60, s_suppkey % 4 ORDER BY s_suppkey) AS rn FROM supplier))"""
+A.SQL["ses"] = """ses AS (SELECT *, len(reason) = 0 AS qualified FROM (SELECT k, a, list_filter([CASE WHEN k % 60 = 30 THEN 'MISSING_SESSION_ID' END, CASE WHEN a = 3 THEN 'INVALID_SLICE' END, CASE WHEN rn > 1 THEN 'DUPLICATE_SESSION_SLICE' END, CASE WHEN k % 11 = 0 THEN 'WRONG_SOURCE' END,
+    CASE WHEN k % 13 = 0 THEN 'WRONG_SPLIT' END, CASE WHEN k % 5 = 0 THEN 'SESSION_NOT_LOCKED' END, CASE WHEN k % 17 = 0 THEN 'GROUND_TRUTH_NOT_APPROVED' END, CASE WHEN k % 60 = 9 THEN 'NO_COMPLETE_PAIRS' END], lambda x: x IS NOT NULL) AS reason
+    FROM (SELECT s_suppkey AS k, s_suppkey % 4 AS a, row_number() OVER (PARTITION BY s_suppkey % 60, s_suppkey % 4 ORDER BY s_suppkey) AS rn FROM supplier)))"""
 
 
-@query("SELECT k AS ordinal, qualified FROM ses", "ses")
+@query("SELECT k AS ordinal, array_to_string(reason, '|') AS reason, qualified FROM ses", "ses")
 def session_qualify(spark, d):
-    return _sessions(spark, d).select("ordinal", "qualified")
+    return _sessions(spark, d).select("ordinal", F.array_join("reason", "|").alias("reason"), "qualified")
 
 
 @query("""SELECT slice, coalesce(n, 0) AS n_sessions, coalesce(p, 0) AS n_predicted, CASE WHEN n IS NULL AND slice = 'BACKLIT' THEN 'BLOCKED_MISSING_DATA' WHEN n IS NULL THEN 'PENDING_COLLECTION' WHEN p < n THEN 'READY_FOR_INFERENCE' ELSE 'READY_FOR_MAP_CALCULATION' END AS status
@@ -950,7 +1038,7 @@ def alerts_session(spark, d):
 
 @query("SELECT sequence_id, track_id, frame_id, x FROM tracks WHERE frame_id % 5 = 0", "tracks")
 def frame_stride(spark, d):
-    return W.frame_stride(A.tracks(spark, d), 5)
+    return W.frame_stride(A.tracks(spark, d), 5).select("sequence_id", "track_id", "frame_id", "x")
 
 
 # ---- scalar functions
@@ -961,3 +1049,62 @@ def frame_stride(spark, d):
 def path_functions(spark, d):
     u = F.col("url")
     return A.table(spark, d, "pages").select("url", T.normal_url(u).alias("normal_url"), T.slug(u).alias("slug"), T.unsafe_path(u).alias("unsafe"))
+
+
+@query(r"""SELECT id, lower(replace(replace(p, '\', '/'), './', '')) AS path, CASE WHEN id % 3 = 0 THEN 'MVI_' || id % 7 WHEN id % 3 = 1 THEN 'cam' ELSE 'img' || lpad(CAST(id AS VARCHAR), 5, '0') END AS sequence, CASE WHEN id % 2 = 0 THEN id END AS frame,
+    id % 5 IN (0, 1, 2) AS flag, CASE WHEN id % 4 = 0 THEN id / 4.0 END AS number, CASE WHEN id % 5 IN (0, 1) THEN 'OVERHEAD_TOP_DOWN' WHEN id % 5 = 2 THEN 'FRONT_DASHCAM' ELSE 'ROADSIDE_LEVEL' END AS view,
+    CASE WHEN id % 5 IN (1, 4) THEN 'RAIN_OR_WET_ROAD' ELSE 'UNKNOWN' END AS weather FROM (SELECT page_id AS id, './' || CASE WHEN page_id % 3 = 0 THEN 'Data\MVI_' || page_id % 7 || '\' WHEN page_id % 3 = 1 THEN 'Data\cam\' ELSE '' END || 'IMG' || lpad(CAST(page_id AS VARCHAR), 5, '0') || '.JPG' AS p FROM pages)""")
+def text_functions(spark, d):
+    rows = A.table(spark, d, "pages").selectExpr(
+        "page_id AS id", r"concat('./', CASE WHEN page_id % 3 = 0 THEN concat('Data\\MVI_', page_id % 7, '\\') WHEN page_id % 3 = 1 THEN 'Data\\cam\\' ELSE '' END, 'IMG', lpad(CAST(page_id AS STRING), 5, '0'), '.JPG') AS p",
+        "if(page_id % 2 = 0, concat(if(page_id % 4 = 0, 'img', 'clip_f'), lpad(CAST(page_id AS STRING), 5, '0')), 'frame9') AS name", "element_at(array('Yes', ' TRUE', '1', 'no', '0'), CAST(page_id % 5 AS INT) + 1) AS flag",
+        "CASE page_id % 4 WHEN 0 THEN CAST(page_id / 4 AS STRING) WHEN 1 THEN 'NaN' WHEN 2 THEN '-Infinity' ELSE 'x1' END AS number",
+        "element_at(array('Aerial view', 'overhead, Wet-Road', 'Dashcam clip', 'by the road', 'WET-ROAD street'), CAST(page_id % 5 AS INT) + 1) AS note")
+    sequence = T.safe_sequence(F.regexp_replace("p", "^[.]/", ""))
+    return rows.select("id", T.normal_path(F.col("p")).alias("path"), F.when(F.col("id") % 3 == 2, F.lower(sequence)).otherwise(sequence).alias("sequence"), T.frame_number(F.col("name")).alias("frame"), T.parse_bool(F.col("flag")).alias("flag"),
+        T.finite_double(F.col("number")).alias("number"), T.note_camera_view(F.col("note")).alias("view"), T.note_weather(F.col("note")).alias("weather"))
+
+
+@query("""SELECT image_id, annotation_id, round(sqrt((gx - 2) * (gx - 2) + (gy + 1) * (gy + 1)), 6) AS range_m FROM (SELECT image_id, annotation_id, (0.02 * x + 0.001 * y + 1.5) / (0.0001 * x + 0.0002 * y + 1) AS gx, (0.0005 * x + 0.03 * y - 2) / (0.0001 * x + 0.0002 * y + 1) AS gy
+    FROM (SELECT image_id, annotation_id, (xmin + xmax) / 2 AS x, ymax AS y FROM boxes_raw))""", *_BOX[:2])
+def ground_range(spark, d):
+    gx, gy = B.ground_project(*B.foot_point(), HOMOGRAPHY)
+    return A.boxes_raw(spark, d).select("image_id", "annotation_id", F.round(B.ground_range(gx, gy, (2.0, -1.0)), 6).alias("range_m"))
+
+
+@query("SELECT image_id, annotation_id FROM boxes_raw WHERE (xmin + xmax) / 2 BETWEEN 96 AND 767 AND (ymin + ymax) / 2 BETWEEN 108 AND 431", *_BOX[:2])
+def roi_polygon(spark, d):
+    roi = B.roi_polygon({"status": "CALIBRATED", "frame_size_px": (960, 540), "normalized_polygon": [(0.1, 0.2), (0.8, 0.2), (0.8, 0.8), (0.1, 0.8)]})
+    x, y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
+    return A.boxes_raw(spark, d).where(B.point_in_polygon(x, y, roi)).select("image_id", "annotation_id")
+
+
+@query("SELECT image_id, annotation_id, CASE WHEN image_id % 9 <> 0 THEN 960 END AS width, CASE WHEN image_id % 9 = 0 THEN 'MISSING_IMAGE_METADATA' END AS issue FROM boxes_raw", *_BOX[:2])
+def join_image_dims(spark, d):
+    return C.join_image_dims(A.boxes_raw(spark, d), A.images(spark, d).where("image_id % 9 <> 0")).select("image_id", "annotation_id", "width", "issue")
+
+
+@query("SELECT image_id, split FROM images JOIN sp USING (dataset, sequence_id)", *_SP)
+def join_split(spark, d):
+    return C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split")).select("image_id", "split")
+
+
+@query("""SELECT image_id, wanted, count(*) OVER (PARTITION BY wanted) AS n_matches FROM (SELECT image_id, CASE WHEN image_id % 10 = 0 THEN lower(dataset || '/' || sequence_id || '/img' || image_id || '.jpg') ELSE lower(sequence_id || '/img' || image_id || '.jpg') END AS wanted
+    FROM images WHERE image_id % 5 = 0)""", "images")
+def select_by_manifest(spark, d):
+    i = A.images(spark, d).withColumn("source_file", F.concat("dataset", F.lit("/"), "sequence_id", F.lit("/img"), "image_id", F.lit(".jpg")))
+    whole = F.col("image_id") % 10 == 0
+    listed = i.where("image_id % 5 = 0").select(F.when(whole, F.concat(F.lit("./"), "source_file")).otherwise(F.concat("sequence_id", F.lit("\\IMG"), "image_id", F.lit(".jpg"))).alias("source_file"), F.lit(True).alias("selected"))
+    return C.select_by_manifest(i, listed.unionByName(i.where("image_id % 5 = 1").select("source_file", F.lit(False).alias("selected")))).select("image_id", "wanted", "n_matches")
+
+
+@query("SELECT dataset, image_id, CASE WHEN dataset <> 'DS1' THEN sequence_id END AS sequence_id, CASE WHEN dataset = 'DS1' THEN file_group END AS file_group FROM images WHERE dataset <> 'DS2'", "images")
+def union_sources(spark, d):
+    i = A.images(spark, d)
+    return L.union_sources(i.where("dataset = 'DS0'").select("dataset", "image_id", "sequence_id"), i.where("dataset = 'DS1'").select("dataset", "image_id", "file_group"))
+
+
+@query("SELECT image_id, chunk, count(*) OVER (PARTITION BY image_id) AS n_reports, count(*) OVER (PARTITION BY image_id) > 1 AS repeated FROM (SELECT image_id, 'a' AS chunk FROM images WHERE image_id % 3 <> 0 UNION ALL SELECT image_id, 'b' FROM images WHERE image_id % 3 <> 1)", "images")
+def merge_chunk_reports(spark, d):
+    i = A.images(spark, d).select("image_id")
+    return R.merge_chunk_reports([i.where("image_id % 3 <> 0").withColumn("chunk", F.lit("a")), i.where("image_id % 3 <> 1").withColumn("chunk", F.lit("b"))])

@@ -93,6 +93,15 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def pixel_images(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors as grey images of 8 x 8 pixels in the columns of Spark's image source; some are unreadable."""
+    grey = "transform(embedding, e -> 4 * CAST(floor(least(greatest((CAST(e AS DOUBLE) + 0.5) * 64, 0), 63)) AS INT))"
+    rows = table(spark, folder, "embeddings").selectExpr(
+        "concat('DS', vec_id % 3) AS dataset", "vec_id AS file_id", "vec_id % 150 = 7 AS broken", f"unhex(array_join(transform({grey}, v -> lpad(hex(v), 2, '0')), '')) AS data"
+    )
+    return rows.selectExpr("dataset", "file_id", "if(broken, -1, 8) AS height", "if(broken, -1, 8) AS width", "1 AS nChannels", "if(broken, NULL, data) AS data")
+
+
 def tracks(spark: SparkSession, folder: str) -> DataFrame:
     """One ground position a track and hour; the frame is the number of hours."""
     rows = table(spark, folder, "events").selectExpr(
