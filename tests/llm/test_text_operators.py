@@ -479,19 +479,6 @@ def test_queries(spark):
     assert {r.doc_id for r in held if r.held_out} == {r.doc_id for r in held if zlib.crc32(str(r.doc_id).encode()) % 5 == 0}
 
 
-def test_pipeline(spark):
-    import corpus_pipeline
-
-    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
-    keep = {r.doc_id for r in apply_rules(docs(spark, rows)).where("kept").collect()}
-    rows = [r for r in rows if r[0] in keep]
-    rows = [(d, t) for (d, t), (_, _, least) in zip(rows, brute_components(rows, 80), strict=True) if d == least]
-    got = corpus_pipeline.run(spark, SMALL).collect()
-    removed = {d for d, n, gone, *_ in brute_repeats(rows, 400) if n == gone}
-    assert {r.doc_id for r in got} <= {d for d, _ in rows} - removed
-    assert all(r.decoded_same for r in got) and len(got) > 50
-
-
 def test_short_items_at_all_places():
     """Items of one to seven words, at thousands of places of long texts, whole and scattered."""
     import numpy as np
