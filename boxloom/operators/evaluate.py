@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,23 +24,31 @@ def iou_candidates(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-MATCH = "image_id long, threshold double, pred_no string, annotation_id string, iou double"
+def _greedy(thresholds: tuple[float, ...]):
+    """Of candidates in order, keep those whose prediction and label are both free in their image.
 
-
-def _greedy(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of candidates in order, keep those whose prediction and label are both free in their image."""
-    image, used = None, set()
-    for part in parts:
-        kept = []
-        for own, pred_no, annotation_id in zip(zip(part.image_id, part.threshold), part.pred_no, part.annotation_id, strict=True):
-            if own != image:
-                image, used = own, set()
-            prediction, label = (0, pred_no), (1, annotation_id)
-            free = prediction not in used and label not in used
-            kept.append(free)
-            if free:
-                used |= {prediction, label}
-        yield part.loc[kept, ["image_id", "threshold", "pred_no", "annotation_id", "iou"]]
+    Thresholds are bits: one pass over the candidates of an image answers all of them.
+    """
+    ordered = sorted(range(len(thresholds)), key=thresholds.__getitem__)
+    levels = [thresholds[k] for k in ordered]
+    reached = [sum(1 << k for k in ordered[:n]) for n in range(len(levels) + 1)]
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        image, predictions, labels = None, {}, {}
+        for part in parts:
+            bits = []
+            for own, pred_no, annotation_id, iou in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                if own != image:
+                    image, predictions, labels = own, {}, {}
+                free = reached[bisect_right(levels, iou)] & ~(predictions.get(pred_no, 0) | labels.get(annotation_id, 0))
+                if free:
+                    predictions[pred_no] = predictions.get(pred_no, 0) | free
+                    labels[annotation_id] = labels.get(annotation_id, 0) | free
+                bits.append(free)
+            out = part.append_column("bits", pa.array(bits, pa.int32()))
+            yield out.filter(pc.greater(out.column("bits"), 0))
+
+    return run
 
 
 def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
@@ -47,9 +57,12 @@ def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.
     Of labels with equal IoU the later one wins. A match touches its own image only, so rows are dealt by
     image and sorted; a partition is read as a stream that remembers one image.
     """
-    rows = candidates.select("image_id", "pred_no", "confidence", "annotation_id", "iou", _each(thresholds)).where("iou >= threshold")
-    order = ["image_id", "threshold", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
-    return rows.repartition("image_id").sortWithinPartitions(*order).mapInPandas(_greedy, MATCH)
+    order = ["image_id", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
+    rows = candidates.where(F.col("iou") >= min(thresholds)).select("image_id", "confidence", "pred_no", "annotation_id", "iou")
+    rows = rows.repartition("image_id").sortWithinPartitions(*order).select("image_id", "pred_no", "annotation_id", "iou")
+    found = rows.mapInArrow(_greedy(thresholds), "image_id long, pred_no string, annotation_id string, iou double, bits int")
+    each = F.array(*[F.when(F.col("bits").bitwiseAND(1 << k) > 0, F.lit(float(x))) for k, x in enumerate(thresholds)])
+    return found.select("image_id", F.explode(F.array_compact(each)).alias("threshold"), "pred_no", "annotation_id", "iou")
 
 
 BINS, RANKS = 4096, 1 << 16
