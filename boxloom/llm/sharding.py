@@ -8,8 +8,8 @@ margins; then partitions and shards only permute their own rows:
 2. the first ``m[p][0]`` rows of partition ``p`` go to shard 0, the next ``m[p][1]`` to shard 1, ...;
 3. rows are put in random order again within each shard.
 
-Scale: the driver sees one count a partition and sends back one row of the matrix a partition, whose
-number is that of the partitions. No sort is global and none needs a whole shard in one task: a shard's order is a
+Scale: the driver sees one count a partition and sends back one row of the matrix a partition, of
+``MOST_PARTS`` at most. No sort is global and none needs a whole shard in one task: a shard's order is a
 random key cut into ranges, whose counts give each range its first slot. Random keys are hashes of the
 row's place, so hot keys and repeated rows are spread like all others.
 """
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from boxloom.llm.columns import packed, unpacked
 from boxloom.llm.scratch import written
 
+#: Partitions that rows are dealt from, at most; with 24 shards the broadcast matrix has 20 MB then.
+MOST_PARTS = 100_000
 _PLACE = (1 << 33) - 1  # monotonically_increasing_id: the partition above, the place in it below
 
 
@@ -107,7 +109,7 @@ def communication_matrix(rows: list[int], columns: list[int], seed: int) -> list
     return out
 
 
-def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: int = 500_000) -> DataFrame:
+def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: int = 50_000) -> DataFrame:
     """The rows of ``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (0, 1, ... in each shard).
 
     Shards differ by one row at most, the first ones are the larger. Any columns may be null; repeated
@@ -117,7 +119,7 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: in
     """
     spark = df.sparkSession
     columns, row = packed(df, ["shard", "slot"])
-    rows = df.select(row.alias("row"), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("k")).sortWithinPartitions("k")
+    rows = df.coalesce(MOST_PARTS).select(row.alias("row"), F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)).alias("k")).sortWithinPartitions("k")
     rows = written(rows.select("row", F.monotonically_increasing_id().alias("id")))
     rows = rows.withColumn("part", F.shiftright("id", 33)).withColumn("place", F.col("id").bitwiseAND(_PLACE))
 
@@ -141,6 +143,6 @@ def uniform_shards(df: DataFrame, shards: int, seed: int = 0, rows_per_range: in
     firsts = firsts.withColumn("first", F.sum("n").over(Window.partitionBy("shard").orderBy("range")) - F.col("n"))
     within = Window.partitionBy("shard", "range").orderBy("k")
     placed = dealt.withColumn("at", F.row_number().over(within) - 1)
-    return placed.join(F.broadcast(firsts.drop("n")), ["shard", "range"]).select(
+    return placed.join(firsts.drop("n"), ["shard", "range"]).select(
         *unpacked(columns, "row"), "shard", (F.col("first") + F.col("at")).alias("slot")
     )
