@@ -51,20 +51,30 @@ def _greedy(thresholds: tuple[float, ...]):
     return run
 
 
-def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
-    """One-to-one matches for each IoU threshold: predictions by confidence, each to the best free label.
+def match_bits(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """Matched pairs with ``bits``: bit k tells whether they match at the k-th IoU threshold.
 
-    Of labels with equal IoU the later one wins. A match touches its own image only, so rows are dealt by
-    image and sorted; a partition is read as a stream that remembers one image.
+    Matches are one to one: predictions by confidence, each to the best free label; of labels with equal
+    IoU the later one wins. A match touches its own image only, so rows are dealt by image and sorted; a
+    partition is read as a stream that remembers one image.
     """
     order = ["image_id", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
     rows = candidates.where(F.col("iou") >= min(thresholds)).select("image_id", "confidence", "pred_no", "annotation_id", "iou")
     rows = rows.repartition("image_id").sortWithinPartitions(*order).select("image_id", "pred_no", "annotation_id", "iou")
-    found = rows.mapInArrow(_greedy(thresholds), "image_id long, pred_no string, annotation_id string, iou double, bits int")
-    each = F.array(*[F.when(F.col("bits").bitwiseAND(1 << k) > 0, F.lit(float(x))) for k, x in enumerate(thresholds)])
+    return rows.mapInArrow(_greedy(thresholds), "image_id long, pred_no string, annotation_id string, iou double, bits int")
+
+
+def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
+    """The matches of ``match_bits``, a row for each threshold."""
+    each = F.array(*[F.when(_bit(k) > 0, F.lit(float(x))) for k, x in enumerate(thresholds)])
+    found = match_bits(candidates, thresholds)
     return found.select("image_id", F.explode(F.array_compact(each)).alias("threshold"), "pred_no", "annotation_id", "iou")
 
 
+def _bit(k: int) -> Column:
+    return F.shiftright("bits", k).bitwiseAND(1)
+
+
 BINS, RANKS = 4096, 1 << 16
 
 
@@ -88,40 +98,46 @@ def ranked(predictions: DataFrame, *by: str) -> DataFrame:
     return at.join(first, cell).select(*by, "image_id", "pred_no", (F.col("base") + F.col("first") + F.col("at")).alias("rank"))
 
 
-def precision_envelope(hits: DataFrame, *group: str) -> DataFrame:
-    """Of true positives with a ``rank``: ``precision`` and ``envelope``, its maximum from there on.
+def precision_envelope(hits: DataFrame, n: int, *by: str) -> DataFrame:
+    """Of matched predictions with a ``rank`` and ``n`` ``bits``: ``envelope_k``, the best precision from there on.
 
-    Precision only rises at a true positive, so other rows are not needed. Ranks are cut into ranges: each
-    is scanned once in either direction, and counts and maxima of the ranges join them.
+    It is null where bit k is 0: precision only rises at a true positive, so other rows are not needed.
+    Ranks are cut into ranges: each is scanned once in either direction for all thresholds, and sums and
+    maxima of the ranges join them.
     """
+    every = range(n)
     hits = hits.withColumn("range", F.expr(f"rank div {RANKS}"))
-    counts = hits.groupBy(*group, "range").agg(F.count(F.lit(1)).alias("n"))
-    before, after = (Window.partitionBy(*group).orderBy(x).rowsBetween(Window.unboundedPreceding, -1) for x in (F.asc("range"), F.desc("range")))
-    counts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    inside = Window.partitionBy(*group, "range")
-    out = hits.withColumn("at", F.row_number().over(inside.orderBy("rank"))).join(counts, [*group, "range"])
-    out = out.withColumn("precision", (F.col("base") + F.col("at")) / F.col("rank"))
-    best = out.groupBy(*group, "range").agg(F.max("precision").alias("best")).select(*group, "range", F.max("best").over(after).alias("later"))
-    out = out.withColumn("own", F.max("precision").over(inside.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)))
-    return out.join(best, [*group, "range"]).select(*group, "rank", "precision", F.greatest("own", "later").alias("envelope"))
+    counts = hits.groupBy(*by, "range").agg(*[F.sum(_bit(k)).alias(f"n_{k}") for k in every])
+    before, after = (Window.partitionBy(*by).orderBy(x).rowsBetween(Window.unboundedPreceding, -1) for x in (F.asc("range"), F.desc("range")))
+    base = counts.select(*by, "range", *[F.coalesce(F.sum(f"n_{k}").over(before), F.lit(0)).alias(f"base_{k}") for k in every])
+    inside = Window.partitionBy(*by, "range")
+    out = hits.withColumns({f"at_{k}": F.sum(_bit(k)).over(inside.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) for k in every}).join(base, [*by, "range"])
+    out = out.select(*by, "range", "rank", *[F.when(_bit(k) > 0, (F.col(f"base_{k}") + F.col(f"at_{k}")) / F.col("rank")).alias(f"precision_{k}") for k in every])
+    best = out.groupBy(*by, "range").agg(*[F.max(f"precision_{k}").alias(f"best_{k}") for k in every])
+    best = best.select(*by, "range", *[F.max(f"best_{k}").over(after).alias(f"later_{k}") for k in every])
+    back = inside.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumns({f"own_{k}": F.max(f"precision_{k}").over(back) for k in every}).join(best, [*by, "range"])
+    return out.select(*by, "rank", *[F.when(F.col(f"precision_{k}").isNotNull(), F.greatest(f"own_{k}", f"later_{k}")).alias(f"envelope_{k}") for k in every])
 
 
 def _each(thresholds: tuple[float, ...]) -> Column:
     return F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
 
 
-def average_precision(
-    predictions: DataFrame, labels: DataFrame, matches: DataFrame, *by: str, thresholds: tuple[float, ...] = THRESHOLDS
-) -> DataFrame:
+def average_precision(predictions: DataFrame, labels: DataFrame, found: DataFrame, *by: str, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
     """All-point AP for each group and threshold: null without labels, 0 without predictions.
 
     AP is the sum over true positives of the best precision from there on, over the number of labels.
+    ``found`` are the ``match_bits`` of these thresholds.
     """
-    hits = matches.select("image_id", "threshold", "pred_no").join(ranked(predictions, *by), ["image_id", "pred_no"])
+    hits = found.select("image_id", "pred_no", "bits").join(ranked(predictions, *by), ["image_id", "pred_no"])
+    every = range(len(thresholds))
+    sums = precision_envelope(hits, len(thresholds), *by).groupBy(*by).agg(
+        F.array(*[F.struct(F.lit(float(thresholds[k])).alias("threshold"), F.sum(f"envelope_{k}").alias("area"), F.count(f"envelope_{k}").alias("n_tp")) for k in every]).alias("x")
+    )
+    sums = sums.select(*by, F.explode("x").alias("x")).select(*by, "x.*")
     total = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n_labels"))
-    sums = precision_envelope(hits, "threshold", *by).groupBy("threshold", *by).agg(F.sum("envelope").alias("area"), F.count(F.lit(1)).alias("n_tp"))
-    grid = total.select("*", _each(thresholds))
-    return grid.join(sums, ["threshold", *by], "left").select(
+    return total.select("*", _each(thresholds)).join(sums, ["threshold", *by], "left").select(
         "threshold", *by, "n_labels", F.coalesce("n_tp", F.lit(0)).alias("n_tp"), (F.coalesce("area", F.lit(0.0)) / F.col("n_labels")).alias("ap")
     )
 

@@ -716,6 +716,11 @@ def _scored(spark, d, thresholds=E.THRESHOLDS):
     return p, t, E.match_predictions(E.iou_candidates(p, t), thresholds)
 
 
+def _found(spark, d, thresholds=E.THRESHOLDS):
+    p, t = A.predictions(spark, d), A.labels(spark, d)
+    return p, t, E.match_bits(E.iou_candidates(p, t), thresholds)
+
+
 @query("SELECT * FROM matched", *_EVAL, "matched_50")
 def match_predictions(spark, d):
     return _scored(spark, d, (0.5,))[2]
@@ -723,12 +728,12 @@ def match_predictions(spark, d):
 
 @query(_ALL, *_EVAL, "matched")
 def average_precision(spark, d):
-    return _rounded(E.average_precision(*_scored(spark, d), "dataset"))
+    return _rounded(E.average_precision(*_found(spark, d), "dataset"))
 
 
 @query(f"SELECT dataset, round(avg(ap), 7) AS map, max(ap) FILTER (WHERE threshold = 0.5) AS ap50 FROM ({_ALL}) GROUP BY dataset", *_EVAL, "matched")
 def map50_95(spark, d):
-    return E.map50_95(_rounded(E.average_precision(*_scored(spark, d), "dataset")), "dataset").withColumn("map", F.round("map", 7))
+    return E.map50_95(_rounded(E.average_precision(*_found(spark, d), "dataset")), "dataset").withColumn("map", F.round("map", 7))
 
 
 @query("""SELECT 0.5::DOUBLE AS threshold, dataset, size_group, count(*) AS n_labels, count(hit) AS n_found, count(hit) / count(*) AS recall FROM (
@@ -761,7 +766,7 @@ _COND = "(SELECT *, unnest(list_filter([CASE WHEN lighting = 'DAY' THEN 'DAY' EN
 def condition_metrics(spark, d):
     s = A.sequences(spark, d)
     on = ["dataset", "sequence_id"]
-    p, t, m = _scored(spark, d, (0.5,))
+    p, t, m = _found(spark, d, (0.5,))
     p, t = E.condition_rows(p.join(s, on)), E.condition_rows(t.join(s, on))
     return E.condition_metrics(_rounded(E.average_precision(p, t, m, "condition", thresholds=(0.5,))), E.condition_rows(A.images(spark, d).join(s, on)))
 
@@ -967,7 +972,7 @@ def negative_reconcile(spark, d):
     LEFT JOIN (SELECT dataset, round(avg(ap), 7) AS map, max(n_labels) AS n_labels FROM ({_ALL}) GROUP BY dataset) USING (dataset)""", *_EVAL, "matched")
 def metric_by_dataset(spark, d):
     expected = spark.createDataFrame([(f"DS{k}",) for k in range(4)], "dataset string")
-    return M.metric_by_dataset(_rounded(E.average_precision(*_scored(spark, d), "dataset")), expected).withColumn("map", F.round("map", 7))
+    return M.metric_by_dataset(_rounded(E.average_precision(*_found(spark, d), "dataset")), expected).withColumn("map", F.round("map", 7))
 
 
 @query("""SELECT dimension, value, count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes FROM (UNPIVOT (SELECT i.image_id, count(b.image_id) AS n, road_type, lighting FROM images i JOIN sequences USING (dataset, sequence_id) LEFT JOIN boxes_raw b ON b.image_id = i.image_id GROUP BY ALL)

@@ -1,5 +1,6 @@
 """Operators on literal boxes, splits, duplicates, samples, scores and tracks."""
 
+import hashlib
 import random
 
 import pytest
@@ -128,13 +129,100 @@ def test_scoring(spark):
     pairs = E.iou_candidates(predictions, labels)
     assert [r.iou for r in pairs.collect()] == [1.0]
     matches = E.match_predictions(pairs, E.THRESHOLDS)
-    ap = E.average_precision(predictions, labels, matches, "dataset")
+    ap = E.average_precision(predictions, labels, E.match_bits(pairs, E.THRESHOLDS), "dataset")
     assert {r.ap for r in ap.collect()} == {0.5} and E.map50_95(ap, "dataset").first().map == 0.5
     one = matches.where("threshold = 0.5")
     d = E.image_diagnostics(predictions, labels, one).first()
     assert (d.tp, d.fn, d.fp) == (1, 0, 1) and E.recall_by(labels, one, "dataset").first().recall == 1.0
 
 
+def test_average_precision_against_brute_force(spark, monkeypatch):
+    """Many images, equal confidences, several ranges of ranks; ties in the order of the id's MD5."""
+    monkeypatch.setattr(E, "RANKS", 16)
+    rng = random.Random(4)
+    labels, predictions = [], []
+    for image in range(60):
+        for k in range(rng.randrange(5)):
+            x, y = rng.randrange(60), rng.randrange(60)
+            labels.append(("d", image, float(x), float(y), x + 20.0, y + 20.0, f"a{k}"))
+            for j in range(rng.randrange(4)):
+                dx, dy = rng.randrange(-8, 9), rng.randrange(-4, 5)
+                predictions.append(("d", image, x + dx, float(y + dy), x + dx + 20.0, y + dy + 20.0, rng.randrange(12) / 10, f"p{k}{j}"))
+    predictions = [(*p[:2], float(p[2]), *p[3:]) for p in predictions]
+
+    def iou(p, t):
+        w, h = min(p[4], t[4]) - max(p[2], t[2]), min(p[5], t[5]) - max(p[3], t[3])
+        return w * h / ((p[4] - p[2]) * (p[5] - p[3]) + (t[4] - t[2]) * (t[5] - t[3]) - w * h) if w > 0 and h > 0 else 0.0
+
+    def brute(threshold):
+        hit, used = {}, set()
+        for p in sorted(predictions, key=lambda p: (p[1], -p[6], p[7])):
+            free = [(iou(p, t), t[6]) for t in labels if t[1] == p[1] and (t[1], t[6]) not in used and iou(p, t) >= threshold and iou(p, t) > 0]
+            if free:
+                used.add((p[1], max(free)[1]))
+                hit[p[1], p[7]] = True
+        order = sorted(predictions, key=lambda p: (-p[6], hashlib.md5(f"{p[1]}:{p[7]}".encode()).hexdigest()))
+        tps, precision, n = [], [], 0
+        for i, p in enumerate(order, 1):
+            n += (p[1], p[7]) in hit
+            precision.append(n / i)
+            tps.append((p[1], p[7]) in hit)
+        return sum(max(precision[i:]) for i, tp in enumerate(tps) if tp) / len(labels)
+
+    box = "dataset string, image_id long, xmin double, ymin double, xmax double, ymax double"
+    t = spark.createDataFrame(labels, box + ", annotation_id string")
+    p = spark.createDataFrame(predictions, box + ", confidence double, pred_no string")
+    got = E.average_precision(p, t, E.match_bits(E.iou_candidates(p, t), E.THRESHOLDS), "dataset").collect()
+    assert len(got) == 10 and all(abs(r.ap - brute(r.threshold)) < 1e-12 for r in got)
+
+
+def test_near_hashes_of_distance_8(spark):
+    rng = random.Random(9)
+    values = [rng.getrandbits(64) for _ in range(25)]
+    for v in list(values):
+        for n in (1, 7, 8, 9):
+            values.append(v ^ sum(1 << b for b in rng.sample(range(64), n)))
+    values = [v - (1 << 64) if v >= 1 << 63 else v for v in values]
+    want = {(min(a, b), max(a, b)) for a in values for b in values if a != b and bin((a ^ b) & (2**64 - 1)).count("1") <= 8}
+    got = D.near_hash_pairs(spark.createDataFrame([(v,) for v in values], "phash long"), 8).collect()
+    assert {(r.a, r.b) for r in got} == want and len(got) == len(want)
+
+
+def test_split_audit_states(spark):
+    rows = [("a", "s1", "train"), ("a", "s2", "validation"), ("b", "s1", "cross_test"), ("c", "s1", "train")]
+    assigned = spark.createDataFrame([(*r, "SEQUENCE_ID", r[0] != "c") for r in rows], "dataset string, sequence_id string, split string, split_unit string, evaluation_eligible boolean")
+    scenes = assigned.select("dataset", "sequence_id", F.lit("URBAN").alias("road_type"), F.lit("DAY").alias("lighting"))
+    files = assigned.select("dataset", "sequence_id", F.lit("f1").alias("source_file"))
+    fixed = spark.createDataFrame([("b", "s1"), ("b", "s9")], "dataset string, sequence_id string")
+    policy = X.SplitPolicy(test_road_types=("URBAN", "RURAL"), test_lightings=("DAY",), train_only=("c",), main_test_locked=True)
+    got = {r.check_name: (r.n_offenders, r.status) for r in X.split_audit(assigned, scenes, files, fixed, policy).collect()}
+    assert got["file_in_one_split"] == (1, "FAIL") and got["test_datasets"] == (1, "FAIL") and got["validation_datasets"] == (1, "PARTIAL")
+    assert got["test_road_types"] == (1, "PARTIAL") and got["test_lightings"] == (0, "PASS") and got["train_only_datasets"] == (0, "PASS")
+    assert got["fixed_test_members"] == (1, "FAIL") and got["main_test_collected"] == (1, "PENDING") and got["main_test_locked"] == (0, "PASS")
+    assert got["split_unit_is_sequence"] == (0, "PASS") and len(got) == 14
+
+
+def test_stop_rules_are_validated():
+    for wrong in ({"stop_speed": 3.0, "resume_speed": 3.0}, {"stop_speed": 0.0}, {"stop_seconds": 0.0}, {"resume_seconds": -1.0}, {"fps": 0.0}):
+        with pytest.raises(ValueError):
+            K.StopRules(**wrong)
+
+
+def test_motion_in_two_directions(spark):
+    """Motion across the image is motion: a track with a constant x that moves in y raises no alert."""
+    rules = K.StopRules(fps=10.0)
+    rows = [("c", 1, i + 1, 5.0, i * 0.5) for i in range(100)] + [("c", 2, i + 1, 3.0, 4.0) for i in range(100)]
+    events = K.stop_alert_batch(spark.createDataFrame(rows, "sequence_id string, track_id long, frame_id long, x double, y double"), rules).collect()
+    assert [(e.track_id, e.range_m_at_alert, e.speed_kmh_at_alert) for e in events] == [(2, 5.0, 0.0)]
+
+
+def test_label_files_round_trip(spark, tmp_path):
+    labels = spark.createDataFrame([("d", 1, "0 0.5 0.5 0.1 0.1\n0 0.1 0.1 0.1 0.1"), ("d", 2, "")], "dataset string, image_id long, label_text string")
+    R.write_label_files(labels, str(tmp_path / "labels"))
+    files = sorted(tmp_path.glob("labels/dataset=d/image_id=*/part-*"))
+    assert [f.read_text().strip() for f in files] == ["0 0.5 0.5 0.1 0.1\n0 0.1 0.1 0.1 0.1", ""]
+
+
 def test_release(spark, tmp_path):
     rows = spark.createDataFrame(
         [("d", 1, "s", "a1", 1, "car", -5.0, 5.0, 50.0, 30.0), ("d", 1, "s", "a2", 1, "car", 0.0, 5.0, 50.0, 30.0), ("d", 1, "s", "a3", 79, "car", 1.0, 1.0, 4.0, 4.0), ("d", 1, "s", "a4", 2, "dog", 1.0, 1.0, 4.0, 4.0), ("d", 1, "s", "a5", 2, "crowd", 1.0, 1.0, 4.0, 4.0), ("d", 1, "s", "a6", 2, "car", 150.0, 1.0, 160.0, 4.0)],
