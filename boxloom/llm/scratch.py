@@ -2,29 +2,9 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, or else the folder set with ``setCheckpointDir``.
-
-    A local session without either, as in tests, gets a temporary folder. On a cluster that is an error:
-    the folder of one machine is lost with it, and others cannot see it.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = held.get() if held.isDefined() else None
-    if not folder:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="boxloom-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+from boxloom.sources.scratch import new_path
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -33,7 +13,7 @@ def written(df: DataFrame) -> DataFrame:
     Parquet rather than ``checkpoint()``: it is compressed and later steps read only the columns
     they use. The table outlives a lost executor; it goes with ``removed`` or with the folder.
     """
-    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.written_at = path
@@ -43,6 +23,5 @@ def written(df: DataFrame) -> DataFrame:
 def removed(*tables: DataFrame) -> None:
     """Delete tables of ``written`` that no frame still to be computed reads."""
     for df in tables:
-        jvm = df.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_at)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
