@@ -6,8 +6,8 @@ blocks, every block is compressed with every dictionary, and the sizes are summe
 whole text; blocks keep the dictionaries at work throughout a long text. The smallest sum names the
 language. If the runner-up is within ``narrow`` of it, the answer is marked as rejected.
 
-Scale: the dictionaries are fitted on a bounded sample of ``sample_docs`` documents a language, taken by a
-hash order that a per-task limit pre-reduces. Prediction is one pass over the documents without a shuffle.
+Scale: the dictionaries are fitted on a bounded sample of ``sample_docs`` texts a language, of which tasks
+send only the share that the counts call for. Prediction is one pass over the documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from boxloom.llm.columns import packed, unpacked
+from boxloom.llm.samples import drawn, share
 
 _LETTER = regex.compile(r"\p{L}")
 _BETWEEN = re.compile(r"[\W\d_]+")
@@ -34,18 +35,22 @@ def letters(text: str) -> bytes:
 
 
 def sample_dictionaries(docs: DataFrame, text: str, lang: str, sample_docs: int = 192) -> dict[str, bytes]:
-    """A dictionary of the whole texts of at most ``sample_docs`` rows for each non-null language.
+    """A dictionary of at most ``sample_docs`` different whole texts for each non-null language.
 
-    Rows with a letter are taken, in hash order. The languages come in order of their numbers of rows,
+    Texts with a letter are taken, in hash order. The languages come in order of their numbers of rows,
     the most frequent first, then by name.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("body")).where(F.col("lang").isNotNull() & F.col("body").rlike(r"\p{L}"))
+    often = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not often:
+        return {}
+    limits = F.create_map(*[F.lit(x) for k, n in often.items() for x in (k, share(sample_docs, n))])
+    some = rows.where(drawn("body", limits[F.col("lang")])).dropDuplicates(["lang", "body"])
     order = Window.partitionBy("lang").orderBy(F.xxhash64("body"), "body")
-    picked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).collect()
+    picked = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample_docs).collect()
     parts: dict[str, list[bytes]] = {}
     for row in sorted(picked, key=lambda r: (r["lang"], r["rank"])):
         parts.setdefault(row["lang"], []).append(letters(row["body"]))
-    often = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     return {k: b"\n".join(parts[k]) for k in sorted(parts, key=lambda k: (-often[k], k))}
 
 
