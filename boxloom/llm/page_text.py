@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.llm.columns import packed, unpacked
+from boxloom.llm.samples import drawn, share
 
 # Element names by what they do to text.
 DROPPED = frozenset("script style noscript template svg iframe object head title select textarea button canvas math".split())
@@ -303,7 +304,7 @@ def main_text(page: str | None, weight: dict[str, float]) -> str:
 
 
 def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000) -> dict[str, float]:
-    """Token weights from at most ``sample_pages`` labelled pages; empty if none is labelled.
+    """Token weights from at most ``sample_pages`` different labelled pages, each as often as it occurs; empty if none is labelled.
 
     Pages of an odd hash are never learned from, so that the weights can be held against their marks.
     """
@@ -316,10 +317,12 @@ def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000
 
     marked = F.col("h").rlike(r"(?i)<(article|main)\b|articlebody")
     part = F.pmod(F.xxhash64("h"), F.lit(2)) == 0
-    sample = pages.select(F.col(html).alias("h")).where(marked & part).orderBy(F.xxhash64("h"), "h").limit(sample_pages)
+    labelled = pages.select(F.col(html).alias("h")).where(marked & part)
+    some = labelled.where(drawn("h", F.lit(share(2 * sample_pages, labelled.count())))).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    sample = some.orderBy(F.xxhash64("h"), "h").limit(sample_pages)
     sums = (
-        sample.select(F.explode(counted.asNondeterministic()("h")).alias("x")).groupBy("x.feature")
-        .agg(F.sum("x.good").alias("good"), F.sum("x.bad").alias("bad")).collect()
+        sample.select("n", F.explode(counted.asNondeterministic()("h")).alias("x")).groupBy("x.feature")
+        .agg(F.sum(F.col("n") * F.col("x.good")).alias("good"), F.sum(F.col("n") * F.col("x.bad")).alias("bad")).collect()
     )
     return weights({r["feature"]: (r["good"], r["bad"]) for r in sums})
 
