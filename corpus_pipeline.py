@@ -14,7 +14,7 @@ from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.minhash import near_duplicates
 from boxloom.llm.pieces import encode_pieces
 from boxloom.llm.quality_rules import apply_rules
-from boxloom.llm.scratch import written
+from boxloom.llm.scratch import removed, written
 from boxloom.llm.suffix_dedup import cut_repeats
 
 
@@ -87,6 +87,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before: list[DataFrame] = []
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
+        removed(*before)  # what a stage has written is not read after the next one
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
