@@ -81,3 +81,17 @@ def review_queue(rows: DataFrame, per_stratum: int, seed: str, *stratum: str, ca
 def cap_examples(rows: DataFrame, n: int, *order: str) -> DataFrame:
     w = Window.partitionBy("dataset").orderBy(*order)
     return rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where(F.col("rn") <= n)
+
+
+def numbered(rows: DataFrame, prefix: str, key: str, name: str = "id", width: int = 6) -> DataFrame:
+    """``name``: ``prefix`` and the place of each row in the order of a text key, from 1 on.
+
+    Rows are counted by the first two characters of the key; those counts give each part its first
+    number, so that no window holds all rows. Keys have to be distinct for ids that can be repeated.
+    """
+    rows = rows.withColumn("part", F.substring(key, 1, 2))
+    counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each two characters
+    first = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    at = rows.withColumn("at", F.row_number().over(Window.partitionBy("part").orderBy(key))).join(first, "part")
+    return at.withColumn(name, F.format_string(f"{prefix}%0{width}d", F.col("first") + F.col("at"))).drop("part", "first", "at")

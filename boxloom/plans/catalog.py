@@ -540,9 +540,20 @@ def near_duplicate_pairs(spark, d):
     return D.near_duplicate_pairs(A.fingerprints(spark, d))
 
 
+@query("""SELECT sha256, group_size, printf('DUP_%06d', row_number() OVER (ORDER BY sha256)) AS group_id FROM (SELECT sha256, count(*) AS group_size FROM fingerprints GROUP BY sha256 HAVING count(*) > 1)""", "fingerprints")
+def duplicate_group_ids(spark, d):
+    groups = D.duplicate_groups(A.fingerprints(spark, d)).where("keep").select("sha256", "group_size")
+    return S.numbered(groups, "DUP_", "sha256", "group_id")
+
+
 # ---- samples
 
 
+@query("SELECT image_id, printf('SEL_%06d', row_number() OVER (ORDER BY h)) AS selection_id FROM (SELECT image_id, sha256('s1|' || image_id) AS h FROM images ORDER BY h LIMIT 500)", "images")
+def selection_ids(spark, d):
+    return S.numbered(S.sample_fixed(A.images(spark, d), 500, "s1", "image_id"), "SEL_", "rank_hash", "selection_id").select("image_id", "selection_id")
+
+
 @query("SELECT image_id FROM images ORDER BY sha256('s1|' || image_id) LIMIT 500", "images")
 def sample_fixed(spark, d):
     return S.sample_fixed(A.images(spark, d), 500, "s1", "image_id").select("image_id")
