@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.llm.byte_bpe import decode_bytes, encode_bytes
 from boxloom.llm.chat import END, START, render_perspectives
 from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.langid import identify_language
@@ -97,6 +98,13 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _texts(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return decode_bytes(encode_bytes(docs)).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -108,6 +116,7 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
