@@ -33,9 +33,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _CHUNK = 1 << 22  # characters of a block
 _PART = 1 << 20  # characters of a text that are cut into stretches at once
 _STRETCH = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: White space other than that, where a stretch could end inside one of the pattern's words.
+#: With other white space in a text, a stretch could begin inside one of the pattern's words but after this:
 _OTHER_SPACE = re.compile(r"[^\S \n]")
-_BREAK = re.compile(r"[^\s](?=[ \n])")
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _NONE = 1 << 30
 
 
@@ -201,11 +201,11 @@ class Stretches(dict):
         self.characters += len(stretch)
         return number
 
-    def of(self, text: str, split) -> np.ndarray:
+    def of(self, text: str) -> np.ndarray:
         """The numbers of a text's stretches; they join to the text."""
         found = [np.empty(0, np.int64)]
         for part in parts_of(text):
-            own = split(part) if _OTHER_SPACE.search(part) else _STRETCH.findall(part)
+            own = _CUT.split(part) if _OTHER_SPACE.search(part) else _STRETCH.findall(part)
             found.append(np.fromiter(map(self.__getitem__, own), np.int64, len(own)))
         return np.concatenate(found)
 
@@ -213,9 +213,9 @@ class Stretches(dict):
 def parts_of(text: str):
     """A text in parts, none of which ends inside a stretch."""
     start = 0
-    while len(text) - start > _PART and (m := _BREAK.search(text, start + _PART)):
-        yield text[start : m.end()]
-        start = m.end()
+    while len(text) - start > _PART and (m := _CUT.search(text, start + _PART)):
+        yield text[start : m.start()]
+        start = m.start()
     yield text[start:]
 
 
@@ -241,7 +241,7 @@ class Runs:
 class Coder:
     """Encoder and decoder of one vocabulary; what it knows of stretches is forgotten once they fill ``limit`` characters."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 8_000_000):
+    def __init__(self, vocabulary: Vocabulary, limit: int = 4_000_000):
         self.v, self.limit = vocabulary, limit
         self.replay = MergeReplay(vocabulary)
         self.split = regex.compile(vocabulary.pattern).findall
@@ -271,7 +271,7 @@ class Coder:
         """The ids of each text of a block; none for null or empty ones."""
         if self.stretches.characters > self.limit:
             self.stretches, self.runs = Stretches(), Runs()
-        numbers = [self.stretches.of(t or "", self.split) for t in texts]
+        numbers = [self.stretches.of(t or "") for t in texts]
         if self.stretches.fresh:
             self.runs.add(*self.encode_stretches(self.stretches.fresh))
             self.stretches.fresh = []
