@@ -14,6 +14,7 @@ from boxloom.llm.minhash import near_duplicates
 from boxloom.llm.page_text import extract_main_text
 from boxloom.llm.pieces import encode_pieces
 from boxloom.llm.quality_rules import STOP_WORDS, apply_rules, rules_sql
+from boxloom.llm.ranked_search import rank_documents
 from boxloom.llm.sharding import uniform_shards
 from boxloom.llm.suffix_dedup import remove_repeats
 
@@ -98,6 +99,10 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_documents(_texts(spark, folder), _table(spark, folder, "benchmark"), top=10)
+
+
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _texts(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return decode_bytes(encode_bytes(docs)).select(
@@ -116,10 +121,12 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
+    "op12_ranked_search": op12_ranked_search,
     "op13_byte_bpe": op13_byte_bpe,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -237,4 +244,21 @@ SQL: dict[str, str] = {
         SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(runs, 0) AS n_spans, kept_sha256, text
         FROM b JOIN kept USING (doc_id) JOIN rest USING (doc_id)
         LEFT JOIN (SELECT doc_id, sum(e - s) AS gone, count(*) AS runs FROM exact GROUP BY doc_id) USING (doc_id)""",
+    "op12_ranked_search": rf"""
+        WITH t AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS ws FROM documents),
+        d AS (SELECT r, doc_id, len(ws) AS n, ws FROM t WHERE len(ws) > 0),
+        whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS total FROM d),
+        item AS (
+            SELECT row_number() OVER () AS k, item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') AS ws
+            FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+        q AS (SELECT k, item_id, term, count(*) AS times FROM (SELECT k, item_id, unnest(ws) AS term FROM item) GROUP BY ALL),
+        p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(ws) AS term FROM d) GROUP BY ALL),
+        f AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, whole GROUP BY term, n_docs),
+        scored AS (
+            SELECT k, item_id, r, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // total)))) AS BIGINT) AS score
+            FROM q JOIN p USING (term) JOIN f USING (term), whole GROUP BY ALL)
+        SELECT item_id, CAST(place AS INT) AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+        WHERE place <= 10""",
 }
