@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from boxloom.llm.alignment import align_tokens, count_links
 from boxloom.llm.byte_bpe import decode_bytes, encode_bytes
 from boxloom.llm.chat import END, START, render_perspectives
 from boxloom.llm.decontaminate import contained_items
@@ -99,6 +100,12 @@ def op10_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    aligned = align_tokens(_texts(spark, folder))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return count_links(aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "links"))
+
+
 def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return rank_documents(_texts(spark, folder), _table(spark, folder, "benchmark"), top=10)
 
@@ -121,6 +128,7 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_minhash": op9_minhash,
     "op10_suffix_array": op10_suffix_array,
+    "op11_alignment": op11_alignment,
     "op12_ranked_search": op12_ranked_search,
     "op13_byte_bpe": op13_byte_bpe,
 }
