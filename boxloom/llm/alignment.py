@@ -12,6 +12,9 @@ summed, go back to the blocks that list the pair, and are there applied to each
 
 from __future__ import annotations
 
+import zlib
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -27,7 +30,8 @@ from boxloom.llm.words import batches
 VOCABULARY_A = "/opt/tokenizers/byte_bpe_50k.json"
 VOCABULARY_B = pieces.VOCABULARY
 
-_CHUNK = 1 << 22  # characters of a block
+_CHUNK = 1 << 22  # characters whose new stretches are learned at once
+_BLOCK = 1 << 20  # characters that are aligned at once
 
 
 def gallop(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -96,13 +100,34 @@ def unpacked_numbers(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127) << 7 * k, head)
 
 
+class LibraryPieces:
+    """The ids that the sentencepiece library gives to stretches of a text.
+
+    The library puts a space before what it encodes. A stretch begins with a space, which is left to the
+    library, or with a line end; as no piece holds one, the library's space is then a piece of its own.
+    """
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.space = self.model.piece_to_id(pieces.SPACE)
+
+    def encode_stretches(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self.model.encode([s[s[0] == " " :] for s in stretches], num_threads=1)
+        lists = [x if s[0] == " " else x[1:] for s, x in zip(stretches, lists, strict=True)]
+        lists = [[self.space] if s == " " else x for s, x in zip(stretches, lists, strict=True)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
+
+
 class Aligner:
     """Tokens of both sides by stretches, and the alignment of blocks of texts."""
 
-    def __init__(self, a: Vocabulary, b: tuple, limit: int = 3_000_000):
-        self.limit, self.a, self.b = limit, Coder(a), pieces.Pieces(b, table_limit=60_000)
-        self.n_b = len(self.b.decoded)
-        self.bytes_a, self.bytes_b = (np.array(list(map(len, tokens)), np.int64) for tokens in (a.tokens, self.b.decoded))
+    def __init__(self, a: Vocabulary, tokens_b: list[bytes], model_b: bytes, limit: int = 5_000_000):
+        self.limit, self.a, self.b = limit, Coder(a), LibraryPieces(model_b)
+        self.tokens_b, self.n_b = tokens_b, len(tokens_b)
+        self.bytes_a, self.bytes_b = (np.array(list(map(len, tokens)), np.int64) for tokens in (a.tokens, tokens_b))
         n = max(len(a.tokens), self.n_b)
         width = len(str(n))
         self.decimal = np.frombuffer(np.arange(n).astype(f"S{width}").tobytes(), np.uint8).reshape(n, width)  # filled up with 0
@@ -113,23 +138,40 @@ class Aligner:
 
     def _learn(self) -> None:
         fresh, self.stretches.fresh = self.stretches.fresh, []
-        if fresh:
-            sides = []
-            for coder, tokens, held in ((self.a, self.a.v.tokens, self.ids_a), (self.b, self.b.decoded, self.ids_b)):
-                flat, counts = coder.encode_stretches(fresh)
-                held.add(flat, counts)
-                parts, ends = list(map(tokens.__getitem__, flat.tolist())), np.append(0, np.cumsum(counts)).tolist()
-                sides.append([b"".join(parts[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)])
-            self.differs = np.append(self.differs, [s.encode() != x or s.encode() != y for s, x, y in zip(fresh, *sides, strict=True)])
-
-    def align(self, texts: list[str | None]) -> dict[str, list | np.ndarray]:
-        """Of each text: numbers of tokens, groups and links, the groups as text, its linked pairs (places among the block's) and how often; the block's pairs and in how many texts each is."""
+        if not fresh:
+            return
+        data = [s.encode() for s in fresh]
+        sizes = np.fromiter(map(len, data), np.int64, len(data))
+        differs = np.zeros(len(fresh), bool)
+        for coder, tokens, lengths, held in ((self.a, self.a.v.tokens, self.bytes_a, self.ids_a), (self.b, self.tokens_b, self.bytes_b, self.ids_b)):
+            flat, counts = coder.encode_stretches(fresh)
+            held.add(flat, counts)
+            ends = np.append(0, np.cumsum(lengths[flat]))[np.append(0, np.cumsum(counts))]
+            same_size = np.diff(ends) == sizes
+            differs |= ~same_size
+            # bytes are compared where they stand at the same places
+            both = [np.frombuffer(b"".join(x), np.uint8) for x in (
+                (data[k] for k in np.flatnonzero(same_size).tolist()), map(tokens.__getitem__, flat[np.repeat(same_size, counts)].tolist()),
+            )]
+            wrong = np.flatnonzero(both[0] != both[1])
+            if len(wrong):
+                at = np.searchsorted(np.cumsum(sizes[same_size]), wrong, "right")
+                differs[np.flatnonzero(same_size)[at]] = True
+        self.differs = np.append(self.differs, differs)
+
+    def align_all(self, texts: list[str | None]):
+        """Yield the number of texts and the alignment of blocks of them."""
         if self.stretches.characters > self.limit:
             self.clear()
-        numbers = [self.stretches.of(f" {t}") if t else np.empty(0, np.int64) for t in texts]
+        none = np.empty(0, np.int64)
+        numbers = [self.stretches.of(f" {t}") if t else none for t in texts]
         self._learn()
+        for some in batches(zip(numbers, texts, strict=True), lambda x: len(x[1] or "") + 16, _BLOCK):
+            yield len(some), self.align([none if self.differs[own].any() else own for own, _ in some])
+
+    def align(self, numbers: list[np.ndarray]) -> dict[str, list | np.ndarray]:
+        """Of each text, given as its stretches: numbers of tokens, groups and links, the groups as text, its linked pairs (places among the block's) and how often; the block's pairs and in how many texts each is."""
         none = np.empty(0, np.int64)
-        numbers = [none if self.differs[own].any() else own for own in numbers]
         every = np.concatenate([none, *numbers])
         edges = np.append(0, np.cumsum(list(map(len, numbers)))).astype(np.int64)
         a, b = self.ids_a.of(every).astype(np.int64), self.ids_b.of(every).astype(np.int64)
@@ -148,11 +190,11 @@ class Aligner:
             cuts.reverse()
         of_group = np.searchsorted(cuts[0], of_a)
         pair = a[links[0]] * self.n_b + b[links[1]]
-        text_of = np.repeat(np.arange(len(texts)), np.diff(of_link))
+        text_of = np.repeat(np.arange(len(numbers)), np.diff(of_link))
         kinds = len(self.bytes_a) * self.n_b
         keys, times = np.unique(text_of * kinds + pair, return_counts=True)
         pairs, place, n_texts = np.unique(keys % kinds, return_inverse=True, return_counts=True)
-        sizes = np.bincount(keys // kinds, minlength=len(texts))
+        sizes = np.bincount(keys // kinds, minlength=len(numbers))
         head = np.cumsum(sizes) - sizes
         steps = np.diff(place, prepend=0)
         steps[head[sizes > 0]] = place[head[sizes > 0]]
@@ -205,34 +247,39 @@ def align_tokens(docs: DataFrame, text: str = "text", vocabulary_a: str = VOCABU
     """
     passed, row = packed(docs, ["n_a", "n_b", "n_groups", "n_links", "groups", "links", text])
     a = byte_bpe.load_json(vocabulary_a)
-    b, number = pieces._numbered(vocabulary_b)
+    names, _, tokens_b, _ = pieces.load_pieces(vocabulary_b)
+    if any("\n" in name for name in names):
+        raise ValueError("a piece holds a line end, at which texts are cut")
+    with open(vocabulary_b, "rb") as file:
+        model_b = file.read()
+    number = zlib.crc32(model_b)
     slim = docs.select(row.alias("row"), F.col(text).alias("text"))
 
     def align(frames):
         key = (a.number, number)
         if key not in _ALIGNERS:
             _ALIGNERS.clear()
-            _ALIGNERS[key] = Aligner(a, b)
+            _ALIGNERS[key] = Aligner(a, tokens_b, model_b)
         own, block = _ALIGNERS[key], TaskContext.get().partitionId() << 32
         for frame in frames:
             at = 0
             for some in batches((t.as_py() for t in frame.column(1)), lambda t: len(t or "") + 16, _CHUNK):
-                x = own.align(some)
-                rest = [None] * (len(some) - 1)  # a block's pairs go with its first row
-                links = pa.StructArray.from_arrays(
-                    [
-                        pa.array([block] * len(some), pa.int64()), pa.array([own.n_b] * len(some), pa.int32()), pa.array(x["places"], pa.binary()), pa.array(x["times"], pa.binary()),
-                        pa.array([x["pairs"], *rest], pa.list_(pa.int64())), pa.array([x["n_texts"], *rest], pa.list_(pa.int64())),
-                    ],
-                    fields=list(_LINKS),
-                )
-                numbers = [pa.array(x[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")]
-                yield pa.RecordBatch.from_arrays(
-                    [frame.column(0).slice(at, len(some)), *numbers, pa.array(x["groups"], pa.string()), links],
-                    ["row", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
-                )
-                at += len(some)
-                block += 1
+                for n, x in own.align_all(some):
+                    rest = [None] * (n - 1)  # a block's pairs go with its first row
+                    links = pa.StructArray.from_arrays(
+                        [
+                            pa.array([block] * n, pa.int64()), pa.array([own.n_b] * n, pa.int32()), pa.array(x["places"], pa.binary()), pa.array(x["times"], pa.binary()),
+                            pa.array([x["pairs"], *rest], pa.list_(pa.int64())), pa.array([x["n_texts"], *rest], pa.list_(pa.int64())),
+                        ],
+                        fields=list(_LINKS),
+                    )
+                    numbers = [pa.array(x[k], pa.int64()) for k in ("n_a", "n_b", "n_groups", "n_links")]
+                    yield pa.RecordBatch.from_arrays(
+                        [frame.column(0).slice(at, n), *numbers, pa.array(x["groups"], pa.string()), links],
+                        ["row", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
+                    )
+                    at += n
+                    block += 1
 
     aligned = slim.mapInArrow(align, _SCHEMA.format(row=slim.schema["row"].dataType.simpleString()))
     return aligned.select(*unpacked(passed, "row"), "n_a", "n_b", "n_groups", "n_links", "groups", "links")

@@ -211,18 +211,6 @@ class Pieces:
         none = np.empty(0, np.int32)
         return [np.concatenate(own) if len(own) > 1 else own[0] if own else none for own in out]
 
-    def encode_stretches(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all stretches, without a space before them, in one array, and the number of each stretch's ids."""
-        lists = [_STRETCH.findall(s.replace(SPACE, " ")) for s in stretches]
-        ids, counts = [], []
-        for own in batches(lists, lambda x: sum(map(len, x)), _CHUNK):
-            long = self._learn(set().union(*own))
-            for some in own:
-                runs = [long[s] if s in long else self.table[s] for s in some]
-                counts.append(sum(map(len, runs)))
-                ids += chain.from_iterable(runs)
-        return np.array(ids, np.int64), np.array(counts, np.int64)
-
     def encode(self, text: str | None) -> np.ndarray:
         return self.encode_all([text])[0]
 
