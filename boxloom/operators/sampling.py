@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def hash_key(*key: str) -> Column:
+    return F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key]), 256)
 
 
 def hash_rank(seed: str, *key: str) -> Column:
@@ -62,20 +70,64 @@ def first_candidate_per_source(rows: DataFrame, source: str, mapped: str, ordina
     return rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn = 1").drop("rn")
 
 
-def review_queue(rows: DataFrame, per_stratum: int, seed: str, *stratum: str, caps=(1, 2, 3, 5)) -> DataFrame:
-    """Up to ``per_stratum`` rows a stratum in hash order; sequences are capped at 1, 2, 3, then 5 rows.
+def review_queue(
+    rows: DataFrame, n: int, *stratum: str, key: tuple[str, ...] = ("sequence_id", "frame_id", "track_id"),
+    sequence: str = "sequence_id", caps: tuple[int, ...] = (1, 2, 3, 5),
+) -> DataFrame:
+    """A greedy queue of ``n`` keys: strata take turns, and all strata share one cap a sequence.
 
-    A row's cap is the first that its rank in its sequence allows, so low ranks come before high ones:
-    this is the order in which caps that are raised step by step let rows in.
+    In its turn a stratum gives its hash-least key that is not chosen yet and whose sequence is below the
+    cap. Passes over the strata (in their order) go on until one of them gives nothing; then the cap
+    rises. Returns the strata, the key, ``cap`` and ``queue_position`` from 1 on.
+
+    The choice is sequential, but few keys can matter: no sequence gives more than the last cap, so of a
+    sequence its ``caps[-1]`` hash-least keys in a stratum are enough, and keys passed over belong to
+    sequences chosen before, fewer than ``n``, so a stratum's first ``caps[-1] * (n - 1) + 1`` of those are. Only they meet in
+    one task, which reads them in the order of strata and hash.
+    """
+    names, last = list(stratum), caps[-1]
+    slim = rows.select(*dict.fromkeys([*names, *key, sequence])).withColumn("rank_hash", hash_key(*key))
+    of_sequence = Window.partitionBy(*names, sequence).orderBy("rank_hash")
+    some = slim.withColumn("at", F.dense_rank().over(of_sequence)).where(F.col("at") <= last).drop("at").distinct()
+    some = some.withColumn("at", F.row_number().over(Window.partitionBy(*names).orderBy("rank_hash"))).where(F.col("at") <= last * (n - 1) + 1).drop("at")
+    columns = [c for c in some.columns if c != "rank_hash"]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        strata: dict[tuple, list[tuple]] = {}
+        for part in parts:
+            own = {c: [None if pd.isna(x) else x for x in part[c].tolist()] for c in part.columns}
+            rows = zip(zip(*(own[c] for c in columns), strict=True), zip(*(own[c] for c in names), strict=True), own["rank_hash"], own[sequence], strict=True)
+            for values, which, rank, at in rows:
+                strata.setdefault(which, []).append((rank, at, values))
+        yield pd.DataFrame([(*v, c, k) for k, (v, c) in enumerate(take_turns(list(strata.values()), n, caps), 1)], columns=[*columns, "cap", "queue_position"])
+
+    schema = T.StructType([some.schema[c] for c in columns]).add("cap", T.IntegerType()).add("queue_position", T.LongType())
+    return some.repartition(1).sortWithinPartitions(*names, "rank_hash").mapInPandas(run, schema)
+
+
+def take_turns(strata: list[list[tuple]], n: int, caps: tuple[int, ...]) -> list[tuple]:
+    """``(value, cap)`` of the greedy choice from lists of (key, sequence, value), each in its order.
+
+    What a list passes over under one cap stays passed over under it, so each cap reads a list once.
     """
-    inner = Window.partitionBy(*stratum, "sequence_id").orderBy(hash_rank(seed, "image_id"))
-    out = rows.withColumn("rank_in_sequence", F.row_number().over(inner).cast("bigint")).where(F.col("rank_in_sequence") <= caps[-1])
-    level = F.lit(len(caps) - 1)
-    for k in range(len(caps) - 2, -1, -1):
-        level = F.when(F.col("rank_in_sequence") <= caps[k], k).otherwise(level)
-    out = out.withColumn("cap_level", level)
-    outer = Window.partitionBy(*stratum).orderBy("cap_level", hash_rank(seed, "image_id"))
-    return out.withColumn("queue_position", F.row_number().over(outer).cast("bigint")).where(F.col("queue_position") <= per_stratum)
+    chosen: list[tuple] = []
+    taken: set = set()
+    held: dict = {}
+    for cap in caps:
+        at = [0] * len(strata)
+        moved = True
+        while moved and len(chosen) < n:
+            moved = False
+            for k, own in enumerate(strata):
+                while at[k] < len(own) and (own[at[k]][0] in taken or held.get(own[at[k]][1], 0) >= cap):
+                    at[k] += 1
+                if at[k] < len(own) and len(chosen) < n:
+                    key, sequence, value = own[at[k]]
+                    taken.add(key)
+                    held[sequence] = held.get(sequence, 0) + 1
+                    chosen.append((value, cap))
+                    moved = True
+    return chosen
 
 
 def cap_examples(rows: DataFrame, n: int, *order: str) -> DataFrame:

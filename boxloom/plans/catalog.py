@@ -599,11 +599,25 @@ def first_candidate_per_source(spark, d):
     return S.first_candidate_per_source(rows, "sequence_id", "mapped", "image_id").select("sequence_id", "image_id")
 
 
-@query("""SELECT weather, camera_view, image_id, queue_position FROM (SELECT *, row_number() OVER (PARTITION BY weather, camera_view ORDER BY CASE WHEN r <= 1 THEN 0 WHEN r <= 2 THEN 1 WHEN r <= 3 THEN 2 ELSE 3 END, h) AS queue_position FROM (
-    SELECT *, sha256('s4|' || image_id) AS h, row_number() OVER (PARTITION BY weather, camera_view, sequence_id ORDER BY sha256('s4|' || image_id)) AS r FROM images JOIN sequences USING (dataset, sequence_id)) WHERE r <= 5) WHERE queue_position <= 20""", "images", "sequences")
+A.SQL["turns"] = """cand AS (SELECT *, dense_rank() OVER (ORDER BY weather, camera_view, size_category, boundary) - 1 AS s FROM (
+        SELECT DISTINCT weather, camera_view, size_category, clip_adjustments <> '' AS boundary, sequence_id, frame_id, track_id, sha256(sequence_id || '|' || frame_id || '|' || track_id) AS h
+        FROM cat JOIN sequences USING (dataset, sequence_id) WHERE NOT list_contains(issues, 'NON_POSITIVE_SIZE'))),
+    turns AS (
+        SELECT CAST([] AS VARCHAR[]) AS hs, CAST([] AS VARCHAR[]) AS qs, CAST([] AS BIGINT[]) AS ss, CAST([] AS INT[]) AS cs, 1 AS c, CAST(0 AS BIGINT) AS s, false AS moved
+        UNION ALL
+        SELECT CASE WHEN p IS NULL THEN hs ELSE list_append(hs, p.h) END, CASE WHEN p IS NULL THEN qs ELSE list_append(qs, p.q) END, CASE WHEN p IS NULL THEN ss ELSE list_append(ss, s) END, CASE WHEN p IS NULL THEN cs ELSE list_append(cs, ([1, 2, 3, 5])[c]) END,
+            CASE WHEN s = n - 1 AND p IS NULL AND NOT moved THEN c + 1 ELSE c END, (s + 1) % n, CASE WHEN s = n - 1 THEN false ELSE moved OR p IS NOT NULL END
+        FROM (SELECT t.*, (SELECT max(s) + 1 FROM cand) AS n, min({'h': k.h, 'q': k.sequence_id}) FILTER (WHERE k.h IS NOT NULL) AS p FROM turns t LEFT JOIN cand k
+            ON k.s = t.s AND NOT list_contains(t.hs, k.h) AND len(list_filter(t.qs, lambda x: x = k.sequence_id)) < ([1, 2, 3, 5])[t.c] GROUP BY ALL)
+        WHERE c <= 4 AND len(hs) < 150)"""
+
+
+@query("""SELECT DISTINCT weather, camera_view, size_category, boundary, sequence_id, frame_id, track_id, cap, queue_position FROM (
+    SELECT unnest(hs) AS h, unnest(ss) AS s, unnest(cs) AS cap, unnest(range(1, len(hs) + 1)) AS queue_position FROM (SELECT * FROM turns ORDER BY len(hs) DESC LIMIT 1)) JOIN cand USING (h, s)""", *_BOX, "sequences", "turns")
 def review_queue_stratified(spark, d):
-    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"])
-    return S.review_queue(rows, 20, "s4", "weather", "camera_view").select("weather", "camera_view", "image_id", "queue_position")
+    """Visible boxes for review, over strata of weather, camera, size and whether the box leaves the image."""
+    rows = B.box_geometry(B.box_clip(B.box_validate(A.boxes_raw(spark, d)))).where("NOT array_contains(issues, 'NON_POSITIVE_SIZE')").join(A.sequences(spark, d), ["dataset", "sequence_id"])
+    return S.review_queue(rows.withColumn("boundary", F.col("clip_applied")), 150, "weather", "camera_view", "size_category", "boundary")
 
 
 @query("""SELECT dataset, image_id, annotation_id, rn FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY image_id, annotation_id) AS rn FROM clip WHERE clip_adjustments <> '') WHERE rn <= 100""", *_BOX[:4])
