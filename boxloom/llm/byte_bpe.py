@@ -296,29 +296,32 @@ def _ids_of(value: bytes) -> np.ndarray:
     return np.frombuffer(value, "<u4")
 
 
-def encode_bytes(docs: DataFrame, text: str = "text", vocabulary: Vocabulary | None = None) -> DataFrame:
+def encode_bytes(docs: DataFrame, text: str = "text", vocabulary: Vocabulary | None = None, decode: bool = False) -> DataFrame:
     """The rows of ``docs`` with ``ids``, packed as little-endian unsigned 32-bit integers, and their number ``n_tokens``.
 
-    A null text has null ids and 0 of them, an empty one empty ids; repeated rows have equal ids, and
-    an empty table gives an empty table. Among equal pairs of a word the leftmost merges first. Texts of
-    any length are encoded whole; strings of special tokens are plain text. Other columns pass through;
-    old columns of the two result names, in any case, are replaced. The vocabulary, read by the driver,
-    goes to the tasks; its size does not depend on the data. ``unpacked_ids`` gives arrays instead.
+    With ``decode`` also ``decoded``, the bytes that the ids stand for, from the same pass. A null text
+    has null ids and 0 of them, an empty one empty ids; repeated rows have equal ids, and an empty table
+    gives an empty table. Among equal pairs of a word the leftmost merges first. Texts of any length are
+    encoded whole; strings of special tokens are plain text. Other columns pass through; old columns of
+    the result names, in any case, are replaced. The vocabulary, read by the driver, goes to the tasks;
+    its size does not depend on the data. ``unpacked_ids`` gives arrays instead.
     """
-    passed, row = packed(docs, ["ids", "n_tokens"], text)
+    results = ["ids", "n_tokens", "decoded"][: 3 if decode else 2]
+    passed, row = packed(docs, results, text)
     own = vocabulary or load_ranks()
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("struct<ids:binary,decoded:binary>")
     def encode(texts: pa.Array) -> pa.Array:
-        coder, out = coder_of(own), []
+        coder, out, back = coder_of(own), [], []
         for some in batches((t.as_py() for t in texts), lambda t: len(t or "") + 1, _CHUNK):
-            out += [None if t is None else ids.astype("<u4").tobytes() for t, ids in zip(some, coder.encode_all(some), strict=True)]
-        return pa.array(out, pa.binary())
-
-    once = encode.asNondeterministic()  # not once more inside what reads its result
-    return docs.select(row.alias("row"), F.col(text).alias("text"), once(F.col(text)).alias("ids")).select(
-        *unpacked(passed, "row", text, F.col("text")), "ids", F.coalesce(F.octet_length("ids") / 4, F.lit(0)).cast("bigint").alias("n_tokens")
-    )
+            for t, ids in zip(some, coder.encode_all(some), strict=True):
+                out.append(None if t is None else ids.astype("<u4").tobytes())
+                back.append(None if t is None or not decode else coder.decode(_ids_of(out[-1]).tolist()))
+        return pa.StructArray.from_arrays([pa.array(out, pa.binary()), pa.array(back, pa.binary())], ["ids", "decoded"])
+
+    coded = docs.select(row.alias("row"), F.col(text).alias("text"), encode(F.col(text)).alias("x"))
+    n = F.coalesce(F.octet_length("x.ids") / 4, F.lit(0)).cast("bigint")
+    return coded.select(*unpacked(passed, "row", text, F.col("text")), "x.ids", n.alias("n_tokens"), *(["x.decoded"] if decode else []))
 
 
 def decode_bytes(rows: DataFrame, ids: str = "ids", vocabulary: Vocabulary | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxloom.llm.alignment import align_tokens, count_links
-from boxloom.llm.byte_bpe import decode_bytes, encode_bytes
+from boxloom.llm.byte_bpe import encode_bytes
 from boxloom.llm.chat import END, START, render_perspectives
 from boxloom.llm.decontaminate import contained_items
 from boxloom.llm.langid import identify_language
@@ -112,7 +112,7 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
 
 def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = _texts(spark, folder).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return decode_bytes(encode_bytes(docs)).select(
+    return encode_bytes(docs, decode=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
