@@ -1045,25 +1045,25 @@ def _points(spark, d):
     return A.table(spark, d, "events").selectExpr("concat('CAM', user_id % 5) AS sequence_id", "user_id AS track_id", "CAST(ts AS TIMESTAMP) AS ts")
 
 
-def _starts(rows):
-    return rows.select("sequence_id", F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), "n_points")
+def window_starts(rows):
+    return rows.select("sequence_id", F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"), "n_rows", "n_tracks")
 
 
-@query("SELECT 'CAM' || (user_id % 5) AS sequence_id, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) + 3600000000 AS end_us, count(*) AS n_points FROM events GROUP BY ALL")
-def alerts_tumbling(spark, d):
-    return _starts(W.alerts_tumbling(_points(spark, d), "1 hour", "1 hour"))
+@query("SELECT 'CAM' || (user_id % 5) AS sequence_id, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) AS start_us, epoch_us(time_bucket(INTERVAL 1 HOUR, ts)) + 3600000000 AS end_us, count(*) AS n_rows, count(DISTINCT user_id) AS n_tracks FROM events GROUP BY ALL")
+def points_tumbling(spark, d):
+    return window_starts(W.alerts_tumbling(_points(spark, d), "1 hour", "1 hour"))
 
 
-@query("""SELECT sequence_id, b + k * 1800000000 AS start_us, b + k * 1800000000 + 3600000000 AS end_us, count(*) AS n_points FROM (SELECT 'CAM' || (user_id % 5) AS sequence_id, epoch_us(ts) // 1800000000 * 1800000000 AS b FROM events),
+@query("""SELECT sequence_id, b + k * 1800000000 AS start_us, b + k * 1800000000 + 3600000000 AS end_us, count(*) AS n_rows, count(DISTINCT user_id) AS n_tracks FROM (SELECT user_id, 'CAM' || (user_id % 5) AS sequence_id, epoch_us(ts) // 1800000000 * 1800000000 AS b FROM events),
     (VALUES (0), (-1)) t(k) GROUP BY ALL""")
-def alerts_sliding(spark, d):
-    return _starts(W.alerts_sliding(_points(spark, d), "1 hour", "1 hour", "30 minutes"))
+def points_sliding(spark, d):
+    return window_starts(W.alerts_sliding(_points(spark, d), "1 hour", "1 hour", "30 minutes"))
 
 
-@query("""SELECT sequence_id, min(t) AS start_us, max(t) + 1800000000 AS end_us, count(*) AS n_points FROM (SELECT *, sum(c) OVER (PARTITION BY sequence_id ORDER BY t) AS g FROM (
-    SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY sequence_id ORDER BY t) > 1800000000 THEN 1 ELSE 0 END AS c FROM (SELECT 'CAM' || (user_id % 5) AS sequence_id, epoch_us(ts) AS t FROM events))) GROUP BY sequence_id, g""")
-def alerts_session(spark, d):
-    return _starts(W.alerts_session(_points(spark, d), "1 hour", "30 minutes"))
+@query("""SELECT sequence_id, min(t) AS start_us, max(t) + 1800000000 AS end_us, count(*) AS n_rows, count(DISTINCT user_id) AS n_tracks FROM (SELECT *, sum(c) OVER (PARTITION BY sequence_id ORDER BY t) AS g FROM (
+    SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY sequence_id ORDER BY t) > 1800000000 THEN 1 ELSE 0 END AS c FROM (SELECT user_id, 'CAM' || (user_id % 5) AS sequence_id, epoch_us(ts) AS t FROM events))) GROUP BY sequence_id, g""")
+def points_session(spark, d):
+    return window_starts(W.alerts_session(_points(spark, d), "1 hour", "30 minutes"))
 
 
 @query("SELECT sequence_id, track_id, frame_id, x FROM tracks WHERE frame_id % 5 = 0", "tracks")

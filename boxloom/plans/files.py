@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from boxloom.operators import release as R
-from boxloom.plans.catalog import _ALERTS, _BOX, _EX, STOP_RULES, _exported, query
+from boxloom.operators import tracks as K
+from boxloom.plans.catalog import _ALERTS, _BOX, _EX, STOP_RULES, _exported, query, window_starts
 from boxloom.sources import adapters as A
 from boxloom.sources import readers as L
 from boxloom.sources import writers as O
@@ -88,17 +89,31 @@ def release_round_trip(spark, d):
     return spark.read.schema(labels.schema).parquet(path)
 
 
-def _stream(spark, points):
-    """Points as a stream of files."""
+#: Files of a micro-batch.
+_FILES = 4
+
+
+def _stream(spark, points, batch=None, n=1):
+    """Points as a stream of files, one micro-batch for each number from 0 on that the column ``batch`` gives them."""
     path = new_path(spark, "points")
-    points.write.parquet(path)
-    return spark.readStream.schema(points.schema).parquet(path)
+    for k in range(n):
+        part = points if batch is None else points.where(batch == k)
+        part.repartition(_FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(points.schema).option("maxFilesPerTrigger", _FILES).parquet(path)
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
 
 
 def _drained(spark, rows):
     """All that a stream appends until its source is empty."""
-    path = new_path(spark, "sink")
-    rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", new_path(spark, "progress")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    path, held = new_path(spark, "sink"), spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        out = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", new_path(spark, "progress")).outputMode("append")
+        out.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(_STORE, held) if held else spark.conf.unset(_STORE)
     return spark.read.schema(rows.schema).parquet(path)
 
 
@@ -106,14 +121,61 @@ def _timed(spark, d):
     return A.tracks(spark, d).withColumn("ts", F.timestamp_seconds(F.col("frame_id") + 1))  # a watermark starts at 0
 
 
-@query("""SELECT sequence_id, track_id, started_at_s, alerted_at_s, last_seen_at_s, ended_at_s, end_reason FROM (
-    SELECT sequence_id, track_id, done.es AS started_at_s, done.ea AS alerted_at_s, done.el AS last_seen_at_s, ended AS ended_at_s, why AS end_reason FROM st WHERE done IS NOT NULL
-    UNION ALL SELECT sequence_id, track_id, e.es, e.ea, e.el, now, 'TRACK_LOST' FROM (SELECT *, row_number() OVER (PARTITION BY sequence_id, track_id ORDER BY k DESC) AS back FROM st) WHERE back = 1 AND e IS NOT NULL
-        AND (SELECT max(frame_id) FROM tracks) - 1 - now >= 26)""", *_ALERTS)
+#: Points come up to 20 seconds after their time, in batches of two minutes; the watermark waits 30 seconds.
+_ARRIVES = "frame_id + (31 * track_id + 17 * frame_id) % 20"
+A.SQL["all_tracks"] = "all_" + A.SQL["tracks"]
+A.SQL["last"] = "last AS (SELECT max(frame_id) - 30 AS frame FROM all_tracks)"
+A.SQL["due"] = "tracks AS (SELECT * FROM all_tracks WHERE frame_id <= (SELECT frame FROM last))"
+
+
+@query("""SELECT sequence_id, track_id, started_at_s, alerted_at_s, round(speed, 6) AS speed_kmh_at_alert, round(away, 6) AS range_m_at_alert, last_seen_at_s, ended_at_s, end_reason FROM (
+    SELECT sequence_id, track_id, done.es AS started_at_s, done.ea AS alerted_at_s, done.ev AS speed, done.er AS away, done.el AS last_seen_at_s, ended AS ended_at_s, why AS end_reason FROM st WHERE done IS NOT NULL
+    UNION ALL SELECT sequence_id, track_id, e.es, e.ea, e.ev, e.er, e.el, now, 'TRACK_LOST' FROM (SELECT *, row_number() OVER (PARTITION BY sequence_id, track_id ORDER BY k DESC) AS back FROM st) WHERE back = 1 AND e IS NOT NULL
+        AND (SELECT frame FROM last) - 1 - now >= 26)""", "all_tracks", "last", "due", *_ALERTS[1:])
 def stop_alert_stream(spark, d):
-    """Ends of alerts in a stream; the watermark of the last point closes tracks that have been away for longer than the gap."""
-    rows = W.stop_alert_stream(_stream(spark, _timed(spark, d)), STOP_RULES, "0 seconds")
-    return _drained(spark, rows).select("sequence_id", "track_id", "started_at_s", "alerted_at_s", "last_seen_at_s", "ended_at_s", "end_reason")
+    """Ends of alerts in a stream of many micro-batches whose points are out of order; the watermark closes tracks that have been away."""
+    stream = _stream(spark, _timed(spark, d), F.expr(f"({_ARRIVES}) div 120"), 7)
+    rows = _drained(spark, W.stop_alert_stream(stream, STOP_RULES, "30 seconds"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("speed_kmh_at_alert", "range_m_at_alert")})
+
+
+_LATE = "frame_id + (31 * track_id + 17 * frame_id) % CASE WHEN track_id % 7 = 0 THEN 200 ELSE 20 END"
+
+
+@query(f"""SELECT sequence_id, count(*) AS n_late, count(DISTINCT track_id) AS n_tracks, CAST(sum(mark - 1000 * (frame_id + 1)) AS BIGINT) AS behind_ms FROM (SELECT *, ({_LATE}) // 120 AS b FROM tracks)
+    JOIN (SELECT b, 1000 * (max(m) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 - 30) AS mark FROM (SELECT ({_LATE}) // 120 AS b, max(frame_id) AS m FROM tracks GROUP BY ALL)) USING (b)
+    WHERE 1000 * (frame_id + 1) <= mark GROUP BY sequence_id""", "tracks")
+def late_points(spark, d):
+    """Every seventh track's points come up to 200 seconds late: how many are behind the watermark when they come."""
+    stream = _stream(spark, _timed(spark, d), F.expr(f"({_LATE}) div 120"), 8)
+    late = _drained(spark, W.late_points(stream, "30 seconds"))
+    return late.groupBy("sequence_id").agg(F.count(F.lit(1)).alias("n_late"), F.countDistinct("track_id").alias("n_tracks"), F.sum("behind_ms").alias("behind_ms"))
+
+
+def _alert_stream(spark, d):
+    alerts = K.stop_alert_batch(A.tracks(spark, d), STOP_RULES).select("sequence_id", "track_id", F.timestamp_seconds(F.col("alerted_at_s") + 1).alias("ts"))
+    return _stream(spark, alerts, F.expr("unix_seconds(ts) div 150"), 5)
+
+
+A.SQL["raised"] = "raised AS (SELECT sequence_id, track_id, CAST(alerted_at_s + 1 AS BIGINT) AS t FROM alerts)"
+_OVER = "<= (SELECT max(t) - 5 FROM raised)"
+
+
+@query(f"SELECT sequence_id, t // 60 * 60000000 AS start_us, t // 60 * 60000000 + 60000000 AS end_us, count(*) AS n_rows, count(DISTINCT track_id) AS n_tracks FROM raised WHERE t // 60 * 60 + 60 {_OVER} GROUP BY ALL", *_ALERTS, "raised")
+def alerts_tumbling(spark, d):
+    """Stop alerts by camera and minute, from a stream of alerts; windows that the watermark has passed."""
+    return window_starts(_drained(spark, W.alerts_tumbling(_alert_stream(spark, d), "5 seconds", "60 seconds")))
+
+
+@query(f"""SELECT sequence_id, b * 1000000 AS start_us, (b + 60) * 1000000 AS end_us, count(*) AS n_rows, count(DISTINCT track_id) AS n_tracks FROM (SELECT sequence_id, track_id, t // 30 * 30 - 30 * k AS b FROM raised, range(2) r(k)) WHERE b + 60 {_OVER} GROUP BY ALL""", *_ALERTS, "raised")
+def alerts_sliding(spark, d):
+    return window_starts(_drained(spark, W.alerts_sliding(_alert_stream(spark, d), "5 seconds", "60 seconds", "30 seconds")))
+
+
+@query(f"""SELECT sequence_id, min(t) * 1000000 AS start_us, (max(t) + 4) * 1000000 AS end_us, count(*) AS n_rows, count(DISTINCT track_id) AS n_tracks FROM (SELECT *, sum(c) OVER (PARTITION BY sequence_id ORDER BY t) AS g FROM (
+    SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY sequence_id ORDER BY t) > 4 THEN 1 ELSE 0 END AS c FROM raised)) GROUP BY sequence_id, g HAVING max(t) + 4 {_OVER}""", *_ALERTS, "raised")
+def alerts_session(spark, d):
+    return window_starts(_drained(spark, W.alerts_session(_alert_stream(spark, d), "5 seconds", "4 seconds")))
 
 
 @query("SELECT sequence_id, track_id, frame_id FROM tracks", "tracks")

@@ -1,18 +1,16 @@
-"""Stop alerts and counts over a stream of track points, with watermarks for late rows."""
+"""Stop alerts and counts over streams, with watermarks, late rows set aside and counted."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from boxloom.operators.tracks import EVENT_NAMES, EVENTS, StopRules, StopState, on_ground
 
-STATE = "ts array<double>, xs array<double>, ys array<double>, stopped double, moving double, seen double, event array<double>"
-
 
 def frame_stride(points: DataFrame, n: int) -> DataFrame:
     """Every ``n``-th frame."""
@@ -24,61 +22,140 @@ def stream_dedup(points: DataFrame, delay: str) -> DataFrame:
     return points.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["sequence_id", "track_id", "frame_id"])
 
 
-def alerts_tumbling(points: DataFrame, delay: str, length: str) -> DataFrame:
-    return _windowed(points, delay, F.window("ts", length))
+def alerts_tumbling(rows: DataFrame, delay: str, length: str) -> DataFrame:
+    return _windowed(rows, delay, F.window("ts", length))
 
 
-def alerts_sliding(points: DataFrame, delay: str, length: str, step: str) -> DataFrame:
-    return _windowed(points, delay, F.window("ts", length, step))
+def alerts_sliding(rows: DataFrame, delay: str, length: str, step: str) -> DataFrame:
+    return _windowed(rows, delay, F.window("ts", length, step))
 
 
-def alerts_session(points: DataFrame, delay: str, gap: str) -> DataFrame:
-    """Sessions of a camera: they end where it is silent for the gap."""
-    return _windowed(points, delay, F.session_window("ts", gap))
+def _windowed(rows: DataFrame, delay: str, window: Column) -> DataFrame:
+    """Rows and distinct tracks of each camera and window: two aggregations in a chain, first by track, then by window."""
+    of_track = rows.withWatermark("ts", delay).groupBy("sequence_id", "track_id", window.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    counts = of_track.groupBy("sequence_id", "w").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_tracks"))
+    return counts.select("sequence_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_rows", "n_tracks")
 
 
-def _windowed(points: DataFrame, delay: str, window) -> DataFrame:
-    rows = points.withWatermark("ts", delay).groupBy("sequence_id", window.alias("w"))
-    return rows.agg(F.count(F.lit(1)).alias("n_points"), F.approx_count_distinct("track_id").alias("n_tracks")).select(
-        "sequence_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_points", "n_tracks"
-    )
+def alerts_session(rows: DataFrame, delay: str, gap: str) -> DataFrame:
+    """Rows and distinct tracks of each camera's sessions, which end where it is silent for the gap.
 
+    Sessions merge as rows come in, so their tracks are held as a set until they end.
+    """
+    sessions = rows.withWatermark("ts", delay).groupBy("sequence_id", F.session_window("ts", gap).alias("w"))
+    counts = sessions.agg(F.count(F.lit(1)).alias("n_rows"), F.size(F.collect_set("track_id")).cast("bigint").alias("n_tracks"))
+    return counts.select("sequence_id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n_rows", "n_tracks")
 
-def _load(held) -> StopState:
-    ts, xs, ys, stopped, moving, seen, event = held
-    return StopState(list(zip(ts, xs, ys, strict=True)), stopped, moving, seen, list(event) if event else None)
 
+def _millis(ts: pd.Series) -> pd.Series:
+    return ts.astype("datetime64[us]").astype("int64") // 1000
 
-def _save(s: StopState):
-    return (*([p[k] for p in s.history] for k in range(3)), s.stopped_since, s.moving_since, s.last_seen, s.event or [])
 
+class LatePoints(StatefulProcessor):
+    """Gives the rows at or behind the watermark; it holds nothing."""
 
-def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFrame:
-    """The stop-alert rules with one bounded state a track.
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        behind = timerValues.getCurrentWatermarkInMs()
+        for part in rows:
+            late = part[_millis(part["at"]) <= behind]
+            yield late.assign(behind_ms=behind - _millis(late["at"])).rename(columns={"at": "ts"})
+
+    def close(self) -> None:
+        pass
 
-    Points of a micro-batch are put in time order within their track; rows behind the watermark, or not
-    later than the track's last point, are late and left out. A track that stays away longer than the gap is closed by an event-time
-    timer as TRACK_LOST, and its state goes. The end of a stream closes nothing.
+
+def late_points(points: DataFrame, delay: str) -> DataFrame:
+    """The points that come at or behind the watermark, with ``behind_ms``: those ``stop_alert_stream`` leaves out.
+
+    The watermark of a micro-batch is the latest time of the batches before it, less the delay. Spark
+    would drop such rows before any operator sees them, so the time goes in as a column that is not known
+    as the event time.
     """
-    points = on_ground(points)
+    rows = points.withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", F.timestamp_micros(F.unix_micros("ts")).alias("at"))
+    schema = "sequence_id string, track_id long, frame_id long, ts timestamp, behind_ms long"
+    return rows.groupBy("sequence_id", "track_id").transformWithStateInPandas(LatePoints(), schema, "append", "EventTime")
+
+
+class StopAlerts(StatefulProcessor):
+    """The stop-alert rules of one track.
 
-    def run(key, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        state = _load(held.get) if held.exists else StopState()
+    State: what is known of the track, its recent positions, and the points that wait for the watermark. Points
+    are taken in time order once the watermark has reached them, so the events do not depend on how
+    the stream is cut into batches, nor on the order within the delay. One timer stands at what comes next: the
+    earliest point that waits, or the time at which the track is lost.
+    """
+
+    def __init__(self, rules: StopRules):
+        self.rules = rules
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.machine = handle.getValueState("machine", "stopped double, moving double, seen double, seen_ms long, event array<double>")
+        self.history = handle.getListState("history", "t double, x double, y double")
+        self.waiting = handle.getListState("waiting", "ms long, frame long, x double, y double, inside boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        reached, fresh = timerValues.getCurrentWatermarkInMs(), []
+        for part in rows:
+            ms = _millis(part.ts)
+            on_time = ms > reached
+            fresh += zip(*(c[on_time].tolist() for c in (ms, part.frame_id, part.x, part.y, part.inside)), strict=True)
+        yield self._advance(key, fresh, reached)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+    def _advance(self, key, fresh: list[tuple], reached: int) -> pd.DataFrame:
+        state, seen_ms = StopState(), 0
+        if self.machine.exists():
+            stopped, moving, seen, seen_ms, event = self.machine.get()
+            state = StopState([tuple(p) for p in self.history.get()], stopped, moving, seen, list(event) if event else None)
+        waiting = sorted([*(tuple(p) for p in self.waiting.get()), *fresh])
         found = []
-        if held.hasTimedOut:
-            found = state.lost()
-            held.remove()
+        due = sum(p[0] <= reached for p in waiting)
+        for ms, frame, x, y, inside in waiting[:due]:
+            now = (frame - 1) / self.rules.fps
+            if state.last_seen is None or now > state.last_seen:
+                found += state.step(now, x, y, inside, self.rules)
+                seen_ms = ms
+        rest = waiting[due:]
+        gone = seen_ms + int((self.rules.max_gap + 1 / self.rules.fps) * 1000)
+        if state.last_seen is not None and gone < reached:
+            found += state.lost()
+            state = StopState()
+        self._keep(state, seen_ms, rest)
+        self._wake(([rest[0][0] - 1] if rest else []) + ([gone] if state.last_seen is not None else []))
+        return pd.DataFrame([(*key, *e) for e in found], columns=EVENT_NAMES)
+
+    def _keep(self, state: StopState, seen_ms: int, waiting: list[tuple]) -> None:
+        if state.last_seen is None:
+            self.machine.clear()
         else:
-            rows = pd.concat(list(parts)).sort_values("frame_id")
-            for frame, x, y, inside in zip(rows.frame_id, rows.x, rows.y, rows.inside, strict=True):
-                now = (frame - 1) / rules.fps
-                if state.last_seen is None or now > state.last_seen:
-                    found += state.step(now, x, y, inside, rules)
-            held.update(_save(state))
-            last = int(rows.ts.max().timestamp() * 1000)
-            wait = last + int((rules.max_gap + 1 / rules.fps) * 1000) + 1
-            held.setTimeoutTimestamp(max(wait, held.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame([(*key, *e) for e in found], columns=EVENT_NAMES)
-
-    rows = points.withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", "x", "y", "inside", "ts")
-    return rows.groupBy("sequence_id", "track_id").applyInPandasWithState(run, EVENTS, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+            self.machine.update((state.stopped_since, state.moving_since, state.last_seen, seen_ms, state.event or []))
+        for held, rows in ((self.history, state.history), (self.waiting, waiting)):
+            held.put(rows) if rows else held.clear()
+
+    def _wake(self, times: list[int]) -> None:
+        held = list(self.handle.listTimers())
+        for t in held:
+            self.handle.deleteTimer(t)
+        if times:
+            self.handle.registerTimer(min(times))
+
+
+def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFrame:
+    """The stop-alert rules over a stream of points (``EVENTS``), with one bounded state a track.
+
+    The rows are those of ``stop_alert_batch`` over the same points, but for events still open when the
+    stream ends, which ends nothing. Rows at or behind the watermark are left out; ``late_points`` gives
+    them. A track that stays away longer than the gap is closed as TRACK_LOST by a timer, and its state goes. The
+    state store has to be RocksDB.
+    """
+    rows = on_ground(points).withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", "x", "y", "inside", "ts")
+    return rows.groupBy("sequence_id", "track_id").transformWithStateInPandas(StopAlerts(rules), EVENTS, "append", "EventTime")

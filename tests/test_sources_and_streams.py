@@ -100,14 +100,57 @@ def source(spark, stored):
 
 def test_stop_alert_stream_equals_batch(spark, stored):
     rules = K.StopRules(fps=10)
-    want = {tuple(r) for r in K.stop_alert_batch(stored[0].drop("ts"), rules).where("end_reason <> 'END_OF_REPLAY'").collect()}
-    got = {tuple(r) for r in run(spark, alerts.stop_alert_stream(source(spark, stored), rules, "5 seconds"), "stops")}
-    assert want and want <= got
+    want = sorted(map(tuple, K.stop_alert_batch(stored[0].drop("ts"), rules).where("end_reason <> 'END_OF_REPLAY'").collect()))
+    got = sorted(map(tuple, run(spark, alerts.stop_alert_stream(source(spark, stored), rules, "0 seconds"), "stops")))
+    assert want and want == got
+
+
+@pytest.fixture(scope="module")
+def jumbled(spark, tmp_path_factory):
+    """Tracks with gaps, whose points come up to two seconds after their time, cut into batches of any size."""
+    rng = random.Random(5)
+    rows = []
+    for t in range(6):
+        x = 0.0
+        for f in range(1, 301):
+            x += 0.0 if 50 < f % 150 < 110 else rng.uniform(0.3, 0.6)
+            if not (t == 2 and 120 < f < 180):
+                rows.append((f"c{t % 2}", t, f, x))
+    rows.sort(key=lambda r: 100 * r[2] + rng.uniform(0, 1900))
+    cuts = sorted(rng.sample(range(1, len(rows)), 6))
+    schema, path, batches = "sequence_id string, track_id long, frame_id long, x double", str(tmp_path_factory.mktemp("jumbled")), []
+    for a, b in zip([0, *cuts], [*cuts, len(rows)]):
+        batches.append(rows[a:b])
+        part = spark.createDataFrame(rows[a:b], schema).withColumn("ts", F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("frame_id") * 100))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.read.parquet(path), path, batches
+
+
+def test_stop_alert_stream_at_any_cut(spark, jumbled):
+    rules = K.StopRules(fps=10)
+    want = sorted(map(tuple, K.stop_alert_batch(jumbled[0].drop("ts"), rules).where("end_reason <> 'END_OF_REPLAY'").collect()))
+    got = sorted(map(tuple, run(spark, alerts.stop_alert_stream(source(spark, jumbled), rules, "2 seconds"), "jumbled_stops")))
+    assert {r[-1] for r in want} == {"TRACK_LOST", "MOTION_RESUMED"} and got == want
+
+
+def test_late_points_are_counted_and_left_out(spark, jumbled):
+    want, latest = [], None
+    for batch in jumbled[2]:
+        if latest is not None:
+            want += [(*r[:3], 100 * latest - 500 - 100 * r[2]) for r in batch if 100 * r[2] <= 100 * latest - 500]
+        latest = max([latest or 0, *(r[2] for r in batch)])
+    got = run(spark, alerts.late_points(source(spark, jumbled), "500 milliseconds"), "late")
+    assert want and sorted((r.sequence_id, r.track_id, r.frame_id, r.behind_ms) for r in got) == sorted(want)
+    rules, late = K.StopRules(fps=10, max_gap=5), {r[1:3] for r in want}
+    on_time = spark.createDataFrame([r for batch in jumbled[2] for r in batch if r[1:3] not in late], jumbled[0].drop("ts").schema)
+    kept = {tuple(r) for r in K.stop_alert_batch(on_time, rules).where("end_reason = 'MOTION_RESUMED'").collect()}
+    stream = run(spark, alerts.stop_alert_stream(source(spark, jumbled), rules, "500 milliseconds"), "stops_without_late")
+    assert kept <= {tuple(r) for r in stream}
 
 
 def test_stream_windows(spark, stored):
     got = run(spark, alerts.alerts_tumbling(source(spark, stored), "1 second", "5 seconds"), "tumbling")
-    assert got and all(r.n_points <= 3 * 50 for r in got)
+    assert got and all(r.n_rows <= 3 * 50 and r.n_tracks == 3 for r in got)
     again = source(spark, stored).unionByName(source(spark, stored))
     rows = run(spark, alerts.stream_dedup(again, "1 minute"), "once")
     assert len(rows) == stored[0].count()
