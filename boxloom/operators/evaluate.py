@@ -37,7 +37,7 @@ def _greedy(thresholds: tuple[float, ...]):
         image, predictions, labels = None, {}, {}
         for part in parts:
             bits = []
-            for own, pred_no, annotation_id, iou in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for own, pred_no, annotation_id, iou in zip(*(part.column(k).to_pylist() for k in range(4)), strict=True):
                 if own != image:
                     image, predictions, labels = own, {}, {}
                 free = reached[bisect_right(levels, iou)] & ~(predictions.get(pred_no, 0) | labels.get(annotation_id, 0))
@@ -59,16 +59,16 @@ def match_bits(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) ->
     partition is read as a stream that remembers one image.
     """
     order = ["image_id", F.desc("confidence"), "pred_no", F.desc("iou"), F.desc("annotation_id")]
-    rows = candidates.where(F.col("iou") >= min(thresholds)).select("image_id", "confidence", "pred_no", "annotation_id", "iou")
-    rows = rows.repartition("image_id").sortWithinPartitions(*order).select("image_id", "pred_no", "annotation_id", "iou")
-    return rows.mapInArrow(_greedy(thresholds), "image_id long, pred_no string, annotation_id string, iou double, bits int")
+    rows = candidates.where(F.col("iou") >= min(thresholds)).select("image_id", F.col("confidence").cast("double").alias("confidence"), "pred_no", "annotation_id", "iou")
+    rows = rows.repartition("image_id").sortWithinPartitions(*order).select("image_id", "pred_no", "annotation_id", "iou", "confidence")
+    return rows.mapInArrow(_greedy(thresholds), "image_id long, pred_no string, annotation_id string, iou double, confidence double, bits int")
 
 
 def match_predictions(candidates: DataFrame, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
     """The matches of ``match_bits``, a row for each threshold."""
     each = F.array(*[F.when(_bit(k) > 0, F.lit(float(x))) for k, x in enumerate(thresholds)])
     found = match_bits(candidates, thresholds)
-    return found.select("image_id", F.explode(F.array_compact(each)).alias("threshold"), "pred_no", "annotation_id", "iou")
+    return found.select("image_id", F.explode(F.array_compact(each)).alias("threshold"), "pred_no", "annotation_id", "iou", "confidence")
 
 
 def _bit(k: int) -> Column:
@@ -98,60 +98,79 @@ def ranked(predictions: DataFrame, *by: str) -> DataFrame:
     return at.join(first, cell).select(*by, "image_id", "pred_no", (F.col("base") + F.col("first") + F.col("at")).alias("rank"))
 
 
-def precision_envelope(hits: DataFrame, n: int, *by: str) -> DataFrame:
-    """Of matched predictions with a ``rank`` and ``n`` ``bits``: ``envelope_k``, the best precision from there on.
+def precision_envelope(hits: DataFrame, n: int, *by: str, floors: tuple[float, ...]) -> DataFrame:
+    """Of matched predictions with a ``rank``, a confidence and ``n`` ``bits``: ``envelope_k``, the best precision from there on.
 
-    It is null where bit k is 0: precision only rises at a true positive, so other rows are not needed.
-    Ranks are cut into ranges: each is scanned once in either direction for all thresholds, and sums and
-    maxima of the ranges join them.
+    There is a row for each confidence floor that the prediction reaches, as ``floor``; precisions beyond the
+    floor do not count. An envelope is null where bit k is 0: precision only rises at a true positive, so other rows
+    are not needed. Ranks are cut into ranges, and these at the floors, so that a floor keeps a range whole or
+    drops it: each is scanned once in either direction for all thresholds and floors, and only the sums and
+    maxima of ranges are joined floor by floor.
     """
     every = range(n)
-    hits = hits.withColumn("range", F.expr(f"rank div {RANKS}"))
-    counts = hits.groupBy(*by, "range").agg(*[F.sum(_bit(k)).alias(f"n_{k}") for k in every])
-    before, after = (Window.partitionBy(*by).orderBy(x).rowsBetween(Window.unboundedPreceding, -1) for x in (F.asc("range"), F.desc("range")))
-    base = counts.select(*by, "range", *[F.coalesce(F.sum(f"n_{k}").over(before), F.lit(0)).alias(f"base_{k}") for k in every])
-    inside = Window.partitionBy(*by, "range")
-    out = hits.withColumns({f"at_{k}": F.sum(_bit(k)).over(inside.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) for k in every}).join(base, [*by, "range"])
-    out = out.select(*by, "range", "rank", *[F.when(_bit(k) > 0, (F.col(f"base_{k}") + F.col(f"at_{k}")) / F.col("rank")).alias(f"precision_{k}") for k in every])
-    best = out.groupBy(*by, "range").agg(*[F.max(f"precision_{k}").alias(f"best_{k}") for k in every])
-    best = best.select(*by, "range", *[F.max(f"best_{k}").over(after).alias(f"later_{k}") for k in every])
+    level = sum((F.when(F.col("confidence") >= x, 1).otherwise(0) for x in floors), F.lit(0))
+    reached = F.array(*[F.when(F.col("confidence") >= x, F.lit(float(x))) for x in floors])
+    hits = hits.withColumn("range", F.expr(f"rank div {RANKS}")).withColumn("level", level)
+    piece = [*by, "range", "level"]
+    counts = hits.groupBy(*piece).agg(*[F.sum(_bit(k)).alias(f"n_{k}") for k in every], F.first(F.array_compact(reached)).alias("floors"))
+    before = Window.partitionBy(*by).orderBy("range", F.desc("level")).rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select(*piece, *[F.coalesce(F.sum(f"n_{k}").over(before), F.lit(0)).alias(f"base_{k}") for k in every])
+    inside = Window.partitionBy(*piece)
+    out = hits.withColumns({f"at_{k}": F.sum(_bit(k)).over(inside.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)) for k in every}).join(base, piece)
+    out = out.select(*piece, "rank", *[F.when(_bit(k) > 0, (F.col(f"base_{k}") + F.col(f"at_{k}")) / F.col("rank")).alias(f"precision_{k}") for k in every])
+    best = out.groupBy(*piece).agg(*[F.max(f"precision_{k}").alias(f"best_{k}") for k in every])
+    best = best.join(counts.select(*piece, F.explode("floors").alias("floor")), piece)
+    after = Window.partitionBy(*by, "floor").orderBy(F.desc("range"), "level").rowsBetween(Window.unboundedPreceding, -1)
+    best = best.select(*piece, "floor", *[F.max(f"best_{k}").over(after).alias(f"later_{k}") for k in every])
     back = inside.orderBy(F.desc("rank")).rowsBetween(Window.unboundedPreceding, 0)
-    out = out.withColumns({f"own_{k}": F.max(f"precision_{k}").over(back) for k in every}).join(best, [*by, "range"])
-    return out.select(*by, "rank", *[F.when(F.col(f"precision_{k}").isNotNull(), F.greatest(f"own_{k}", f"later_{k}")).alias(f"envelope_{k}") for k in every])
+    out = out.withColumns({f"own_{k}": F.max(f"precision_{k}").over(back) for k in every}).join(best, piece)
+    return out.select(*by, "floor", "rank", *[F.when(F.col(f"precision_{k}").isNotNull(), F.greatest(f"own_{k}", f"later_{k}")).alias(f"envelope_{k}") for k in every])
 
 
 def _each(thresholds: tuple[float, ...]) -> Column:
     return F.explode(F.array(*[F.lit(float(x)) for x in thresholds])).alias("threshold")
 
 
-def average_precision(predictions: DataFrame, labels: DataFrame, found: DataFrame, *by: str, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
+def average_precision(
+    predictions: DataFrame, labels: DataFrame, found: DataFrame, *by: str,
+    thresholds: tuple[float, ...] = THRESHOLDS, floors: tuple[float, ...] | None = None,
+) -> DataFrame:
     """All-point AP for each group and threshold: null without labels, 0 without predictions.
 
     AP is the sum over true positives of the best precision from there on, over the number of labels.
-    ``found`` are the ``match_bits`` of these thresholds.
+    ``found`` are the ``match_bits`` of these thresholds. With ``floors`` there is a row for each of them, as
+    ``confidence``: only predictions of that confidence or more count. As predictions are matched by falling
+    confidence, those that a floor leaves are ranked and matched as without it.
     """
-    hits = found.select("image_id", "pred_no", "bits").join(ranked(predictions, *by), ["image_id", "pred_no"])
-    every = range(len(thresholds))
-    sums = precision_envelope(hits, len(thresholds), *by).groupBy(*by).agg(
+    hits = found.select("image_id", "pred_no", "confidence", "bits").join(ranked(predictions, *by), ["image_id", "pred_no"])
+    every, least = range(len(thresholds)), floors or (float("-inf"),)
+    sums = precision_envelope(hits, len(thresholds), *by, floors=least).groupBy(*by, "floor").agg(
         F.array(*[F.struct(F.lit(float(thresholds[k])).alias("threshold"), F.sum(f"envelope_{k}").alias("area"), F.count(f"envelope_{k}").alias("n_tp")) for k in every]).alias("x")
     )
-    sums = sums.select(*by, F.explode("x").alias("x")).select(*by, "x.*")
+    sums = sums.select(*by, "floor", F.explode("x").alias("x")).select(*by, "floor", "x.*")
     total = labels.groupBy(*by).agg(F.count(F.lit(1)).alias("n_labels"))
-    return total.select("*", _each(thresholds)).join(sums, ["threshold", *by], "left").select(
-        "threshold", *by, "n_labels", F.coalesce("n_tp", F.lit(0)).alias("n_tp"), (F.coalesce("area", F.lit(0.0)) / F.col("n_labels")).alias("ap")
+    total = total.select("*", _each(thresholds)).select("*", F.explode(F.array(*[F.lit(float(x)) for x in least])).alias("floor"))
+    out = total.join(sums, ["threshold", "floor", *by], "left").select(
+        "threshold", F.col("floor").alias("confidence"), *by, "n_labels", F.coalesce("n_tp", F.lit(0)).alias("n_tp"), (F.coalesce("area", F.lit(0.0)) / F.col("n_labels")).alias("ap")
     )
+    return out if floors else out.drop("confidence")
 
 
 def map50_95(ap: DataFrame, *by: str) -> DataFrame:
     return ap.groupBy(*by).agg(F.avg("ap").alias("map"), F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"))
 
 
-def recall_by(labels: DataFrame, matches: DataFrame, *by: str, thresholds: tuple[float, ...] = (0.5,)) -> DataFrame:
-    """Share of labels that are matched, by threshold and columns of the labels."""
-    hits = matches.select("threshold", "image_id", "annotation_id", F.lit(1).alias("hit"))
-    grid = labels.select("*", _each(thresholds))
-    out = grid.join(hits, ["threshold", "image_id", "annotation_id"], "left")
-    return out.groupBy("threshold", *by).agg(F.count(F.lit(1)).alias("n_labels"), F.count("hit").alias("n_found"), (F.count("hit") / F.count(F.lit(1))).alias("recall"))
+def recall_by(
+    labels: DataFrame, matches: DataFrame, *by: str, thresholds: tuple[float, ...] = (0.5,), floors: tuple[float, ...] | None = None
+) -> DataFrame:
+    """Share of labels that are matched, by threshold and columns of the labels; with ``floors`` by predictions of that ``confidence`` or more."""
+    hits = matches.select("threshold", "image_id", "annotation_id", F.col("confidence").alias("hit"))
+    out = labels.select("*", _each(thresholds)).join(hits, ["threshold", "image_id", "annotation_id"], "left")
+    least = floors or (float("-inf"),)
+    found = F.array(*[F.struct(F.lit(float(x)).alias("confidence"), F.count_if(F.col("hit") >= x).alias("n_found")) for x in least])
+    out = out.groupBy("threshold", *by).agg(F.count(F.lit(1)).alias("n_labels"), found.alias("x"))
+    out = out.select("threshold", *by, "n_labels", F.explode("x").alias("x")).select("threshold", *by, "n_labels", "x.*").withColumn("recall", F.col("n_found") / F.col("n_labels"))
+    return out if floors else out.drop("confidence")
 
 
 def image_diagnostics(predictions: DataFrame, labels: DataFrame, matches: DataFrame) -> DataFrame:

@@ -168,11 +168,19 @@ def negative_reconcile(files: DataFrame, negatives: DataFrame) -> DataFrame:
     return e.join(n, "image_id", "full_outer").withColumn("issue", issue).where("issue IS NOT NULL").drop("_e", "_n")
 
 
-def metric_by_dataset(ap: DataFrame, expected: DataFrame) -> DataFrame:
-    """mAP for each expected dataset, never pooled; an empty one is NOT_MEASURED_NO_DATA."""
-    m = ap.groupBy("dataset").agg(F.avg("ap").alias("map"), F.max("n_labels").alias("n_labels"))
-    out = expected.select("dataset").distinct().join(m, "dataset", "left")
-    return out.withColumn("status", F.when(F.col("n_labels").isNull(), "NOT_MEASURED_NO_DATA").otherwise("MEASURED"))
+def metric_by_dataset(ap: DataFrame, recall: DataFrame, images: DataFrame, expected: DataFrame, floors: tuple[float, ...]) -> DataFrame:
+    """mAP and recall of each expected dataset at each confidence floor, never pooled.
+
+    ``ap`` and ``recall`` come from ``average_precision`` and ``recall_by`` with these floors. A dataset
+    without images is NOT_MEASURED_NO_DATA, one without labels has neither number.
+    """
+    grid = expected.select("dataset").distinct().select("dataset", F.explode(F.array(*[F.lit(float(x)) for x in floors])).alias("confidence"))
+    on = ["dataset", "confidence"]
+    m = ap.groupBy(*on).agg(F.avg("ap").alias("map"), F.max("n_labels").alias("n_labels"))
+    n = images.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_images"))
+    out = grid.join(n, "dataset", "left").join(m, on, "left").join(recall.select(*on, "recall"), on, "left")
+    status = F.when(F.col("n_images").isNull(), "NOT_MEASURED_NO_DATA").otherwise("MEASURED")
+    return out.select(*on, F.coalesce("n_images", F.lit(0)).alias("n_images"), F.coalesce("n_labels", F.lit(0)).alias("n_labels"), "map", "recall", status.alias("status"))
 
 
 def image_quality_summary(measures: DataFrame, dark: float = 60, bright: float = 200, blurred: float = 100) -> DataFrame:

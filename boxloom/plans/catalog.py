@@ -719,15 +719,19 @@ A.SQL["matched"] = """pairs AS (SELECT p.dataset, p.image_id, pred_no, confidenc
     matched AS (SELECT image_id, threshold, pred_no, annotation_id, iou FROM walk WHERE free)"""
 A.SQL["matched_50"] = A.SQL["matched"].format(thresholds="(0.5::DOUBLE)")
 A.SQL["matched"] = A.SQL["matched"].format(thresholds=", ".join(f"({x}::DOUBLE)" for x in E.THRESHOLDS))
-_AP = """SELECT threshold, {by}, n_labels, CAST(coalesce(n_tp, 0) AS BIGINT) AS n_tp, round(coalesce(area, 0) / n_labels, 9) AS ap
-    FROM (SELECT *, unnest([{thresholds}]) AS threshold FROM (SELECT {by}, count(*) AS n_labels FROM {labels} GROUP BY ALL)) LEFT JOIN (
-        SELECT threshold, {by}, count(*) AS n_tp, sum(envelope) AS area FROM (
-            SELECT threshold, {by}, max(n_tp / rank) OVER (PARTITION BY threshold, {by} ORDER BY rank DESC) AS envelope FROM (
-                SELECT threshold, {by}, rank, row_number() OVER (PARTITION BY threshold, {by} ORDER BY rank) AS n_tp FROM {matched} JOIN (
-                    SELECT {by}, image_id, pred_no, row_number() OVER (PARTITION BY {by} ORDER BY confidence DESC, md5(image_id || ':' || pred_no), pred_no) AS rank FROM {predictions}) USING (image_id, pred_no)))
-        GROUP BY ALL) USING (threshold, {by})"""
+_AP = """SELECT threshold, confidence, {by}, n_labels, CAST(coalesce(n_tp, 0) AS BIGINT) AS n_tp, round(coalesce(area, 0) / n_labels, 9) AS ap
+    FROM (SELECT *, unnest([{thresholds}]) AS threshold FROM (SELECT {by}, count(*) AS n_labels FROM {labels} GROUP BY ALL)) CROSS JOIN (VALUES {floors}) f(confidence) LEFT JOIN (
+        SELECT threshold, confidence, {by}, count(*) AS n_tp, sum(envelope) AS area FROM (
+            SELECT threshold, confidence, {by}, max(n_tp / rank) OVER (PARTITION BY threshold, confidence, {by} ORDER BY rank DESC) AS envelope FROM (
+                SELECT threshold, f.confidence, {by}, rank, row_number() OVER (PARTITION BY threshold, f.confidence, {by} ORDER BY rank) AS n_tp FROM {matched} JOIN (
+                    SELECT {by}, image_id, pred_no, confidence AS own, row_number() OVER (PARTITION BY {by} ORDER BY confidence DESC, md5(image_id || ':' || pred_no), pred_no) AS rank FROM {predictions}) USING (image_id, pred_no)
+                    CROSS JOIN (VALUES {floors}) f(confidence) WHERE own >= f.confidence))
+        GROUP BY ALL) USING (threshold, confidence, {by})"""
+#: Confidences from which predictions count.
+FLOORS = (0.0, 0.5)
+_FLOORS = ", ".join(f"({x}::DOUBLE)" for x in FLOORS)
 _EVAL = ("images", "boxes_raw", "predictions", "labels_")
-_ALL = _AP.format(by="dataset", labels="labels_", predictions="predictions", matched="matched", thresholds=", ".join(f"{x}::DOUBLE" for x in E.THRESHOLDS))
+_ALL = _AP.format(by="dataset", labels="labels_", predictions="predictions", matched="matched", floors=_FLOORS, thresholds=", ".join(f"{x}::DOUBLE" for x in E.THRESHOLDS))
 A.SQL["diag"] = """diag AS (SELECT image_id, coalesce(m, 0) AS tp, coalesce(n, 0) - coalesce(m, 0) AS fn, coalesce(p, 0) - coalesce(m, 0) AS fp FROM (SELECT image_id, count(*) AS n FROM labels_ GROUP BY 1)
     FULL JOIN (SELECT image_id, count(*) AS p FROM predictions GROUP BY 1) USING (image_id) LEFT JOIN (SELECT image_id, count(*) AS m FROM matched GROUP BY 1) USING (image_id))"""
 
@@ -748,27 +752,31 @@ def _found(spark, d, thresholds=E.THRESHOLDS):
 
 @query("SELECT * FROM matched", *_EVAL, "matched_50")
 def match_predictions(spark, d):
-    return _scored(spark, d, (0.5,))[2]
+    return _scored(spark, d, (0.5,))[2].drop("confidence")
+
+
+def _ap(spark, d):
+    return _rounded(E.average_precision(*_found(spark, d), "dataset", floors=FLOORS))
 
 
 @query(_ALL, *_EVAL, "matched")
 def average_precision(spark, d):
-    return _rounded(E.average_precision(*_found(spark, d), "dataset"))
+    return _ap(spark, d)
 
 
-@query(f"SELECT dataset, round(avg(ap), 7) AS map, max(ap) FILTER (WHERE threshold = 0.5) AS ap50 FROM ({_ALL}) GROUP BY dataset", *_EVAL, "matched")
+@query(f"SELECT dataset, confidence, round(avg(ap), 7) AS map, max(CASE WHEN threshold = 0.5 THEN ap END) AS ap50 FROM ({_ALL}) GROUP BY ALL", *_EVAL, "matched")
 def map50_95(spark, d):
-    return E.map50_95(_rounded(E.average_precision(*_found(spark, d), "dataset")), "dataset").withColumn("map", F.round("map", 7))
+    return E.map50_95(_ap(spark, d), "dataset", "confidence").withColumn("map", F.round("map", 7))
 
 
-@query("""SELECT 0.5::DOUBLE AS threshold, dataset, size_group, count(*) AS n_labels, count(hit) AS n_found, count(hit) / count(*) AS recall FROM (
+@query(f"""SELECT 0.5::DOUBLE AS threshold, confidence, dataset, size_group, count(*) AS n_labels, count(*) FILTER (WHERE own >= confidence) AS n_found, count(*) FILTER (WHERE own >= confidence) / count(*) AS recall FROM (
     SELECT dataset, image_id, annotation_id, CASE WHEN s < 25 THEN '<25' WHEN s < 50 THEN '25–49' ELSE '≥50' END AS size_group
     FROM (SELECT *, least(xmax - xmin, ymax - ymin) * least(640.0::DOUBLE / 960, 480.0::DOUBLE / 540) AS s FROM labels_))
-    LEFT JOIN (SELECT image_id, annotation_id, 1 AS hit FROM matched) USING (image_id, annotation_id) GROUP BY ALL""", *_EVAL, "matched_50")
+    LEFT JOIN (SELECT image_id, annotation_id, p.confidence AS own FROM matched JOIN predictions p USING (image_id, pred_no)) USING (image_id, annotation_id) CROSS JOIN (VALUES {_FLOORS}) f(confidence) GROUP BY ALL""", *_EVAL, "matched_50")
 def recall_by_size(spark, d):
     _, t, m = _scored(spark, d, (0.5,))
     sized = B.device_size_group(t.withColumn("width", F.lit(960)).withColumn("height", F.lit(540)))
-    return E.recall_by(sized, m, "dataset", "size_group")
+    return E.recall_by(sized, m, "dataset", "size_group", floors=FLOORS)
 
 
 @query("SELECT * FROM diag", *_EVAL, "matched_50", "diag")
@@ -786,7 +794,7 @@ _COND = "(SELECT *, unnest(list_filter([CASE WHEN lighting = 'DAY' THEN 'DAY' EN
 
 
 @query(f"""SELECT condition, n_images, n_labels, CASE WHEN n_images >= 30 AND n_labels >= 100 THEN ap END AS ap, CASE WHEN n_images >= 30 AND n_labels >= 100 THEN 'MEASURED' ELSE 'NOT_MEASURED_TOO_SMALL' END AS status
-    FROM ({_AP.format(by="condition", labels=_COND.format("labels_"), predictions=_COND.format("predictions"), matched="matched", thresholds="0.5::DOUBLE")})
+    FROM ({_AP.format(by="condition", labels=_COND.format("labels_"), predictions=_COND.format("predictions"), matched="matched", floors="(0::DOUBLE)", thresholds="0.5::DOUBLE")})
     JOIN (SELECT condition, count(*) AS n_images FROM {_COND.format("images")} GROUP BY ALL) USING (condition)""", *_EVAL, "sequences", "matched_50")
 def condition_metrics(spark, d):
     s = A.sequences(spark, d)
@@ -993,11 +1001,14 @@ def negative_reconcile(spark, d):
     return M.negative_reconcile(R.label_files(i, _exported(spark, d)), i.where("file_group = 0"))
 
 
-@query(f"""SELECT dataset, map, n_labels, CASE WHEN n_labels IS NULL THEN 'NOT_MEASURED_NO_DATA' ELSE 'MEASURED' END AS status FROM (SELECT 'DS' || d AS dataset FROM range(4) t(d))
-    LEFT JOIN (SELECT dataset, round(avg(ap), 7) AS map, max(n_labels) AS n_labels FROM ({_ALL}) GROUP BY dataset) USING (dataset)""", *_EVAL, "matched")
+@query(f"""SELECT dataset, confidence, coalesce(n_images, 0) AS n_images, coalesce(n_labels, 0) AS n_labels, map, recall, CASE WHEN n_images IS NULL THEN 'NOT_MEASURED_NO_DATA' ELSE 'MEASURED' END AS status FROM (SELECT 'DS' || d AS dataset FROM range(4) t(d)) CROSS JOIN (VALUES {_FLOORS}) f(confidence)
+    LEFT JOIN (SELECT dataset, count(*) AS n_images FROM images GROUP BY 1) USING (dataset)
+    LEFT JOIN (SELECT dataset, confidence, round(avg(ap), 7) AS map, max(n_labels) AS n_labels, round(max(CASE WHEN threshold = 0.5 THEN n_tp END) / max(n_labels), 9) AS recall FROM ({_ALL}) GROUP BY ALL) USING (dataset, confidence)""", *_EVAL, "matched")
 def metric_by_dataset(spark, d):
     expected = spark.createDataFrame([(f"DS{k}",) for k in range(4)], "dataset string")
-    return M.metric_by_dataset(_rounded(E.average_precision(*_found(spark, d), "dataset")), expected).withColumn("map", F.round("map", 7))
+    _, t, m = _scored(spark, d, (0.5,))
+    out = M.metric_by_dataset(_ap(spark, d), E.recall_by(t, m, "dataset", floors=FLOORS), A.images(spark, d), expected, FLOORS)
+    return out.withColumn("map", F.round("map", 7)).withColumn("recall", F.round("recall", 9))
 
 
 @query("""SELECT dimension, value, count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes FROM (UNPIVOT (SELECT i.image_id, count(b.image_id) AS n, road_type, lighting FROM images i JOIN sequences USING (dataset, sequence_id) LEFT JOIN boxes_raw b ON b.image_id = i.image_id GROUP BY ALL)

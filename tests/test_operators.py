@@ -152,26 +152,36 @@ def test_average_precision_against_brute_force(spark, monkeypatch):
         w, h = min(p[4], t[4]) - max(p[2], t[2]), min(p[5], t[5]) - max(p[3], t[3])
         return w * h / ((p[4] - p[2]) * (p[5] - p[3]) + (t[4] - t[2]) * (t[5] - t[3]) - w * h) if w > 0 and h > 0 else 0.0
 
-    def brute(threshold):
+    def brute(threshold, floor=0.0):
         hit, used = {}, set()
-        for p in sorted(predictions, key=lambda p: (p[1], -p[6], p[7])):
+        seen = [p for p in predictions if p[6] >= floor]
+        for p in sorted(seen, key=lambda p: (p[1], -p[6], p[7])):
             free = [(iou(p, t), t[6]) for t in labels if t[1] == p[1] and (t[1], t[6]) not in used and iou(p, t) >= threshold and iou(p, t) > 0]
             if free:
                 used.add((p[1], max(free)[1]))
                 hit[p[1], p[7]] = True
-        order = sorted(predictions, key=lambda p: (-p[6], hashlib.md5(f"{p[1]}:{p[7]}".encode()).hexdigest()))
+        order = sorted(seen, key=lambda p: (-p[6], hashlib.md5(f"{p[1]}:{p[7]}".encode()).hexdigest()))
         tps, precision, n = [], [], 0
         for i, p in enumerate(order, 1):
             n += (p[1], p[7]) in hit
             precision.append(n / i)
             tps.append((p[1], p[7]) in hit)
-        return sum(max(precision[i:]) for i, tp in enumerate(tps) if tp) / len(labels)
+        return sum(max(precision[i:]) for i, tp in enumerate(tps) if tp) / len(labels), sum(tps)
 
     box = "dataset string, image_id long, xmin double, ymin double, xmax double, ymax double"
     t = spark.createDataFrame(labels, box + ", annotation_id string")
     p = spark.createDataFrame(predictions, box + ", confidence double, pred_no string")
-    got = E.average_precision(p, t, E.match_bits(E.iou_candidates(p, t), E.THRESHOLDS), "dataset").collect()
-    assert len(got) == 10 and all(abs(r.ap - brute(r.threshold)) < 1e-12 for r in got)
+    found = E.match_bits(E.iou_candidates(p, t), E.THRESHOLDS)
+    got = E.average_precision(p, t, found, "dataset").collect()
+    assert len(got) == 10 and all(abs(r.ap - brute(r.threshold)[0]) < 1e-12 for r in got)
+    floors = (0.0, 0.3, 0.35, 0.8, 1.5)
+    got = E.average_precision(p, t, found, "dataset", floors=floors).collect()
+    assert len(got) == 50 and {r.confidence for r in got} == set(floors)
+    for r in got:
+        ap, n_tp = brute(r.threshold, r.confidence)
+        assert abs(r.ap - ap) < 1e-12 and r.n_tp == n_tp
+    recall = E.recall_by(t, E.match_predictions(E.iou_candidates(p, t)), "dataset", floors=floors).collect()
+    assert {r.confidence: r.n_found for r in recall} == {x: brute(0.5, x)[1] for x in floors}
 
 
 def test_near_hashes_of_distance_8(spark):
