@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.sources.digests import with_sha256
+
 
 def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
@@ -33,6 +35,23 @@ def content_cross_split(files: DataFrame, key: str = "sha256") -> DataFrame:
     return out.where(F.size("_s") > 1).select(key, "n_files", F.array_join("_s", "|").alias("splits"))
 
 
+def content_candidates(files: DataFrame) -> DataFrame:
+    """Files whose checksum and size, both known without reading them, occur in more than one split."""
+    both = files.where("crc IS NOT NULL AND size_bytes IS NOT NULL AND split IS NOT NULL")
+    groups = both.groupBy("crc", "size_bytes").agg(F.min("split").alias("_a"), F.max("split").alias("_b")).where("_a <> _b")
+    return both.join(groups.select("crc", "size_bytes"), ["crc", "size_bytes"], "left_semi").select(*files.columns)
+
+
+def exact_content_cross_split(files: DataFrame) -> DataFrame:
+    """Contents in more than one split, of files with ``path``, ``split``, ``crc`` and ``size_bytes``.
+
+    Only the files that checksum and size leave are opened and hashed, so the bytes that are read follow
+    the number of likely copies, not of files.
+    """
+    rows = with_sha256(content_candidates(files).select("path", "split").repartition("path"))
+    return content_cross_split(rows)
+
+
 def near_duplicate_consecutive(files: DataFrame, least: float = 0.95) -> DataFrame:
     """Neighbours of a sequence, ordered by file, of nearly equal hash and different content."""
     w = Window.partitionBy("dataset", "sequence_id").orderBy("source_file")

@@ -197,25 +197,3 @@ def dataset_summary(images: DataFrame, dimensions: list[str]) -> DataFrame:
     """Images and boxes by each value of each dimension, in one pass over grouping sets."""
     long = images.unpivot(["image_id", "n_boxes"], dimensions, "dimension", "value")
     return long.groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("n_images"), F.sum("n_boxes").alias("n_boxes"))
-
-
-def sha256_files(paths: DataFrame) -> DataFrame:
-    """``(path, size_bytes, sha256)`` of files on storage that all executors mount, read in blocks."""
-
-    def run(parts):
-        import hashlib
-        import os
-
-        import pandas as pd
-
-        for part in parts:
-            rows = []
-            for path in part.path:
-                h = hashlib.sha256()
-                with open(path, "rb") as f:
-                    while block := f.read(1 << 20):
-                        h.update(block)
-                rows.append((path, os.path.getsize(path), h.hexdigest()))
-            yield pd.DataFrame(rows, columns=["path", "size_bytes", "sha256"])
-
-    return paths.select("path").mapInPandas(run, "path string, size_bytes long, sha256 string")

@@ -104,18 +104,52 @@ def release_qc(images: DataFrame, exported: DataFrame, manifest: DataFrame) -> D
     return out.withColumn("status", F.when(F.col("n_errors") == 0, "PASS").otherwise("FAIL"))
 
 
-def merge_chunk_reports(chunks: list[DataFrame]) -> DataFrame:
-    """Union of reports; an image that is reported twice is marked."""
-    out = chunks[0]
-    for c in chunks[1:]:
-        out = out.unionByName(c, allowMissingColumns=True)
-    n = out.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_reports"))
-    return out.join(n, "image_id").withColumn("repeated", F.col("n_reports") > 1)
-
+def chunk_errors(reports: DataFrame, images: DataFrame, labels: DataFrame) -> DataFrame:
+    """``image_id`` and ``error`` of chunk reports against the batch's images and its label texts (``n_lines``).
 
-def write_label_files(labels: DataFrame, path: str) -> None:
-    """One folder an image, ``dataset=.../image_id=...``, with its label text as one file; a negative has an empty line."""
-    labels.select("dataset", "image_id", F.col("label_text").alias("value")).repartition("image_id").write.mode("errorifexists").partitionBy("dataset", "image_id").text(path)
+    DUPLICATE_REPORT: an image in two rows; MISSING_REPORT and EXTRA_REPORT: reports and images differ;
+    MISSING_LABEL: an image without a label text; COUNT_MISMATCH: a label text of other than ``n_boxes`` lines.
+    """
+    r = reports.groupBy("image_id").agg(F.count(F.lit(1)).alias("n_reports"), F.min("n_boxes").alias("n_boxes"))
+    i = images.select("image_id").distinct().withColumn("is_image", F.lit(True))
+    rows = r.join(i, "image_id", "full_outer").join(labels.select("image_id", "n_lines"), "image_id", "left")
+    known = F.col("is_image").isNotNull()
+    errors = F.array_compact(F.array(
+        F.when(F.col("n_reports") > 1, "DUPLICATE_REPORT"), F.when(F.col("n_reports").isNull(), "MISSING_REPORT"), F.when(~known, "EXTRA_REPORT"),
+        F.when(known & F.col("n_lines").isNull(), "MISSING_LABEL"), F.when(known & (F.col("n_lines") != F.col("n_boxes")), "COUNT_MISMATCH"),
+    ))
+    return rows.select("image_id", F.explode(errors).alias("error"))
+
+
+def merge_chunk_reports(chunks: list[DataFrame], images: DataFrame, labels: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The merged report of a batch in chunks, and its task list brought up to date; any of ``chunk_errors`` refuses both.
+
+    A chunk has image_id, n_boxes and annotation_status. A task keeps its row and its version unless the
+    report says something new of its image: then it takes status and count, and its ``version`` goes up.
+    Running the same merge again changes nothing.
+    """
+    reports = chunks[0]
+    for c in chunks[1:]:
+        reports = reports.unionByName(c, allowMissingColumns=True)
+    wrong = chunk_errors(reports, images, labels).groupBy("error").count().orderBy("error").collect()  # five kinds at most
+    if wrong:
+        raise ValueError("chunk reports are refused: " + ", ".join(f"{r['count']} {r['error']}" for r in wrong))
+    news = reports.select("image_id", F.col("annotation_status").alias("_status"), F.col("n_boxes").cast("bigint").alias("_n"))
+    rows = tasks.join(news, "image_id", "left")
+    changed = F.col("_n").isNotNull() & ~(F.col("auto_annotation_status").eqNullSafe(F.col("_status")) & F.col("auto_box_count").eqNullSafe(F.col("_n")))
+    updated = rows.withColumns({
+        "version": F.when(changed, F.col("version") + 1).otherwise(F.col("version")),
+        "auto_annotation_status": F.when(changed, F.col("_status")).otherwise(F.col("auto_annotation_status")),
+        "auto_box_count": F.when(changed, F.col("_n")).otherwise(F.col("auto_box_count")),
+    })
+    return reports, updated.select(*tasks.columns)
+
+
+def batch_summary(reports: DataFrame) -> DataFrame:
+    """One row: images, boxes and images without a detection of a merged report."""
+    return reports.agg(
+        F.count(F.lit(1)).alias("n_images"), F.coalesce(F.sum("n_boxes"), F.lit(0)).alias("n_boxes"), F.count_if(F.col("n_boxes") == 0).alias("n_images_without_detections"), F.lit("PASS").alias("validation")
+    )
 
 
 def write_release(labels: DataFrame, path: str, qc: DataFrame) -> None:

@@ -1145,7 +1145,45 @@ def union_sources(spark, d):
     return L.union_sources(i.where("dataset = 'DS0'").select("dataset", "image_id", "sequence_id"), i.where("dataset = 'DS1'").select("dataset", "image_id", "file_group"))
 
 
-@query("SELECT image_id, chunk, count(*) OVER (PARTITION BY image_id) AS n_reports, count(*) OVER (PARTITION BY image_id) > 1 AS repeated FROM (SELECT image_id, 'a' AS chunk FROM images WHERE image_id % 3 <> 0 UNION ALL SELECT image_id, 'b' FROM images WHERE image_id % 3 <> 1)", "images")
+def _chunks(spark, d, broken):
+    """Reports of the exported boxes in three chunks; ``broken`` ones repeat, leave out, add and miscount images."""
+    i = A.images(spark, d)
+    labels = R.label_files(i, _exported(spark, d)).select("image_id", "n_lines")
+    rows = labels.select("image_id", F.col("n_lines").alias("n_boxes"), F.when(F.col("n_lines") == 0, "NO_DETECTION").otherwise("AUTO_ANNOTATED").alias("annotation_status"))
+    parts = [rows.where(F.col("image_id") % 3 == k) for k in range(3)]
+    if broken:
+        parts[0] = parts[0].unionByName(parts[1].where("image_id % 50 = 7")).where("image_id % 40 <> 6")
+        parts[1] = parts[1].withColumn("n_boxes", F.expr("n_boxes + if(image_id % 30 = 4, 1, 0)"))
+        parts[2] = parts[2].unionByName(parts[2].where("image_id % 60 = 5").withColumn("image_id", F.expr("-image_id")))
+        labels = labels.where("image_id % 70 <> 8")
+    return parts, i, labels
+
+
+A.SQL["lines"] = "lines AS (SELECT image_id, count(x.image_id) AS n FROM images LEFT JOIN (SELECT image_id FROM ex WHERE outcome = 'EXPORTED') x USING (image_id) GROUP BY ALL)"
+
+
+@query("""SELECT image_id, error FROM (SELECT *, unnest([CASE WHEN image_id % 3 = 1 AND image_id % 50 = 7 AND image_id % 40 <> 6 THEN 'DUPLICATE_REPORT' END, CASE WHEN image_id % 3 = 0 AND image_id % 40 = 6 THEN 'MISSING_REPORT' END, CASE WHEN image_id % 70 = 8 THEN 'MISSING_LABEL' END,
+        CASE WHEN image_id % 70 <> 8 AND image_id % 3 = 1 AND image_id % 30 = 4 AND NOT (image_id % 50 = 7 AND image_id % 40 <> 6) THEN 'COUNT_MISMATCH' END]) AS error FROM lines) WHERE error IS NOT NULL
+    UNION ALL SELECT -image_id, 'EXTRA_REPORT' FROM lines WHERE image_id % 3 = 2 AND image_id % 60 = 5""", *_EX, "lines")
+def chunk_errors(spark, d):
+    parts, i, labels = _chunks(spark, d, broken=True)
+    return R.chunk_errors(parts[0].unionByName(parts[1]).unionByName(parts[2]), i, labels)
+
+
+@query("""SELECT image_id, CASE WHEN same THEN 4 ELSE 5 END AS version, CASE WHEN n = 0 THEN 'NO_DETECTION' ELSE 'AUTO_ANNOTATED' END AS auto_annotation_status, n AS auto_box_count FROM (SELECT *, image_id % 4 = 0 AND n > 0 AS same FROM lines)
+    UNION ALL SELECT -image_id, 4, 'PENDING', NULL FROM lines WHERE image_id % 90 = 1""", *_EX, "lines")
 def merge_chunk_reports(spark, d):
-    i = A.images(spark, d).select("image_id")
-    return R.merge_chunk_reports([i.where("image_id % 3 <> 0").withColumn("chunk", F.lit("a")), i.where("image_id % 3 <> 1").withColumn("chunk", F.lit("b"))])
+    """The task list after a merge, run twice: some tasks know the answer already, some have no report."""
+    parts, i, labels = _chunks(spark, d, broken=False)
+    known = F.expr("image_id % 4 = 0 AND n_lines > 0")
+    tasks = labels.select("image_id", F.lit(4).alias("version"), F.when(known, "AUTO_ANNOTATED").otherwise("PENDING").alias("auto_annotation_status"), F.when(known, F.col("n_lines")).alias("auto_box_count"))
+    tasks = tasks.unionByName(i.where("image_id % 90 = 1").selectExpr("-image_id AS image_id", "4 AS version", "'PENDING' AS auto_annotation_status", "CAST(NULL AS BIGINT) AS auto_box_count"))
+    once = R.merge_chunk_reports(parts, i, labels, tasks)[1]
+    return R.merge_chunk_reports(parts, i, labels, once)[1]
+
+
+@query("SELECT count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes, count(*) FILTER (WHERE n = 0) AS n_images_without_detections, 'PASS' AS validation FROM lines", *_EX, "lines")
+def batch_summary(spark, d):
+    parts, i, labels = _chunks(spark, d, broken=False)
+    return R.batch_summary(R.merge_chunk_reports(parts, i, labels, labels.selectExpr("image_id", "1 AS version", "'' AS auto_annotation_status", "n_lines AS auto_box_count"))[0])
+

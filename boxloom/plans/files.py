@@ -7,10 +7,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from boxloom.operators import classes as C
+from boxloom.operators import duplicates as D
 from boxloom.operators import release as R
 from boxloom.operators import tracks as K
-from boxloom.plans.catalog import _ALERTS, _BOX, _EX, STOP_RULES, _exported, query, window_starts
+from boxloom.plans.catalog import _ALERTS, _BOX, _EX, STOP_RULES, _assigned, _exported, query, window_starts
 from boxloom.sources import adapters as A
+from boxloom.sources import digests
+from boxloom.sources import label_files as N
 from boxloom.sources import readers as L
 from boxloom.sources import writers as O
 from boxloom.sources.scratch import new_path
@@ -89,6 +93,58 @@ def release_round_trip(spark, d):
     return spark.read.schema(labels.schema).parquet(path)
 
 
+@query("""SELECT split, CAST(image_id AS VARCHAR) AS image_id, line AS label_line FROM images JOIN sp USING (dataset, sequence_id) LEFT JOIN (SELECT image_id, line FROM ex WHERE outcome = 'EXPORTED') USING (image_id)""", *_EX, "sequences", "sp")
+def label_files_round_trip(spark, d):
+    """A file an image under its split, negatives as empty files, published at once and read back."""
+    path = new_path(spark, "labels")
+    split = C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split")).select("image_id", "split")
+    N.write_label_files(R.label_files(A.images(spark, d), _exported(spark, d)).join(split, "image_id"), path)
+    return N.read_label_files(spark, path).select("split", "image_id", "label_line")
+
+
+def _sequence_files(spark, d):
+    """The boxes of a sequence as one file, under five folders, one of them of an unknown split."""
+    path = new_path(spark, "assets")
+    rows = A.boxes_raw(spark, d).groupBy("dataset", "sequence_id").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(" ", "image_id", "annotation_id"))), "\n").alias("label_text"))
+    folder = F.expr("element_at(array('train', 'validation', 'test', 'cross_test', 'spare'), CAST(substring(sequence_id, 4) AS INT) % 5 + 1)")
+    name = F.expr("if(sequence_id = 'SEQ7' OR dataset = 'DS1' AND sequence_id LIKE 'SEQ2%', concat('same_', sequence_id), concat(dataset, '_', sequence_id))")
+    first = rows.withColumn("split", F.when(F.expr("dataset = 'DS1' AND sequence_id LIKE 'SEQ2%'"), "train").when(F.expr("sequence_id = 'SEQ7'"), F.expr("element_at(array('train', 'test', 'cross_test'), CAST(substring(dataset, 3) AS INT) + 1)")).otherwise(folder))
+    N.write_label_files(first.select("split", name.alias("image_id"), "label_text"), path)
+    return path
+
+
+A.SQL["files"] = """files AS (SELECT *, split || '/' || image_id || '.txt' AS relative_path FROM (SELECT dataset, sequence_id, CASE WHEN sequence_id = 'SEQ7' OR dataset = 'DS1' AND sequence_id LIKE 'SEQ2%' THEN 'same_' || sequence_id ELSE dataset || '_' || sequence_id END AS image_id,
+        CASE WHEN dataset = 'DS1' AND sequence_id LIKE 'SEQ2%' THEN 'train' WHEN sequence_id = 'SEQ7' THEN (['train', 'test', 'cross_test'])[CAST(substr(dataset, 3) AS INT) + 1] ELSE (['train', 'validation', 'test', 'cross_test', 'spare'])[CAST(substr(sequence_id, 4) AS INT) % 5 + 1] END AS split,
+        string_agg(image_id || ' ' || annotation_id, chr(10) ORDER BY image_id || ' ' || annotation_id) || chr(10) AS body FROM boxes_raw GROUP BY dataset, sequence_id))"""
+
+
+@query("""SELECT relative_path, strlen(body) AS length, CASE WHEN split <> 'spare' THEN split END AS split, CASE WHEN split <> 'spare' THEN image_id END AS image_id, CASE WHEN split = 'spare' THEN 'UNEXPECTED_PATH' WHEN count(*) FILTER (WHERE split <> 'spare') OVER (PARTITION BY image_id) > 1 THEN 'DUPLICATE_ID' END AS issue,
+    split <> 'spare' AND relative_path = min(relative_path) FILTER (WHERE split <> 'spare') OVER (PARTITION BY image_id) AS first FROM files""", *_BOX[:2], "files")
+def list_assets(spark, d):
+    return N.list_assets(spark, _sequence_files(spark, d), suffixes=(".txt",)).drop("path")
+
+
+@query("SELECT relative_path, strlen(body) AS size_bytes, sha256(body) AS sha256 FROM files", *_BOX[:2], "files")
+def sha256_files(spark, d):
+    """Files of both kinds: those of up to 4 KiB hashed by Spark, larger ones in blocks."""
+    found = digests.sha256_files(spark, _sequence_files(spark, d), block_bytes=4096)
+    return found.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("relative_path"), "size_bytes", "sha256")
+
+
+A.SQL["copies"] = "copies AS (SELECT doc_id, coalesce(text, '') AS body, (['train', 'validation', 'test'])[doc_id % 3 + 1] AS split FROM documents)"
+
+
+@query("SELECT sha256(body) AS sha256, count(*) AS n_files, string_agg(DISTINCT split, '|' ORDER BY split) AS splits FROM (SELECT split, body || chr(10) AS body FROM copies) GROUP BY 1 HAVING count(DISTINCT split) > 1", "copies")
+def exact_content_cross_split(spark, d):
+    """Texts as files; their checksums and sizes are known from a manifest, as from an archive's directory."""
+    path = new_path(spark, "copies")
+    rows = A.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("image_id"), F.expr("element_at(array('train', 'validation', 'test'), CAST(doc_id % 3 AS INT) + 1)").alias("split"), F.coalesce("text", F.lit("")).alias("label_text"))
+    N.write_label_files(rows, path)
+    body = F.concat("label_text", F.lit("\n"))
+    manifest = rows.select(F.concat(F.lit(path + "/"), "split", F.lit("/"), "image_id", F.lit(".txt")).alias("path"), "split", F.crc32(body.cast("binary")).alias("crc"), F.octet_length(body).alias("size_bytes"))
+    return D.exact_content_cross_split(manifest)
+
+
 #: Files of a micro-batch.
 _FILES = 4
 

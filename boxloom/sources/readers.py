@@ -94,14 +94,6 @@ def read_yolo_labels(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def list_assets(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".jpg", ".png")) -> DataFrame:
-    """Files with split, image id and size, without reading their content."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
-    name = F.lower(F.element_at(F.split("path", "/"), -1))
-    kept = F.regexp_extract(name, r"(\.[^.]+)$", 1).isin(*suffixes)
-    return rows.select("path", "length", F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("split"), F.regexp_extract(name, r"^(.*)\.[^.]+$", 1).alias("image_id"), kept.alias("expected_suffix"))
-
-
 def read_images(spark: SparkSession, path: str) -> DataFrame:
     """Decoded images; unreadable files are marked."""
     rows = spark.read.format("image").option("dropInvalid", "false").load(path).select("image.*")

@@ -224,11 +224,24 @@ def test_motion_in_two_directions(spark):
     assert [(e.track_id, e.range_m_at_alert, e.speed_kmh_at_alert) for e in events] == [(2, 5.0, 0.0)]
 
 
-def test_label_files_round_trip(spark, tmp_path):
-    labels = spark.createDataFrame([("d", 1, "0 0.5 0.5 0.1 0.1\n0 0.1 0.1 0.1 0.1"), ("d", 2, "")], "dataset string, image_id long, label_text string")
-    R.write_label_files(labels, str(tmp_path / "labels"))
-    files = sorted(tmp_path.glob("labels/dataset=d/image_id=*/part-*"))
-    assert [f.read_text().strip() for f in files] == ["0 0.5 0.5 0.1 0.1\n0 0.1 0.1 0.1 0.1", ""]
+def test_chunk_merge(spark):
+    chunk = "image_id long, n_boxes int, annotation_status string"
+    a = spark.createDataFrame([(1, 2, "AUTO"), (2, 0, "NONE")], chunk)
+    b = spark.createDataFrame([(3, 1, "AUTO")], chunk)
+    images = spark.createDataFrame([(1,), (2,), (3,)], "image_id long")
+    labels = spark.createDataFrame([(1, 2), (2, 0), (3, 1)], "image_id long, n_lines long")
+    tasks = spark.createDataFrame([(1, "AUTO", 2, 7, "x"), (3, None, None, 0, "y"), (9, "OLD", 5, 1, "z")], "image_id long, auto_annotation_status string, auto_box_count long, version int, own string")
+    reports, after = R.merge_chunk_reports([a, b], images, labels, tasks)
+    want = [(1, "AUTO", 2, 7, "x"), (3, "AUTO", 1, 1, "y"), (9, "OLD", 5, 1, "z")]
+    assert reports.count() == 3 and sorted(map(tuple, after.collect())) == want
+    assert sorted(map(tuple, R.merge_chunk_reports([a, b], images, labels, after)[1].collect())) == want
+    assert R.batch_summary(reports).first()[:3] == (3, 3, 1)
+    for chunks, i, t, error in (
+        ([a, b, b], images, labels, "DUPLICATE_REPORT"), ([a], images, labels, "MISSING_REPORT"), ([a, b], images.where("image_id < 3"), labels, "EXTRA_REPORT"),
+        ([a, b], images, labels.where("image_id > 1"), "MISSING_LABEL"), ([a, b], images, labels.withColumn("n_lines", F.lit(1)), "2 COUNT_MISMATCH"),
+    ):
+        with pytest.raises(ValueError, match=error):
+            R.merge_chunk_reports(chunks, i, t, tasks)
 
 
 def test_release(spark, tmp_path):

@@ -1,5 +1,6 @@
 """Readers and writers on small files, pixel functions, and streams against the batch operators."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -7,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxloom.functions import images as I
+from boxloom.operators import duplicates
 from boxloom.operators import tracks as K
-from boxloom.sources import readers, writers
+from boxloom.sources import digests, label_files, readers, writers
 from boxloom.streaming import alerts
 
 
@@ -50,8 +52,53 @@ def test_label_files_and_assets(spark, tmp_path):
     (tmp_path / "train" / "i1.txt").write_text("0 0.5 0.5 0.1 0.1\n\n1 2 3\n")
     rows = readers.read_yolo_labels(spark, str(tmp_path / "train")).collect()
     assert {(r.split, r.image_id, r.n_parts) for r in rows} == {("train", "i1", 5), ("train", "i1", 3)}
-    asset = readers.list_assets(spark, str(tmp_path)).first()
-    assert (asset.split, asset.image_id, asset.expected_suffix) == ("train", "i1", False)
+
+
+def test_written_label_files(spark, tmp_path):
+    rows = [("train", f"i{k}", "0 0.5 0.5 0.1 0.1\n0 0.1 0.1 0.1 0.1" if k % 3 else "") for k in range(2000)] + [("val", "i5", "0 0.2 0.2 0.1 0.1"), ("val", "j", None)]
+    labels = spark.createDataFrame(rows, "split string, image_id string, label_text string").repartition(3)
+    path = str(tmp_path / "labels")
+    label_files.write_label_files(labels, path)
+    assert (tmp_path / "labels" / "train" / "i1.txt").read_text() == rows[1][2] + "\n" and (tmp_path / "labels" / "val" / "j.txt").read_text() == "\n"
+    got = sorted((r.split, r.image_id, r.label_line or "") for r in label_files.read_label_files(spark, path).collect())
+    assert got == sorted((s, i, line) for s, i, t in rows for line in (t or "").split("\n"))
+    assert len(list(tmp_path.rglob("*"))) == len(rows) + 3  # no folder an image, nothing staged is left
+    with pytest.raises(ValueError, match="exists"):
+        label_files.write_label_files(labels, path)
+    with pytest.raises(ValueError, match="two rows"):
+        label_files.write_label_files(labels.unionByName(labels), str(tmp_path / "twice"))
+    with pytest.raises(Exception, match="not a file name"):
+        label_files.write_label_files(labels.limit(5).withColumn("image_id", F.concat(F.lit("../"), "image_id")), str(tmp_path / "unsafe"))
+    assert not (tmp_path / "unsafe").exists() and not list(tmp_path.glob("*.staging*"))
+    (tmp_path / "labels" / "extra.txt").write_text("x")
+    (tmp_path / "labels" / "train" / "deep").mkdir()
+    (tmp_path / "labels" / "train" / "deep" / "k.txt").write_text("x")
+    (tmp_path / "labels" / "train" / "k.jpg").write_text("x")
+    assets = {r.relative_path: (r.split, r.image_id, r.issue, r["first"]) for r in label_files.list_assets(spark, path, (".txt",)).collect()}
+    assert len(assets) == len(rows) + 3
+    assert {p for p, x in assets.items() if x[2] == "UNEXPECTED_PATH"} == {"extra.txt", "train/deep/k.txt", "train/k.jpg"}
+    assert assets["train/i5.txt"] == ("train", "i5", "DUPLICATE_ID", True) and assets["val/i5.txt"][2:] == ("DUPLICATE_ID", False) and assets["train/i1.txt"][2:] == (None, True)
+
+
+def test_digests_of_files(spark, tmp_path):
+    data = {"a.bin": b"x" * 1000, "b c.bin": random.Random(1).randbytes(300_000), "c.bin": b"y" * 4096}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    want = {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in data.items()}
+    got = digests.sha256_files(spark, str(tmp_path), block_bytes=4096).collect()
+    assert {r.path.rsplit("/", 1)[1].replace("%20", " "): (r.size_bytes, r.sha256) for r in got} == want
+    paths = spark.createDataFrame([(1, str(tmp_path / "a.bin")), (2, str(tmp_path / "gone")), (3, None)], "id int, path string")
+    assert {r.id: r.sha256 for r in digests.with_sha256(paths, 7).collect()} == {1: want["a.bin"][1], 2: None, 3: None}
+
+
+def test_copies_across_splits_open_candidates_only(spark, tmp_path):
+    """Files that checksum and size set apart are not opened: here they are not there."""
+    for name, content in (("a", b"same"), ("b", b"same"), ("c", b"clash"), ("d", b"other")):
+        (tmp_path / name).write_bytes(content)
+    at = [(str(tmp_path / n), s, c, z) for n, s, c, z in (("a", "train", 1, 4), ("b", "val", 1, 4), ("c", "train", 2, 5), ("d", "val", 2, 5), ("gone", "train", 3, 9), ("gone2", "train", 3, 9), ("gone3", None, 1, 4))]
+    files = spark.createDataFrame(at, "path string, split string, crc long, size_bytes long")
+    assert {r.path.rsplit("/", 1)[1] for r in duplicates.content_candidates(files).collect()} == {"a", "b", "c", "d"}
+    assert [(r.n_files, r.splits, r.sha256) for r in duplicates.exact_content_cross_split(files).collect()] == [(2, "train|val", hashlib.sha256(b"same").hexdigest())]
 
 
 def test_pixels(spark):
