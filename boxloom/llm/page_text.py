@@ -4,9 +4,10 @@ A page is a sequence of words and tags. Words mostly score positive and tags neg
 depends on the kind of element that it stands in, a tag's on its name, and both are log-odds learned
 from labelled pages (pages that mark their article with an ``article`` or ``main`` element or with
 ``itemprop="articleBody"``; the marks read as ``div``, so they are no features). One linear scan finds the
-maximum-scoring subsequence of tokens. Blocks of the region are the text, but for blocks in elements
-that are no article by definition (forms, adverts, comments and the like), which may stand amid it. A form
-or class name around the whole page says nothing about its text and is not heeded.
+maximum-scoring subsequence of tokens. Blocks of the region are the text, but for those in elements
+whose kind or class name speaks of no article (forms, adverts, comments and the like) and whose words score
+negative; such blocks may stand amid the article. A form or class name around the whole page, or one that
+nearly all of a page's prose carries, says nothing about its text and is not heeded.
 
 Scale: weights come from a bounded sample of labelled pages (``sample_pages``, in hash order), as a few
 dozen sums. Extraction is one pass over whole pages, linear in their length, without a shuffle.
@@ -26,11 +27,11 @@ from boxloom.llm.columns import packed, unpacked
 from boxloom.llm.samples import drawn, share
 
 # Element names by what they do to text.
-DROPPED = frozenset("script style noscript template svg iframe object head title select textarea button canvas math".split())
+DROPPED = frozenset("script style noscript template svg iframe object head title select textarea button".split())
 AROUND = frozenset("nav footer aside form header menu dialog".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-    "strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mover mrow "
+    "msqrt mstyle msub msubsup msup mtext munder q s samp semantics small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset(
@@ -49,6 +50,17 @@ HINTS = frozenset(
     "tags toolbar widget".split()
 )
 
+#: Of these, what page builders also call parts of articles: not heeded where a page has hardly any other prose.
+WEAK = frozenset(
+    "banner byline header modal newsletter notice overlay popup promo promoted recommended related share sharing signup "
+    "social sponsor sponsored subscribe tags toolbar widget".split()
+)
+#: Of these, what may be far longer than the article.
+REPLIES = frozenset("comment comments disqus replies respond".split())
+#: Beside these in a class name, a header is one of the text: ``entry-header``, ``section-header``.
+OF_TEXT = frozenset("article body content entry post section story text".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|[^<]++|<",
     re.S,
@@ -83,18 +95,26 @@ def tokens(page: str):
             yield "text", m[0], ""
 
 
-def _kind(name: str, attributes: str) -> str:
-    """What an element is for its words: dropped, around the article, hinted at as such, or its name."""
+def _hints(name: str, attributes: str) -> frozenset[str]:
+    """The parts of an element's names that speak of no article."""
+    out: set[str] = set()
+    for m in _ATTRIBUTE.finditer(attributes):
+        for own in (m[1] or m[2] or m[3] or "").lower().split():
+            parts = set(_PART.split(own))
+            found = set(HINTS & parts)
+            if "header" in found and (name in HEADINGS or parts & OF_TEXT):
+                found.discard("header")
+            out |= found
+    return frozenset(out)
+
+
+def _kind(name: str, hints: frozenset[str], marked: bool) -> str:
+    """What an element is for its words: dropped, around the article, hinted at as such, or plain; a marked article's own header is plain."""
     if name in DROPPED:
         return "dropped"
-    if name in AROUND:
+    if name in AROUND and not (name == "header" and marked):
         return "around"
-    if name in WHOLE:
-        return "block"
-    for m in _ATTRIBUTE.finditer(attributes):
-        if HINTS.intersection(_PART.split((m[1] or m[2] or m[3] or "").lower())):
-            return "hinted"
-    return "block"
+    return "hinted" if hints and name not in WHOLE else "block"
 
 
 class Block:
@@ -109,12 +129,16 @@ class Block:
 
 
 class _Odd:
-    """An open element that is no plain block, in the innermost such one; ``words`` are its own, outside of links."""
+    """An open element that is no plain block, in the innermost such one.
+
+    ``words`` are its own, outside of links, and ``longest`` the most of them in a row; ``group`` is what such elements share.
+    """
 
-    __slots__ = ("up", "kind", "frame", "words", "wide")
+    __slots__ = ("up", "kind", "frame", "group", "words", "longest", "wide")
 
-    def __init__(self, up: _Odd | None, kind: str, frame: bool):
-        self.up, self.kind, self.frame, self.words, self.wide = up, kind, frame, 0, False
+    def __init__(self, up: _Odd | None, kind: str, frame: bool, group: frozenset[str]):
+        self.up, self.kind, self.frame, self.group = up, kind, frame, group
+        self.words, self.longest, self.wide = 0, 0, False
 
 
 class _Open:
@@ -122,13 +146,14 @@ class _Open:
 
     __slots__ = ("name", "marked", "dropped", "linked", "odd", "solid")
 
-    def __init__(self, name: str, kind: str, marked: bool, up: _Open | None, place: int):
+    def __init__(self, name: str, kind: str, hints: frozenset[str], marked: bool, up: _Open | None, place: int):
         self.name = name
         self.marked = marked or (up is not None and up.marked)
         self.dropped = kind == "dropped" or (up is not None and up.dropped)
         self.linked = name == "a" or (up is not None and up.linked)
         odd = up.odd if up else None
-        self.odd = odd if kind == "block" else _Odd(odd, kind, kind == "hinted" or name == "form")
+        group = frozenset(["form"]) if name == "form" else hints if kind == "hinted" else frozenset()
+        self.odd = odd if kind == "block" else _Odd(odd, kind, bool(group), group)
         #: the place of the innermost element that is not inline, this one included
         self.solid = place if name not in INLINE else up.solid if up else -1
 
@@ -137,8 +162,8 @@ def _page_wide(odds: list[_Odd], plain: int) -> None:
     """Mark forms and hinted elements that are the page's frame; ``plain`` words stand in none.
 
     Such an element holds most of the page's words, and what no element of the kind holds besides is
-    less than a tenth of them. Long comments below an article are no frame. Elements that hold most of
-    the words stand in each other, so one pass from the outermost inwards finds all.
+    less than a tenth of them, or a hundredth where the name speaks of comments, which may be much longer than an
+    article. Elements that hold most of the words stand in each other, so one pass from the outermost inwards finds all.
     """
     held = {id(o): o.words for o in odds}
     for o in reversed(odds):  # an element comes after those it stands in
@@ -148,11 +173,39 @@ def _page_wide(odds: list[_Odd], plain: int) -> None:
     besides = plain
     for o in odds:
         own = held[id(o)]
-        if o.frame and 2 * own > total and (o.up is None or o.up.wide) and 10 * besides < own:
+        times = 100 if o.group & REPLIES else 10
+        if o.frame and 2 * own > total and (o.up is None or o.up.wide) and times * besides < own:
             o.wide = True
             besides += o.words
 
 
+_PROSE = 10  # words in a row
+
+
+def _builder_names(odds: list[_Odd], plain: int) -> None:
+    """Do not heed forms and weak hints that carry ten times the prose of the plain elements around them.
+
+    What is around an element are the words in no odd element and those of the page-wide ones that it stands
+    in. So an article in parts of several names is kept whole, and a box in an article is still left out. What
+    stands in an element that is heeded stays out.
+    """
+    words: dict[frozenset[str], int] = {}
+    longest: dict[frozenset[str], int] = {}
+    around: dict[frozenset[str], int] = {}
+    frames: dict[int, int] = {}  # words of the page-wide elements from an element upwards
+    for o in odds:  # outer ones first
+        above = frames[id(o.up)] if o.up else 0
+        frames[id(o)] = above + (o.words if o.wide else 0)
+        if o.group and o.group <= WEAK | {"form"}:
+            words[o.group] = words.get(o.group, 0) + o.words
+            longest[o.group] = max(longest.get(o.group, 0), o.longest)
+            around[o.group] = max(around.get(o.group, 0), plain + above)
+    free = {g for g, n in words.items() if n > 10 * around[g] and longest[g] >= _PROSE}
+    for o in odds:
+        if o.group in free and (o.up is None or o.up.wide):
+            o.wide = True
+
+
 class _Stack:
     """The open elements; every step costs the same however many are open."""
 
@@ -165,10 +218,14 @@ class _Stack:
             self.count[x.name] -= 1
         del self.open[place:]
 
-    def push(self, name: str, kind: str, marked: bool) -> _Open:
-        self.open.append(_Open(name, kind, marked, self.top(), len(self.open)))
+    def push(self, name: str, attributes: str) -> str:
+        """Open an element; returns its kind."""
+        up, hints = self.top(), _hints(name, attributes)
+        mark = name in MARKS or "articlebody" in attributes.lower()
+        kind = _kind(name, hints, up is not None and up.marked)
+        self.open.append(_Open(name, kind, hints, mark, up, len(self.open)))
         self.count[name] = self.count.get(name, 0) + 1
-        return self.open[-1]
+        return kind
 
     def top(self) -> _Open | None:
         return self.open[-1] if self.open else None
@@ -206,6 +263,7 @@ def blocks(page: str) -> list[Block]:
             if not (top and top.linked):
                 if odd:
                     odd.words += len(name.split())
+                    odd.longest = max(odd.longest, len(name.split()))
                 else:
                     plain += len(name.split())
             if fresh:
@@ -222,10 +280,7 @@ def blocks(page: str) -> list[Block]:
             if name in ("li", "tr", "td", "th", "dt", "dd", "option") and stack.solid() == name:
                 stack.cut(stack.open[-1].solid)
             if name not in VOID:
-                mark = name in MARKS or "articlebody" in attributes.lower()
-                what = _kind(name, attributes)
-                stack.push(name, what, mark)
-                if what != "block":
+                if stack.push(name, attributes) != "block":
                     odds.append(stack.open[-1].odd)
             elif name == "br" and not fresh:
                 out[-1].text.append(" ")
@@ -234,12 +289,14 @@ def blocks(page: str) -> list[Block]:
         if name not in INLINE:
             fresh = True
     _page_wide(odds, plain)
+    _builder_names(odds, plain)
     for o in odds:  # what a frame stands in is one too
         if o.up and not o.up.wide and not o.wide and o.up.kind == "hinted":
             o.kind = "hinted"
     for b in out:
         if b.odd and not b.odd.wide:
-            b.feature, b.dropped = "hinted" if b.odd.kind == "hinted" else "around", True
+            weak = b.odd.kind == "hinted" and b.odd.group <= WEAK and not (b.odd.up and not b.odd.up.wide)
+            b.feature, b.dropped = "weak" if weak else b.odd.kind, True
         b.text = _SPACE.sub(" ", entities.unescape("".join(b.text))).strip()
     return out
 
@@ -267,7 +324,8 @@ def count_features(page: str) -> dict[str, list[float]]:
         for t in b.tags:
             out.setdefault(f"tag {_tag(t)}", [0.0, 0.0])[0 if inside and b.marked else 1] += 1
         inside = b.marked
-        good = b.marked and not b.dropped
+        # the marks do not tell adverts and the like within an article; of weak names they do
+        good = b.marked and (not b.dropped or b.feature == "weak")
         out.setdefault(f"word {b.feature}", [0.0, 0.0])[0 if good else 1] += len(b.text.split())
     return out
 
@@ -288,19 +346,20 @@ def weights(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
-    """The main text of a page, blocks joined by an empty line; empty if nothing scores."""
+    """The main text of a page, blocks joined by an empty line; empty if nothing scores. Of equal sums the first region counts."""
     found = blocks(page or "")
     best = (0.0, 0, -1)
     total, start = 0.0, 0
+    own = [weight.get(f"word {b.feature}", -WORD if b.dropped else WORD) for b in found]
     for i, b in enumerate(found):
         total += sum(weight.get(f"tag {_tag(t)}", TAG) for t in b.tags)
         if total <= 0:
             total, start = 0.0, i
-        base = -WORD if b.dropped else WORD
-        total += len(b.text.split()) * weight.get(f"word {b.feature}", base)
+        total += len(b.text.split()) * own[i]
         if total > best[0]:
             best = (total, start, i)
-    return "\n\n".join(b.text for b in found[best[1] : best[2] + 1] if b.text and not b.dropped)
+    region = range(best[1], best[2] + 1)
+    return "\n\n".join(found[i].text for i in region if found[i].text and not (found[i].dropped and own[i] <= 0))
 
 
 def learn_weights(pages: DataFrame, html: str = "html", sample_pages: int = 2000) -> dict[str, float]:
@@ -331,8 +390,8 @@ def extract_main_text(pages: DataFrame, html: str = "html", labelled: DataFrame
     """The rows of ``pages`` with ``text`` and ``n_chars`` (its code points).
 
     Weights are learned from ``labelled`` pages, which have the same column (``pages`` themselves by
-    default). Null and empty pages have an empty text. White space in a block becomes one space;
-    character references are decoded. Repeated pages have equal texts; an empty table gives an empty
+    default). Null and empty pages have an empty text; pages of any length are read whole. White space in a
+    block becomes one space; character references are decoded. Repeated pages have equal texts; an empty table gives an empty
     table. Other columns pass through; old columns of the result names (in any case) are replaced.
     """
     learned = learn_weights(labelled if labelled is not None else pages, html, sample_pages)

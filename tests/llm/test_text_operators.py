@@ -15,7 +15,7 @@ from boxloom.llm.decontaminate import Items, PlainWords, contained_items
 from boxloom.llm.langid import identify_language
 from boxloom.llm.line_quality import marginals, score_quality
 from boxloom.llm.minhash import near_duplicates
-from boxloom.llm.page_text import extract_main_text, main_text
+from boxloom.llm.page_text import count_features, extract_main_text, main_text, weights
 from boxloom.llm.pieces import VOCABULARY, Pieces, decode_pieces, encode_pieces, load_pieces
 from boxloom.llm.quality_rules import apply_rules
 from boxloom.llm.sharding import communication_matrix, hypergeometric, uniform_shards
@@ -349,6 +349,63 @@ def test_page_text_in_frames_of_the_whole_page():
     assert [main_text(p, {}) for p in pages] == ["\n\n".join([title, *paragraphs])] * len(pages)
 
 
+#: Pages of several templates, each with its main text written out by hand.
+VARIED = [
+    (  # a page builder's class names carry the article
+        "<body><nav><a href='/'>Home</a><a href='/b'>Blog</a></nav>" + "".join(f"<div class='elementor-widget elementor-{k}'><p>Paragraph {k} of the story has enough words to be read as prose here.</p></div>" for k in range(5)) + "<footer>All rights</footer></body>",
+        "\n\n".join(f"Paragraph {k} of the story has enough words to be read as prose here." for k in range(5)),
+    ),
+    (  # an article in two forms
+        "<body><form id='a'><p>The first half of the article stands in a form, as some systems write it.</p></form><form id='b'><p>The second half of the article stands in another one, with as many words.</p></form></body>",
+        "The first half of the article stands in a form, as some systems write it.\n\nThe second half of the article stands in another one, with as many words.",
+    ),
+    (  # two weak names share the article
+        "<body><section class='related-work'><p>Related work has been done by many people over the last ten years.</p></section><section class='overlay'><p>The overlay of the maps shows where all of the rivers used to flow.</p></section></body>",
+        "Related work has been done by many people over the last ten years.\n\nThe overlay of the maps shows where all of the rivers used to flow.",
+    ),
+    (  # a formula amid a paragraph
+        "<body><p>We know that <math><mi>a</mi><mo>=</mo><mi>b</mi></math> holds for all of the numbers that were given above.</p></body>",
+        "We know that a=b holds for all of the numbers that were given above.",
+    ),
+    (  # an article's own header, and headings by class name
+        "<body><header>Site name and slogan</header><article><header><h1>The headline of the article</h1></header><p>It begins with a sentence that is long enough to be read.</p><h2 class='section-header'>A part</h2><p>It ends with one more sentence that is long enough as well.</p></article></body>",
+        "The headline of the article\n\nIt begins with a sentence that is long enough to be read.\n\nA part\n\nIt ends with one more sentence that is long enough as well.",
+    ),
+    (  # weak and strong names beside enough prose are left out
+        "<body><div class='entry-content'><p>The article says what it has to say in a few sentences of common words, and it is long enough.</p><div class='newsletter'>Sign up for our letter with all of the news of the week, it is free of any charge</div><div class='ad'>Buy one and get one</div>"
+        "<p>Then it goes on and says some more, so that the region spans what stands between its two parts.</p></div><div class='related'><ul><li><a href='/x'>Another story</a></li></ul></div><div id='comments'><p>I like it very much, said a reader who had read the whole of it to the end.</p></div></body>",
+        "The article says what it has to say in a few sentences of common words, and it is long enough.\n\nThen it goes on and says some more, so that the region spans what stands between its two parts.",
+    ),
+    (  # reader comments stay out, however little else there is
+        "<body><p>A short note of the day, in one sentence only.</p><section class='comments'>" + "<div class='widget'><p>I like it very much, said a reader who had read the whole of it to the end.</p></div>" * 20 + "</section></body>",
+        "A short note of the day, in one sentence only.",
+    ),
+    (  # a table of facts and quotes within an article
+        "<body><div><h1>Facts of the town and its people</h1><blockquote>It is a fine town, they say, and it has always been one.</blockquote><p>The town has a market and two schools, and a bridge over the river.</p></div><aside>More towns</aside></body>",
+        "Facts of the town and its people\n\nIt is a fine town, they say, and it has always been one.\n\nThe town has a market and two schools, and a bridge over the river.",
+    ),
+]
+
+
+@pytest.mark.parametrize("k", range(len(VARIED)))
+def test_page_text_of_varied_templates(k):
+    page, want = VARIED[k]
+    assert main_text(page, learned_weights()) == want
+    assert main_text(page, {})  # without labelled pages some of it at least
+
+
+def learned_weights():
+    """Weights as plain pages with marked articles give them."""
+    counts: dict = {}
+    for k in range(30):
+        page = "<body><nav><ul>" + "<li><a href='/'>Menu entry</a></li>" * 6 + f"</ul></nav><div class='ad'>Buy it now {k}</div><article><h1>A headline of some words</h1>" + "<p>Sentences of an article, one after another, as they come.</p>" * 8 + "</article><footer>The end of it</footer></body>"
+        for feature, (good, bad) in count_features(page).items():
+            own = counts.setdefault(feature, [0.0, 0.0])
+            own[0] += good
+            own[1] += bad
+    return weights(counts)
+
+
 # ---- languages
 
 
