@@ -66,7 +66,7 @@ def image_measures():
             high, low = a.max(axis=2), a.min(axis=2)
             lap = g[1:-1, 1:-1] * -4 + g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] if min(g.shape) > 2 else np.zeros(1)
             saturation = np.divide(high - low, high, out=np.zeros_like(high), where=high > 0).mean() * 255
-            rows.append((g.mean(), g.std(), lap.var(), (g < 30).mean(), (g > 225).mean(), saturation, perceptual_hash(g), average_hash(g)))
+            rows.append((g.mean(), g.std(), lap.var(), (g < 25).mean(), (g > 240).mean(), saturation, perceptual_hash(g), average_hash(g)))
         return pd.DataFrame(rows, columns=[x.split()[0] for x in QUALITY.split(", ")])
 
     return measure

@@ -11,12 +11,16 @@ from boxloom.functions.text import normal_path
 def apply_class_rules(boxes: DataFrame, rules: DataFrame) -> DataFrame:
     """Left join with the rules; ``action`` is KEEP, IGNORE_REGION or REJECT, with the mapping status.
 
-    The rules are one row for each dataset and class of a closed vocabulary.
+    The rules decide: where boxes bring a ``source_mapped_class`` that says otherwise (null and '' are the same), the
+    status is CORRECTED_TO_CONFIG. The rules are one row for each dataset and class of a closed vocabulary.
     """
-    out = boxes.join(rules, ["dataset", "original_class"], "left")
+    out = boxes.join(rules.withColumn("_rule", F.lit(True)), ["dataset", "original_class"], "left")
     action = F.when(F.col("include"), "KEEP").when(F.col("handling") == "IGNORE_REGION", "IGNORE_REGION").otherwise("REJECT")
-    status = F.when(F.col("mapped_class").isNull(), "UNMAPPED_CLASS").otherwise("CONSISTENT")
-    return out.withColumn("action", action).withColumn("mapping_status", status)
+    status = F.when(F.col("_rule").isNull(), "UNMAPPED_CLASS")
+    if "source_mapped_class" in boxes.columns:
+        blank = F.lit("")
+        status = status.when(F.coalesce("source_mapped_class", blank) != F.coalesce("mapped_class", blank), "CORRECTED_TO_CONFIG")
+    return out.withColumn("action", action).withColumn("mapping_status", status.otherwise("CONSISTENT")).drop("_rule")
 
 
 def exclude_tracks(boxes: DataFrame, exclusions: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,17 +77,45 @@ def append_new(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def apply_split_moves(rows: DataFrame, moves: DataFrame) -> DataFrame:
-    """``split`` replaced for the (dataset, sequence) pairs that ``moves`` lists with a ``new_split``."""
-    out = rows.join(moves, ["dataset", "sequence_id"], "left")
-    return out.withColumn("split", F.coalesce("new_split", "split")).drop("new_split")
+    """``split`` replaced for the (dataset, sequence) pairs that ``moves`` lists with a ``new_split``; a listed pair that is not there raises."""
+    on = ["dataset", "sequence_id"]
+    out = rows.join(moves, on, "left").withColumn("split", F.coalesce("new_split", "split")).drop("new_split")
+    absent = F.raise_error(F.concat(F.lit("no sequence "), "dataset", F.lit(":"), "sequence_id")).cast("boolean")
+    known = rows.select(*on).distinct().withColumn("_known", F.lit(True))
+    refused = moves.join(known, on, "left").where(F.when(F.col("_known").isNull(), absent).otherwise(F.lit(False))).select(*on)
+    return out.unionByName(refused, allowMissingColumns=True).select(*rows.columns)
 
 
-def select_by_manifest(rows: DataFrame, manifest: DataFrame, path: str = "source_file") -> DataFrame:
+def split_moves_log(rows: DataFrame, moves: DataFrame) -> DataFrame:
+    """What moves change: a row for each (dataset, sequence) that leaves a split, with both splits; moves to where it is already are none."""
+    now = rows.select("dataset", "sequence_id", F.col("split").alias("from_split")).distinct()
+    return now.join(moves.select("dataset", "sequence_id", F.col("new_split").alias("to_split")), ["dataset", "sequence_id"]).where("NOT from_split <=> to_split")
+
+
+def select_by_manifest(rows: DataFrame, manifest: DataFrame, path: str = "source_file", strict: bool = True) -> DataFrame:
     """Rows whose path equals a selected manifest path, or else ends with it at a slash; ``n_matches`` by wanted path.
 
-    A path is spelled out as its suffixes, so the join is on whole wanted paths and not on a bare file
-    name that every sequence has.
+    A wanted path that no row or more than one has raises, if ``strict``; ``selection_errors`` lists them. A path
+    is spelled out as its suffixes, so the join is on whole wanted paths and not on a bare file name that every
+    sequence has.
     """
+    out = _selected(rows, manifest, path)
+    if not strict:
+        return out
+    wrong = F.raise_error(F.concat_ws(" ", F.lit("selection"), "error", "wanted")).cast("boolean")
+    refused = selection_errors(rows, manifest, path).where(wrong).select("wanted")
+    return out.unionByName(refused, allowMissingColumns=True).select(*out.columns)
+
+
+def selection_errors(rows: DataFrame, manifest: DataFrame, path: str = "source_file") -> DataFrame:
+    """Wanted paths of a manifest that are MISSING or AMBIGUOUS among the rows."""
+    wanted = manifest.where("selected").select(normal_path(F.col(path)).alias("wanted")).distinct()
+    n = _selected(rows, manifest, path).groupBy("wanted").agg(F.count(F.lit(1)).alias("n"))
+    error = F.when(F.col("n").isNull(), "MISSING").when(F.col("n") > 1, "AMBIGUOUS")
+    return wanted.join(n, "wanted", "left").withColumn("error", error).where("error IS NOT NULL").select("wanted", "error")
+
+
+def _selected(rows: DataFrame, manifest: DataFrame, path: str) -> DataFrame:
     m = manifest.where("selected").select(normal_path(F.col(path)).alias("wanted")).distinct()
     r = rows.withColumn("own", normal_path(F.col(path))).withColumn("parts", F.split("own", "/"))
     suffixes = F.expr("transform(sequence(1, size(parts)), k -> array_join(slice(parts, k, size(parts)), '/'))")

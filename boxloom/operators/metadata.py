@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from boxloom.operators.ranks import exact_quantiles
+
 # Closed vocabularies of the metadata tables.
 PERMITTED = ("APPROVED", "NOT_REQUIRED")
 STATUSES = ("NOT_STARTED", "IN_PROGRESS", "BLOCKED", "REVIEW", "DONE", "CANCELLED")
@@ -183,14 +185,29 @@ def metric_by_dataset(ap: DataFrame, recall: DataFrame, images: DataFrame, expec
     return out.select(*on, F.coalesce("n_images", F.lit(0)).alias("n_images"), F.coalesce("n_labels", F.lit(0)).alias("n_labels"), "map", "recall", status.alias("status"))
 
 
-def image_quality_summary(measures: DataFrame, dark: float = 60, bright: float = 200, blurred: float = 100) -> DataFrame:
+def image_suspects(measures: DataFrame) -> DataFrame:
+    """Measured images with flags for black, white, underexposed, overexposed and blurred ones; null where unreadable.
+
+    The bounds are fixed values: mean brightness under 5, over 250, under 45, over 220; sharpness under 60.
+    """
+    b = F.col("brightness")
+    return measures.withColumns({
+        "black_suspect": b < 5, "white_suspect": b > 250, "underexposed_suspect": b < 45, "overexposed_suspect": b > 220, "blur_suspect": F.col("sharpness") < 60,
+    })
+
+
+def image_quality_summary(measures: DataFrame) -> DataFrame:
     """Means, medians and suspects of measured images by dataset."""
     ok = F.col("read_status") == "OK"
-    return measures.groupBy("dataset").agg(
-        F.count_if(ok).alias("n_checked"), F.count_if(~ok).alias("n_failed"), F.avg("brightness").alias("brightness_mean"), F.median("brightness").alias("brightness_median"),
-        F.avg("contrast").alias("contrast_mean"), F.avg("sharpness").alias("sharpness_mean"), F.count_if(F.col("brightness") < dark).alias("n_underexposed"),
-        F.count_if(F.col("brightness") > bright).alias("n_overexposed"), F.count_if(F.col("sharpness") < blurred).alias("n_blurred"),
+    kinds = ("black", "white", "underexposed", "overexposed", "blur")
+    sums = image_suspects(measures).groupBy("dataset").agg(
+        F.count_if(ok).alias("n_checked"), F.count_if(~ok).alias("n_failed"), F.avg("brightness").alias("brightness_mean"),
+        F.avg("contrast").alias("contrast_mean"), F.avg("sharpness").alias("sharpness_mean"), *[F.count_if(f"{k}_suspect").alias(f"n_{k}") for k in kinds],
+    )
+    middle = exact_quantiles(measures, "brightness", {"brightness_median": 0.5}, "dataset").join(
+        exact_quantiles(measures, "sharpness", {"sharpness_median": 0.5}, "dataset"), "dataset"
     )
+    return sums.join(middle, "dataset", "left")
 
 
 def dataset_summary(images: DataFrame, dimensions: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxloom.operators.boxes import box_clip, box_geometry, box_validate, letterbox_metrics
+from boxloom.operators.ranks import exact_quantiles
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -13,11 +14,12 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def numeric_summary(rows: DataFrame, column: str, *by: str) -> DataFrame:
-    """Count, least, mean, median and greatest of the present numbers."""
+    """Count, least, mean, median and greatest of the present numbers of each group."""
     c = F.col(column)
-    return rows.where(c.isNotNull() & ~F.isnan(c)).groupBy(*by).agg(
-        F.count(c).alias("n"), F.min(c).alias("min_value"), F.avg(c).alias("mean_value"), F.median(c).alias("median_value"), F.max(c).alias("max_value")
+    sums = rows.where(c.isNotNull() & ~F.isnan(c)).groupBy(*by).agg(
+        F.count(c).alias("n"), F.min(c).alias("min_value"), F.avg(c).alias("mean_value"), F.max(c).alias("max_value")
     )
+    return sums.join(exact_quantiles(rows, column, {"median_value": 0.5}, *by), list(by))
 
 
 def bbox_statistics(boxes: DataFrame) -> DataFrame:
@@ -113,8 +115,8 @@ def clip_audit(boxes: DataFrame) -> DataFrame:
     over = boxes.where("xmax > xmin AND ymax > ymin").select(
         "dataset", F.expr("stack(4, 'LEFT', -xmin, 'TOP', -ymin, 'RIGHT', xmax - width, 'BOTTOM', ymax - height) AS (side, overrun)")
     ).where("overrun > 0")
-    q = [F.percentile("overrun", p).alias(n) for n, p in (("p05", 0.05), ("p50", 0.5), ("p95", 0.95))]
-    return over.groupBy("dataset", "side").agg(F.count(F.lit(1)).alias("n_boxes"), F.count_if(F.col("overrun") < 2).alias("n_under_2"), *q)
+    counts = over.groupBy("dataset", "side").agg(F.count(F.lit(1)).alias("n_boxes"), F.count_if(F.col("overrun") < 2).alias("n_under_2"))
+    return counts.join(exact_quantiles(over, "overrun", {"p05": 0.05, "p50": 0.5, "p95": 0.95}, "dataset", "side"), ["dataset", "side"])
 
 
 def clip_severity(boxes: DataFrame) -> DataFrame:
@@ -189,48 +191,6 @@ def density_bucket(mean: Column) -> Column:
     return F.when(mean <= 4, "LOW").when(mean <= 10, "MEDIUM").otherwise("HIGH")
 
 
-def quality_gate(boxes: DataFrame, rules: DataFrame, measures: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """Failed checks by dataset and the gate: BLOCKED with an unreadable image, REVIEW_REQUIRED with any other finding, else PASS.
-
-    ``measures`` has an image a row with ``read_status`` and the flags ``underexposed``, ``overexposed`` and
-    ``blurred``; ``duplicates`` a group a row with ``kind`` EXACT or NEAR.
-    """
-    rows = box_validate(boxes).join(rules.select("dataset", "original_class", "mapped_class"), ["dataset", "original_class"], "left")
-    found = rows.groupBy("dataset").agg(
-        F.countDistinct(F.when(~F.col("is_valid"), F.struct("image_id", "annotation_id"))).alias("n_invalid"), F.count_if(F.col("mapped_class").isNull()).alias("n_unmapped")
-    )
-    ok = F.col("read_status") == "OK"
-    images = measures.groupBy("dataset").agg(
-        F.count_if(~ok).alias("n_unreadable"), *[F.count_if(ok & F.col(c)).alias(f"n_{c}") for c in ("underexposed", "overexposed", "blurred")]
-    )
-    groups = duplicates.groupBy("dataset").agg(*[F.count_if(F.col("kind") == k.upper()).alias(f"n_{k}_groups") for k in ("exact", "near")])
-    out = found.join(images, "dataset", "full_outer").join(groups, "dataset", "full_outer")
-    counts = [c for c in out.columns if c != "dataset"]
-    out = out.na.fill(0, counts)
-    others = sum((F.col(c) for c in counts if c != "n_unreadable"), F.lit(0))
-    return out.withColumn("gate", F.when(F.col("n_unreadable") > 0, "BLOCKED").when(others > 0, "REVIEW_REQUIRED").otherwise("PASS"))
-
-
-def quality_review_queue(boxes: DataFrame) -> DataFrame:
-    """Issue counts by dataset that are not zero, with severity, in a numbered queue."""
-    from pyspark.sql import Window
-
-    rows = box_validate(boxes).select("dataset", F.explode("issues").alias("issue"))
-    counts = rows.groupBy("dataset", "issue").agg(F.count(F.lit(1)).alias("n"))
-    severity = F.when(F.col("issue") == "NON_POSITIVE_SIZE", "HIGH").otherwise("MEDIUM")
-    n = F.row_number().over(Window.orderBy("dataset", "issue"))  # a few dozen aggregated rows
-    return counts.withColumn("severity", severity).withColumn("queue_id", F.format_string("QREV_%04d", n))
-
-
-def label_consistency(boxes: DataFrame, rules: DataFrame) -> DataFrame:
-    """By class over all datasets: samples, the distinct mappings and whether they agree."""
-    rows = class_distribution(boxes, rules)
-    return rows.groupBy("original_class").agg(
-        F.sum("n_boxes").alias("n_samples"), F.array_join(F.sort_array(F.collect_set("mapped_class")), "|").alias("mappings"),
-        F.when(F.countDistinct(F.coalesce("mapped_class", F.lit("?"))) > 1, "INCONSISTENT").otherwise("CONSISTENT").alias("status"),
-    )
-
-
 def box_by_split_source_class(boxes: DataFrame) -> DataFrame:
     """Counts by split, dataset and class with totals of the levels above."""
     return boxes.rollup("split", "dataset", "original_class").agg(F.count(F.lit(1)).alias("n_boxes"), F.grouping_id().cast("int").alias("level"))

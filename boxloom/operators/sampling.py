@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from boxloom.operators.ranks import least_rows
+
 
 def hash_key(*key: str) -> Column:
     return F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key]), 256)
@@ -36,10 +38,12 @@ def sample_cover(rows: DataFrame, n: int, seed: str) -> DataFrame:
 
 
 def sample_quota(rows: DataFrame, targets: DataFrame, seed: str) -> DataFrame:
-    """The first ``target`` rows of each (split, dataset) in hash order; a short group raises."""
-    w = Window.partitionBy("split", "dataset").orderBy(hash_rank(seed, "image_id"))
-    out = rows.join(targets, ["split", "dataset"]).withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn <= target")
-    n = out.groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("n"))
+    """The first ``target`` rows of each (split, dataset) in hash order; a short group raises.
+
+    The hash at which a group is cut is found by counts, so no group is sorted whole.
+    """
+    out = least_rows(rows, targets, hash_rank(seed, "image_id"), "split", "dataset")
+    n = rows.groupBy("split", "dataset").agg(F.count(F.lit(1)).alias("n"))
     refuse = F.raise_error(F.lit("a quota cannot be met")).cast("boolean")
     short = F.when(F.coalesce("n", F.lit(0)) < F.col("target"), refuse).otherwise(F.lit(False))
     refused = targets.join(n, ["split", "dataset"], "left").where(short).select("split", "dataset")

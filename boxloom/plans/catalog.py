@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from boxloom.functions import images as I
 from boxloom.functions import text as T
+from boxloom.operators import audit as Q
 from boxloom.operators import boxes as B
 from boxloom.operators import classes as C
 from boxloom.operators import duplicates as D
 from boxloom.operators import evaluate as E
 from boxloom.operators import metadata as M
 from boxloom.operators import profile as P
+from boxloom.operators import ranks as N
 from boxloom.operators import release as R
 from boxloom.operators import sampling as S
 from boxloom.operators import splits as X
@@ -106,9 +108,9 @@ def yolo_denormalize(spark, d):
 
 
 @query("""SELECT image_id, annotation_id, mapped_class, CASE WHEN include THEN 'KEEP' WHEN handling = 'IGNORE_REGION' THEN 'IGNORE_REGION' ELSE 'REJECT' END AS action,
-    CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' ELSE 'CONSISTENT' END AS mapping_status FROM boxes_raw LEFT JOIN class_rules USING (dataset, original_class)""", "images", "boxes_raw", "class_rules")
+    CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' WHEN mapped_class <> CASE WHEN image_id % 9 = 0 THEN '' WHEN original_class IN ('AO', 'RO') THEN 'other' ELSE 'vehicle' END THEN 'CORRECTED_TO_CONFIG' ELSE 'CONSISTENT' END AS mapping_status FROM boxes_raw LEFT JOIN class_rules USING (dataset, original_class)""", "images", "boxes_raw", "class_rules")
 def apply_class_rules(spark, d):
-    return C.apply_class_rules(A.boxes_raw(spark, d), A.class_rules(spark)).select("image_id", "annotation_id", "mapped_class", "action", "mapping_status")
+    return _mapped(spark, d).select("image_id", "annotation_id", "mapped_class", "action", "mapping_status")
 
 
 @query("""SELECT image_id, annotation_id, EXISTS (SELECT 1 FROM regions r WHERE r.sequence_id = b.sequence_id AND (xmin + xmax) / 2 BETWEEN "left" AND "right"
@@ -300,10 +302,10 @@ def traffic_density(spark, d):
 
 
 A.SQL["pix"] = """pix AS (SELECT 'DS' || (vec_id % 3) AS dataset, vec_id AS file_id, vec_id % 150 = 7 AS broken,
-    list_transform(embedding, lambda e: 4 * CAST(floor(least(greatest((CAST(e AS DOUBLE) + 0.5) * 64, 0), 63)) AS INT)) AS p FROM embeddings)"""
+    list_transform(list_transform(embedding, lambda e: 4 * CAST(floor(least(greatest((CAST(e AS DOUBLE) + 0.5) * 64, 0), 63)) AS INT)), lambda v: CASE vec_id % 20 WHEN 1 THEN v // 8 WHEN 2 THEN 255 - v // 8 WHEN 3 THEN 0 WHEN 4 THEN 255 ELSE v END) AS p FROM embeddings)"""
 A.SQL["measured"] = """measured AS (SELECT dataset, file_id, CASE WHEN broken THEN 'CORRUPT_OR_UNREADABLE' ELSE 'OK' END AS read_status, CASE WHEN NOT broken THEN list_avg(p) END AS brightness, CASE WHEN NOT broken THEN list_stddev_pop(p) END AS contrast,
     CASE WHEN NOT broken THEN list_var_pop(list_transform(list_filter(range(64), lambda k: k // 8 BETWEEN 1 AND 6 AND k % 8 BETWEEN 1 AND 6), lambda k: p[k - 7] + p[k + 9] + p[k] + p[k + 2] - 4 * p[k + 1])) END AS sharpness,
-    CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v < 30)) / 64 END AS dark_ratio, CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v > 225)) / 64 END AS bright_ratio FROM pix)"""
+    CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v < 25)) / 64 END AS dark_ratio, CASE WHEN NOT broken THEN len(list_filter(p, lambda v: v > 240)) / 64 END AS bright_ratio FROM pix)"""
 
 
 def _measured(spark, d):
@@ -323,12 +325,17 @@ def image_hashes(spark, d):
     return _measured(spark, d).select("dataset", "file_id", "phash", "ahash")
 
 
-@query("""SELECT dataset, count(*) FILTER (WHERE read_status = 'OK') AS n_checked, count(*) FILTER (WHERE read_status <> 'OK') AS n_failed, round(avg(brightness), 6) AS brightness_mean, round(median(brightness), 6) AS brightness_median,
-    round(avg(contrast), 6) AS contrast_mean, round(avg(sharpness), 6) AS sharpness_mean, count(*) FILTER (WHERE brightness < 120) AS n_underexposed, count(*) FILTER (WHERE brightness > 132) AS n_overexposed, count(*) FILTER (WHERE sharpness < 9000) AS n_blurred
+@query("""SELECT dataset, file_id, brightness < 5 AS black_suspect, brightness > 250 AS white_suspect, brightness < 45 AS underexposed_suspect, brightness > 220 AS overexposed_suspect, sharpness < 60 AS blur_suspect FROM measured""", "pix", "measured")
+def image_suspects(spark, d):
+    return M.image_suspects(_measured(spark, d)).select("dataset", "file_id", *[f"{k}_suspect" for k in ("black", "white", "underexposed", "overexposed", "blur")])
+
+
+@query("""SELECT dataset, count(*) FILTER (WHERE read_status = 'OK') AS n_checked, count(*) FILTER (WHERE read_status <> 'OK') AS n_failed, round(avg(brightness), 6) AS brightness_mean, round(median(brightness), 6) AS brightness_median, round(median(sharpness), 6) AS sharpness_median,
+    round(avg(contrast), 6) AS contrast_mean, round(avg(sharpness), 6) AS sharpness_mean, count(*) FILTER (WHERE brightness < 5) AS n_black, count(*) FILTER (WHERE brightness > 250) AS n_white, count(*) FILTER (WHERE brightness < 45) AS n_underexposed, count(*) FILTER (WHERE brightness > 220) AS n_overexposed, count(*) FILTER (WHERE sharpness < 60) AS n_blur
     FROM measured GROUP BY dataset""", "pix", "measured")
 def image_quality_summary(spark, d):
-    out = M.image_quality_summary(_measured(spark, d), dark=120, bright=132, blurred=9000)
-    return out.withColumns({c: F.round(c, 6) for c in ("brightness_mean", "brightness_median", "contrast_mean", "sharpness_mean")})
+    out = M.image_quality_summary(_measured(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in ("brightness_mean", "brightness_median", "contrast_mean", "sharpness_mean", "sharpness_median")})
 
 
 @query("""SELECT file_id, array_to_string(list_transform(range(64), lambda k: printf('%02X', CASE WHEN k % 8 >= file_id % 4 AND k % 8 < file_id % 4 + 4 AND k // 8 >= file_id % 3 AND k // 8 < file_id % 3 + 3 THEN 0 ELSE p[k + 1] END)), '') AS pixels
@@ -339,28 +346,59 @@ def masked_images(spark, d):
     return i.select("file_id", F.hex(I.mask_regions()("height", "width", "nChannels", "data", region)).alias("pixels"))
 
 
-@query("""SELECT dataset, coalesce(i, 0) AS n_invalid, coalesce(u, 0) AS n_unmapped, coalesce(f, 0) AS n_unreadable, coalesce(d, 0) AS n_underexposed, coalesce(o, 0) AS n_overexposed, coalesce(b, 0) AS n_blurred, coalesce(x, 0) AS n_exact_groups, 0::BIGINT AS n_near_groups,
-    CASE WHEN coalesce(f, 0) > 0 THEN 'BLOCKED' WHEN coalesce(i, 0) + coalesce(u, 0) + coalesce(d, 0) + coalesce(o, 0) + coalesce(b, 0) + coalesce(x, 0) > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS gate FROM
-    (SELECT dataset, count(DISTINCT image_id || '|' || annotation_id) FILTER (WHERE len(issues) > 0) AS i, count(*) FILTER (WHERE mapped_class IS NULL) AS u FROM v LEFT JOIN class_rules USING (dataset, original_class) GROUP BY dataset) FULL JOIN
-    (SELECT dataset, count(*) FILTER (WHERE read_status <> 'OK') AS f, count(*) FILTER (WHERE brightness < 120) AS d, count(*) FILTER (WHERE brightness > 132) AS o, count(*) FILTER (WHERE sharpness < 9000) AS b FROM measured GROUP BY dataset) USING (dataset) FULL JOIN
-    (SELECT dataset, count(*) AS x FROM (SELECT dataset, sha256 FROM fingerprints GROUP BY ALL HAVING count(*) > 1) GROUP BY dataset) USING (dataset)""", "images", "boxes_raw", "v", "class_rules", "pix", "measured", "fingerprints")
-def quality_gate(spark, d):
-    m = _measured(spark, d).selectExpr("dataset", "read_status", "brightness < 120 AS underexposed", "brightness > 132 AS overexposed", "sharpness < 9000 AS blurred")
-    exact = A.fingerprints(spark, d).groupBy("dataset", "sha256").count().where("count > 1").select("dataset", F.lit("EXACT").alias("kind"))
-    return P.quality_gate(A.boxes_raw(spark, d), A.class_rules(spark), m, exact)
+def _mapped(spark, d):
+    """Boxes as their sources map them, some of them otherwise than the rules."""
+    source = F.when(F.expr("image_id % 9 = 0"), "").when(F.expr("original_class IN ('AO', 'RO')"), "other").otherwise("vehicle")
+    return C.apply_class_rules(A.boxes_raw(spark, d).withColumn("source_mapped_class", source), A.class_rules(spark))
 
 
-@query("""SELECT dataset, issue, count(*) AS n, CASE WHEN issue = 'NON_POSITIVE_SIZE' THEN 'HIGH' ELSE 'MEDIUM' END AS severity, printf('QREV_%04d', row_number() OVER (ORDER BY dataset, issue)) AS queue_id
-    FROM (SELECT dataset, unnest(issues) AS issue FROM v) GROUP BY dataset, issue""", *_BOX[:3])
-def quality_review_queue(spark, d):
-    return P.quality_review_queue(A.boxes_raw(spark, d))
+def _reviewed_rules(spark):
+    return A.class_rules(spark).withColumn("review_required", F.expr("original_class IN ('NO', 'AO')")).withColumn("has_track_exclusions", F.expr("original_class = 'NF'"))
+
+
+def _groups(spark, d):
+    """Groups of equal content, of near neighbours and of equal names."""
+    f = A.fingerprints(spark, d).withColumn("name", F.expr("concat('img', file_id % 400)"))
+    exact, names = (f.groupBy("dataset", c).count().where("count > 1").select("dataset", F.lit(k).alias("kind")) for c, k in (("sha256", "EXACT"), ("name", "BASENAME")))
+    return exact.unionByName(names).unionByName(D.near_duplicate_consecutive(f, 0.6).select("dataset", F.lit("NEAR").alias("kind")))
+
+
+def _gate(spark, d):
+    return Q.quality_gate(_mapped(spark, d), M.image_suspects(_measured(spark, d)), _groups(spark, d))
 
 
-@query("""SELECT original_class, CAST(sum(n) AS BIGINT) AS n_samples, coalesce(string_agg(DISTINCT mapped_class, '|' ORDER BY mapped_class), '') AS mappings,
-    CASE WHEN count(DISTINCT coalesce(mapped_class, '?')) > 1 THEN 'INCONSISTENT' ELSE 'CONSISTENT' END AS status
-    FROM (SELECT dataset, original_class, count(*) AS n FROM boxes_raw GROUP BY ALL) LEFT JOIN class_rules USING (dataset, original_class) GROUP BY original_class""", "images", "boxes_raw", "class_rules")
+A.SQL["mapping"] = """mapping AS (SELECT b.*, mapped_class, include, s.source, CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS' WHEN s.source <> mapped_class THEN 'CORRECTED_TO_CONFIG' ELSE 'CONSISTENT' END AS mapping_status
+    FROM clip b LEFT JOIN class_rules USING (dataset, original_class), LATERAL (SELECT CASE WHEN b.image_id % 9 = 0 THEN '' WHEN b.original_class IN ('AO', 'RO') THEN 'other' ELSE 'vehicle' END AS source) s)"""
+A.SQL["gate"] = """gate AS (SELECT *, CASE WHEN n_unreadable > 0 THEN 'BLOCKED' WHEN n_underexposed + n_overexposed + n_blurred + n_invalid + n_exact_groups + n_near_groups + n_corrected + n_unmapped > 0 THEN 'REVIEW_REQUIRED' ELSE 'PASS' END AS gate FROM (
+    SELECT dataset, count(DISTINCT image_id || '|' || annotation_id) FILTER (WHERE len(issues) > 0) AS n_invalid, CAST(sum(len(issues)) AS BIGINT) AS n_issues, count(*) FILTER (WHERE clip_adjustments <> '') AS n_clipped,
+        count(*) FILTER (WHERE mapping_status = 'CORRECTED_TO_CONFIG') AS n_corrected, count(*) FILTER (WHERE mapping_status = 'UNMAPPED_CLASS') AS n_unmapped FROM mapping GROUP BY dataset) JOIN
+    (SELECT dataset, count(*) AS n_checked, count(*) FILTER (WHERE read_status <> 'OK') AS n_unreadable, count(*) FILTER (WHERE brightness < 45) AS n_underexposed, count(*) FILTER (WHERE brightness > 220) AS n_overexposed, count(*) FILTER (WHERE sharpness < 60) AS n_blurred FROM measured GROUP BY dataset) USING (dataset) JOIN
+    (SELECT dataset, count(*) AS n_exact_groups FROM (SELECT dataset, sha256 FROM fingerprints GROUP BY ALL HAVING count(*) > 1) GROUP BY dataset) USING (dataset) JOIN
+    (SELECT dataset, count(*) AS n_near_groups FROM (SELECT *, lag(phash) OVER w AS p, lag(sha256) OVER w AS o FROM fingerprints WINDOW w AS (PARTITION BY dataset, sequence_id ORDER BY source_file)) WHERE round(1 - bit_count(xor(phash, p)) / 64, 6) >= 0.6 AND sha256 <> o GROUP BY dataset) USING (dataset) LEFT JOIN
+    (SELECT dataset, count(*) AS names FROM (SELECT dataset, file_id % 400 FROM fingerprints GROUP BY ALL HAVING count(*) > 1) GROUP BY dataset) USING (dataset), LATERAL (SELECT coalesce(names, 0) AS n_basename_groups))"""
+A.SQL["consistency"] = """consistency AS (SELECT dataset, original_class, n_boxes, coalesce(mapped_class, '') AS mapped_class, CASE WHEN mapped_class IS NULL THEN '' WHEN include AND original_class = 'NF' THEN 'TRUE_WITH_TRACK_EXCLUSION' WHEN include THEN 'TRUE' ELSE 'FALSE' END AS configured_include, source_mapped_values, n_corrected,
+        CASE WHEN mapped_class IS NULL THEN 'UNMAPPED_CLASS_REVIEW_REQUIRED' WHEN original_class IN ('NO', 'AO') THEN 'DEFINED_PENDING_DATA_LEAD_APPROVAL' WHEN original_class = 'NF' THEN 'DATA_LEAD_APPROVED_WITH_TRACK_EXCLUSION' ELSE 'APPROVED' END AS mapping_status, mapped_class IS NULL OR original_class IN ('NO', 'AO') AS manual_review_required
+    FROM (SELECT dataset, original_class, any_value(mapped_class) AS mapped_class, bool_or(include) AS include, count(*) AS n_boxes, string_agg(DISTINCT CASE WHEN source = '' THEN 'EMPTY' ELSE source END, '|' ORDER BY CASE WHEN source = '' THEN 'EMPTY' ELSE source END) AS source_mapped_values, count(*) FILTER (WHERE mapping_status = 'CORRECTED_TO_CONFIG') AS n_corrected FROM mapping GROUP BY dataset, original_class))"""
+_AUDIT = (*_BOX[:4], "class_rules", "mapping", "pix", "measured", "fingerprints", "gate", "consistency")
+
+
+@query("SELECT * EXCLUDE (names) FROM gate", *_AUDIT)
+def quality_gate(spark, d):
+    return _gate(spark, d)
+
+
+@query("SELECT * FROM consistency", *_AUDIT)
 def label_consistency(spark, d):
-    return P.label_consistency(A.boxes_raw(spark, d), A.class_rules(spark))
+    return Q.label_consistency(_mapped(spark, d), _reviewed_rules(spark))
+
+
+@query(f"""SELECT dataset, issue_category, issue_count, severity, scope, recommended_action, printf('QREV_%04d', row_number() OVER (ORDER BY dataset, place)) AS queue_id, 'PENDING' AS manual_review_status FROM (
+    SELECT dataset, place, issue_category, severity, scope, recommended_action, CAST(CASE place {" ".join(f"WHEN {k} THEN {r[1]}" for k, r in enumerate(Q.REVIEWS))} END AS BIGINT) AS issue_count
+    FROM gate LEFT JOIN (SELECT dataset, count(*) AS n FROM consistency WHERE manual_review_required GROUP BY 1) USING (dataset), LATERAL (SELECT coalesce(n, 0) AS n_pending_classes),
+        (VALUES {", ".join(str((k, r[0], *r[2:])) for k, r in enumerate(Q.REVIEWS))}) t(place, issue_category, severity, scope, recommended_action)) WHERE issue_count > 0""", *_AUDIT)
+def quality_review_queue(spark, d):
+    return Q.quality_review_queue(_gate(spark, d), Q.label_consistency(_mapped(spark, d), _reviewed_rules(spark)))
+
 
 
 # ---- splits and scenes
@@ -490,6 +528,12 @@ def apply_split_moves(spark, d):
     return C.apply_split_moves(a, moves)
 
 
+@query("SELECT dataset, sequence_id, split AS from_split, 'validation' AS to_split FROM sp WHERE sequence_id IN ('SEQ1', 'SEQ2') AND split <> 'validation'", *_SP)
+def split_moves_log(spark, d):
+    a = _assigned(spark, d).select("dataset", "sequence_id", "split")
+    return C.split_moves_log(a, a.where("sequence_id IN ('SEQ1', 'SEQ2')").select("dataset", "sequence_id", F.lit("validation").alias("new_split")))
+
+
 @query("""SELECT image_id, coalesce(road_type, 'UNKNOWN') AS road_type, CASE WHEN road_type IS NULL THEN 'MISSING_METADATA' ELSE 'PRESENT' END AS scene_status
     FROM images LEFT JOIN (SELECT * FROM sequences WHERE lighting <> 'NIGHT') USING (dataset, sequence_id)""", "images", "sequences")
 def join_scene(spark, d):
@@ -581,9 +625,8 @@ def round_robin(spark, d):
 @query("""SELECT image_id, turn, row_number() OVER (PARTITION BY road_type, weather, lighting ORDER BY sequence_id, image_id) AS stratum_turn FROM (
     SELECT image_id, dataset, sequence_id, 1 AS turn FROM images) JOIN sequences USING (dataset, sequence_id)""", "images", "sequences")
 def stratified_round_robin(spark, d):
-    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"]).withColumn("one", F.lit(1))
-    out = S.round_robin(rows, "road_type", "weather", "lighting", order=("sequence_id", "image_id")).withColumnRenamed("turn", "stratum_turn")
-    return out.select("image_id", F.col("one").alias("turn"), "stratum_turn")
+    rows = A.images(spark, d).join(A.sequences(spark, d), ["dataset", "sequence_id"]).withColumn("turn", F.lit(1))
+    return N.turns(rows, "stratum_turn", "road_type", "weather", "lighting", sequence="sequence_id", order=("image_id",)).select("image_id", "turn", "stratum_turn")
 
 
 @query("""SELECT dataset, image_id, position FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY turn, sequence_id, image_id) AS position FROM (
@@ -1130,13 +1173,25 @@ def join_split(spark, d):
     return C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split")).select("image_id", "split")
 
 
-@query("""SELECT image_id, wanted, count(*) OVER (PARTITION BY wanted) AS n_matches FROM (SELECT image_id, CASE WHEN image_id % 10 = 0 THEN lower(dataset || '/' || sequence_id || '/img' || image_id || '.jpg') ELSE lower(sequence_id || '/img' || image_id || '.jpg') END AS wanted
-    FROM images WHERE image_id % 5 = 0)""", "images")
-def select_by_manifest(spark, d):
+def _listed(spark, d):
     i = A.images(spark, d).withColumn("source_file", F.concat("dataset", F.lit("/"), "sequence_id", F.lit("/img"), "image_id", F.lit(".jpg")))
     whole = F.col("image_id") % 10 == 0
     listed = i.where("image_id % 5 = 0").select(F.when(whole, F.concat(F.lit("./"), "source_file")).otherwise(F.concat("sequence_id", F.lit("\\IMG"), "image_id", F.lit(".jpg"))).alias("source_file"), F.lit(True).alias("selected"))
-    return C.select_by_manifest(i, listed.unionByName(i.where("image_id % 5 = 1").select("source_file", F.lit(False).alias("selected")))).select("image_id", "wanted", "n_matches")
+    return i, listed.unionByName(i.where("image_id % 5 = 1").select("source_file", F.lit(False).alias("selected")))
+
+
+@query("""SELECT image_id, wanted, count(*) OVER (PARTITION BY wanted) AS n_matches FROM (SELECT image_id, CASE WHEN image_id % 10 = 0 THEN lower(dataset || '/' || sequence_id || '/img' || image_id || '.jpg') ELSE lower(sequence_id || '/img' || image_id || '.jpg') END AS wanted
+    FROM images WHERE image_id % 5 = 0)""", "images")
+def select_by_manifest(spark, d):
+    return C.select_by_manifest(*_listed(spark, d), strict=False).select("image_id", "wanted", "n_matches")
+
+
+@query("""SELECT wanted, error FROM (SELECT wanted, CASE WHEN count(*) > 1 THEN 'AMBIGUOUS' END AS error FROM (SELECT lower(sequence_id || '/img' || image_id || '.jpg') AS wanted FROM images WHERE image_id % 5 = 0 AND image_id % 10 <> 0) GROUP BY 1
+    UNION ALL SELECT lower('gone/img' || image_id || '.jpg'), 'MISSING' FROM images WHERE image_id % 50 = 3 GROUP BY 1) WHERE error IS NOT NULL""", "images")
+def selection_errors(spark, d):
+    i, listed = _listed(spark, d)
+    gone = i.where("image_id % 50 = 3").select(F.concat(F.lit("gone/img"), "image_id", F.lit(".jpg")).alias("source_file"), F.lit(True).alias("selected"))
+    return C.selection_errors(i, listed.unionByName(gone))
 
 
 @query("SELECT dataset, image_id, CASE WHEN dataset <> 'DS1' THEN sequence_id END AS sequence_id, CASE WHEN dataset = 'DS1' THEN file_group END AS file_group FROM images WHERE dataset <> 'DS2'", "images")

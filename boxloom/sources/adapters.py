@@ -94,8 +94,9 @@ def fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pixel_images(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors as grey images of 8 x 8 pixels in the columns of Spark's image source; some are unreadable."""
+    """Vectors as grey images of 8 x 8 pixels in the columns of Spark's image source; some are unreadable, dark, bright, black or white."""
     grey = "transform(embedding, e -> 4 * CAST(floor(least(greatest((CAST(e AS DOUBLE) + 0.5) * 64, 0), 63)) AS INT))"
+    grey = f"transform({grey}, v -> CASE CAST(vec_id % 20 AS INT) WHEN 1 THEN v div 8 WHEN 2 THEN 255 - v div 8 WHEN 3 THEN 0 WHEN 4 THEN 255 ELSE v END)"
     rows = table(spark, folder, "embeddings").selectExpr(
         "concat('DS', vec_id % 3) AS dataset", "vec_id AS file_id", "vec_id % 150 = 7 AS broken", f"unhex(array_join(transform({grey}, v -> lpad(hex(v), 2, '0')), '')) AS data"
     )
