@@ -815,7 +815,7 @@ def map50_95(spark, d):
 @query(f"""SELECT 0.5::DOUBLE AS threshold, confidence, dataset, size_group, count(*) AS n_labels, count(*) FILTER (WHERE own >= confidence) AS n_found, count(*) FILTER (WHERE own >= confidence) / count(*) AS recall FROM (
     SELECT dataset, image_id, annotation_id, CASE WHEN s < 25 THEN '<25' WHEN s < 50 THEN '25–49' ELSE '≥50' END AS size_group
     FROM (SELECT *, least(xmax - xmin, ymax - ymin) * least(640.0::DOUBLE / 960, 480.0::DOUBLE / 540) AS s FROM labels_))
-    LEFT JOIN (SELECT image_id, annotation_id, p.confidence AS own FROM matched JOIN predictions p USING (image_id, pred_no)) USING (image_id, annotation_id) CROSS JOIN (VALUES {_FLOORS}) f(confidence) GROUP BY ALL""", *_EVAL, "matched_50")
+    LEFT JOIN (SELECT image_id, annotation_id, max(p.confidence) AS own FROM matched JOIN predictions p USING (image_id, pred_no) GROUP BY ALL) USING (image_id, annotation_id) CROSS JOIN (VALUES {_FLOORS}) f(confidence) GROUP BY ALL""", *_EVAL, "matched_50")
 def recall_by_size(spark, d):
     _, t, m = _scored(spark, d, (0.5,))
     sized = B.device_size_group(t.withColumn("width", F.lit(960)).withColumn("height", F.lit(540)))
