@@ -7,9 +7,9 @@ Antwerpen and Neubeck, "A fast BPE tokenizer", 2024), so each boundary keeps one
 soon as the backpointer paths of all boundaries in the window of the longest piece meet in one
 boundary; nothing further back is kept, however long a text without a space is.
 
-A piece never goes on with a space after another character, so all paths meet before such a space.
-The stretches between are searched once and kept in a bounded table; those that a batch of texts adds
-are searched in sorted order, so that the boundaries of a common beginning are visited once.
+A piece never goes on with a space after another character, so all paths meet before such a space, and
+the search commits there at the latest. What lies between two such commits is searched once and kept in a
+bounded table; the search of a stretch is the same whatever its length.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ SPACE = "▁"
 _STRETCH = re.compile(r" *[^ \n]+| +|\n+")
 #: A stretch goes on before a space or line end after something else, so a text may be cut there.
 _BREAK = re.compile(r"[^ \n](?=[ \n])")
-_SHORT = 64  # characters of a stretch that is kept in the table
+_KEPT = 1000  # characters of a stretch whose ids are kept in the table
 _CHUNK = 1 << 22  # characters that are cut into stretches at once
 _NONE = -1
 _LAST = 1 << 40
@@ -111,6 +111,8 @@ class Pieces:
         back: list[str | None] = [""]  # piece that ends at start + i on the one path there, or the last committed
         while start + len(back) <= n:
             self._extend(back, text, start, min(n, start + len(back) - 1 + self.longest))
+            if start + len(back) > n:
+                break  # at the end all paths meet
             meet = self._meeting(back)
             if meet:
                 yield self._path(back, meet)
@@ -155,32 +157,17 @@ class Pieces:
 
     def _search(self, stretch: str) -> tuple[int, ...]:
         """The ids of a stretch of any length and any characters."""
+        text, known = stretch.replace(" ", SPACE), self.known
+        if known.issuperset(text):
+            return tuple([self.pieces[p] for part in self.viterbi(text) for p in part])
         ids: list[int] = []
-        for known, run in groupby(stretch.replace(" ", SPACE), self.known.__contains__):
-            if known:
+        for held, run in groupby(text, known.__contains__):
+            if held:
                 ids += [self.pieces[p] for part in self.viterbi("".join(run)) for p in part]
             else:
                 ids += [self.single[b] for b in "".join(run).encode("utf-8", "surrogatepass")]
         return tuple(ids)
 
-    def _search_all(self, stretches: list[str]):
-        """Yield the ids of stretches in order; what one begins with like the one before is not searched again."""
-        before, back, known = "", [""], self.known
-        for stretch in stretches:
-            text = stretch.replace(" ", SPACE)
-            if len(text) > _SHORT or not known.issuperset(text):
-                yield self._search(stretch)
-                continue
-            same = 0
-            for x, y in zip(before, text):
-                if x != y:
-                    break
-                same += 1
-            del back[same + 1 :]
-            self._extend(back, text, 0, len(text))
-            yield tuple(map(self.pieces.__getitem__, self._path(back, len(text))))
-            before = text
-
     def _learn(self, stretches: set[str]) -> dict[str, tuple[int, ...]]:
         """Put what the table lacks into it; the ids of stretches too long for it are returned."""
         if len(self.table) >= self.limit:
@@ -190,10 +177,9 @@ class Pieces:
             held = missing.intersection(self.older)
             self.table.update((s, self.older[s]) for s in held)
             missing -= held
-        missing = sorted(missing)
         long = {}
-        for stretch, ids in zip(missing, self._search_all(missing), strict=True):
-            (self.table if len(stretch) <= _SHORT else long)[stretch] = ids
+        for stretch in missing:
+            (self.table if len(stretch) <= _KEPT else long)[stretch] = self._search(stretch)
         return long
 
     def encode_all(self, texts) -> list[np.ndarray]:
