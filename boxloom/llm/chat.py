@@ -38,17 +38,19 @@ def render_perspectives(
     ``start`` its offset in characters in the rendered dialogue; ``mask_start`` to ``mask_end`` is the
     part that is trained on, null in others' turns. Turns are ordered by number, role and text, null first;
     repeated rows stay. An empty table gives an empty table. A null role is a user without a name and is no perspective; a null text is
-    empty; rows with a null conversation form one conversation. A conversation without a
-    speaker (context only) has no rendering. Extra columns are ignored.
+    empty. A row with a null conversation stands alone, with equal ones at most, so that such rows meet none of
+    the others' speakers. A conversation without a speaker (context only) has no rendering. Dialogues and texts may
+    be of any length. Extra columns are ignored, whatever their names.
     """
     rows = turns.select(
         F.col(conversation).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("speaker"),
         F.coalesce(F.col(text), F.lit("")).alias("body"),
     )
-    group = ["conv_id", "perspective"]
+    alone = F.sha2(F.to_json(F.struct("turn", "speaker", "body")), 256)
+    rows = rows.withColumn("alone", F.when(F.col("conv_id").isNull(), alone))
     people = rows.where(F.col("speaker").isNotNull() & ~F.col("speaker").isin(*context_roles))
-    people = people.select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective")).distinct()
-    both = rows.join(people, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    people = people.select(F.col("conv_id").alias("c"), F.col("alone").alias("d"), F.col("speaker").alias("perspective")).distinct()
+    both = rows.join(people, F.col("conv_id").eqNullSafe(F.col("c")) & F.col("alone").eqNullSafe(F.col("d"))).drop("c", "d")
     both = both.withColumn(
         "role",
         F.when(F.col("speaker").isin(*context_roles), "system")
@@ -66,7 +68,7 @@ def render_perspectives(
     def before(column: str, by: list[str], *order: str) -> Column:
         return F.coalesce(F.sum(column).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(*earlier)), F.lit(0))
 
-    group = ["conv_id", "perspective"]
+    group = ["conv_id", "alone", "perspective"]
     key = [*group, "chunk", "turn", "speaker", "lead"]
     cells = both.groupBy(*key).agg(F.sum("n").alias("whole"))
     chunks = cells.groupBy(*group, "chunk").agg(F.sum("whole").alias("sum"))

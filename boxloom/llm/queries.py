@@ -204,18 +204,18 @@ SQL: dict[str, str] = {
         SELECT doc_id, item_id, n_item, n_shared, n_shared / n_item AS containment
         FROM hit JOIN size USING (item_no) WHERE 100 * n_shared >= 80 * n_item""",
     "op6_chat": f"""
-        WITH t AS (SELECT conv_id, turn, role AS speaker, coalesce(text, '') AS body FROM conversations),
-        p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM t WHERE speaker <> 'system'),
+        WITH t AS (SELECT conv_id, turn, role AS speaker, coalesce(text, '') AS body, CASE WHEN conv_id IS NULL THEN {{'turn': turn, 'role': role, 'body': coalesce(text, '')}} END AS alone FROM conversations),
+        p AS (SELECT DISTINCT conv_id AS c, alone AS d, speaker AS perspective FROM t WHERE speaker <> 'system'),
         b AS (
-            SELECT conv_id, perspective, turn, speaker, body,
+            SELECT conv_id, alone, perspective, turn, speaker, body,
                 CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role
-            FROM t JOIN p ON conv_id IS NOT DISTINCT FROM c),
+            FROM t JOIN p ON conv_id IS NOT DISTINCT FROM c AND alone IS NOT DISTINCT FROM d),
         h AS (
             SELECT *, '{START}' || role || CASE WHEN role = 'user' AND speaker IS NOT NULL THEN ' name=' || speaker ELSE '' END
                 || chr(10) AS head FROM b),
         s AS (SELECT *, head || body || '{END}' || chr(10) AS segment FROM h),
         o AS (
-            SELECT *, CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective
+            SELECT *, CAST(coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, alone, perspective
                 ORDER BY turn NULLS FIRST, speaker NULLS FIRST, body ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM s)
         SELECT conv_id, perspective, turn, speaker, role, segment, start,
             CASE WHEN role = 'assistant' THEN start + length(head) END AS mask_start,

@@ -102,6 +102,45 @@ def test_long_texts(spark):
     assert {r.doc_id: r.n_chars for r in extract_main_text(pages).collect()} == {1: len(long) + 28, 2: 300_000, 3: 5}
 
 
+def test_long_texts_of_sharding_chat_and_cutting(spark):
+    """Texts of 5 MB dealt out whole, rendered in a dialogue, and cut where they repeat."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)]
+    long, other = (" ".join(rng.choice(words) for _ in range(900_000)) for _ in range(2))
+    passage = " ".join(f"unique{k}" for k in range(60))
+    table = spark.createDataFrame([(1, f"{long} {passage}"), (2, f"{passage} {other}"), (3, "short")], "doc_id long, text string")
+    dealt = uniform_shards(table, 2, seed=1).select("doc_id", "shard", F.length("text").alias("n")).collect()
+    assert {r.doc_id: r.n for r in dealt} == {1: len(long) + 1 + len(passage), 2: len(other) + 1 + len(passage), 3: 5}
+    cut = {r.doc_id: r for r in cut_repeats(table, words=51).select("doc_id", "was_cut", F.length("text").alias("n")).collect()}
+    assert cut[1].was_cut and cut[2].was_cut and not cut[3].was_cut
+    assert abs(cut[1].n - len(long)) <= 1 and abs(cut[2].n - len(other)) <= 1
+    turns = table.select(F.lit(1).alias("conv_id"), F.col("doc_id").alias("turn"), F.concat(F.lit("s"), F.col("doc_id") % 2).alias("role"), "text")
+    out = render_perspectives(turns).select("perspective", "turn", "start", F.length("segment").alias("n"), "mask_end").collect()
+    for p in ("s0", "s1"):
+        own = sorted((r for r in out if r.perspective == p), key=lambda r: r.turn)
+        assert [r.start for r in own] == [0, own[0].n, own[0].n + own[1].n] and own[0].n > 5_000_000
+    clash = turns.withColumns({c: F.lit("own") for c in ("alone", "perspective", "segment", "chunk", "lead", "c", "d", "base", "START")})
+    assert render_perspectives(clash).columns == render_perspectives(turns).columns
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_stages_on_long_texts(spark, k, tmp_path):
+    """Each stage on a text of 3 MB, which it keeps whole but for what is its work."""
+    import corpus_pipeline
+
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(3000)] + ["the", "and", "of", "to", "that", "with"] * 60
+    long = "\n".join(" ".join(rng.choice(words) for _ in range(12)).capitalize() + "." for _ in range(45_000))
+    spark.createDataFrame([(1, "one two three four five six")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    name, stage = corpus_pipeline.STAGES[k]
+    table = spark.createDataFrame([(1, long, "en", "a", len(long)), (2, "the cat and the dog " * 30, "en", "a", 600)], DOCS)
+    got = {r.doc_id: r for r in stage(spark, table, str(tmp_path)).collect()}
+    if name == "piece ids":
+        assert got[1].decoded_same and got[1].n_ids > 500_000
+    else:
+        assert got[1].text == long and got[1].n_chars == len(long)
+
+
 def test_decoding_passes_other_columns(spark):
     table = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").withColumn("DECODED", F.lit("old"))
     got = {r.doc_id: r.decoded for r in decode_pieces(encode_pieces(table)).collect()}

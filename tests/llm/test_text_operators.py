@@ -485,8 +485,11 @@ def test_perspectives_of_equal_and_missing_turns(spark):
     table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     low = lambda x: (x is not None, x)
     want = collections.Counter()
-    for c in (None, 1, 2):
-        own = sorted(((t, r, b or "") for k, t, r, b in turns if k == c), key=lambda x: (low(x[0]), low(x[1]), x[2]))
+    groups = [(c, [(t, r, b or "") for k, t, r, b in turns if k == c]) for c in (1, 2)]
+    lost = [(t, r, b or "") for k, t, r, b in turns if k is None]
+    groups += [(None, [x for x in lost if x == one]) for one in set(lost)]  # without a conversation: alone but for equal rows
+    for c, own in groups:
+        own = sorted(own, key=lambda x: (low(x[0]), low(x[1]), x[2]))
         for p in {r for _, r, _ in own} - {None, "system"}:
             start = 0
             for t, r, b in own:
