@@ -45,7 +45,7 @@ def perceptual_hash(grey: np.ndarray) -> int:
 
 def average_hash(grey: np.ndarray) -> int:
     small = _shrink(grey, 8)
-    return _long(small >= small.mean())
+    return _long(np.round(small, 6) >= np.round(small.mean(), 6))  # sums of shares are not exact
 
 
 QUALITY = "brightness double, contrast double, sharpness double, dark_ratio double, bright_ratio double, saturation double, phash long, ahash long"
@@ -67,7 +67,9 @@ def image_measures():
             lap = g[1:-1, 1:-1] * -4 + g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] if min(g.shape) > 2 else np.zeros(1)
             saturation = np.divide(high - low, high, out=np.zeros_like(high), where=high > 0).mean() * 255
             rows.append((g.mean(), g.std(), lap.var(), (g < 25).mean(), (g > 240).mean(), saturation, perceptual_hash(g), average_hash(g)))
-        return pd.DataFrame(rows, columns=[x.split()[0] for x in QUALITY.split(", ")])
+        # whole numbers as such: beside a null, pandas would turn the hashes into floats
+        out = pd.DataFrame(rows, columns=[x.split()[0] for x in QUALITY.split(", ")], dtype=object)
+        return out.astype({c: "Int64" if c.endswith("hash") else "float64" for c in out.columns})
 
     return measure
 

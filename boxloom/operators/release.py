@@ -152,6 +152,20 @@ def batch_summary(reports: DataFrame) -> DataFrame:
     )
 
 
+def release_summary(rows: DataFrame, *dimensions: str) -> DataFrame:
+    """One row for ``write_summary_json``: images and boxes in all, and nested by each value of each dimension.
+
+    ``rows`` has an image a row with ``n_boxes``; dimensions are of closed vocabularies, such as split and dataset.
+    """
+    total = rows.agg(F.count(F.lit(1)).alias("n_images"), F.coalesce(F.sum("n_boxes"), F.lit(0)).alias("n_boxes"))
+    for d in dimensions:
+        counts = rows.groupBy(d).agg(F.count(F.lit(1)).alias("n_images"), F.sum("n_boxes").alias("n_boxes"))
+        entry = F.struct(F.coalesce(F.col(d).cast("string"), F.lit("UNKNOWN")).alias("key"), F.struct("n_images", "n_boxes").alias("value"))
+        nested = counts.agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(f"by_{d}"))
+        total = total.withColumn("_one", F.lit(1)).join(nested.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return total
+
+
 def write_release(labels: DataFrame, path: str, qc: DataFrame) -> None:
     """Write label texts by dataset beside ``path``, count them there, then publish them under it in one rename.
 

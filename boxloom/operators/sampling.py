@@ -58,13 +58,18 @@ def round_robin(rows: DataFrame, *group: str, order: tuple[str, ...] = ("frame_i
 def subset_plan(rows: DataFrame, allocation: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The first ``target`` candidates of each dataset in round-robin order of their sequences, and shortfalls.
 
-    A sequence can give at most ``target`` rows, so its later rows are dropped before the dataset is ordered.
+    ``allocation`` has dataset and target, and may have a ``scenario``: scenarios take from the same order, each
+    as far as its target. A sequence can give at most the greatest target, so its later rows are dropped before
+    the dataset is ordered.
     """
-    turns = round_robin(rows, "dataset", "sequence_id").join(allocation, "dataset").where("turn <= target")
+    on = ["scenario", "dataset"] if "scenario" in allocation.columns else ["dataset"]
+    most = allocation.groupBy("dataset").agg(F.max("target").alias("_most"))
+    turns = round_robin(rows, "dataset", "sequence_id").join(most, "dataset").where("turn <= _most")
     w = Window.partitionBy("dataset").orderBy("turn", "sequence_id", "image_id")
-    picked = turns.withColumn("position", F.row_number().over(w).cast("bigint")).where("position <= target")
-    n = picked.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_selected"))
-    report = allocation.join(n, "dataset", "left").withColumn("n_selected", F.coalesce("n_selected", F.lit(0)))
+    ordered = turns.withColumn("position", F.row_number().over(w).cast("bigint")).where("position <= _most").drop("_most")
+    picked = ordered.join(allocation.select(*on, "target"), "dataset").where("position <= target")
+    n = picked.groupBy(*on).agg(F.count(F.lit(1)).alias("n_selected"))
+    report = allocation.join(n, on, "left").withColumn("n_selected", F.coalesce("n_selected", F.lit(0)))
     return picked, report.withColumn("shortfall", F.greatest(F.col("target") - F.col("n_selected"), F.lit(0)))
 
 

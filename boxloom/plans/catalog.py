@@ -320,6 +320,12 @@ def image_quality(spark, d):
     return _measured(spark, d).select("dataset", "file_id", "read_status", *rounded, "dark_ratio", "bright_ratio")
 
 
+@query("""SELECT dataset, file_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS ahash FROM (
+    SELECT dataset, file_id, CASE WHEN NOT broken THEN list_sum(list_transform(range(64), lambda k: CASE WHEN p[k + 1] >= list_avg(p) THEN CAST(power(2::DOUBLE, 63 - k) AS HUGEINT) ELSE 0::HUGEINT END)) END AS h FROM pix)""", "pix")
+def average_hashes(spark, d):
+    return _measured(spark, d).select("dataset", "file_id", "ahash")
+
+
 @query()
 def image_hashes(spark, d):
     return _measured(spark, d).select("dataset", "file_id", "phash", "ahash")
@@ -629,11 +635,25 @@ def stratified_round_robin(spark, d):
     return N.turns(rows, "stratum_turn", "road_type", "weather", "lighting", sequence="sequence_id", order=("image_id",)).select("image_id", "turn", "stratum_turn")
 
 
-@query("""SELECT dataset, image_id, position FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY turn, sequence_id, image_id) AS position FROM (
-    SELECT *, row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) AS turn FROM images)) WHERE position <= 60""", "images")
+A.SQL["plan"] = """allocation AS (SELECT scenario, 'DS' || d AS dataset, CASE WHEN scenario = 'small' THEN 60 + 10 * d WHEN d = 2 THEN 100000000 ELSE 300 END AS target FROM (VALUES ('small'), ('large')) t(scenario), range(3) r(d)),
+    plan AS (SELECT scenario, dataset, image_id, position FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY turn, sequence_id, image_id) AS position FROM (
+        SELECT *, row_number() OVER (PARTITION BY dataset, sequence_id ORDER BY frame_id) AS turn FROM images)) JOIN allocation USING (dataset) WHERE position <= target)"""
+
+
+def _subset(spark, d):
+    targets = [(k, f"DS{n}", 60 + 10 * n if k == "small" else 100_000_000 if n == 2 else 300) for k in ("small", "large") for n in range(3)]
+    return S.subset_plan(A.images(spark, d), spark.createDataFrame(targets, "scenario string, dataset string, target long"))
+
+
+@query("SELECT * FROM plan", "images", "plan")
 def subset_plan(spark, d):
-    alloc = spark.createDataFrame([(f"DS{k}", 60) for k in range(3)], "dataset string, target int")
-    return S.subset_plan(A.images(spark, d), alloc)[0].select("dataset", "image_id", "position")
+    """Two scenarios, one of which asks for more of a dataset than there is."""
+    return _subset(spark, d)[0].select("scenario", "dataset", "image_id", "position")
+
+
+@query("SELECT *, greatest(target - n_selected, 0) AS shortfall FROM (SELECT scenario, dataset, target, count(image_id) AS n_selected FROM allocation LEFT JOIN plan USING (scenario, dataset) GROUP BY ALL)", "images", "plan")
+def subset_shortfall(spark, d):
+    return _subset(spark, d)[1]
 
 
 @query("""SELECT sequence_id, image_id FROM images QUALIFY row_number() OVER (PARTITION BY sequence_id ORDER BY file_group < 3, image_id) = 1""", "images")

@@ -102,6 +102,36 @@ def label_files_round_trip(spark, d):
     return N.read_label_files(spark, path).select("split", "image_id", "label_line")
 
 
+@query("""SELECT dataset, file_id, CASE WHEN broken THEN 'CORRUPT_OR_UNREADABLE' ELSE 'OK' END AS read_status, CASE WHEN NOT broken THEN array_to_string(list_transform(p, lambda v: printf('%02X', v)), '') END AS pixels FROM pix""", "pix")
+def read_images(spark, d):
+    """Grey pixels as bitmap files of 24 bits, some of them broken, written and decoded again."""
+    path = new_path(spark, "bitmaps")
+    head = "424D" + "F6000000" + "00000000" + "36000000" + "28000000" + "08000000" + "08000000" + "0100" + "1800" + "00" * 4 + "C0000000" + "00" * 16
+    rows = F.expr("array_join(transform(sequence(7, 0, -1), y -> array_join(transform(sequence(0, 7), x -> repeat(substring(hex(data), 16 * y + 2 * x + 1, 2), 3)), '')), '')")
+    content = F.when(F.col("broken"), F.encode(F.lit("no image"), "utf-8")).otherwise(F.unhex(F.concat(F.lit(head), rows)))
+    images = A.pixel_images(spark, d).withColumn("broken", F.col("height") < 0)
+    N.write_files(images.select(F.col("dataset").alias("split"), F.col("file_id").alias("image_id"), content.alias("content")), path, ".bmp")
+    found = L.read_images(spark, path + "/*")
+    name = F.regexp_extract("origin", r"([^/]+)/(\d+)\.bmp$", 1), F.regexp_extract("origin", r"([^/]+)/(\d+)\.bmp$", 2).cast("bigint")
+    grey = F.expr("array_join(transform(sequence(0, 63), k -> substring(hex(data), 6 * k + 1, 2)), '')")
+    return found.select(name[0].alias("dataset"), name[1].alias("file_id"), "read_status", F.when(F.col("read_status") == "OK", grey).alias("pixels"))
+
+
+@query("""SELECT dimension, value, n_images, n_boxes, (SELECT count(*) FROM images) AS all_images FROM (
+    SELECT 'dataset' AS dimension, dataset AS value, count(*) AS n_images, CAST(sum(n) AS BIGINT) AS n_boxes FROM (SELECT dataset, image_id, (SELECT count(*) FROM boxes_raw b WHERE b.image_id = i.image_id) AS n FROM images i) GROUP BY ALL
+    UNION ALL SELECT 'split', split, count(*), CAST(sum(n) AS BIGINT) FROM (SELECT dataset, sequence_id, image_id, (SELECT count(*) FROM boxes_raw b WHERE b.image_id = i.image_id) AS n FROM images i) JOIN sp USING (dataset, sequence_id) GROUP BY ALL)""", *_BOX[:2], "sequences", "sp")
+def release_summary_round_trip(spark, d):
+    """A nested summary as one JSON object, read back."""
+    path = new_path(spark, "nested")
+    n = A.boxes_raw(spark, d).groupBy("image_id").agg(F.count(F.lit(1)).alias("n_boxes"))
+    images = C.join_split(A.images(spark, d), _assigned(spark, d).select("dataset", "sequence_id", "split")).join(n, "image_id", "left").na.fill(0, ["n_boxes"])
+    O.write_summary_json(R.release_summary(images, "dataset", "split"), path)
+    one = "map<string, struct<n_images:bigint,n_boxes:bigint>>"
+    read = spark.read.schema(f"n_images bigint, n_boxes bigint, by_dataset {one}, by_split {one}").json(path)
+    parts = [read.select(F.lit(k).alias("dimension"), F.explode(f"by_{k}").alias("value", "x"), "n_images") for k in ("dataset", "split")]
+    return parts[0].unionByName(parts[1]).select("dimension", "value", "x.n_images", "x.n_boxes", F.col("n_images").alias("all_images"))
+
+
 def _sequence_files(spark, d):
     """The boxes of a sequence as one file, under five folders, one of them of an unknown split."""
     path = new_path(spark, "assets")

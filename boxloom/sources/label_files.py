@@ -1,4 +1,4 @@
-"""Label files: a sink that writes one text file an image under its split, and readers of such trees."""
+"""Files of one image each under its split: a sink for label texts or other contents, and readers of such trees."""
 
 from __future__ import annotations
 
@@ -23,30 +23,29 @@ class Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    """Tasks write ``<staging>/<split>/<image>.txt``; nothing is published before the driver renames the staging folder.
+    """Tasks write ``<staging>/<split>/<image><suffix>``; nothing is published before the driver renames the staging folder.
 
     A file is written under a name of the attempt and then renamed, so that an attempt that is repeated, or runs
     twice at once, leaves whole files of equal content.
     """
 
-    def __init__(self, staging: str):
-        self.staging = staging
+    def __init__(self, staging: str, suffix: str):
+        self.staging, self.suffix = staging, suffix
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = opened(self.staging)
         made, n, size, attempt = set(), 0, 0, uuid.uuid4().hex
         for part in iterator:
-            for split, image, text in zip(*(part.column(c).to_pylist() for c in ("split", "image_id", "label_text")), strict=True):
+            for split, image, data in zip(*(part.column(c).to_pylist() for c in ("split", "image_id", "content")), strict=True):
                 for name in (split, image):
                     if not name or "/" in name or name in (".", ".."):
                         raise ValueError(f"not a file name: {name!r}")
                 if split not in made:
                     store.create_dir(f"{root}/{split}", recursive=True)
                     made.add(split)
-                data = f"{text or ''}\n".encode()
                 with store.open_output_stream(f"{root}/{split}/.{image}.{attempt}") as file:
                     file.write(data)
-                store.move(f"{root}/{split}/.{image}.{attempt}", f"{root}/{split}/{image}.txt")
+                store.move(f"{root}/{split}/.{image}.{attempt}", f"{root}/{split}/{image}{self.suffix}")
                 n, size = n + 1, size + len(data)
         return Written(n, size)
 
@@ -59,43 +58,51 @@ class _Writer(DataSourceArrowWriter):
             store.delete_dir(root)
 
 
-class LabelFiles(DataSource):
-    """Format ``label_files`` with the option ``path``: rows of split, image_id and label_text, a file each."""
+class ImageFiles(DataSource):
+    """Format ``image_files`` with the options ``path`` and ``suffix``: rows of split, image_id and content (bytes), a file each."""
 
     @classmethod
     def name(cls) -> str:
-        return "label_files"
+        return "image_files"
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        missing = {"split", "image_id", "label_text"} - set(schema.fieldNames())
+        missing = {"split", "image_id", "content"} - set(schema.fieldNames())
         if missing:
             raise ValueError(f"columns are missing: {sorted(missing)}")
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], self.options["suffix"])
 
 
-def write_label_files(labels: DataFrame, path: str) -> None:
-    """Write ``labels`` (split, image_id, label_text) as ``<path>/<split>/<image_id>.txt``, all of them or none.
+def write_files(files: DataFrame, path: str, suffix: str) -> None:
+    """Write ``files`` (split, image_id, content) as ``<path>/<split>/<image_id><suffix>``, all of them or none.
 
-    A null or empty text (a negative) gives an empty line, as Spark's readers do not see files without a byte. A path that exists, two rows of one image in a split,
-    and a name that is no file name are refused.
+    A path that exists, two rows of one image in a split, and a name that is no file name are refused.
     """
-    spark = labels.sparkSession
+    spark = files.sparkSession
     store, target = hadoop_path(spark, path)
     if store.exists(target):
         raise ValueError(f"{path} exists")
-    if labels.groupBy("split", "image_id").count().where("count > 1").limit(1).count():
+    if files.groupBy("split", "image_id").count().where("count > 1").limit(1).count():
         raise ValueError("an image has two rows in a split")
-    staging = f"{str(target.toString())}.staging-{uuid.uuid4().hex}"
-    spark.dataSource.register(LabelFiles)
-    rows = labels.select(F.col("split").cast("string"), F.col("image_id").cast("string"), "label_text")
+    staging = f"{target.toString()}.staging-{uuid.uuid4().hex}"
+    spark.dataSource.register(ImageFiles)
+    rows = files.select(F.col("split").cast("string"), F.col("image_id").cast("string"), F.col("content").cast("binary"))
     try:
-        rows.write.format("label_files").option("path", staging).mode("append").save()
+        rows.write.format("image_files").option("path", staging).option("suffix", suffix).mode("append").save()
         if not store.rename(hadoop_path(spark, staging)[1], target):
             raise ValueError(f"{path} cannot be published")
     finally:
         store.delete(hadoop_path(spark, staging)[1], True)
 
 
+def write_label_files(labels: DataFrame, path: str) -> None:
+    """Write ``labels`` (split, image_id, label_text) as ``.txt`` files, as ``write_files`` does.
+
+    A null or empty text (a negative) gives an empty line, as Spark's readers do not see files without a byte.
+    """
+    content = F.concat(F.coalesce("label_text", F.lit("")), F.lit("\n"))
+    write_files(labels.select("split", "image_id", content.alias("content")), path, ".txt")
+
+
 def list_assets(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".jpg", ".png"), splits: tuple[str, ...] = SPLITS) -> DataFrame:
     """The files below ``path`` with ``split``, ``image_id``, size and ``issue``, without reading their content.
 

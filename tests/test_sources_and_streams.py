@@ -109,7 +109,9 @@ def test_pixels(spark):
     table = spark.createDataFrame(rows, "height int, width int, nChannels int, data binary")
     got = [r.m for r in table.select(I.image_measures()("height", "width", "nChannels", "data").alias("m")).collect()]
     assert bin((got[0].ahash ^ got[1].ahash) & (2**64 - 1)).count("1") <= 4 and got[0].sharpness < got[1].sharpness
-    assert got[2].brightness is None
+    assert got[2].brightness is None and got[2].ahash is None
+    alone = table.limit(1).select(I.image_measures()("height", "width", "nChannels", "data").alias("m")).first().m
+    assert (alone.ahash, alone.phash) == (got[0].ahash, got[0].phash)  # the same to the last bit beside an unreadable image
     region = F.array(F.struct(F.lit(0.0).alias("left"), F.lit(0.0).alias("top"), F.lit(64.0).alias("right"), F.lit(24.0).alias("bottom")))
     masked = table.limit(1).select(I.mask_regions()("height", "width", "nChannels", "data", region).alias("x")).first().x
     a = np.frombuffer(bytes(masked), np.uint8).reshape(48, 64, 3)
