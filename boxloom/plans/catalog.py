@@ -320,13 +320,14 @@ def image_quality(spark, d):
     return _measured(spark, d).select("dataset", "file_id", "read_status", *rounded, "dark_ratio", "bright_ratio")
 
 
-@query("""SELECT dataset, file_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS ahash FROM (
-    SELECT dataset, file_id, CASE WHEN NOT broken THEN list_sum(list_transform(range(64), lambda k: CASE WHEN p[k + 1] >= list_avg(p) THEN CAST(power(2::DOUBLE, 63 - k) AS HUGEINT) ELSE 0::HUGEINT END)) END AS h FROM pix)""", "pix")
-def average_hashes(spark, d):
-    return _measured(spark, d).select("dataset", "file_id", "ahash")
+A.SQL["low_frequencies"] = """basis AS (SELECT u, j, sum(cos(pi() * (2 * (4 * j + t) + 1) * u / 64)) AS c FROM range(8) a(u), range(8) b(j), range(4) e(t) GROUP BY u, j),
+    low AS (SELECT file_id, y.u AS u, x.u AS v, round(sum(y.c * x.c * p[8 * y.j + x.j + 1]), 6) AS f FROM pix, basis y, basis x WHERE NOT broken GROUP BY ALL),
+    bits AS (SELECT file_id, sum(CASE WHEN f > m THEN CAST(power(2::DOUBLE, 63 - 8 * u - v) AS HUGEINT) ELSE 0::HUGEINT END) AS h FROM low JOIN (SELECT file_id, median(f) AS m FROM low WHERE u > 0 GROUP BY 1) USING (file_id) GROUP BY 1)"""
 
 
-@query()
+@query("""SELECT dataset, file_id, phash, ahash FROM (SELECT dataset, file_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS phash FROM pix LEFT JOIN bits USING (file_id)) JOIN (
+    SELECT dataset, file_id, CAST(CASE WHEN h >= 9223372036854775808 THEN h - 18446744073709551616 ELSE h END AS BIGINT) AS ahash FROM (
+    SELECT dataset, file_id, CASE WHEN NOT broken THEN list_sum(list_transform(range(64), lambda k: CASE WHEN p[k + 1] >= list_avg(p) THEN CAST(power(2::DOUBLE, 63 - k) AS HUGEINT) ELSE 0::HUGEINT END)) END AS h FROM pix)) USING (dataset, file_id)""", "pix", "low_frequencies")
 def image_hashes(spark, d):
     return _measured(spark, d).select("dataset", "file_id", "phash", "ahash")
 
