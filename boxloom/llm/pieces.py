@@ -9,7 +9,8 @@ boundary; nothing further back is kept, however long a text without a space is.
 
 A piece never goes on with a space after another character, so all paths meet before such a space, and
 the search commits there at the latest. What lies between two such commits is searched once and kept in a
-bounded table; the search of a stretch is the same whatever its length.
+bounded table. Stretches that the window holds whole need no commit before their end: new ones of a batch are
+searched in sorted order, and the backpointers of a common beginning stay in the window.
 """
 
 from __future__ import annotations
@@ -168,6 +169,24 @@ class Pieces:
                 ids += [self.single[b] for b in "".join(run).encode("utf-8", "surrogatepass")]
         return tuple(ids)
 
+    def _search_all(self, stretches: list[str]):
+        """Yield the ids of sorted stretches; those that one window holds share the backpointers of what they begin with alike."""
+        before, back, known = "", [""], self.known
+        for stretch in stretches:
+            text = stretch.replace(" ", SPACE)
+            if len(text) > self.longest or not known.issuperset(text):
+                yield self._search(stretch)
+                continue
+            same = 0
+            for x, y in zip(before, text):
+                if x != y:
+                    break
+                same += 1
+            del back[same + 1 :]
+            self._extend(back, text, 0, len(text))
+            yield tuple(map(self.pieces.__getitem__, self._path(back, len(text))))
+            before = text
+
     def _learn(self, stretches: set[str]) -> dict[str, tuple[int, ...]]:
         """Put what the table lacks into it; the ids of stretches too long for it are returned."""
         if len(self.table) >= self.limit:
@@ -177,9 +196,10 @@ class Pieces:
             held = missing.intersection(self.older)
             self.table.update((s, self.older[s]) for s in held)
             missing -= held
+        missing = sorted(missing)
         long = {}
-        for stretch in missing:
-            (self.table if len(stretch) <= _KEPT else long)[stretch] = self._search(stretch)
+        for stretch, ids in zip(missing, self._search_all(missing), strict=True):
+            (self.table if len(stretch) <= _KEPT else long)[stretch] = ids
         return long
 
     def encode_all(self, texts) -> list[np.ndarray]:
