@@ -30,3 +30,20 @@ def folder(spark, tmp_path_factory):
 def test_frame_numbers_of_more_than_five_digits(spark, folder):
     spark.range(99_990, 100_040).selectExpr("id AS page_id", "'' AS url", "'' AS html").write.parquet(str(folder / "pages.parquet"))
     same(spark, folder, "text_functions", "pages")
+
+
+@pytest.fixture(scope="module")
+def seasons(spark, folder):
+    """Tracks of 1,100 hours, over 45 days, that stand and move by turns; one batch in the middle has two points."""
+    hours = spark.range(1100).where("id < 500 OR id >= 700 OR id = 600").crossJoin(spark.range(6, 9).withColumnRenamed("id", "user_id")).where("id <> 600 OR user_id < 8")
+    rows = hours.selectExpr(
+        "1100 * user_id + id AS event_id", "CAST(timestamp_seconds(1704067200 + 3600 * id + 5) AS TIMESTAMP_NTZ) AS ts", "user_id", "'view' AS event_type",
+        "CAST(if(id div 70 % 2 = 0, 70 * (id div 70), id) * 7 * user_id AS DOUBLE) AS value", "'{\"k\": 5}' AS props",
+    )
+    rows.write.parquet(str(folder / "events.parquet"))
+    return folder
+
+
+@pytest.mark.parametrize("name", ["stop_alert_stream", "late_points"])
+def test_streams_of_any_length(spark, seasons, name):
+    same(spark, seasons, name, "events")
