@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxloom.plans import catalog, files  # noqa: F401  (files adds its queries to the catalog's)
+from boxloom.sources import adapters
 
 GIVEN = "/root/testdata/sf0.001"
 
@@ -47,3 +48,15 @@ def seasons(spark, folder):
 @pytest.mark.parametrize("name", ["stop_alert_stream", "late_points"])
 def test_streams_of_any_length(spark, seasons, name):
     same(spark, seasons, name, "events")
+
+
+def test_tasks_grow_in_number_with_the_boxes(spark, monkeypatch):
+    """Joins, windows, matches and merges are dealt to as many tasks as the table asks for, with the same rows."""
+    names = ("export_boxes", "duplicate_box_rows", "track_consistency", "image_diagnostics", "merge_chunk_reports", "release_round_trip", "coco_round_trip")
+    few = {n: collections.Counter(map(tuple, catalog.QUERIES[n](spark, GIVEN).collect())) for n in names}
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    n = adapters.n_tasks(spark, GIVEN)
+    assert n == 20 and adapters.boxes_raw(spark, GIVEN).rdd.getNumPartitions() == n
+    assert catalog.QUERIES["export_boxes"](spark, GIVEN).rdd.getNumPartitions() == n
+    for name in names:
+        assert collections.Counter(map(tuple, catalog.QUERIES[name](spark, GIVEN).collect())) == few[name]
