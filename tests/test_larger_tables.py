@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from boxloom.plans import catalog, files  # noqa: F401  (files adds its queries to the catalog's)
-from boxloom.sources import adapters
+from boxloom.sources import adapters, label_files
 
 GIVEN = "/root/testdata/sf0.001"
 
@@ -60,3 +60,17 @@ def test_tasks_grow_in_number_with_the_boxes(spark, monkeypatch):
     assert catalog.QUERIES["export_boxes"](spark, GIVEN).rdd.getNumPartitions() == n
     for name in names:
         assert collections.Counter(map(tuple, catalog.QUERIES[name](spark, GIVEN).collect())) == few[name]
+
+
+def test_label_files_in_archives(spark, tmp_path, monkeypatch):
+    rows = [("train" if k % 5 else "val", f"i{k}", f"0 0.5 0.5 0.1 0.{k}\n0 0.1 0.1 0.1 0.1" if k % 3 else "") for k in range(3000)]
+    labels = spark.createDataFrame(rows, "split string, image_id string, label_text string").repartition(3)
+    path = str(tmp_path / "labels")
+    label_files.write_label_files(labels, path, archives=True)
+    found = [p for p in tmp_path.rglob("*") if p.is_file() and p.suffix != ".crc"]
+    assert {p.suffix for p in found} == {".zip"} and {p.parent.name for p in found} == {"train", "val"} and len(found) <= 6
+    got = sorted((r.split, r.image_id, r.label_line or "") for r in label_files.read_label_files(spark, path, archives=True).collect())
+    assert got == sorted((s, i, line) for s, i, t in rows for line in t.split("\n"))
+    with pytest.raises(Exception, match="not a file name"):
+        label_files.write_label_files(labels.limit(5).withColumn("image_id", F.concat(F.lit("../"), "image_id")), str(tmp_path / "unsafe"), archives=True)
+    assert not (tmp_path / "unsafe").exists() and not list(tmp_path.glob("*.staging*"))
