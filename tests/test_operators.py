@@ -1,5 +1,6 @@
 """Operators on literal boxes, splits, duplicates, samples, scores and tracks."""
 
+import collections
 import hashlib
 import random
 
@@ -184,6 +185,39 @@ def test_average_precision_against_brute_force(spark, monkeypatch):
     assert {r.confidence: r.n_found for r in recall} == {x: brute(0.5, x)[1] for x in floors}
 
 
+def test_scored_predictions_are_the_matches(spark):
+    """Copies, images over several batches, ties, confidences that are NaN or null, and predictions without a label; each is matched once for all."""
+    rng = random.Random(11)
+    labels, predictions = [], []
+    for image in range(40):
+        for k in range(rng.randrange(1, 7)):
+            x = float(rng.randrange(30))
+            labels.append(("d", image, x, 0.0, x + 20, 20.0, f"a{k}"))
+            for j in range(rng.randrange(4)):
+                at = x + rng.randrange(-9, 10) + (500 if rng.random() < 0.2 else 0)
+                confidence = rng.choice([0.1, 0.1, 0.5, 0.9, None, float("nan")])
+                predictions += [("d", image, at, 0.0, at + 20, 20.0, confidence, f"p{k}{j}")] * rng.choice([1, 1, 2])
+    box = "dataset string, image_id long, xmin double, ymin double, xmax double, ymax double"
+    t = spark.createDataFrame(labels, box + ", annotation_id string")
+    p = spark.createDataFrame(predictions, box + ", confidence double, pred_no string").repartition(3)
+    found = E.match_bits(E.iou_candidates(p, t), E.THRESHOLDS)
+    want = collections.Counter(map(str, E.with_bits(p, found).select("dataset", "image_id", "confidence", "pred_no", "bits").collect()))
+    assert sum(want.values()) == len(predictions) and len({k.split("bits=")[1] for k in want}) > 4
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for n in (None, 5):
+            scored = E.scored_predictions(p, t, E.THRESHOLDS, n)
+            assert collections.Counter(map(str, scored.select("dataset", "image_id", "confidence", "pred_no", "bits").collect())) == want
+        one = E.scored_average_precision(scored, t, "dataset", floors=(0.0, 0.5))
+        two = E.average_precision(p, t, found, "dataset", floors=(0.0, 0.5))
+        assert sorted(one.collect()) == sorted(two.collect()) and one.count() == 20
+        for ap in (one, two):  # written pieces are scanned, predictions are not ranked or matched again
+            assert "pred_no" not in ap._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+
+
 def test_near_hashes_of_distance_8(spark):
     rng = random.Random(9)
     values = [rng.getrandbits(64) for _ in range(25)]
