@@ -79,6 +79,18 @@ def first_candidate_per_source(rows: DataFrame, source: str, mapped: str, ordina
     return rows.withColumn("rn", F.row_number().over(w).cast("bigint")).where("rn = 1").drop("rn")
 
 
+def queue_candidates(
+    rows: DataFrame, *by: str, key: tuple[str, ...] = ("sequence_id", "frame_id", "track_id"), caps: tuple[int, ...] = (1, 2, 3, 5)
+) -> DataFrame:
+    """Rows that ``review_queue`` can take, before other parts of a stratum are joined: the ``caps[-1]`` hash-least keys of each ``by``.
+
+    ``by`` has the sequence, the parts of the stratum that rows have, and what the others follow from. Each task drops its
+    own rows first, so that the rows dealt by group are few.
+    """
+    w = Window.partitionBy(*by).orderBy("_hash")
+    return rows.withColumn("_hash", hash_key(*key)).withColumn("_at", F.dense_rank().over(w)).where(F.col("_at") <= caps[-1]).drop("_hash", "_at")
+
+
 def review_queue(
     rows: DataFrame, n: int, *stratum: str, key: tuple[str, ...] = ("sequence_id", "frame_id", "track_id"),
     sequence: str = "sequence_id", caps: tuple[int, ...] = (1, 2, 3, 5),

@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 
 from boxloom.operators import sampling as S
+from boxloom.plans import catalog
 
 
 def greedy(rows, n, caps):
@@ -47,3 +48,19 @@ def test_review_queue(spark, seed):
 def test_review_queue_of_nothing(spark):
     table = spark.createDataFrame([], "stratum string, sequence_id string, frame_id int, track_id int")
     assert S.review_queue(table, 5, "stratum").count() == 0
+
+
+def test_candidates_of_a_queue_are_enough_and_few(spark):
+    """Sequences of two datasets share a name, keys repeat; the queue is that of all rows, and few rows meet the other table."""
+    rng = random.Random(6)
+    rows = [(f"d{rng.randrange(2)}", f"s{rng.randrange(4)}", rng.randrange(60), rng.randrange(3), rng.choice("xy")) for _ in range(3000)]
+    rows = spark.createDataFrame(rows, "dataset string, sequence_id string, frame_id long, track_id long, size string")
+    scenes = spark.createDataFrame([(f"d{k}", f"s{n}", "rain" if (n + k) % 3 else "dry") for k in range(2) for n in range(4)], "dataset string, sequence_id string, weather string")
+    some = S.queue_candidates(rows, "dataset", "sequence_id", "size")
+    queue = [S.review_queue(r.join(scenes, ["dataset", "sequence_id"]), 30, "weather", "size").collect() for r in (rows, some)]
+    assert sorted(queue[0]) == sorted(queue[1]) and len(queue[0]) > 15
+    keys = some.distinct().groupBy("dataset", "sequence_id", "size").count().collect()
+    assert len(keys) == 16 and {r["count"] for r in keys} == {5}
+    plan = catalog.QUERIES["review_queue_stratified"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    boxes = plan[plan.rindex("Join Inner, ((dataset"):]  # the join with the scenes
+    assert "dense_rank" in boxes
