@@ -1,11 +1,13 @@
 """Queries against their SQL on tables with keys and times beyond those of the given ones."""
 
 import collections
+import re
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from boxloom.operators import evaluate
 from boxloom.plans import catalog, files  # noqa: F401  (files adds its queries to the catalog's)
 from boxloom.sources import adapters, label_files
 
@@ -74,3 +76,13 @@ def test_label_files_in_archives(spark, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="not a file name"):
         label_files.write_label_files(labels.limit(5).withColumn("image_id", F.concat(F.lit("../"), "image_id")), str(tmp_path / "unsafe"), archives=True)
     assert not (tmp_path / "unsafe").exists() and not list(tmp_path.glob("*.staging*"))
+
+
+def test_counts_of_images_keep_the_number_of_tasks(spark, monkeypatch):
+    """The join of counts and matches is not dealt to the session's number again."""
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    matches, seen = evaluate.match_predictions, []
+    monkeypatch.setattr(evaluate, "match_predictions", lambda *a: seen.append(a[2]) or matches(*a))
+    plan = catalog.QUERIES["image_diagnostics"](spark, GIVEN)._jdf.queryExecution().optimizedPlan().toString()
+    assert seen == [20] and plan.count("RepartitionByExpression [image_id") >= 2  # of the candidates and of their matches
+    assert re.search(r"Aggregate \[image_id#\d+L?\], [^\n]*AS tp#[^\n]*\n[^\n]*RepartitionByExpression \[image_id#\d+L?\], 20", plan)
