@@ -86,3 +86,14 @@ def test_counts_of_images_keep_the_number_of_tasks(spark, monkeypatch):
     plan = catalog.QUERIES["image_diagnostics"](spark, GIVEN)._jdf.queryExecution().optimizedPlan().toString()
     assert seen == [20] and plan.count("RepartitionByExpression [image_id") >= 2  # of the candidates and of their matches
     assert re.search(r"Aggregate \[image_id#\d+L?\], [^\n]*AS tp#[^\n]*\n[^\n]*RepartitionByExpression \[image_id#\d+L?\], 20", plan)
+
+
+@pytest.mark.parametrize("name", ["release_qc", "box_count_mismatch"])
+def test_exclusions_leave_the_number_of_tasks(spark, monkeypatch, name):
+    """Boxes are dealt by image after the join with the exclusions, which may deal them by track."""
+    want = collections.Counter(map(tuple, catalog.QUERIES[name](spark, GIVEN).collect()))
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    got = catalog.QUERIES[name](spark, GIVEN)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"RepartitionByExpression \[image_id#\d+L?\], 20(?:(?!RepartitionByExpression).)*Join LeftOuter, \(\(sequence_id", plan, re.DOTALL)
+    assert collections.Counter(map(tuple, got.collect())) == want
