@@ -97,3 +97,23 @@ def test_exclusions_leave_the_number_of_tasks(spark, monkeypatch, name):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"RepartitionByExpression \[image_id#\d+L?\], 20(?:(?!RepartitionByExpression).)*Join LeftOuter, \(\(sequence_id", plan, re.DOTALL)
     assert collections.Counter(map(tuple, got.collect())) == want
+
+
+def shuffled_in(spark, name):
+    """Numbers of partitions of the hashed exchanges that run, merged ones among them."""
+    rows = catalog.QUERIES[name](spark, GIVEN)
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan, {int(n) for n in re.findall(r"Exchange hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan)}
+
+
+@pytest.mark.parametrize("name", ["duplicate_box_rows"])
+def test_tasks_are_not_merged_where_the_session_has_many(spark, monkeypatch, name):
+    """Of 50 partitions Spark would merge most; tables that ask for more than a task a core are dealt by their size."""
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        plan, numbers = shuffled_in(spark, name)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert numbers == {20}, plan
