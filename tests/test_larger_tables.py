@@ -107,7 +107,7 @@ def shuffled_in(spark, name):
     return plan, {int(n) for n in re.findall(r"Exchange hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan)}
 
 
-@pytest.mark.parametrize("name", ["duplicate_box_rows"])
+@pytest.mark.parametrize("name", ["duplicate_box_rows", "track_consistency"])
 def test_tasks_are_not_merged_where_the_session_has_many(spark, monkeypatch, name):
     """Of 50 partitions Spark would merge most; tables that ask for more than a task a core are dealt by their size."""
     monkeypatch.setattr(adapters, "TASK_ROWS", 300)
