@@ -43,16 +43,23 @@ def read_box_csv(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return rows.where("issue IS NULL").drop("issue", "n", "value"), rows.where("issue IS NOT NULL").select("value", "issue")
 
 
-def read_coco(spark: SparkSession, path: str, multi_line: bool = True, annotation_id: str = "bigint") -> tuple[DataFrame, DataFrame]:
+def read_coco(
+    spark: SparkSession, path: str, multi_line: bool = True, annotation_id: str = "bigint", n_tasks: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Images, and boxes with corners; a bad box or a missing image is one issue, kept on the row.
 
-    A file is one document, or one a line if not ``multi_line``; documents may repeat their categories.
+    A file is one document, or one a line if not ``multi_line``; documents may repeat their categories. These are few and
+    broadcast, as boxes dealt by category would meet in as many tasks. With ``n_tasks`` boxes and images are dealt by image
+    to as many tasks, for documents that the session's number does not fit.
     """
     doc = spark.read.schema(COCO_SCHEMA.replace("annotations array<struct<id: bigint", f"annotations array<struct<id: {annotation_id}")).json(path, multiLine=multi_line)
     images = doc.select(F.explode("images").alias("i")).select("i.*").withColumnRenamed("id", "image_id")
     names = doc.select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"), F.col("c.name").alias("name")).distinct()
     rows = doc.select(F.explode("annotations").alias("a")).select("a.*").withColumnRenamed("id", "annotation_id")
-    rows = rows.join(names, "category_id", "left").join(images.select("image_id", "width", "height"), "image_id", "left")
+    rows, sizes = rows.join(F.broadcast(names), "category_id", "left"), images.select("image_id", "width", "height")
+    if n_tasks:
+        rows, sizes = rows.repartition(n_tasks, "image_id"), sizes.repartition(n_tasks, "image_id")
+    rows = rows.join(sizes, "image_id", "left")
     box = [F.get("bbox", F.lit(k)) for k in range(4)]
     bad = (F.coalesce(F.size("bbox"), F.lit(0)) != 4) | F.exists("bbox", lambda x: x.isNull()) | F.col("width").isNull()
     return images, rows.select(

@@ -117,3 +117,19 @@ def test_tasks_are_not_merged_where_the_session_has_many(spark, monkeypatch, nam
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert numbers == {20}, plan
+
+
+def test_coco_boxes_are_dealt_by_image_alone(spark, monkeypatch):
+    """However large the documents: boxes of a category do not meet in a task, those of an image in one of 20."""
+    want = collections.Counter(map(tuple, catalog.QUERIES["coco_round_trip"](spark, GIVEN).collect()))
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = catalog.QUERIES["coco_round_trip"](spark, GIVEN)
+        assert collections.Counter(map(tuple, rows.collect())) == want
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not re.search(r"hashpartitioning\(category_id#\d+L, \d+\)", plan)
+    assert re.findall(r"hashpartitioning\(image_id#\d+L, (\d+)\)", plan) == ["20", "20"]
