@@ -133,3 +133,38 @@ def test_coco_boxes_are_dealt_by_image_alone(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert not re.search(r"hashpartitioning\(category_id#\d+L, \d+\)", plan)
     assert re.findall(r"hashpartitioning\(image_id#\d+L, (\d+)\)", plan) == ["20", "20"]
+
+
+def test_boxes_are_dealt_as_few_columns(spark, monkeypatch):
+    """Names of images and sequences are put together after lines and orders are dealt, classes before; each is dealt once for the join."""
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        rows = catalog.QUERIES["track_consistency"](spark, GIVEN)
+        dealt = re.findall(r"RepartitionByExpression \[(\w+)#[^\n]*\], 20\n[ :+-]*Project \[([^\n]*)\]", rows._jdf.queryExecution().optimizedPlan().toString())
+        plan, numbers = shuffled_in(spark, "track_consistency")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    names = {by: re.sub(r"#\d+L?|concat\(.*\) AS ", "", found) for by, found in dealt}
+    assert names.pop("dataset") and names == {"o_orderkey": "o_orderkey, o_custkey", "l_orderkey": "l_orderkey, l_suppkey, original_class"}
+    assert numbers == {20} and plan.count("Exchange hashpartitioning(") == 3, plan
+
+
+def test_lines_and_orders_are_dealt_to_few_tasks(spark, monkeypatch):
+    """Tasks that read files deal straight into files; tracks are dealt by table size after the join."""
+    want = collections.Counter(map(tuple, catalog.QUERIES["track_consistency"](spark, GIVEN).collect()))
+    monkeypatch.setattr(adapters, "TASK_ROWS", 300)
+    monkeypatch.setattr(adapters, "STRAIGHT", 6)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = catalog.QUERIES["track_consistency"](spark, GIVEN)
+        assert collections.Counter(map(tuple, rows.collect())) == want
+        plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    found = dict(re.findall(r"Exchange hashpartitioning\((\w+)#[^)]*, (\d+)\), REPARTITION_BY_NUM", plan))
+    assert found == {"l_orderkey": "6", "o_orderkey": "6", "dataset": "20"}, plan
