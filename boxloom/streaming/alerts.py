@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues, ValueState
 
 from boxloom.operators.tracks import EVENT_NAMES, EVENTS, StopRules, StopState, on_ground
 
@@ -51,7 +52,8 @@ def _millis(ts: pd.Series) -> pd.Series:
     return ts.astype("datetime64[us]").astype("int64") // 1000
 
 
-LATE_KEYS = 256
+#: Keys that tracks share.
+KEYS = 256
 
 
 class LatePoints(StatefulProcessor):
@@ -79,17 +81,26 @@ def late_points(points: DataFrame, delay: str) -> DataFrame:
     """
     rows = points.withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", F.timestamp_micros(F.unix_micros("ts")).alias("at"))
     schema = "sequence_id string, track_id long, frame_id long, ts timestamp, behind_ms long"
-    shared = F.pmod(F.hash("sequence_id", "track_id"), F.lit(LATE_KEYS)).alias("key")
+    shared = F.pmod(F.hash("sequence_id", "track_id"), F.lit(KEYS)).alias("key")
     return rows.select(shared, "*").groupBy("key").transformWithStateInPandas(LatePoints(), schema, "append", "EventTime")
 
 
+#: State of the tracks and points that share a key: a row as arrays, one a column, which are read and written at once.
+_TRACKS = (
+    "sequence array<string>, track array<long>, stopped array<double>, moving array<double>, seen array<double>, "
+    "seen_ms array<long>, event array<array<double>>, history array<array<double>>"
+)
+_WAITING = "ms array<long>, frame array<long>, sequence array<string>, track array<long>, x array<double>, y array<double>, inside array<boolean>"
+_POINT = ["ms", "frame_id", "sequence_id", "track_id", "x", "y", "inside"]
+
+
 class StopAlerts(StatefulProcessor):
-    """The stop-alert rules of one track.
+    """The stop-alert rules of the tracks that share a key.
 
-    State: what is known of the track, its recent positions, and the points that wait for the watermark. Points
+    State: what is known of each track with its recent positions, and the points that wait for the watermark. Points
     are taken in time order once the watermark has reached them, so the events do not depend on how
     the stream is cut into batches, nor on the order within the delay. One timer stands at what comes next: the
-    earliest point that waits, or the time at which the track is lost.
+    earliest point that waits, or the earliest time at which a track is lost.
     """
 
     def __init__(self, rules: StopRules):
@@ -97,53 +108,55 @@ class StopAlerts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.machine = handle.getValueState("machine", "stopped double, moving double, seen double, seen_ms long, event array<double>")
-        self.history = handle.getListState("history", "t double, x double, y double")
-        self.waiting = handle.getListState("waiting", "ms long, frame long, x double, y double, inside boolean")
+        self.tracks = handle.getValueState("tracks", _TRACKS)
+        self.waiting = handle.getValueState("waiting", _WAITING)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         reached, fresh = timerValues.getCurrentWatermarkInMs(), []
         for part in rows:
-            ms = _millis(part.ts)
-            on_time = ms > reached
-            fresh += zip(*(c[on_time].tolist() for c in (ms, part.frame_id, part.x, part.y, part.inside)), strict=True)
-        yield self._advance(key, fresh, reached)
+            on_time = part[(part.ms > reached) & part.sequence_id.notna()]
+            fresh += zip(*(on_time[c].tolist() for c in _POINT), strict=True)
+        yield from self._advance(fresh, reached)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._advance(key, [], timerValues.getCurrentWatermarkInMs())
+        yield from self._advance([], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
 
-    def _advance(self, key, fresh: list[tuple], reached: int) -> pd.DataFrame:
-        state, seen_ms = StopState(), 0
-        if self.machine.exists():
-            stopped, moving, seen, seen_ms, event = self.machine.get()
-            state = StopState([tuple(p) for p in self.history.get()], stopped, moving, seen, list(event) if event else None)
-        waiting = sorted([*(tuple(p) for p in self.waiting.get()), *fresh])
-        found = []
-        due = sum(p[0] <= reached for p in waiting)
-        for ms, frame, x, y, inside in waiting[:due]:
-            now = (frame - 1) / self.rules.fps
-            if state.last_seen is None or now > state.last_seen:
-                found += state.step(now, x, y, inside, self.rules)
-                seen_ms = ms
-        rest = waiting[due:]
-        gone = seen_ms + int((self.rules.max_gap + 1 / self.rules.fps) * 1000)
-        if state.last_seen is not None and gone < reached:
-            found += state.lost()
-            state = StopState()
-        self._keep(state, seen_ms, rest)
-        self._wake(([rest[0][0] - 1] if rest else []) + ([gone] if state.last_seen is not None else []))
-        return pd.DataFrame([(*key, *e) for e in found], columns=EVENT_NAMES)
-
-    def _keep(self, state: StopState, seen_ms: int, waiting: list[tuple]) -> None:
-        if state.last_seen is None:
-            self.machine.clear()
+    def _advance(self, fresh: list[tuple], reached: int) -> Iterator[pd.DataFrame]:
+        tracks, found = {}, []
+        for sequence, track, stopped, moving, seen, seen_ms, event, history in zip(*self._held(self.tracks), strict=True):
+            flat = iter(history)
+            tracks[sequence, track] = [StopState([*zip(flat, flat, flat)], stopped, moving, seen, event or None), seen_ms]
+        waiting = [*zip(*self._held(self.waiting), strict=True), *fresh]
+        for ms, frame, sequence, track, x, y, inside in sorted(p for p in waiting if p[0] <= reached):
+            now, held = (frame - 1) / self.rules.fps, tracks.setdefault((sequence, track), [StopState(), 0])
+            if held[0].last_seen is None or now > held[0].last_seen:
+                found += [(sequence, track, *e) for e in held[0].step(now, x, y, inside, self.rules)]
+                held[1] = ms
+        gap = int((self.rules.max_gap + 1 / self.rules.fps) * 1000)
+        for track in [t for t, (_, seen_ms) in tracks.items() if seen_ms + gap < reached]:
+            found += [(*track, *e) for e in tracks.pop(track)[0].lost()]
+        rest = [p for p in waiting if p[0] > reached]
+        flat = ((*t, s.stopped_since, s.moving_since, s.last_seen, ms, s.event or [], [*chain(*s.history)]) for t, (s, ms) in tracks.items())
+        self._keep(self.tracks, flat)
+        self._keep(self.waiting, rest)
+        self._wake([p[0] - 1 for p in rest] + [ms + gap for _, ms in tracks.values()])
+        if found:
+            yield pd.DataFrame(found, columns=EVENT_NAMES)
+
+    @staticmethod
+    def _held(state: ValueState) -> tuple:
+        return state.get() if state.exists() else ()
+
+    @staticmethod
+    def _keep(state: ValueState, rows: Iterable[tuple]) -> None:
+        columns = tuple(map(list, zip(*rows)))
+        if columns:
+            state.update(columns)
         else:
-            self.machine.update((state.stopped_since, state.moving_since, state.last_seen, seen_ms, state.event or []))
-        for held, rows in ((self.history, state.history), (self.waiting, waiting)):
-            held.put(rows) if rows else held.clear()
+            state.clear()
 
     def _wake(self, times: list[int]) -> None:
         held = list(self.handle.listTimers())
@@ -153,13 +166,18 @@ class StopAlerts(StatefulProcessor):
             self.handle.registerTimer(min(times))
 
 
-def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str) -> DataFrame:
+def stop_alert_stream(points: DataFrame, rules: StopRules, delay: str, n_keys: int = KEYS) -> DataFrame:
     """The stop-alert rules over a stream of points (``EVENTS``), with one bounded state a track.
 
     The rows are those of ``stop_alert_batch`` over the same points, but for events still open when the
     stream ends, which ends nothing. Rows at or behind the watermark are left out; ``late_points`` gives
     them. A track that stays away longer than the gap is closed as TRACK_LOST by a timer, and its state goes. The
-    state store has to be RocksDB.
+    state store has to be RocksDB. A call and its state are dear, not what they hold, so tracks share ``n_keys`` keys; a
+    task holds those of a key at once, so more tracks ask for more keys. Points without a track or camera count for the watermark only.
     """
-    rows = on_ground(points).withWatermark("ts", delay).select("sequence_id", "track_id", "frame_id", "x", "y", "inside", "ts")
-    return rows.groupBy("sequence_id", "track_id").transformWithStateInPandas(StopAlerts(rules), EVENTS, "append", "EventTime")
+    rows = on_ground(points).withWatermark("ts", delay).select(
+        F.when(F.col("track_id").isNotNull(), F.col("sequence_id")).alias("sequence_id"), F.coalesce("track_id", F.lit(0)).alias("track_id"), "frame_id",
+        F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.coalesce("inside", F.lit(False)).alias("inside"), F.unix_millis("ts").alias("ms"),
+    )
+    shared = F.pmod(F.hash("sequence_id", "track_id"), F.lit(n_keys)).alias("key")
+    return rows.select(shared, "*").groupBy("key").transformWithStateInPandas(StopAlerts(rules), EVENTS, "append", "EventTime")

@@ -52,6 +52,20 @@ def test_streams_of_any_length(spark, seasons, name):
     same(spark, seasons, name, "events")
 
 
+def n_batches(stream):
+    query = stream.writeStream.format("noop").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    return sum(p.numInputRows > 0 for p in query.recentProgress)
+
+
+def test_long_streams_take_several_cuts_in_a_batch(spark, seasons, monkeypatch):
+    monkeypatch.setattr(files, "_BATCHES", 4)
+    points = files._timed(spark, str(seasons))
+    assert n_batches(files._stream(spark, points, F.expr("frame_id div 120"), exact=True)) == 10
+    assert n_batches(files._stream(spark, points, F.expr("frame_id div 120"))) == 4
+    same(spark, seasons, "stop_alert_stream", "events")
+
+
 def test_tasks_grow_in_number_with_the_boxes(spark, monkeypatch):
     """Joins, windows, matches and merges are dealt to as many tasks as the table asks for, with the same rows."""
     names = ("export_boxes", "duplicate_box_rows", "track_consistency", "image_diagnostics", "merge_chunk_reports", "release_round_trip", "coco_round_trip")

@@ -182,6 +182,22 @@ def test_stop_alert_stream_at_any_cut(spark, jumbled):
     assert {r[-1] for r in want} == {"TRACK_LOST", "MOTION_RESUMED"} and got == want
 
 
+@pytest.mark.parametrize("n_keys", [1, 4])
+def test_tracks_share_keys(spark, tmp_path, n_keys):
+    """Many tracks are held in the state of few keys, with the rows of the batch operator."""
+    rows = spark.range(60).crossJoin(spark.range(1, 121).withColumnRenamed("id", "frame_id")).where("id % 7 > 0 OR frame_id < 60")
+    rows = rows.selectExpr("concat('c', id % 3) AS sequence_id", "id AS track_id", "frame_id", "CAST(if(frame_id BETWEEN 20 + id % 10 AND 90, 0, frame_id) AS DOUBLE) AS x", "timestamp_millis(1700000000000 + 100 * frame_id) AS ts")
+    for k in range(3):
+        rows.where(f"(frame_id - 1) div 40 = {k}").coalesce(1).write.mode("append").parquet(str(tmp_path / "points"))
+    rules = K.StopRules(fps=10)
+    want = sorted(map(tuple, K.stop_alert_batch(rows.drop("ts"), rules).where("end_reason <> 'END_OF_REPLAY'").collect()))
+    found = alerts.stop_alert_stream(source(spark, (rows, str(tmp_path / "points"))), rules, "0 seconds", n_keys)
+    query = found.writeStream.format("memory").queryName(f"shared{n_keys}").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert want and sorted(map(tuple, spark.table(f"shared{n_keys}").collect())) == want
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) <= 4 * n_keys  # two values and a timer with its index
+
+
 def test_late_points_are_counted_and_left_out(spark, jumbled):
     want, latest = [], None
     for batch in jumbled[2]:
