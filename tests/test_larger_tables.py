@@ -52,6 +52,23 @@ def test_streams_of_any_length(spark, seasons, name):
     same(spark, seasons, name, "events")
 
 
+@pytest.fixture(scope="module")
+def odd_events(spark, tmp_path_factory):
+    """Users of negative, huge and no numbers, at hours before and after the first frame."""
+    folder = tmp_path_factory.mktemp("odd")
+    users = spark.createDataFrame([(-19,), (-7,), (-1,), (4,), (2**59,), (None,)], "user_id long").withColumn("u", F.coalesce(F.col("user_id") % 1000, F.lit(5)))
+    rows = spark.range(700).crossJoin(users).where("(17 * id + u) % 5 > 0 AND (u <> -7 OR id < 400) AND (user_id IS NOT NULL OR id % 2 = 0)").selectExpr(
+        "700 * (u + 1000) + id AS event_id", "CAST(timestamp_seconds(1704067200 + 3600 * (id - 350) + 5) AS TIMESTAMP_NTZ) AS ts", "user_id", "'view' AS event_type",
+        "CAST(if(id div 70 % 2 = 0, 70 * (id div 70), id) * 7 * (1 + abs(u) % 3) AS DOUBLE) AS value", "'{\"k\": 5}' AS props",
+    )
+    rows.write.parquet(str(folder / "events.parquet"))
+    return folder
+
+
+def test_stop_alerts_of_odd_tracks(spark, odd_events):
+    same(spark, odd_events, "stop_alert_stream", "events")
+
+
 def n_batches(stream):
     query = stream.writeStream.format("noop").trigger(availableNow=True).start()
     query.awaitTermination(120)
