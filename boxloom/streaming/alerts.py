@@ -100,7 +100,8 @@ class StopAlerts(StatefulProcessor):
     State: what is known of each track with its recent positions, and the points that wait for the watermark. Points
     are taken in time order once the watermark has reached them, so the events do not depend on how
     the stream is cut into batches, nor on the order within the delay. One timer stands at what comes next: the
-    earliest point that waits, or the earliest time at which a track is lost.
+    earliest point that waits, or the earliest time at which a track is lost. It has to be ahead of the watermark: one that
+    stands at it expires in the same batch, and Spark deletes it after the call, also if the call sets it anew.
     """
 
     def __init__(self, rules: StopRules):
@@ -142,7 +143,7 @@ class StopAlerts(StatefulProcessor):
         flat = ((*t, s.stopped_since, s.moving_since, s.last_seen, ms, s.event or [], [*chain(*s.history)]) for t, (s, ms) in tracks.items())
         self._keep(self.tracks, flat)
         self._keep(self.waiting, rest)
-        self._wake([p[0] - 1 for p in rest] + [ms + gap for _, ms in tracks.values()])
+        self._wake([p[0] for p in rest] + [ms + gap + 1 for _, ms in tracks.values()])
         if found:
             yield pd.DataFrame(found, columns=EVENT_NAMES)
 

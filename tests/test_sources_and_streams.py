@@ -182,6 +182,19 @@ def test_stop_alert_stream_at_any_cut(spark, jumbled):
     assert {r[-1] for r in want} == {"TRACK_LOST", "MOTION_RESUMED"} and got == want
 
 
+def test_track_away_since_the_gap_before_the_watermark(spark, tmp_path):
+    """Track 0 was last seen 1.1 s before the watermark of the batch in which it comes again, and comes in no later one."""
+    parts = [[(0, 1, 60), (1, 1, 71)], [(0, 72, 130), (1, 72, 130)], [(1, 131, 200)]]
+    schema = "sequence_id string, track_id long, frame_id long, x double"
+    for part in parts:
+        rows = spark.createDataFrame([("c", t, f, float(t * f)) for t, a, b in part for f in range(a, b + 1)], schema)
+        rows.withColumn("ts", F.timestamp_millis(F.lit(1_700_000_000_000) + F.col("frame_id") * 100)).coalesce(1).write.mode("append").parquet(str(tmp_path / "points"))
+    rows, rules = spark.read.parquet(str(tmp_path / "points")), K.StopRules(fps=10)
+    want = sorted(map(tuple, K.stop_alert_batch(rows.drop("ts"), rules).where("end_reason <> 'END_OF_REPLAY'").collect()))
+    got = run(spark, alerts.stop_alert_stream(source(spark, (rows, str(tmp_path / "points"))), rules, "0 seconds"), "away")
+    assert [r[-1] for r in want] == ["TRACK_LOST"] * 2 and sorted(map(tuple, got)) == want
+
+
 @pytest.mark.parametrize("n_keys", [1, 4])
 def test_tracks_share_keys(spark, tmp_path, n_keys):
     """Many tracks are held in the state of few keys, with the rows of the batch operator."""
